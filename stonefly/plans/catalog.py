@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from stonefly.plans import metric_queries, relational_queries
+from stonefly.plans import metric_queries, relational_queries, text_queries
 
-_MODULES = [metric_queries, relational_queries]
+_MODULES = [metric_queries, relational_queries, text_queries]
 
 
 def queries() -> dict:
