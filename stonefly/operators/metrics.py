@@ -26,14 +26,19 @@ from pyspark.sql import functions as F
 from stonefly.config import scoring
 from stonefly.functions.numeric import round_half_up
 from stonefly.operators.aggregates import top_k_per_group
-from stonefly.operators.joins import broadcast_if_small
+from stonefly.operators.joins import broadcast_if_small, join_null_safe
 
 
 def sum_duplicate_taxa(df: DataFrame, sample_cols: Sequence[str], taxon_col: str, count_col: str,
-                       carry: Sequence[str] = ()) -> DataFrame:
-    """One row per (sample, taxon) with the summed count.  ``carry`` columns
-    are taxon attributes (constant per taxon) kept with ``first``."""
-    aggs = [F.sum(count_col).alias(count_col)] + [F.first(c, ignorenulls=True).alias(c) for c in carry]
+                       carry: Sequence[str] | Mapping[str, Column] = ()) -> DataFrame:
+    """One row per (sample, taxon) with the summed count.  ``carry``: names
+    of attributes constant per sample or taxon (kept with ``first``), or a
+    mapping name -> aggregate expression."""
+    aggs = [F.sum(count_col).alias(count_col)]
+    if isinstance(carry, Mapping):
+        aggs += [e.alias(n) for n, e in carry.items()]
+    else:
+        aggs += [F.first(c, ignorenulls=True).alias(c) for c in carry]
     return df.groupBy(*sample_cols, taxon_col).agg(*aggs)
 
 
@@ -97,6 +102,68 @@ def percent_model_affinity(counts: DataFrame, sample_cols: Sequence[str], group_
     return totals.select(*sample_cols).join(sim, list(sample_cols), "left").fillna({name: 0.0})
 
 
+def community_metrics(counts: DataFrame, sample_cols: Sequence[str], taxon_col: str, count_col: str,
+                      flags: Mapping[str, str] | None = None, tolerances: Mapping[str, str] | None = None,
+                      group_col: str | None = None, model: DataFrame | None = None,
+                      model_keys: Sequence[str] = (), model_percent: str = "percent",
+                      dominance_k: int | None = 3, carry: Mapping[str, Column] | None = None) -> DataFrame:
+    """All per-sample metrics from ONE de-duplicated (sample, taxon) table.
+
+    Every branch starts from the same ``counts`` plan, so Spark computes it
+    once and reuses its exchange.  Model affinity is aggregated per (sample,
+    group) and then folded per sample over a small array whose length is
+    bounded by the number of model groups (not by the data).  ``carry``:
+    extra per-sample aggregates (e.g. ``first`` of sample attributes).
+    """
+    keys = list(sample_cols)
+    base_aggs = [e.alias(n) for n, e in (carry or {}).items()]
+    base = basic_metrics_aggs(counts, keys, taxon_col, count_col, flags, tolerances, extra=base_aggs)
+    out = base
+    if dominance_k:
+        top = top_k_per_group(counts, keys, [F.col(count_col).desc(), F.col(taxon_col)], dominance_k,
+                              salt_cols=[taxon_col])
+        topsum = top.groupBy(*keys).agg(F.sum(count_col).alias("_top"))
+        # Null-safe: a null sample key is a group like any other (R
+        # semantics), and no inferred not-null filter makes this branch
+        # differ from the shared counts plan, so its exchange is reused.
+        out = join_null_safe(out, topsum, keys, "left").withColumn(
+            f"percent_dominance_{dominance_k}",
+            F.lit(100.0) * F.try_divide(F.col("_top"), F.col("total_individuals"))).drop("_top")
+    if group_col is not None and model is not None:
+        m = broadcast_if_small(model.select(*model_keys, group_col, F.col(model_percent).alias("_model")))
+        per_group = (counts.groupBy(*keys, *[k for k in model_keys if k not in keys], group_col)
+                     .agg(F.sum(count_col).alias("_g")))
+        per_group = per_group.join(m, [*model_keys, group_col], "inner")
+        folded = per_group.groupBy(*keys).agg(
+            F.collect_list(F.struct(F.col("_g").alias("g"), F.col("_model").alias("m"))).alias("_groups"))
+        out = join_null_safe(out, folded, keys, "left")
+        total = F.col("total_individuals")
+        pma = F.aggregate(F.coalesce(F.col("_groups"), F.array().cast("array<struct<g:double,m:double>>")),
+                          F.lit(0.0), lambda acc, x: acc + F.least(F.lit(100.0) * x["g"] / total, x["m"]))
+        out = out.withColumn("percent_model_affinity", pma).drop("_groups")
+    return out
+
+
+def basic_metrics_aggs(counts: DataFrame, sample_cols: Sequence[str], taxon_col: str, count_col: str,
+                       flags: Mapping[str, str] | None = None, tolerances: Mapping[str, str] | None = None,
+                       extra: Sequence[Column] = ()) -> DataFrame:
+    """``basic_metrics`` with extra aggregate columns in the same pass."""
+    n = F.col(count_col)
+    aggs = [F.sum(n).alias("total_individuals"), F.count(F.col(taxon_col)).alias("richness")]
+    for name, flag in (flags or {}).items():
+        aggs.append(F.count_if(F.coalesce(F.col(flag), F.lit(False))).alias(name))
+    for name, tol in (tolerances or {}).items():
+        t = F.col(tol)
+        aggs.append(F.try_divide(F.sum(n * t), F.sum(F.when(t.isNotNull(), n))).alias(name))
+    aggs.append(F.sum(F.when(n > 0, n * F.log2(n))).alias("_nlogn"))
+    aggs += list(extra)
+    out = counts.groupBy(*sample_cols).agg(*aggs)
+    total = F.col("total_individuals")
+    return (out.withColumn("shannon_diversity",
+                           F.when(total > 0, F.log2(total) - F.coalesce(F.col("_nlogn"), F.lit(0.0)) / total))
+            .drop("_nlogn"))
+
+
 def segment_score(value, segments: Sequence[tuple], lo: float = scoring.SCORE_MIN,
                   hi: float = scoring.SCORE_MAX) -> Column:
     """Piecewise-linear 0-10 score (MET-10).  First segment whose upper limit

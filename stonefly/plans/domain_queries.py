@@ -10,7 +10,6 @@ master taxa table.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stonefly.config import corrections as CFG
@@ -149,18 +148,29 @@ taxa AS (SELECT regexp_replace(lower(p_name || ' ' || CAST(p_partkey AS VARCHAR)
                 FLOOR(p_retailprice) / 256.0 AS nbi_p_tolerance, p_type AS taxon_group FROM part)"""
 
 
-def _scored(spark, d):
-    h = _history(spark, d)
-    taxa = _master_taxa(spark, d)
-    sh, se = h["species_history"], h["sample_event"]
-    # Model mix per method: the method's overall taxon-group percentages.
-    rows = (sh.join(se.select(F.col("MSSIH_LINKED_ID_VALIDATOR").alias("MSDH_LINKED_ID_VALIDATOR"),
-                              F.col("MSSIH_BIOSAMPLE_COLLECT_METHOD_NUM").alias("method")), "MSDH_LINKED_ID_VALIDATOR")
-            .join(taxa.select(F.col("taxon").alias("MSTR_MACRO_SPECIES_ID"), "taxon_group"), "MSTR_MACRO_SPECIES_ID"))
-    g = rows.groupBy("method", "taxon_group").agg(F.sum("MSDH_INDIVIDUAL_SPECIES_CNT").alias("g"))
-    model = g.select("method", "taxon_group",
-                     (F.lit(100.0) * F.col("g") / F.sum("g").over(Window.partitionBy("method"))).alias("percent"))
-    return LAB.score_samples(sh, se, taxa, model)
+_LONG_CARRY = ["site_id", "date", "collection_method", "replicate", "sample_group", "total_individual_count",
+               "event_id"]
+
+
+def _scored(spark, d, with_sample_cols: bool = False):
+    """Scores per linked id straight from the prepared rows: one shared
+    (sample, taxon) aggregate feeds every metric, and the sample columns
+    ride along as per-sample aggregates instead of a second pass."""
+    rows = LAB.with_sample_ids(_prepared(spark, d))
+    cols = [F.col("MSSIH_LINKED_ID_VALIDATOR").alias("sid"), F.col("COLLECT").alias("method"),
+            F.regexp_replace(F.lower("MACRO_GENSPECIES"), " ", "_").alias("taxon"),
+            F.col("INDIV").cast("double").alias("n")]
+    carry = None
+    if with_sample_cols:
+        cols += [F.col("MSSIH_EVENT_SMAS_HISTORY_ID").alias("site_id"),
+                 D.format_date("_coll", "%Y%m%d").alias("date"),
+                 F.col("MSSIH_BIOSAMPLE_COLLECT_METHOD").alias("collection_method"),
+                 F.col("Replicate").cast("string").alias("replicate"),
+                 F.col("MSSIH_GROUP").alias("sample_group"),
+                 F.col("MSSIH_TOTAL_INDIV_CNT_IND").cast("double").alias("total_individual_count"),
+                 F.col("event_id")]
+        carry = {c: None for c in _LONG_CARRY}
+    return LAB.score_rows(rows.select(*cols), _master_taxa(spark, d), None, carry=carry)
 
 
 def published_metrics(spark, d):
@@ -211,6 +221,8 @@ scored AS (SELECT sc.*, {S.profile_sql('method', _SCORED_METRICS)} AS score_bioa
 def _published_select():
     cols = []
     for k, v in LAB.WIDE_TO_PUBLISHED.items():
+        if k == "sid":
+            continue
         if k == "MSDH_LINKED_ID_VALIDATOR":
             cols.append(f"sid AS {v}")
         elif k in _INT_METRICS:
@@ -223,27 +235,9 @@ def _published_select():
 PUBLISHED_METRICS_SQL = f"WITH {_scored_sql()}\nSELECT {_published_select()}\nFROM scored"
 
 
-# -- DOM-11/17/18..23: long metric rows joined to sample columns --------------------
-def _sample_cols(spark, d):
-    """Sample columns per linked id: site, date key, method, replicate,
-    group, reported total and event id (one event per site and day)."""
-    prep = _prepared(spark, d)
-    coll = D.parse_date_any("COLL_DATE", LAB.DATE_FORMATS)
-    lid = D.linked_id("site_id", coll, "COLLECT", "Replicate")
-    ev = prep.select(lid.alias("MMDH_LINKED_ID_VALIDATOR"), "event_id").distinct()
-    se = _history(spark, d)["sample_event"].select(
-        F.col("MSSIH_LINKED_ID_VALIDATOR").alias("MMDH_LINKED_ID_VALIDATOR"),
-        F.col("MSSIH_EVENT_SMAS_HISTORY_ID").alias("site_id"),
-        D.format_date(D.parse_date("MSSIH_EVENT_SMAS_SAMPLE_DATE", "%m-%d-%Y"), "%Y%m%d").alias("date"),
-        F.col("MSSIH_BIOSAMPLE_COLLECT_METHOD").alias("collection_method"),
-        F.col("MSSIH_REPLICATE").cast("string").alias("replicate"),
-        F.col("MSSIH_GROUP").alias("sample_group"),
-        F.col("MSSIH_TOTAL_INDIV_CNT").alias("total_individual_count"))
-    return se.join(ev, "MMDH_LINKED_ID_VALIDATOR")
-
-
+# -- DOM-11/17/18..23: long metric rows with their sample columns ---------------------
 def metrics_long(spark, d):
-    wide = published_metrics(spark, d).join(_sample_cols(spark, d), "MMDH_LINKED_ID_VALIDATOR")
+    wide = LAB.metric_table(_scored(spark, d, with_sample_cols=True), keep=_LONG_CARRY)
     return WH.metrics_long(wide)
 
 

@@ -24,9 +24,10 @@ DATE_FORMATS = ("%m/%d/%Y", "%m-%d-%Y")
 
 def collect_method_table(spark: SparkSession, names: Mapping[int, str] | None = None) -> DataFrame:
     """Method id/name configuration as a (tiny, fixed-size) DataFrame."""
+    from stonefly.sources.literal import literal_table
     names = names if names is not None else scoring.METHOD_NAMES
-    return spark.createDataFrame([(n, i) for i, n in names.items()],
-                                 "BIOSAMPLE_COLLECT_METHOD string, BIOSAMPLE_COLLECT_METHOD_ID int")
+    return literal_table(spark, [(n, i) for i, n in names.items()],
+                         [("BIOSAMPLE_COLLECT_METHOD", "string"), ("BIOSAMPLE_COLLECT_METHOD_ID", "int")])
 
 
 # -- DOM-01: contract-lab rows -> prepared rows -------------------------------
@@ -107,17 +108,12 @@ def site_check(prepared: DataFrame, crosswalk: DataFrame, site_col: str = "site_
 
 
 # -- DOM-05/06: sample-event and species-history tables -----------------------
-def history_tables(prepared: DataFrame, taxonomist: str = "WAA", total: str = "max",
-                   site_col: str = "MSSIH_EVENT_SMAS_HISTORY_ID") -> dict[str, DataFrame]:
-    """Build ``sample_event`` and ``species_history``.
-
-    ``total="max"``: contract labs report the total on every row, keep the
-    largest (DOM-06).  ``total="sum"``: sum the taxon counts (DOM-05).  The
-    per-sample total is an aggregate joined back by key (map-side combine;
-    AQE splits a skewed key in the join).
-    """
+def with_sample_ids(prepared: DataFrame, taxonomist: str = "WAA",
+                    site_col: str = "MSSIH_EVENT_SMAS_HISTORY_ID") -> DataFrame:
+    """Parse the collection date (two formats) and add the sample key
+    ``site_yyyyMMdd_method_replicate`` and the sample-level text columns."""
     coll = D.parse_date_any("COLL_DATE", DATE_FORMATS)
-    df = prepared.withColumns({
+    return prepared.withColumns({
         "_coll": coll,
         "MSSIH_LINKED_ID_VALIDATOR": D.linked_id(site_col, coll, "COLLECT", "Replicate"),
         "MSSIH_EVENT_SMAS_SAMPLE_DATE": D.format_date(coll, "%m-%d-%Y"),
@@ -125,21 +121,42 @@ def history_tables(prepared: DataFrame, taxonomist: str = "WAA", total: str = "m
         "MSSIH_GROUP": F.col("group"),
         "MSSIH_TAXONOMIST": F.lit(taxonomist),
     })
+
+
+SAMPLE_EVENT_COLUMNS = ("MSSIH_LINKED_ID_VALIDATOR", "MSSIH_BIOSAMPLE_COLLECT_METHOD_NUM",
+                        "MSSIH_EVENT_SMAS_HISTORY_ID", "MSSIH_EVENT_SMAS_SAMPLE_DATE", "MSSIH_REPLICATE",
+                        "MSSIH_TAXONOMIST", "MSSIH_TOTAL_INDIV_CNT_NOTE", "MSSIH_BIOSAMPLE_COLLECT_METHOD",
+                        "MSSIH_GROUP")
+
+
+def history_tables(prepared: DataFrame, taxonomist: str = "WAA", total: str = "max",
+                   site_col: str = "MSSIH_EVENT_SMAS_HISTORY_ID") -> dict[str, DataFrame]:
+    """Build ``sample_event`` and ``species_history``.
+
+    ``total="max"``: contract labs report the total on every row, keep the
+    largest (DOM-06).  ``total="sum"``: sum the taxon counts (DOM-05).
+
+    One partial aggregate over the distinct sample columns carries the
+    total; the per-sample total is then finished over that small result
+    (a handful of rows per sample key), so the rows are shuffled once and a
+    large sample is combined map-side.
+    """
+    df = with_sample_ids(prepared, taxonomist, site_col)
     if total == "max":
-        agg = F.max("MSSIH_TOTAL_INDIV_CNT_IND")
+        part, fin = F.max("MSSIH_TOTAL_INDIV_CNT_IND"), F.max
     elif total == "sum":
-        agg = F.sum("INDIV")
+        part, fin = F.sum("INDIV"), F.sum
     else:
         raise ValueError(total)
-    totals = df.groupBy("MSSIH_LINKED_ID_VALIDATOR").agg(agg.cast("double").alias("MSSIH_TOTAL_INDIV_CNT"))
-    samples = (df.select("MSSIH_LINKED_ID_VALIDATOR",
-                         F.col("COLLECT").alias("MSSIH_BIOSAMPLE_COLLECT_METHOD_NUM"),
-                         F.col(site_col).alias("MSSIH_EVENT_SMAS_HISTORY_ID"),
-                         "MSSIH_EVENT_SMAS_SAMPLE_DATE", F.col("Replicate").alias("MSSIH_REPLICATE"),
-                         "MSSIH_TAXONOMIST", "MSSIH_TOTAL_INDIV_CNT_NOTE", "MSSIH_BIOSAMPLE_COLLECT_METHOD",
-                         "MSSIH_GROUP")
-               .distinct()
-               .join(totals, "MSSIH_LINKED_ID_VALIDATOR"))
+    from pyspark.sql import Window
+    grouped = df.groupBy(
+        "MSSIH_LINKED_ID_VALIDATOR", F.col("COLLECT").alias("MSSIH_BIOSAMPLE_COLLECT_METHOD_NUM"),
+        F.col(site_col).alias("MSSIH_EVENT_SMAS_HISTORY_ID"), "MSSIH_EVENT_SMAS_SAMPLE_DATE",
+        F.col("Replicate").alias("MSSIH_REPLICATE"), "MSSIH_TAXONOMIST", "MSSIH_TOTAL_INDIV_CNT_NOTE",
+        "MSSIH_BIOSAMPLE_COLLECT_METHOD", "MSSIH_GROUP").agg(part.alias("_t"))
+    samples = grouped.withColumn(
+        "MSSIH_TOTAL_INDIV_CNT", fin("_t").over(Window.partitionBy("MSSIH_LINKED_ID_VALIDATOR")).cast("double")
+    ).drop("_t")
     species = df.select(
         F.col("MSSIH_LINKED_ID_VALIDATOR").alias("MSDH_LINKED_ID_VALIDATOR"),
         F.col("INDIV").alias("MSDH_INDIVIDUAL_SPECIES_CNT"),
@@ -148,33 +165,54 @@ def history_tables(prepared: DataFrame, taxonomist: str = "WAA", total: str = "m
 
 
 # -- DOM-07/08, MET-*: metrics and scores per sample by method ----------------
-def score_samples(species_history: DataFrame, sample_event: DataFrame, taxa: DataFrame, model: DataFrame,
-                  taxon_key: str = "MSTR_MACRO_SPECIES_ID") -> DataFrame:
-    """Wide metric table per linked id.
+SCORED_METRICS = ["richness", "ept_richness", "hilsenhoff_biotic_index", "percent_model_affinity",
+                  "nutrient_biotic_index_phosphorus", "shannon_diversity", "non_chiro_oligo_richness",
+                  "percent_dominance_3"]
+
+
+def score_rows(rows: DataFrame, taxa: DataFrame, model: DataFrame | None, sample_cols=("sid", "method"),
+               carry: Mapping | None = None) -> DataFrame:
+    """Metrics and method scores from (sample..., taxon, n) rows.
 
-    ``taxa`` (master): taxon key, ``is_ept``, ``is_nco``, ``tolerance``,
+    ``taxa`` (master): ``taxon``, ``is_ept``, ``is_nco``, ``tolerance``,
     ``nbi_p_tolerance``, ``taxon_group``.  ``model``: method, taxon_group,
-    percent.  Methods without score curves keep their rows, scores null.
+    percent; None derives each method's overall group mix from the rows.
+    ``carry``: name -> aggregate over the (sample, taxon) rows, kept per
+    sample.  Methods without score curves keep their rows, scores null.
     """
+    keys = list(sample_cols)
+    carry = dict(carry or {})
+    counts = M.sum_duplicate_taxa(rows, keys, "taxon", "n", carry={k: F.max(k) for k in carry})
+    j = counts.join(broadcast_if_small(taxa), "taxon", "left")
+    if model is None:
+        from pyspark.sql import Window
+        # Group mix of each method over taxa known to the master.  The null
+        # group is dropped after the window so no filter reaches the shared
+        # counts plan (its exchange is then reused, not recomputed).
+        g = j.groupBy("method", "taxon_group").agg(F.sum("n").alias("g"))
+        known = F.when(F.col("taxon_group").isNotNull(), F.col("g"))
+        model = (g.select("method", "taxon_group",
+                          (F.lit(100.0) * F.col("g") / F.sum(known).over(Window.partitionBy("method"))).alias("percent"))
+                 .filter(F.col("taxon_group").isNotNull()))
+    wide = M.community_metrics(j, keys, "taxon", "n", flags={"ept_richness": "is_ept", "nco_richness": "is_nco"},
+                               tolerances={"hilsenhoff_biotic_index": "tolerance",
+                                           "nutrient_biotic_index_phosphorus": "nbi_p_tolerance"},
+                               group_col="taxon_group", model=model, model_keys=["method"],
+                               carry={k: F.max(k) for k in carry})
+    wide = wide.withColumnRenamed("nco_richness", "non_chiro_oligo_richness")
+    return M.method_scores(wide, "method", SCORED_METRICS)
+
+
+def score_samples(species_history: DataFrame, sample_event: DataFrame, taxa: DataFrame,
+                  model: DataFrame | None = None, taxon_key: str = "MSTR_MACRO_SPECIES_ID") -> DataFrame:
+    """Wide metric table per linked id from the two history tables."""
     sid = "MSDH_LINKED_ID_VALIDATOR"
     method = sample_event.select(F.col("MSSIH_LINKED_ID_VALIDATOR").alias(sid),
-                                 F.col("MSSIH_BIOSAMPLE_COLLECT_METHOD_NUM").alias("method"))
-    rows = species_history.select(sid, F.col(taxon_key).alias("taxon"),
+                                 F.col("MSSIH_BIOSAMPLE_COLLECT_METHOD_NUM").alias("method")).distinct()
+    rows = species_history.select(F.col(sid).alias("sid"), F.col(taxon_key).alias("taxon"),
                                   F.col("MSDH_INDIVIDUAL_SPECIES_CNT").cast("double").alias("n"))
-    counts = M.sum_duplicate_taxa(rows, [sid], "taxon", "n").join(method, sid)
-    j = counts.join(broadcast_if_small(taxa), "taxon", "left")
-    keys = [sid, "method"]
-    base = M.basic_metrics(j, keys, "taxon", "n", flags={"ept_richness": "is_ept", "nco_richness": "is_nco"},
-                           tolerances={"hilsenhoff_biotic_index": "tolerance",
-                                       "nutrient_biotic_index_phosphorus": "nbi_p_tolerance"})
-    dom = M.dominance(j, keys, "taxon", "n", 3, "percent_dominance_3")
-    pma = M.percent_model_affinity(j, keys, "taxon_group", "n", model, model_keys=["method"])
-    wide = base.join(dom, keys).join(pma, keys)
-    metrics = ["richness", "ept_richness", "hilsenhoff_biotic_index", "percent_model_affinity",
-               "nutrient_biotic_index_phosphorus", "shannon_diversity", "non_chiro_oligo_richness",
-               "percent_dominance_3"]
-    wide = wide.withColumnRenamed("nco_richness", "non_chiro_oligo_richness")
-    return M.method_scores(wide, "method", metrics)
+    rows = rows.join(method.withColumnRenamed(sid, "sid"), "sid")
+    return score_rows(rows, taxa, model).withColumnRenamed("sid", sid)
 
 
 WIDE_TO_PUBLISHED = {
@@ -190,11 +228,13 @@ WIDE_TO_PUBLISHED = {
     "non_chiro_oligo_richness": "MMDH_NCO_RICH", "score_non_chiro_oligo_richness": "MMDH_NCO_RICH_SCORE",
     "percent_dominance_3": "MMDH_PCT_DOMINANCE_3", "score_percent_dominance_3": "MMDH_PCT_DOMINANCE_3_SCORE",
     "MSDH_LINKED_ID_VALIDATOR": "MMDH_LINKED_ID_VALIDATOR",
+    "sid": "MMDH_LINKED_ID_VALIDATOR",
 }
 
 
-def metric_table(scored: DataFrame, digits: int = 3) -> DataFrame:
-    """Published metric columns (DOM-08): renamed, doubles rounded to 3."""
+def metric_table(scored: DataFrame, digits: int = 3, keep: Sequence[str] = ()) -> DataFrame:
+    """Published metric columns (DOM-08): renamed, doubles rounded to 3;
+    ``keep`` columns pass through unchanged."""
     present = {k: v for k, v in WIDE_TO_PUBLISHED.items() if k in scored.columns}
     cols = []
     for k, v in present.items():
@@ -202,4 +242,4 @@ def metric_table(scored: DataFrame, digits: int = 3) -> DataFrame:
         if dict(scored.dtypes)[k] == "double":
             c = round_half_up(c, digits)
         cols.append(c.alias(v))
-    return scored.select(*cols)
+    return scored.select(*cols, *keep)

@@ -59,9 +59,8 @@ def order_counts(spark, d):
 # -- MET-01/02/05/09: totals, richness, Shannon, dominance-3 per order -------
 def sample_metrics(spark, d):
     counts = order_counts(spark, d)
-    base = M.basic_metrics(counts, ["sample_id"], "taxon", "n")
-    dom = M.dominance(counts, ["sample_id"], "taxon", "n", 3, "percent_dominance_3")
-    return base.join(dom, "sample_id").select(
+    out = M.community_metrics(counts, ["sample_id"], "taxon", "n", dominance_k=3)
+    return out.select(
         "sample_id", "total_individuals", "richness",
         round_half_up("shannon_diversity", R6).alias("shannon_diversity"),
         round_half_up("percent_dominance_3", R6).alias("percent_dominance_3"))
@@ -190,16 +189,14 @@ def bap_scores(spark, d):
     counts = M.sum_duplicate_taxa(rows, keys, "taxon", "n")
     attrs = broadcast_if_small(_taxon_attrs(table(spark, d, "part")))
     j = counts.join(attrs, "taxon")
-    base = M.basic_metrics(j, keys, "taxon", "n", flags={"ept_richness": "is_ept"},
-                           tolerances={"hilsenhoff_biotic_index": "tolerance",
-                                       "nutrient_biotic_index_phosphorus": "nbi_p_tolerance"},
-                           shannon=False)
-    overall = j.groupBy("taxon_group").agg(F.sum("n").alias("g"))
     from pyspark.sql import Window
+    overall = j.groupBy("taxon_group").agg(F.sum("n").alias("g"))
     model = overall.select("taxon_group", (F.lit(100.0) * F.col("g") / F.sum("g").over(Window.partitionBy()))
                            .alias("percent"))
-    pma = M.percent_model_affinity(j, keys, "taxon_group", "n", model)
-    wide = base.join(pma, keys)
+    wide = M.community_metrics(j, keys, "taxon", "n", flags={"ept_richness": "is_ept"},
+                               tolerances={"hilsenhoff_biotic_index": "tolerance",
+                                           "nutrient_biotic_index_phosphorus": "nbi_p_tolerance"},
+                               group_col="taxon_group", model=model, dominance_k=None)
     scored = M.method_scores(wide, "method", BAP_METRICS)
     return scored.select(
         *keys, "total_individuals", "richness", "ept_richness",

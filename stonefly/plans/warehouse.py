@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stonefly.config import corrections as CFG
@@ -61,17 +61,18 @@ def metrics_long(wide: DataFrame, id_cols: Sequence[str] = LONG_IDS,
     w = wide.withColumnsRenamed(present)
     values = list(present.values()) + ([total_col] if total_col in w.columns else [])
     ids = [c for c in id_cols if c in w.columns]
-    # Qualifier per event: partial aggregate of the flag, joined back.
-    low = M.below_count_minimum(method_col, total_col)
-    flags = (w.groupBy("event_id").agg(F.max(low.cast("int")).alias("_low"))
-             if total_col in w.columns else None)
-    long = R.wide_to_long(w, ids, values, "parameter_name", "result_value")
+    # Qualifier per event: any sample of the event below its method's
+    # minimum.  The wide table has one row per sample and an event holds a
+    # handful of samples (methods x replicates), so a window over the event
+    # is bounded and avoids a second pass over the metric plan.
+    if total_col in w.columns:
+        low = M.below_count_minimum(method_col, total_col).cast("int")
+        w = w.withColumn("_low", F.max(low).over(Window.partitionBy("event_id")))
+    else:
+        w = w.withColumn("_low", F.lit(0))
+    long = R.wide_to_long(w, [*ids, "_low"], values, "parameter_name", "result_value")
     long = R.split_metric_name(long, "parameter_name", "unit", default_raw=[total_col])
     long = long.withColumn("unit", F.regexp_replace("unit", "score", "score_0-10"))
-    if flags is not None:
-        long = long.join(broadcast_if_small(flags), "event_id", "left")
-    else:
-        long = long.withColumn("_low", F.lit(0))
     is_low = F.coalesce(F.col("_low"), F.lit(0)) == 1
     is_profile = F.col("parameter_name") == "bioassessment_profile"
     long = long.withColumns({
