@@ -99,7 +99,8 @@ def collapse_sentence(arr, sep: str = ", ", last: str = ", and ") -> Column:
 
 def screaming_snake(name: str) -> str:
     """``janitor::clean_names("screaming_snake")`` for one column name."""
-    s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name.strip())
+    s = re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1_\2", name.strip())
+    s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", s)
     s = re.sub(r"[^0-9A-Za-z]+", "_", s).strip("_")
     s = re.sub(r"_+", "_", s).upper()
     if not s:

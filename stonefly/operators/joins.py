@@ -45,18 +45,25 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     """
     r = broadcast_if_small(right) if small_right else right
     la, ra = left.alias("_l"), r.alias("_r")
-    cond = reduce(lambda a, b: a & b, [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys])
+
+    def L(c):
+        return F.col(f"_l.`{c}`")
+
+    def R(c):
+        return F.col(f"_r.`{c}`")
+
+    cond = reduce(lambda a, b: a & b, [L(k).eqNullSafe(R(k)) for k in keys])
     joined = la.join(ra, cond, how)
     if how in ("left_semi", "left_anti", "semi", "anti", "leftsemi", "leftanti"):
         return joined
     if how in ("full", "outer", "full_outer", "fullouter"):
-        key_cols = [F.coalesce(F.col(f"_l.{k}"), F.col(f"_r.{k}")).alias(k) for k in keys]
+        key_cols = [F.coalesce(L(k), R(k)).alias(k) for k in keys]
     elif how in ("right", "right_outer"):
-        key_cols = [F.col(f"_r.{k}").alias(k) for k in keys]
+        key_cols = [R(k).alias(k) for k in keys]
     else:
-        key_cols = [F.col(f"_l.{k}").alias(k) for k in keys]
-    rest_l = [F.col(f"_l.{c}").alias(c) for c in left.columns if c not in keys]
-    rest_r = [F.col(f"_r.{c}").alias(c) for c in right.columns if c not in keys and c not in left.columns]
+        key_cols = [L(k).alias(k) for k in keys]
+    rest_l = [L(c).alias(c) for c in left.columns if c not in keys]
+    rest_r = [R(c).alias(c) for c in right.columns if c not in keys and c not in left.columns]
     return joined.select(*key_cols, *rest_l, *rest_r)
 
 
