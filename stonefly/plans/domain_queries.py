@@ -31,7 +31,9 @@ MASTER_MAX_SIZE = 45  # parts above this size are "new species" for the check
 
 
 def lab_rows(spark, d):
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    # The lab view builds several strings per row before any shuffle: spread
+    # an un-splittable input so that work is not held in one task.
+    li = table(spark, d, "lineitem", spread=True).select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
                                          "o_orderpriority", "o_totalprice")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
