@@ -57,6 +57,67 @@ SAMPLE_DELIVERY_GROUP = RuleSet("SAMPLE_DELIVERY_GROUP", [
 ])
 
 
+# --- fixed values: PROJECT -------------------------------------------------------
+PROJECT_TYPES = ("Biomonitoring", "CSLAP", "HAB", "HABs", "Historical RIBS", "LRNC", "Mohawk", "LCI", "Other",
+                 "PEERS", "Pre RIBS", "Probability Sampling", "PWS", "QAQC", "RAS", "Reference", "RIBS Intensive",
+                 "RIBS Routine", "RIBS Screening", "RMN", "Special Request", "Special Study", "TMDL", "Undefined",
+                 "WSNC", "Intensive", "Quality Control", "Regional Monitoring Network", "Screening", "Trend")
+PROJECT = RuleSet("PROJECT", [
+    *expand("col_exists", ["PROJECT", "PROJECT_TYPE", "PROJECT_DESCRIPTION"]),
+    *expand("col_is_character", ["PROJECT", "PROJECT_TYPE", "PROJECT_DESCRIPTION"]),
+    Rule("col_count_match", values=(3,)),
+    _len("PROJECT", 100), _len("PROJECT_DESCRIPTION", 256), _len("PROJECT_TYPE", 100),
+    *expand("col_vals_not_null", ["PROJECT", "PROJECT_TYPE", "PROJECT_DESCRIPTION"]),
+    Rule("col_vals_in_set", ("PROJECT_TYPE",), PROJECT_TYPES),
+    Rule("rows_distinct"),
+    Rule("rows_distinct", ("PROJECT",)),
+])
+
+# --- fixed values: RESULT_QUALIFIER ---------------------------------------------
+RESULT_QUALIFIER = RuleSet("RESULT_QUALIFIER", [
+    *expand("col_exists", ["RESULT_QUALIFIER", "RESULT_QUALIFIER_DESCRIPTION"]),
+    *expand("col_is_character", ["RESULT_QUALIFIER", "RESULT_QUALIFIER_DESCRIPTION"]),
+    Rule("col_count_match", values=(2,)),
+    _len("RESULT_QUALIFIER", 10), _len("RESULT_QUALIFIER_DESCRIPTION", 200),
+    *expand("col_vals_not_null", ["RESULT_QUALIFIER", "RESULT_QUALIFIER_DESCRIPTION"]),
+    Rule("rows_distinct"),
+    Rule("rows_distinct", ("RESULT_QUALIFIER",)),
+])
+
+# --- fixed values: PARAMETER ------------------------------------------------------
+_PARAM_COLS = ["PARAMETER_NAME", "CASRN", "FRACTION", "MATRIX", "METHOD_SPECIATION", "UNIT"]
+PARAMETER_UNITS = ("percent", "pg/L", "score_0-10", "raw", "boolean", "meters", "uS/cm", "celsius", "cm_per_second",
+                   "observed_taxa", "ordinal", "mg/L", "pH units", "rating_scale_category", "ppt", "NTU", "ug/L",
+                   "cfu/100mL", "umhos/cm", "category", "score_0-200", "score_0-100", "score_0-20",
+                   "rating_scale_0-10", "rating_scale_A-F", "count", "total_count", "index_score", "score", "ng/L",
+                   "cfs", "RFU", "ug/g", "color units", "celsius", "not_applicable", "binary", "1/cm", "mg/kg",
+                   "score_1-5", "m", "mV", "FNU", "ug/l")
+PARAMETER = RuleSet("PARAMETER", [
+    *expand("col_exists", _PARAM_COLS),
+    *expand("col_is_character", _PARAM_COLS),
+    Rule("col_count_match", values=(6,)),
+    _len("PARAMETER_NAME", 100), _len("CASRN", 50), _len("FRACTION", 50), _len("MATRIX", 50),
+    _len("METHOD_SPECIATION", 50), _len("UNIT", 50),
+    *expand("col_vals_not_null", _PARAM_COLS),
+    Rule("col_vals_in_set", ("FRACTION",), ("not_applicable", "dissolved", "total", "total_recoverable", "unknown")),
+    Rule("col_vals_in_set", ("MATRIX",), ("water", "not_applicable", "sediment")),
+    Rule("col_vals_in_set", ("METHOD_SPECIATION",), ("not_applicable", "as_caco3", "as_so4", "as_n", "as_p",
+                                                     "hydrogen_ion_h+")),
+    Rule("col_vals_in_set", ("UNIT",), PARAMETER_UNITS),
+    Rule("rows_distinct"),
+])
+
+# --- fixed values: PARAMETER_NAME -------------------------------------------------
+PARAMETER_NAME = RuleSet("PARAMETER_NAME", [
+    *expand("col_exists", ["PARAMETER_NAME", "PARAMETER_DESCRIPTION"]),
+    *expand("col_is_character", ["PARAMETER_NAME", "PARAMETER_DESCRIPTION"]),
+    Rule("col_count_match", values=(2,)),
+    _len("PARAMETER_NAME", 100),
+    *expand("col_vals_not_null", ["PARAMETER_NAME", "PARAMETER_DESCRIPTION"]),
+    Rule("rows_distinct"),
+])
+
+
 def event_rules(run_time: str) -> RuleSet:
     """EVENT rules with the range's upper bound fixed to the run time."""
     rules = [r if r.check != "col_vals_between" else Rule(r.check, r.columns, (r.values[0], run_time))
@@ -64,4 +125,5 @@ def event_rules(run_time: str) -> RuleSet:
     return RuleSet("EVENT", rules)
 
 
-RULE_SETS = {rs.table: rs for rs in (WATERBODY, EVENT, SAMPLE_DELIVERY_GROUP)}
+RULE_SETS = {rs.table: rs for rs in (WATERBODY, PROJECT, EVENT, SAMPLE_DELIVERY_GROUP, RESULT_QUALIFIER,
+                                     PARAMETER, PARAMETER_NAME)}

@@ -142,3 +142,24 @@ TAXA_ABUNDANCE_CONSTANTS = {
     "LAB_QUALIFIER": "not_applicable",
     "PREP_METHOD": "not_applicable",
 }
+
+# --- fixed values: method harmonising before scoring (DOM-09) ---------------
+# Methods scored like the standard kick, and the replicate given to RMN
+# 300-count samples so they stay apart from the standard kick of the site.
+METHOD_HARMONISE = {
+    "Kick: Headwater Stream": "Kick: Standard",
+    "Kick: RMN 300 Count": "Kick: Standard",
+    "Lake: Littoral": "Littoral",
+}
+RMN_METHOD = "Kick: RMN 300 Count"
+RMN_REPLICATE = 2
+RMN_PROJECT = "RMN"
+
+# --- fixed values: undetermined-family taxon renames (DOM-29) ----------------
+UNDETERMINED_FAMILY = {
+    "physidae": "undetermined_physidae",
+    "gammaridae": "undetermined_gammaridae",
+    "crangonyctidae": "undetermined_crangonyctidae",
+    "cambaridae": "undetermined_cambaridae",
+    "turbellaria": "undetermined_turbellaria",
+}

@@ -86,9 +86,10 @@ def count_rows(df: DataFrame) -> int:
     return df.count()
 
 
-def global_range(df: DataFrame, c: str) -> DataFrame:
-    """``range(x)`` as one row (AG-08)."""
-    return df.agg(F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"))
+def global_range(df: DataFrame, c: str, extra: dict | None = None) -> DataFrame:
+    """``range(x)`` as one row (AG-08); ``extra`` aggregates share the pass."""
+    return df.agg(F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"),
+                  *[e.alias(n) for n, e in (extra or {}).items()])
 
 
 def distinct_values(df: DataFrame, c: str) -> DataFrame:

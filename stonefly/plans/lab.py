@@ -30,6 +30,53 @@ def collect_method_table(spark: SparkSession, names: Mapping[int, str] | None =
                          [("BIOSAMPLE_COLLECT_METHOD", "string"), ("BIOSAMPLE_COLLECT_METHOD_ID", "int")])
 
 
+# -- DOM-09/10/29: harmonising before preparation ------------------------------
+def harmonise_methods(raw: DataFrame, project_rmn: bool = False) -> DataFrame:
+    """RMN 300-count samples get replicate 2, then headwater / RMN kicks are
+    scored as standard kicks and lake littoral is renamed (DOM-09).  With
+    ``project_rmn`` rows of the RMN project are standard kicks too."""
+    from stonefly.operators.lookup import case_map
+    m = F.col("MSSIH_BIOSAMPLE_COLLECT_METHOD")
+    is_rmn = F.coalesce(m == F.lit(scoring.RMN_METHOD), F.lit(False))
+    out = raw.withColumn("MSSIH_REPLICATE", F.when(is_rmn, F.lit(scoring.RMN_REPLICATE))
+                         .otherwise(F.col("MSSIH_REPLICATE")))
+    out = out.withColumn("MSSIH_BIOSAMPLE_COLLECT_METHOD", case_map(m, scoring.METHOD_HARMONISE, keep_unmatched=True))
+    if project_rmn and "Client_Project_Name" in raw.columns:
+        out = out.withColumn("MSSIH_BIOSAMPLE_COLLECT_METHOD",
+                             F.when(F.col("Client_Project_Name") == F.lit(scoring.RMN_PROJECT), F.lit("Kick: Standard"))
+                             .otherwise(F.col("MSSIH_BIOSAMPLE_COLLECT_METHOD")))
+    return out
+
+
+def lake_groups(raw: DataFrame, rules: DataFrame, site_col: str = "MSSIH_EVENT_SMAS_HISTORY_ID",
+                date_col: str = "MSSIH_EVENT_SMAS_SAMPLE_DATE", out: str = "group") -> DataFrame:
+    """Lake sample group letters from a (site, date, letter) table, "" when
+    no rule matches (DOM-10).  The rule table is configuration (broadcast)."""
+    r = rules.select(F.col(rules.columns[0]).alias("_s"), F.col(rules.columns[1]).alias("_d"),
+                     F.col(rules.columns[2]).alias("_g")).dropDuplicates(["_s", "_d"])
+    j = raw.join(F.broadcast(r), (raw[site_col] == F.col("_s")) & (raw[date_col] == F.col("_d")), "left")
+    return j.withColumn(out, F.coalesce(F.col("_g"), F.lit(""))).drop("_s", "_d", "_g")
+
+
+def undetermined_family(c) -> "F.Column":
+    """Family-level names -> ``undetermined_<family>`` (DOM-29)."""
+    from stonefly.operators.lookup import case_map
+    return case_map(c, scoring.UNDETERMINED_FAMILY, keep_unmatched=True)
+
+
+# -- DOM-31: tolerance means within an order ----------------------------------
+def tolerance_means(master: DataFrame, order: str, by: str, keep: Sequence[str] = (),
+                    tolerances: Sequence[str] = ("MMS_TOLERANCE", "MMS_NBI_PHOSPHORUS_TOL", "MMS_NBI_NITRATE_TOL"),
+                    order_col: str = "MMS_ORDER") -> DataFrame:
+    """Mean tolerances per ``by`` group within one order, NA skipped, as
+    distinct (keep..., means) rows (grouped mutate + distinct)."""
+    from stonefly.operators.joins import with_group_aggregates
+    f = master.filter(F.col(order_col) == F.lit(order))
+    names = {f"new_{t}": F.avg(t) for t in tolerances}
+    g = with_group_aggregates(f, [by], names)
+    return g.select(*(keep or [by]), *names).distinct()
+
+
 # -- DOM-01: contract-lab rows -> prepared rows -------------------------------
 def prepare_contract_lab(raw: DataFrame, collect_method: DataFrame) -> DataFrame:
     """Select the lab columns, split the site id into basin/location/river
