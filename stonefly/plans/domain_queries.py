@@ -286,6 +286,15 @@ SELECT event_id, site_id, date, collection_method, replicate, parameter_name, re
 FROM t"""
 
 
+# -- RS-03 / DOM-23: staging template split into the PARAMETER target -----------------
+PARAMETER_TARGET = ["PARAMETER_NAME", "CASRN", "FRACTION", "MATRIX", "METHOD_SPECIATION", "UNIT"]
+
+
+def parameter_table(spark, d):
+    staged = WH.staging_template(metrics_long(spark, d))
+    return WH.split_targets(staged, {"PARAMETER": PARAMETER_TARGET})["PARAMETER"]
+
+
 # -- DOM-26/27: taxa abundance --------------------------------------------------------
 def taxa_abundance(spark, d):
     raw = lab_rows(spark, d).withColumn("MSDH_GENSPECIES", X.normalise_taxon("MSDH_GENSPECIES"))
@@ -376,6 +385,7 @@ WHERE EXISTS (SELECT 1 FROM words w WHERE w.word <> '' AND (
 
 
 QUERIES = {
+    "parameter_table": parameter_table,
     "sample_event_table": sample_event_table,
     "species_history_table": species_history_table,
     "published_metrics": published_metrics,
@@ -387,6 +397,9 @@ QUERIES = {
 }
 
 SQL = {
+    "parameter_table": ("SELECT DISTINCT parameter_name AS PARAMETER_NAME, 'not_applicable' AS CASRN, "
+                        "'not_applicable' AS FRACTION, 'not_applicable' AS MATRIX, "
+                        "'not_applicable' AS METHOD_SPECIATION, unit AS UNIT FROM (" + _metrics_long_sql() + ")"),
     "sample_event_table": SAMPLE_EVENT_TABLE_SQL,
     "species_history_table": SPECIES_HISTORY_TABLE_SQL,
     "published_metrics": PUBLISHED_METRICS_SQL,

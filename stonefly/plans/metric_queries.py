@@ -174,11 +174,11 @@ FROM p JOIN m USING (taxon_group) GROUP BY p.nation"""
 
 
 # -- MET-10..13 + DOM-20: per (customer, status) sample scores and profile --
-BAP_METRICS = ["richness", "ept_richness", "hilsenhoff_biotic_index", "percent_model_affinity",
+PROFILE_METRIC_NAMES = ["richness", "ept_richness", "hilsenhoff_biotic_index", "percent_model_affinity",
                "nutrient_biotic_index_phosphorus"]
 
 
-def bap_scores(spark, d):
+def sample_scores(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     rows = (li.join(orders, li.l_orderkey == orders.o_orderkey)
@@ -197,19 +197,19 @@ def bap_scores(spark, d):
                                tolerances={"hilsenhoff_biotic_index": "tolerance",
                                            "nutrient_biotic_index_phosphorus": "nbi_p_tolerance"},
                                group_col="taxon_group", model=model, dominance_k=None)
-    scored = M.method_scores(wide, "method", BAP_METRICS)
+    scored = M.method_scores(wide, "method", PROFILE_METRIC_NAMES)
     return scored.select(
         *keys, "total_individuals", "richness", "ept_richness",
         *[round_half_up(c, R6).alias(c) for c in ["hilsenhoff_biotic_index", "percent_model_affinity",
                                             "nutrient_biotic_index_phosphorus"]],
-        *[round_half_up(f"score_{m}", R6).alias(f"score_{m}") for m in BAP_METRICS],
+        *[round_half_up(f"score_{m}", R6).alias(f"score_{m}") for m in PROFILE_METRIC_NAMES],
         "score_bioassessment_profile",
         M.impact_category("score_bioassessment_profile").alias("impact_category"))
 
 
-def _bap_scores_sql():
-    scores = ",\n       ".join(f"{S.method_score_sql('method', m)} AS score_{m}" for m in BAP_METRICS)
-    rounded = ",\n       ".join(f"{round_half_up_sql('score_' + m, R6)} AS score_{m}" for m in BAP_METRICS)
+def _sample_scores_sql():
+    scores = ",\n       ".join(f"{S.method_score_sql('method', m)} AS score_{m}" for m in PROFILE_METRIC_NAMES)
+    rounded = ",\n       ".join(f"{round_half_up_sql('score_' + m, R6)} AS score_{m}" for m in PROFILE_METRIC_NAMES)
     return f"""
 WITH rows AS (
   SELECT o.o_custkey AS sample_id, o.o_orderstatus,
@@ -239,7 +239,7 @@ wide AS (SELECT base.*, COALESCE(pma.percent_model_affinity, 0.0) AS percent_mod
 sc AS (SELECT wide.*,
        {scores}
        FROM wide),
-pr AS (SELECT sc.*, {S.profile_sql('method', BAP_METRICS)} AS score_bioassessment_profile FROM sc)
+pr AS (SELECT sc.*, {S.profile_sql('method', PROFILE_METRIC_NAMES)} AS score_bioassessment_profile FROM sc)
 SELECT sample_id, o_orderstatus, method, total_individuals, richness, ept_richness,
        {round_half_up_sql("hilsenhoff_biotic_index", R6)} AS hilsenhoff_biotic_index,
        {round_half_up_sql("percent_model_affinity", R6)} AS percent_model_affinity,
@@ -256,7 +256,7 @@ QUERIES = {
     "top3_taxa": top3_taxa,
     "shannon_by_nation": shannon_by_nation,
     "model_affinity_by_nation": model_affinity_by_nation,
-    "bap_scores": bap_scores,
+    "sample_scores": sample_scores,
 }
 
 SQL = {
@@ -265,5 +265,5 @@ SQL = {
     "top3_taxa": TOP3_TAXA_SQL,
     "shannon_by_nation": SHANNON_BY_NATION_SQL,
     "model_affinity_by_nation": MODEL_AFFINITY_BY_NATION_SQL,
-    "bap_scores": _bap_scores_sql(),
+    "sample_scores": _sample_scores_sql(),
 }

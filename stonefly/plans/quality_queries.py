@@ -162,7 +162,41 @@ def _lineitem_profile_sql():
     return (f"SELECT * FROM ({body}) AS t(column_name, column_type, n, n_missing, n_unique, mean, sd, min, max)")
 
 
+# -- VAL-20 / VAL-07: score range check on the sample scores ---------------------
+SCORE_COLS = ["score_richness", "score_ept_richness", "score_hilsenhoff_biotic_index",
+              "score_percent_model_affinity", "score_nutrient_biotic_index_phosphorus", "score_bioassessment_profile"]
+
+
+def score_range_report(spark, d):
+    from stonefly.plans.metric_queries import sample_scores
+    rules = [Rule("col_vals_between", (c,), (0, 10), na_pass=True) for c in SCORE_COLS]
+    rules.append(Rule("col_vals_between", ("score_bioassessment_profile",), (2.5, 7.5)))
+    rep = Q.interrogate(sample_scores(spark, d), rules)
+    return rep.select("step", "check_type", "columns", "values", "units", "n_pass",
+                      r_hu("f_pass", 6).alias("f_pass"), F.col("warn").cast("int").alias("warn"))
+
+
+def _score_range_report_sql():
+    from stonefly.plans.metric_queries import SQL as MSQL
+    parts = [f"SELECT {i} AS step, 'col_vals_between' AS check_type, '{c}' AS columns, '0, 10' AS \"values\", "
+             f"COUNT(*) AS units, COUNT(*) FILTER (WHERE COALESCE({c} BETWEEN 0 AND 10, {c} IS NULL)) AS n_pass FROM s"
+             for i, c in enumerate(SCORE_COLS, start=1)]
+    parts.append(f"SELECT {len(SCORE_COLS) + 1}, 'col_vals_between', 'score_bioassessment_profile', '2.5, 7.5', "
+                 "COUNT(*), COUNT(*) FILTER (WHERE COALESCE(score_bioassessment_profile BETWEEN 2.5 AND 7.5, FALSE)) "
+                 "FROM s")
+    body = "\nUNION ALL ".join(parts)
+    return f"""
+WITH s AS ({MSQL['sample_scores']}),
+r AS ({body})
+SELECT CAST(step AS INTEGER) AS step, check_type, columns, "values", CAST(units AS BIGINT) AS units,
+       CAST(n_pass AS BIGINT) AS n_pass,
+       {r_sql('CASE WHEN units > 0 THEN CAST(n_pass AS DOUBLE) / units END', 6)} AS f_pass,
+       CAST(units - n_pass >= 1 AS INTEGER) AS warn
+FROM r"""
+
+
 QUERIES = {
+    "score_range_report": score_range_report,
     "orders_rule_report": orders_rule_report,
     "failing_order_rows": failing_order_rows,
     "lineitem_fk_flags": lineitem_fk_flags,
@@ -170,6 +204,7 @@ QUERIES = {
 }
 
 SQL = {
+    "score_range_report": _score_range_report_sql(),
     "orders_rule_report": _orders_rule_report_sql(),
     "failing_order_rows": _failing_order_rows_sql(),
     "lineitem_fk_flags": LINEITEM_FK_FLAGS_SQL,

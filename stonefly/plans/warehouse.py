@@ -88,6 +88,11 @@ def metrics_long(wide: DataFrame, id_cols: Sequence[str] = LONG_IDS,
     return add_constants(long, scoring.LONG_METRIC_CONSTANTS)
 
 
+def split_targets(df: DataFrame, targets) -> dict:
+    """RS-03: one staged table -> target tables (distinct target columns)."""
+    return R.split_targets(df, targets)
+
+
 def staging_template(long: DataFrame) -> DataFrame:
     """Add the RESULT and SAMPLE template columns (DOM-23), names upper-cased."""
     consts = {n: v for n, v, _ in RESULT_TEMPLATE + SAMPLE_TEMPLATE}

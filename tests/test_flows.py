@@ -129,3 +129,53 @@ def test_site_check_and_species_check(spark, raw):
     new, double = LAB.species_check(prep, master)
     assert {r.MACRO_GENSPECIES for r in new.collect()} == {"hydropsyche_betteni"}
     assert double.count() == 0
+
+
+def test_key_corrections_and_rmn_override(spark):
+    from stonefly.operators.lookup import apply_key_corrections
+    df = spark.createDataFrame([("s1", "20230101", "s1_20230101T1000", 1), ("s2", "20230102", "e2", 2)],
+                               "site string, date string, event_id string, REPLICATE int")
+    fixes = spark.createDataFrame([("s1", "20230101", "s1_20230101T0900")], "site string, date string, event_id string")
+    got = sorted(tuple(r) for r in apply_key_corrections(df, ["site", "date"], fixes, ["event_id"]).collect())
+    assert got == [("s1", "20230101", "s1_20230101T0900", 1), ("s2", "20230102", "e2", 2)]
+    t = spark.createDataFrame([("s1", 2, "kick_standard"), ("s1", 1, "kick_standard"), ("s2", 2, "kick_standard")],
+                              "SITE_CODE string, REPLICATE int, SAMPLE_METHOD string")
+    rmn = spark.createDataFrame([("s1",)], "site string")
+    got = sorted(tuple(r) for r in WH.rmn_override(t, rmn).collect())
+    assert got == [("s1", 1, "kick_standard"), ("s1", 2, "rmn_kick"), ("s2", 2, "kick_standard")]
+
+
+def test_prepare_in_house(spark):
+    raw = spark.createDataFrame([("13-PATS", "0.5", "07/05/2018", 1, 1, "Baetis sp.", 4)],
+                                "LOCATION string, STATION string, DATE string, COLLECT int, REPLICATE int, "
+                                "GENSPECIES string, INDIV int")
+    r = LAB.prepare_in_house(raw).first()
+    assert (r.BASIN, r.LOCATION, r.RIVMILE, r.site_id, r.Replicate) == ("13", "PATS", 0.5, "13-PATS-0.5", 1)
+
+
+def test_harmonise_groups_and_family_names(spark):
+    from stonefly.sources.literal import literal_table
+    raw = spark.createDataFrame([("04-LHONYE-0.0", "06/04/2024", 1, "Kick: RMN 300 Count", "P", "physidae"),
+                                 ("04-LHONYE-0.0", "06/05/2024", 1, "Lake: Littoral", "RMN", "baetis"),
+                                 ("x", "06/05/2024", 3, "Kick: Headwater Stream", "P", "gammaridae")],
+                                "MSSIH_EVENT_SMAS_HISTORY_ID string, MSSIH_EVENT_SMAS_SAMPLE_DATE string, "
+                                "MSSIH_REPLICATE int, MSSIH_BIOSAMPLE_COLLECT_METHOD string, "
+                                "Client_Project_Name string, MSDH_GENSPECIES string")
+    rules = literal_table(spark, [("04-LHONYE-0.0", "06/04/2024", "A"), ("04-LHONYE-0.0", "06/05/2024", "B")],
+                          [("s", "string"), ("d", "string"), ("g", "string")])
+    out = LAB.lake_groups(LAB.harmonise_methods(raw), rules).withColumn(
+        "MSDH_GENSPECIES", LAB.undetermined_family("MSDH_GENSPECIES"))
+    got = sorted((r.MSSIH_EVENT_SMAS_SAMPLE_DATE, r.MSSIH_REPLICATE, r.MSSIH_BIOSAMPLE_COLLECT_METHOD, r.group,
+                  r.MSDH_GENSPECIES) for r in out.collect())
+    assert got == [("06/04/2024", 2, "Kick: Standard", "A", "undetermined_physidae"),
+                   ("06/05/2024", 1, "Littoral", "B", "baetis"),
+                   ("06/05/2024", 3, "Kick: Standard", "", "undetermined_gammaridae")]
+    rmn = LAB.harmonise_methods(raw, project_rmn=True).filter("Client_Project_Name = 'RMN'").first()
+    assert rmn.MSSIH_BIOSAMPLE_COLLECT_METHOD == "Kick: Standard"
+
+
+def test_parameter_table_validates(spark):
+    from stonefly.operators import quality as Q
+    from stonefly.plans.domain_queries import parameter_table
+    rep = Q.validate(parameter_table(spark, "/root/testdata/sf0.001"), "PARAMETER").collect()
+    assert all(r.n_pass == r.units for r in rep), [r for r in rep if r.n_pass != r.units]
