@@ -16,14 +16,16 @@ from pyspark.sql import functions as F
 from stonefly.functions.nulls import null_safe_on
 
 # Upper bound for an explicit broadcast hint.  The estimate comes from the
-# optimized logical plan, so filters and projections are already applied.
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# optimized logical plan (filters and projections applied) and is based on
+# compressed file sizes, so the in-memory table can be a few times larger;
+# 32 MB keeps broadcasts well inside executor memory.
+BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan, or None when unavailable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - estimate is advisory only
         return None
 
