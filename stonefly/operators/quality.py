@@ -131,7 +131,10 @@ def interrogate(df: DataFrame, rules: Sequence[Rule], warn_at: int = 1) -> DataF
             else:
                 row_rules.append((i, r))
         elif r.check in KEY_CHECKS:
-            key_rules.append((i, r))
+            if any(c not in cols for c in r.columns):
+                const_rows.append((i, r.check, label_cols, "", 1, 0))
+            else:
+                key_rules.append((i, r))
         else:
             raise ValueError(f"unknown check {r.check}")
     parts = []

@@ -295,6 +295,50 @@ def parameter_table(spark, d):
     return WH.split_targets(staged, {"PARAMETER": PARAMETER_TARGET})["PARAMETER"]
 
 
+# -- VAL-13/14 on a staged target: RESULT table report ---------------------------------
+def result_table_report(spark, d):
+    from stonefly.functions.numeric import round_half_up
+    from stonefly.operators import quality as Q
+    from stonefly.session import cut_lineage
+    target = WH.staging_tables(metrics_long(spark, d), ("RESULT",))["RESULT"]
+    # The report reads the target three times (row rules, two key rules):
+    # materialise it once instead of recomputing the metric flow each time.
+    rep = Q.validate(cut_lineage(target), "RESULT")
+    return rep.select("step", "check_type", "columns", "values", "units", "n_pass",
+                      round_half_up("f_pass", 6).alias("f_pass"), F.col("warn").cast("int").alias("warn"))
+
+
+def _result_target_sql():
+    from stonefly.config import rules as RULES
+    from stonefly.config.templates import RESULT_TEMPLATE, SAMPLE_TEMPLATE
+    long_types = {"EVENT_ID": "string", "SITE_ID": "string", "DATE": "string", "COLLECTION_METHOD": "string",
+                  "REPLICATE": "string", "PARAMETER_NAME": "string", "RESULT_VALUE": "double", "UNIT": "string",
+                  "PARAMETER_DESCRIPTION": "string", "RESULT_CATEGORY": "string", "RESULT_QUALIFIER": "string",
+                  "RESULT_QUALIFIER_DESCRIPTION": "string", "SAMPLE_METHOD": "string"}
+    long_types.update({k.upper(): "string" for k in scoring.LONG_METRIC_CONSTANTS})
+    staged = dict(long_types)
+    tmpl = {n: (v, t) for n, v, t in RESULT_TEMPLATE + SAMPLE_TEMPLATE}
+    staged.update({n: t for n, (v, t) in tmpl.items()})
+    staged = {WH.STAGING_RENAMES.get(k, k): v for k, v in staged.items()}
+    cols = [c for c in WH.target_columns("RESULT") if c in staged]
+    schema = {c: staged[c] for c in cols}
+    sql_type = {"string": "VARCHAR", "double": "DOUBLE", "timestamp": "TIMESTAMP"}
+    src_from = {WH.STAGING_RENAMES.get(k.upper(), k.upper()): k for k in
+                ["event_id", "site_id", "date", "collection_method", "replicate", "parameter_name", "result_value",
+                 "unit", "parameter_description", "result_category", "result_qualifier",
+                 "result_qualifier_description", "sample_method", *scoring.LONG_METRIC_CONSTANTS]}
+    sel = []
+    for c in cols:
+        if c in src_from:
+            sel.append(f"{src_from[c]} AS {c}")
+        else:
+            v, t = tmpl[c]
+            lit = "NULL" if v is None else "'" + str(v) + "'"
+            sel.append(f"CAST({lit} AS {sql_type[t]}) AS {c}")
+    source = f"SELECT DISTINCT {', '.join(sel)} FROM ({_metrics_long_sql()})"
+    return S.interrogate_sql(RULES.RESULT.rules, source, schema)
+
+
 # -- DOM-26/27: taxa abundance --------------------------------------------------------
 def taxa_abundance(spark, d):
     raw = lab_rows(spark, d).withColumn("MSDH_GENSPECIES", X.normalise_taxon("MSDH_GENSPECIES"))
@@ -385,6 +429,7 @@ WHERE EXISTS (SELECT 1 FROM words w WHERE w.word <> '' AND (
 
 
 QUERIES = {
+    "result_table_report": result_table_report,
     "parameter_table": parameter_table,
     "sample_event_table": sample_event_table,
     "species_history_table": species_history_table,
@@ -397,6 +442,7 @@ QUERIES = {
 }
 
 SQL = {
+    "result_table_report": _result_target_sql(),
     "parameter_table": ("SELECT DISTINCT parameter_name AS PARAMETER_NAME, 'not_applicable' AS CASRN, "
                         "'not_applicable' AS FRACTION, 'not_applicable' AS MATRIX, "
                         "'not_applicable' AS METHOD_SPECIATION, unit AS UNIT FROM (" + _metrics_long_sql() + ")"),

@@ -93,6 +93,32 @@ def split_targets(df: DataFrame, targets) -> dict:
     return R.split_targets(df, targets)
 
 
+STAGING_RENAMES = {"SAMPLING_LOCATION": "SAMPLE_LOCATION", "ORGANIZATION_NAME": "SAMPLE_ORGANIZATION"}
+
+
+def target_columns(table: str) -> list[str]:
+    """Declared columns of a warehouse target, in rule order."""
+    from stonefly.config import rules
+    rs = rules.RULE_SETS[table]
+    seen, out = set(), []
+    for r in rs.rules:
+        if r.check == "col_exists":
+            for c in r.columns:
+                if c not in seen:
+                    seen.add(c)
+                    out.append(c)
+    return out
+
+
+def staging_tables(long: DataFrame, tables=("RESULT", "SAMPLE", "PARAMETER", "PARAMETER_NAME")) -> dict:
+    """Long metric rows -> warehouse targets (RS-03, DOM-23): template
+    columns added, names upper-cased and renamed, then per target its
+    declared columns that exist, distinct.  Missing declared columns are
+    left to the validation report (they are not invented)."""
+    staged = staging_template(long).withColumnsRenamed(STAGING_RENAMES)
+    return R.split_targets(staged, {t: target_columns(t) for t in tables})
+
+
 def staging_template(long: DataFrame) -> DataFrame:
     """Add the RESULT and SAMPLE template columns (DOM-23), names upper-cased."""
     consts = {n: v for n, v, _ in RESULT_TEMPLATE + SAMPLE_TEMPLATE}

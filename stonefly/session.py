@@ -48,3 +48,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def cut_lineage(df):
+    """Materialise ``df`` with a reliable checkpoint in the shared folder
+    (``spark.checkpoint.dir``): later passes read it instead of recomputing
+    the whole upstream plan, and a lost executor cannot lose it."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
