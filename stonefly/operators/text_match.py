@@ -20,7 +20,11 @@ from pyspark.sql import functions as F
 
 from stonefly.operators.joins import estimated_bytes
 
-SMALL_NAME_SET_BYTES = 8 * 1024 * 1024
+# The nested-loop path tests every (row, name) pair, so it is only taken for a
+# name set of a few thousand entries at most; anything larger uses the exact
+# n-gram equi-join, whose work grows with matching candidates, not with
+# rows x names.
+SMALL_NAME_SET_BYTES = 64 * 1024
 
 
 def rows_containing_any(df: DataFrame, cols: Sequence[str], names: DataFrame, name_col: str,

@@ -54,7 +54,7 @@ def lake_groups(raw: DataFrame, rules: DataFrame, site_col: str = "MSSIH_EVENT_S
     no rule matches (DOM-10).  The rule table is configuration (broadcast)."""
     r = rules.select(F.col(rules.columns[0]).alias("_s"), F.col(rules.columns[1]).alias("_d"),
                      F.col(rules.columns[2]).alias("_g")).dropDuplicates(["_s", "_d"])
-    j = raw.join(F.broadcast(r), (raw[site_col] == F.col("_s")) & (raw[date_col] == F.col("_d")), "left")
+    j = raw.join(broadcast_if_small(r), (raw[site_col] == F.col("_s")) & (raw[date_col] == F.col("_d")), "left")
     return j.withColumn(out, F.coalesce(F.col("_g"), F.lit(""))).drop("_s", "_d", "_g")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stonefly.config import corrections as CFG
@@ -16,7 +16,7 @@ from stonefly.operators import lookup as L
 from stonefly.operators import metrics as M
 from stonefly.operators import reshape as R
 from stonefly.operators.columns import add_constants
-from stonefly.operators.joins import broadcast_if_small
+from stonefly.operators.joins import broadcast_if_small, join_null_safe
 
 LONG_IDS = ("event_id", "site_id", "date", "collection_method", "replicate", "sample_group")
 
@@ -62,12 +62,13 @@ def metrics_long(wide: DataFrame, id_cols: Sequence[str] = LONG_IDS,
     values = list(present.values()) + ([total_col] if total_col in w.columns else [])
     ids = [c for c in id_cols if c in w.columns]
     # Qualifier per event: any sample of the event below its method's
-    # minimum.  The wide table has one row per sample and an event holds a
-    # handful of samples (methods x replicates), so a window over the event
-    # is bounded and avoids a second pass over the metric plan.
+    # minimum.  A partial aggregate per event joined back (AQE splits a hot
+    # event in the join; the small flag table is normally broadcast), so no
+    # event's samples are ever gathered in one task.
     if total_col in w.columns:
         low = M.below_count_minimum(method_col, total_col).cast("int")
-        w = w.withColumn("_low", F.max(low).over(Window.partitionBy("event_id")))
+        flags = w.groupBy("event_id").agg(F.max(low).alias("_low"))
+        w = join_null_safe(w, broadcast_if_small(flags), ["event_id"], "left")
     else:
         w = w.withColumn("_low", F.lit(0))
     long = R.wide_to_long(w, [*ids, "_low"], values, "parameter_name", "result_value")
