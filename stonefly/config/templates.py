@@ -15,14 +15,14 @@ RESULT_TEMPLATE = [
     ("DETECTION_LIMIT_UNIT", "not_applicable", "string"),
     ("FINAL_VOLUME_UNIT", "not_applicable", "string"),
     ("LAB_ANALYTICAL_METHOD", "not_applicable", "string"),
-    ("ANALYSIS_DATETIME", None, "timestamp"),
+    ("ANALYSIS_DATETIME", None, "timestamp_ntz"),
     ("DILUTION_FACTOR", None, "double"),
     ("FINAL_VOLUME", None, "double"),
     ("LAB_QUALIFIER", "", "string"),
     ("LAB_SAMPLE_ID", "not_applicable", "string"),
     ("LAB_VALIDATION_LEVEL", "", "string"),
     ("METHOD_DETECTION_LIMIT", None, "double"),
-    ("PREP_DATETIME", None, "timestamp"),
+    ("PREP_DATETIME", None, "timestamp_ntz"),
     ("PREP_METHOD", "not_applicable", "string"),
     ("QUALIFIER_SOURCE", "not_applicable", "string"),
     ("QUANTITATION_LIMIT", None, "double"),

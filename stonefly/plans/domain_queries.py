@@ -322,7 +322,7 @@ def _result_target_sql():
     staged = {WH.STAGING_RENAMES.get(k, k): v for k, v in staged.items()}
     cols = [c for c in WH.target_columns("RESULT") if c in staged]
     schema = {c: staged[c] for c in cols}
-    sql_type = {"string": "VARCHAR", "double": "DOUBLE", "timestamp": "TIMESTAMP"}
+    sql_type = {"string": "VARCHAR", "double": "DOUBLE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
     src_from = {WH.STAGING_RENAMES.get(k.upper(), k.upper()): k for k in
                 ["event_id", "site_id", "date", "collection_method", "replicate", "parameter_name", "result_value",
                  "unit", "parameter_description", "result_category", "result_qualifier",

@@ -104,7 +104,8 @@ def interrogate_sql(rules, source_sql: str, schema: dict) -> str:
     from pyspark.sql import types as T
 
     type_objs = {"string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType(), "int": T.IntegerType(),
-                 "timestamp": T.TimestampType(), "date": T.DateType(), "boolean": T.BooleanType()}
+                 "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(), "date": T.DateType(),
+                 "boolean": T.BooleanType()}
     rows = []
     for i, r in enumerate(rules, start=1):
         cols = ", ".join(r.columns)

@@ -164,4 +164,4 @@ def taxa_abundance(raw: DataFrame, event_rules: Sequence = (), taxon_rules: Sequ
     if taxon_rules:
         t = L.correct_distinct(t, "TAXON_ID", taxon_rules)
     t = add_constants(t, scoring.TAXA_ABUNDANCE_CONSTANTS)
-    return t.withColumn("ANALYSIS_DATETIME", F.lit(None).cast("timestamp"))
+    return t.withColumn("ANALYSIS_DATETIME", F.lit(None).cast("timestamp_ntz"))
