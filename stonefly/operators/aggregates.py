@@ -38,18 +38,39 @@ def group_totals(df: DataFrame, keys: Sequence[str], value: str, how: str = "sum
     return df.groupBy(*keys).agg(e.alias(alias))
 
 
+def _group_limit_enabled(df: DataFrame, k: int) -> bool:
+    """Spark 3.5+ plans ``row_number() <= k`` with a partial
+    ``WindowGroupLimit`` before the shuffle when k is within this threshold."""
+    try:
+        return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "-1")) >= k
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def top_k_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column], k: int,
                     salt_cols: Sequence[str] | None = None, buckets: int = DEFAULT_SALT_BUCKETS,
-                    rank_col: str = "rank") -> DataFrame:
+                    rank_col: str = "rank", strategy: str = "auto") -> DataFrame:
     """Exact top-k rows per group, skew-safe.
 
-    Round 1 ranks within (group, salt) where the salt hashes ``salt_cols``
-    (the row's own identity), so a hot group is spread over ``buckets``
-    tasks and each keeps at most k rows.  Round 2 ranks the <= k*buckets
-    survivors per group.  ``order_cols`` must be a total order (add a tie
-    breaker) for the result to be deterministic.
+    ``strategy="limit"`` (the default when Spark's window group limit is on
+    for this k): one ``row_number() <= k`` window.  Spark then runs a
+    partial group limit in every map task before the shuffle, so a hot group
+    sends at most k rows per map partition to its final task.
+
+    ``strategy="salted"``: two explicit rounds.  Round 1 ranks within (group,
+    salt), the salt hashing ``salt_cols`` (the row identity), so a hot group
+    is spread over ``buckets`` tasks that each keep k rows; round 2 ranks
+    the <= k*buckets survivors.
+
+    ``order_cols`` must be a total order (add a tie breaker) for the result
+    to be deterministic.
     """
     order = _cols(order_cols)
+    if strategy == "auto":
+        strategy = "limit" if _group_limit_enabled(df, k) else "salted"
+    if strategy == "limit":
+        w = Window.partitionBy(*group_cols).orderBy(*order)
+        return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
     salt_src = _cols(salt_cols) if salt_cols else [F.struct(*[F.col(c) for c in df.columns])]
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_src), F.lit(buckets)))
     w1 = Window.partitionBy(*group_cols, "_salt").orderBy(*order)

@@ -218,7 +218,7 @@ SCORED_METRICS = ["richness", "ept_richness", "hilsenhoff_biotic_index", "percen
 
 
 def score_rows(rows: DataFrame, taxa: DataFrame, model: DataFrame | None, sample_cols=("sid", "method"),
-               carry: Mapping | None = None) -> DataFrame:
+               carry: Mapping | None = None, materialize: bool = False) -> DataFrame:
     """Metrics and method scores from (sample..., taxon, n) rows.
 
     ``taxa`` (master): ``taxon``, ``is_ept``, ``is_nco``, ``tolerance``,
@@ -226,11 +226,20 @@ def score_rows(rows: DataFrame, taxa: DataFrame, model: DataFrame | None, sample
     percent; None derives each method's overall group mix from the rows.
     ``carry``: name -> aggregate over the (sample, taxon) rows, kept per
     sample.  Methods without score curves keep their rows, scores null.
+
+    ``materialize``: the (sample, taxon) table feeds four branches (base
+    metrics, top-k, group mix, model) that each prune different columns, so
+    Spark cannot share one exchange between them; it is written once with a
+    reliable checkpoint in ``spark.checkpoint.dir`` instead of recomputing
+    the upstream joins per branch.
     """
     keys = list(sample_cols)
     carry = dict(carry or {})
     counts = M.sum_duplicate_taxa(rows, keys, "taxon", "n", carry={k: F.max(k) for k in carry})
     j = counts.join(broadcast_if_small(taxa), "taxon", "left")
+    if materialize:
+        from stonefly.session import cut_lineage
+        j = cut_lineage(j)
     if model is None:
         from pyspark.sql import Window
         # Group mix of each method over taxa known to the master.  The null

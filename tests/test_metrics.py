@@ -74,11 +74,13 @@ def test_weighted_index_skips_taxa_without_tolerance(spark):
     assert r["hbi"] == pytest.approx((10 * 2 + 10 * 6) / 20)
 
 
-def test_top_k_skewed_group_matches_brute_force(spark):
+@pytest.mark.parametrize("strategy", ["auto", "limit", "salted"])
+def test_top_k_skewed_group_matches_brute_force(spark, strategy):
     rows = _fixture(hot=True)
     df = spark.createDataFrame(rows, "s string, t string, n double")
     counts = M.sum_duplicate_taxa(df, ["s"], "t", "n")
-    got = top_k_per_group(counts, ["s"], [F.col("n").desc(), F.col("t")], 3, salt_cols=["t"], buckets=4)
+    got = top_k_per_group(counts, ["s"], [F.col("n").desc(), F.col("t")], 3, salt_cols=["t"], buckets=4,
+                          strategy=strategy)
     got = sorted((r["s"], r["rank"], r["t"]) for r in got.collect())
     by = defaultdict(lambda: defaultdict(float))
     for s, t, n in rows:
