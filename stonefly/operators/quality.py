@@ -74,28 +74,45 @@ def _label(values) -> str:
     return ", ".join(str(v) for v in values)
 
 
-def _row_pass(rule: Rule) -> Column:
-    c = F.col(rule.columns[0]) if rule.columns else None
+def _q(v) -> str:
+    """Spark SQL literal."""
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    return repr(v)
+
+
+def _ident(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def _row_pass_sql(rule: Rule) -> str:
+    """A row rule as one Spark SQL predicate, TRUE for passing rows (null
+    counts as failing unless ``na_pass``)."""
+    c = _ident(rule.columns[0]) if rule.columns else None
+    if rule.check == "col_vals_not_null":
+        return f"{c} IS NOT NULL"
+    if rule.check == "col_vals_null":
+        return f"{c} IS NULL"
     if rule.check == "col_vals_expr":
-        p = F.expr(rule.expr)
-    elif rule.check == "col_vals_not_null":
-        return c.isNotNull()
-    elif rule.check == "col_vals_null":
-        return c.isNull()
+        p = rule.expr
     elif rule.check == "col_vals_in_set":
-        p = c.isin(list(rule.values))
+        p = f"{c} IN ({', '.join(_q(v) for v in rule.values)})"
     elif rule.check == "col_vals_not_in_set":
-        p = ~c.isin(list(rule.values))
+        p = f"NOT ({c} IN ({', '.join(_q(v) for v in rule.values)}))"
     elif rule.check == "col_vals_between":
-        lo, hi = rule.values
-        p = c.between(F.lit(lo), F.lit(hi))
+        p = f"{c} BETWEEN {_q(rule.values[0])} AND {_q(rule.values[1])}"
     elif rule.check == "col_vals_regex":
-        p = c.rlike(rule.values[0])
+        p = f"{c} RLIKE {_q(rule.values[0])}"
     else:
         raise ValueError(rule.check)
-    if rule.na_pass and c is not None:
-        return F.coalesce(p, c.isNull())
-    return F.coalesce(p, F.lit(False))
+    fallback = f"{c} IS NULL" if (rule.na_pass and c is not None) else "false"
+    return f"coalesce(({p}), {fallback})"
+
+
+def _row_pass(rule: Rule) -> Column:
+    return F.expr(_row_pass_sql(rule))
 
 
 def _schema_result(df: DataFrame, rule: Rule) -> int:
@@ -141,16 +158,17 @@ def interrogate(df: DataFrame, rules: Sequence[Rule], warn_at: int = 1) -> DataF
     if const_rows:
         parts.append(spark.createDataFrame(const_rows, REPORT_SCHEMA))
     if row_rules:
-        aggs = [F.count(F.lit(1)).alias("_units")]
-        aggs += [F.count_if(_row_pass(r)).alias(f"_p{i}") for i, r in row_rules]
-        one = df.agg(*aggs)
-        stack = F.explode(F.array(*[
-            F.struct(F.lit(i).alias("step"), F.lit(r.check).alias("check_type"),
-                     F.lit(", ".join(r.columns)).alias("columns"),
-                     F.lit(_label(r.values) if r.values else (r.expr or "")).alias("values"),
-                     F.col("_units").alias("units"), F.col(f"_p{i}").alias("n_pass"))
-            for i, r in row_rules]))
-        parts.append(one.select(stack.alias("s")).select("s.*"))
+        # One aggregate pass for every row rule, written as SQL text so a
+        # rule set of a hundred steps costs one plan node, not hundreds of
+        # separately built expressions.
+        aggs = ["count(1) AS _units"] + [f"count_if({_row_pass_sql(r)}) AS _p{i}" for i, r in row_rules]
+        one = df.agg(*[F.expr(a) for a in aggs])
+        triples = ", ".join(
+            f"{i}, {_q(r.check)}, {_q(', '.join(r.columns))}, "
+            f"{_q(_label(r.values) if r.values else (r.expr or ''))}, _units, _p{i}"
+            for i, r in row_rules)
+        parts.append(one.selectExpr(
+            f"stack({len(row_rules)}, {triples}) AS (step, check_type, columns, `values`, units, n_pass)"))
     for i, r in key_rules:
         keys = list(r.columns) or df.columns
         g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))

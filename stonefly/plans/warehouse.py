@@ -112,12 +112,26 @@ def target_columns(table: str) -> list[str]:
 
 
 def staging_tables(long: DataFrame, tables=("RESULT", "SAMPLE", "PARAMETER", "PARAMETER_NAME")) -> dict:
-    """Long metric rows -> warehouse targets (RS-03, DOM-23): template
-    columns added, names upper-cased and renamed, then per target its
+    """Long metric rows -> warehouse targets (RS-03, DOM-23): names
+    upper-cased and renamed, template columns added, then per target its
     declared columns that exist, distinct.  Missing declared columns are
-    left to the validation report (they are not invented)."""
-    staged = staging_template(long).withColumnsRenamed(STAGING_RENAMES)
-    return R.split_targets(staged, {t: target_columns(t) for t in tables})
+    left to the validation report (they are not invented).
+
+    Template columns are constants, so they cannot change which rows are
+    distinct: each target is de-duplicated on its variable columns only and
+    the constants are added afterwards, keeping them out of the shuffle.
+    """
+    base = long.toDF(*[c.upper() for c in long.columns]).withColumnsRenamed(STAGING_RENAMES)
+    consts = {n: (v, t) for n, v, t in RESULT_TEMPLATE + SAMPLE_TEMPLATE}
+    out = {}
+    for t in tables:
+        cols = target_columns(t)
+        variable = [c for c in cols if c in base.columns and c not in consts]
+        d = base.select(*variable).distinct()
+        present = [c for c in cols if c in variable or c in consts]
+        out[t] = d.select(*[F.col(c) if c in variable else F.lit(consts[c][0]).cast(consts[c][1]).alias(c)
+                            for c in present])
+    return out
 
 
 def staging_template(long: DataFrame) -> DataFrame:

@@ -100,3 +100,11 @@ def test_profile_exact_and_approx(spark):
     assert ex["s"].n_unique == 2 and ex["s"].mean is None
     ap = {r.column_name: r for r in Q.profile(df).collect()}
     assert ap["x"].p50 == 2.0
+
+
+def test_rule_values_with_quotes(spark):
+    df = spark.createDataFrame([("it's",), ("a\\b",), ("x",)], "v string")
+    rep = Q.interrogate(df, [Rule("col_vals_in_set", ("v",), ("it's", "a\\b")),
+                             Rule("col_vals_regex", ("v",), ("^it'",))]).orderBy("step").collect()
+    assert [r.n_pass for r in rep] == [2, 1]
+    assert rep[0]["values"] == "it's, a\\b"
