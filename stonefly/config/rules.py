@@ -306,6 +306,46 @@ QUALITY_CONTROL = RuleSet("QUALITY_CONTROL", [
 ])
 
 
+# --- fixed values: base-column presence sets (VAL-15) ---------------------------------
+# Column-existence checks only.  These lists use EVENT_CODE where the full
+# rule sets use EVENT_ID; both are kept as written.
+BASE_COLUMNS = {
+    "RESULT": ["ANALYSIS_DATETIME", "DETECT_FLAG", "DETECTION_LIMIT_UNIT", "DILUTION_FACTOR", "FINAL_VOLUME",
+               "FINAL_VOLUME_UNIT", "LAB_ANALYTICAL_METHOD", "LAB_QUALIFIER", "LAB_SAMPLE_ID", "LAB_VALIDATION_LEVEL",
+               "METHOD_DETECTION_LIMIT", "PREP_DATETIME", "PREP_METHOD", "QUALIFIER_SOURCE", "QUANTITATION_LIMIT",
+               "REPORTABLE_RESULT", "REPORTING_DETECTION_LIMIT", "RESULT_CATEGORY", "RESULT_COMMENT",
+               "RESULT_QUALIFIER", "RESULT_QUALIFIER_NOTE", "RESULT_TYPE_CODE", "RESULT_VALUE", "SUBSAMPLE_AMOUNT",
+               "SUBSAMPLE_AMOUNT_UNIT", "TEST_TYPE", "EVENT_CODE", "REPLICATE", "SAMPLE_CREW",
+               "SAMPLE_DELIVERY_GROUP", "SAMPLE_LAB", "SAMPLE_LOCATION", "SAMPLE_METHOD", "SAMPLE_METHOD_DESCRIPTION",
+               "SAMPLE_NAME", "SAMPLE_ORGANIZATION", "SAMPLE_SOURCE", "SAMPLE_TYPE", "SAMPLE_DEPTH_METERS",
+               "PARAMETER_NAME", "CASRN", "FRACTION", "MATRIX", "METHOD_SPECIATION", "UNIT"],
+    "PARAMETER": ["PARAMETER_NAME", "CASRN", "FRACTION", "MATRIX", "METHOD_SPECIATION", "UNIT"],
+    "SAMPLE": ["EVENT_CODE", "REPLICATE", "SAMPLE_CREW", "SAMPLE_DELIVERY_GROUP", "SAMPLE_LAB", "SAMPLE_LOCATION",
+               "SAMPLE_METHOD", "SAMPLE_METHOD_DESCRIPTION", "SAMPLE_METHOD_REFERENCE", "SAMPLE_NAME",
+               "SAMPLE_ORGANIZATION", "SAMPLE_SOURCE", "SAMPLE_TYPE", "SAMPLE_COMMENT", "SAMPLE_DEPTH_METERS",
+               "SAMPLE_LATITUDE", "SAMPLE_LONGITUDE"],
+    "PROJECT": ["PROJECT", "PROJECT_TYPE", "PROJECT_DESCRIPTION"],
+    "EVENT": ["EVENT_DATETIME", "EVENT_CODE", "PROJECT", "QAPP_ID", "SITE_CODE"],
+    "SITE": ["COUNTY", "ECOREGION_LEVEL_4", "HORIZONTAL_DATUM", "HORIZONTAL_METHOD", "HUC12", "LOCATION",
+             "LOCATION_TYPE", "MUNICIPALITY", "NUTRIENT_ECOREGION", "SITE_CODE", "SITE_DESCRIPTION", "SUBBASIN",
+             "WATERBODY_CLASS", "WATERBODY_CODE", "WATERSHED_ID_NUMBER", "WIPWL", "BASIN", "DEC_REGION", "LATITUDE",
+             "LONGITUDE"],
+}
+
+
+def base_column_rules(table: str) -> RuleSet:
+    """Column-presence-only rule set of a table (VAL-15).  Tables without a
+    separate list use the existence steps of their full rule set."""
+    key = table.upper()
+    if key in BASE_COLUMNS:
+        cols = BASE_COLUMNS[key]
+    elif key in RULE_SETS:
+        cols = [c for r in RULE_SETS[key].rules if r.check == "col_exists" for c in r.columns]
+    else:
+        raise ValueError(f"no base-column rules for table {table!r}")
+    return RuleSet(key, expand("col_exists", cols))
+
+
 def event_rules(run_time: str) -> RuleSet:
     """EVENT rules with the range's upper bound fixed to the run time."""
     rules = [r if r.check != "col_vals_between" else Rule(r.check, r.columns, (r.values[0], run_time))

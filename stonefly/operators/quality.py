@@ -244,8 +244,13 @@ def compare_schemas(spark: SparkSession, a: DataFrame, b: DataFrame, names: tupl
     return spark.createDataFrame(rows, f"column_name string, {names[0]} string, {names[1]} string")
 
 
-def validate(df: DataFrame, table_name: str, rule_sets: Mapping[str, RuleSet] | None = None) -> DataFrame:
-    """Dispatch by table name (VAL-14); unknown names are an error."""
+def validate(df: DataFrame, table_name: str, rule_sets: Mapping[str, RuleSet] | None = None,
+             base_only: bool = False) -> DataFrame:
+    """Dispatch by table name (VAL-14); unknown names are an error.
+    ``base_only`` runs the column-presence set only (VAL-15, no data job)."""
+    if base_only:
+        from stonefly.config.rules import base_column_rules
+        return interrogate(df, base_column_rules(table_name).rules)
     if rule_sets is None:
         from stonefly.config.rules import RULE_SETS
         rule_sets = RULE_SETS

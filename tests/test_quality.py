@@ -108,3 +108,13 @@ def test_rule_values_with_quotes(spark):
                              Rule("col_vals_regex", ("v",), ("^it'",))]).orderBy("step").collect()
     assert [r.n_pass for r in rep] == [2, 1]
     assert rep[0]["values"] == "it's, a\\b"
+
+
+def test_base_column_presence(spark, events):
+    rep = Q.validate(events, "EVENT", base_only=True).collect()
+    missing = {r.columns for r in rep if r.n_pass == 0}
+    assert missing == {"EVENT_CODE"} and len(rep) == 5
+    from stonefly.config.rules import base_column_rules
+    assert len(base_column_rules("WATERBODY").rules) == 8
+    with pytest.raises(ValueError):
+        Q.validate(events, "NOPE", base_only=True)
