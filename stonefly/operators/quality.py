@@ -212,20 +212,22 @@ def warning_text(report: DataFrame, table_name: str) -> str | None:
 def failing_rows(df: DataFrame, rules: Sequence[Rule], n: int = 50, order_by: Sequence[str] | None = None) -> DataFrame:
     """First ``n`` failing rows of every row rule (SL-01, ``get_first_n``).
 
-    Each rule is a filter + ordered limit (a top-n per partition, then a
-    merge of at most n rows per partition), so no rule ever gathers all its
-    failing rows in one task.
+    One scan: each row is tagged with the steps it fails, exploded, and
+    ``row_number() <= n`` is taken per step.  Spark runs that limit partially
+    in every map task before the shuffle, so a rule that fails on most rows
+    still sends at most n rows per map partition to its final task.
+    ``order_by`` must make the order total for a deterministic extract.
     """
+    from pyspark.sql import Window
     order = list(order_by or df.columns)
-    parts = []
-    for i, r in enumerate(rules, start=1):
-        if r.check not in ROW_CHECKS or any(c not in df.columns for c in r.columns):
-            continue
-        bad = df.filter(~_row_pass(r)).orderBy(*order).limit(n)
-        parts.append(bad.withColumn("step", F.lit(i)))
-    if not parts:
+    row_rules = [(i, r) for i, r in enumerate(rules, start=1)
+                 if r.check in ROW_CHECKS and all(c in df.columns for c in r.columns)]
+    if not row_rules:
         return df.limit(0).withColumn("step", F.lit(0))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    fails = F.array_compact(F.array(*[F.when(~_row_pass(r), F.lit(i)) for i, r in row_rules]))
+    tagged = df.select("*", F.explode(fails).alias("step"))
+    w = Window.partitionBy("step").orderBy(*[F.col(c) for c in order])
+    return tagged.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
