@@ -171,18 +171,47 @@ def interrogate(df: DataFrame, rules: Sequence[Rule], warn_at: int = 1) -> DataF
             f"stack({len(row_rules)}, {triples}) AS (step, check_type, columns, `values`, units, n_pass)"))
     for i, r in key_rules:
         keys = list(r.columns) or df.columns
-        g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        res = g.agg(F.sum("_n").alias("units"), F.sum(F.when(F.col("_n") == 1, F.col("_n"))).alias("_ok"))
+        res = key_counts(df, keys)
         parts.append(res.select(F.lit(i).alias("step"), F.lit(r.check).alias("check_type"),
                                 F.lit(", ".join(r.columns)).alias("columns"), F.lit("").alias("values"),
-                                F.coalesce(F.col("units"), F.lit(0)).cast("bigint").alias("units"),
-                                F.coalesce(F.col("_ok"), F.lit(0)).cast("bigint").alias("n_pass")))
+                                "units", "n_pass"))
     report = reduce(lambda a, b: a.unionByName(b), parts)
     report = report.withColumn("step", F.col("step").cast("int"))
     f = F.when(F.col("units") > 0, F.col("n_pass") / F.col("units"))
     return report.withColumns({"f_pass": f, "warn": (F.col("units") - F.col("n_pass")) >= warn_at})
 
 
+WIDE_KEY_COLUMNS = 4
+
+
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: ``units`` (rows) and ``n_pass`` (rows whose key occurs once).
+
+    Narrow keys: one partial aggregate on the key.  Wide keys (many or long
+    columns, e.g. "all rows distinct"): shuffling whole rows is avoided.
+    Rows are first grouped by a 96-bit hash of the key (16 bytes per row in
+    the shuffle); only rows whose hash repeats - the duplicates plus any
+    hash collisions - are grouped again on the real key columns, which
+    keeps the result exact.
+    """
+    cnt = F.count(F.lit(1))
+    if len(keys) <= WIDE_KEY_COLUMNS:
+        g = df.groupBy(*keys).agg(cnt.alias("_n"))
+        return g.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("units"),
+                     F.coalesce(F.sum(F.when(F.col("_n") == 1, F.col("_n"))), F.lit(0)).cast("bigint").alias("n_pass"))
+    kcols = [F.col(f"`{k}`") for k in keys]
+    hashed = df.select(*kcols, F.xxhash64(*kcols).alias("_h1"), F.hash(*kcols).alias("_h2"))
+    by_hash = hashed.groupBy("_h1", "_h2").agg(cnt.alias("_n"))
+    units = by_hash.select(F.col("_n").alias("_u"), F.lit(0).cast("bigint").alias("_bad"))
+    repeated = by_hash.filter(F.col("_n") > 1).select("_h1", "_h2")
+    cand = hashed.join(broadcast_if_small(repeated), ["_h1", "_h2"], "left_semi")
+    exact = cand.groupBy(*kcols).agg(cnt.alias("_n"))
+    bad = exact.filter(F.col("_n") > 1).select(F.lit(0).cast("bigint").alias("_u"), F.col("_n").alias("_bad"))
+    tot = units.unionByName(bad).agg(F.coalesce(F.sum("_u"), F.lit(0)).cast("bigint").alias("units"),
+                                     F.coalesce(F.sum("_bad"), F.lit(0)).cast("bigint").alias("_bad"))
+    return tot.select("units", (F.col("units") - F.col("_bad")).alias("n_pass"))
+
+
 def failing_checks(report: DataFrame) -> DataFrame:
     """Steps with ``f_pass < 1`` (VAL-11)."""
     return report.filter(F.coalesce(F.col("f_pass"), F.lit(0.0)) < 1)

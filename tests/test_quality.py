@@ -118,3 +118,14 @@ def test_base_column_presence(spark, events):
     assert len(base_column_rules("WATERBODY").rules) == 8
     with pytest.raises(ValueError):
         Q.validate(events, "NOPE", base_only=True)
+
+
+def test_wide_key_counts_exact(spark):
+    """Hash-first uniqueness equals plain grouping, nulls equal to nulls."""
+    rows = [(1, "a", None, 1.0, "x"), (1, "a", None, 1.0, "x"), (2, "b", "c", 2.0, "y"), (3, None, None, None, None),
+            (3, None, None, None, None), (3, None, None, None, None), (4, "d", "e", 4.0, "z")]
+    df = spark.createDataFrame(rows, "a int, b string, c string, d double, e string")
+    got = Q.key_counts(df, df.columns).first()
+    assert (got.units, got.n_pass) == (7, 2)
+    narrow = Q.key_counts(df, ["a"]).first()
+    assert (narrow.units, narrow.n_pass) == (7, 2)
