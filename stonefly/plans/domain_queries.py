@@ -339,6 +339,50 @@ def _result_target_sql():
     return S.interrogate_sql(RULES.RESULT.rules, source, schema)
 
 
+# -- DOM-17: sample table (distinct samples, replicate letters to the group) ------------
+def sample_table(spark, d):
+    prep = _prepared(spark, d)
+    rows = LAB.with_sample_ids(prep)
+    ev = rows.select("MSSIH_LINKED_ID_VALIDATOR", "event_id").distinct()
+    se = _history(spark, d)["sample_event"].join(ev, "MSSIH_LINKED_ID_VALIDATOR")
+    return WH.prep_sample_table(se)
+
+
+SAMPLE_TABLE_SQL = f"""WITH {PREP_SQL},
+ev AS (SELECT DISTINCT MSSIH_LINKED_ID_VALIDATOR, event_id FROM k),
+s AS (SELECT se.*, ev.event_id FROM se JOIN ev USING (MSSIH_LINKED_ID_VALIDATOR))
+SELECT DISTINCT MSSIH_EVENT_SMAS_HISTORY_ID AS site_id,
+       strftime(CAST(COALESCE(try_strptime(MSSIH_EVENT_SMAS_SAMPLE_DATE, '%m-%d-%Y'),
+                              try_strptime(MSSIH_EVENT_SMAS_SAMPLE_DATE, '%m/%d/%Y')) AS DATE), '%Y%m%d') AS sample_date,
+       CASE WHEN regexp_matches(CAST(MSSIH_REPLICATE AS VARCHAR), '[a-zA-Z]')
+            THEN MSSIH_GROUP || '_' || CAST(MSSIH_REPLICATE AS VARCHAR) ELSE MSSIH_GROUP END AS sample_group,
+       TRY_CAST(regexp_replace(CAST(MSSIH_REPLICATE AS VARCHAR), '[a-zA-Z]', '', 'g') AS DOUBLE) AS replicate,
+       MSSIH_TAXONOMIST AS taxonomist, MSSIH_BIOSAMPLE_COLLECT_METHOD AS collection_method,
+       MSSIH_TOTAL_INDIV_CNT AS total_individual_count, event_id
+FROM s"""
+
+
+# -- DOM-24: RMN override on taxa abundance --------------------------------------------
+RMN_SEGMENT = "AUTOMOBILE"
+
+
+def rmn_methods(spark, d):
+    taxa = taxa_abundance(spark, d).select("SITE_CODE", "EVENT_ID", "REPLICATE", "TAXON_ID", "LAB_SAMPLE_ID",
+                                           "SAMPLE_METHOD")
+    rmn_sites = (table(spark, d, "customer").filter(F.col("c_mktsegment") == RMN_SEGMENT)
+                 .select(site_id_expr().alias("site")))
+    return WH.rmn_override(taxa, rmn_sites)
+
+
+def _rmn_methods_sql():
+    return f"""WITH {_taxa_sql()},
+r AS (SELECT DISTINCT {SITE_ID_SQL} AS site FROM customer WHERE c_mktsegment = '{RMN_SEGMENT}')
+SELECT SITE_CODE, EVENT_ID, REPLICATE, TAXON_ID, LAB_SAMPLE_ID,
+       CASE WHEN SITE_CODE IN (SELECT site FROM r WHERE site IS NOT NULL) AND REPLICATE = 2 THEN 'rmn_kick'
+            ELSE SAMPLE_METHOD END AS SAMPLE_METHOD
+FROM taxa_ab"""
+
+
 # -- DOM-26/27: taxa abundance --------------------------------------------------------
 def taxa_abundance(spark, d):
     raw = lab_rows(spark, d).withColumn("MSDH_GENSPECIES", X.normalise_taxon("MSDH_GENSPECIES"))
@@ -429,6 +473,8 @@ WHERE EXISTS (SELECT 1 FROM words w WHERE w.word <> '' AND (
 
 
 QUERIES = {
+    "sample_table": sample_table,
+    "rmn_methods": rmn_methods,
     "result_table_report": result_table_report,
     "parameter_table": parameter_table,
     "sample_event_table": sample_event_table,
@@ -442,6 +488,8 @@ QUERIES = {
 }
 
 SQL = {
+    "sample_table": SAMPLE_TABLE_SQL,
+    "rmn_methods": _rmn_methods_sql(),
     "result_table_report": _result_target_sql(),
     "parameter_table": ("SELECT DISTINCT parameter_name AS PARAMETER_NAME, 'not_applicable' AS CASRN, "
                         "'not_applicable' AS FRACTION, 'not_applicable' AS MATRIX, "
