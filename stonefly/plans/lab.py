@@ -156,17 +156,21 @@ def site_check(prepared: DataFrame, crosswalk: DataFrame, site_col: str = "site_
 
 # -- DOM-05/06: sample-event and species-history tables -----------------------
 def with_sample_ids(prepared: DataFrame, taxonomist: str = "WAA",
-                    site_col: str = "MSSIH_EVENT_SMAS_HISTORY_ID") -> DataFrame:
+                    site_col: str = "MSSIH_EVENT_SMAS_HISTORY_ID", date_format: str = "%m-%d-%Y") -> DataFrame:
     """Parse the collection date (two formats) and add the sample key
-    ``site_yyyyMMdd_method_replicate`` and the sample-level text columns."""
+    ``site_yyyyMMdd_method_replicate`` and the sample-level text columns.
+    Columns an in-house file lacks (group, method name) become empty/null."""
     coll = D.parse_date_any("COLL_DATE", DATE_FORMATS)
+    cols = prepared.columns
     return prepared.withColumns({
         "_coll": coll,
         "MSSIH_LINKED_ID_VALIDATOR": D.linked_id(site_col, coll, "COLLECT", "Replicate"),
-        "MSSIH_EVENT_SMAS_SAMPLE_DATE": D.format_date(coll, "%m-%d-%Y"),
+        "MSSIH_EVENT_SMAS_SAMPLE_DATE": D.format_date(coll, date_format),
         "MSSIH_TOTAL_INDIV_CNT_NOTE": F.lit(""),
-        "MSSIH_GROUP": F.col("group"),
+        "MSSIH_GROUP": F.col("group") if "group" in cols else F.lit(""),
         "MSSIH_TAXONOMIST": F.lit(taxonomist),
+        "MSSIH_BIOSAMPLE_COLLECT_METHOD": (F.col("MSSIH_BIOSAMPLE_COLLECT_METHOD")
+                                           if "MSSIH_BIOSAMPLE_COLLECT_METHOD" in cols else F.lit(None).cast("string")),
     })
 
 
@@ -177,7 +181,8 @@ SAMPLE_EVENT_COLUMNS = ("MSSIH_LINKED_ID_VALIDATOR", "MSSIH_BIOSAMPLE_COLLECT_ME
 
 
 def history_tables(prepared: DataFrame, taxonomist: str = "WAA", total: str = "max",
-                   site_col: str = "MSSIH_EVENT_SMAS_HISTORY_ID") -> dict[str, DataFrame]:
+                   site_col: str = "MSSIH_EVENT_SMAS_HISTORY_ID", date_format: str = "%m-%d-%Y",
+                   method_names: DataFrame | None = None) -> dict[str, DataFrame]:
     """Build ``sample_event`` and ``species_history``.
 
     ``total="max"``: contract labs report the total on every row, keep the
@@ -188,7 +193,15 @@ def history_tables(prepared: DataFrame, taxonomist: str = "WAA", total: str = "m
     (a handful of rows per sample key), so the rows are shuffled once and a
     large sample is combined map-side.
     """
-    df = with_sample_ids(prepared, taxonomist, site_col)
+    df = with_sample_ids(prepared, taxonomist, site_col, date_format)
+    if method_names is not None:
+        # In-house files carry only the method number: name it from the
+        # (small, size-checked) method table.
+        names = method_names.select(F.col("BIOSAMPLE_COLLECT_METHOD_ID").alias("_mid"),
+                                    F.col("BIOSAMPLE_COLLECT_METHOD").alias("_mname")).dropDuplicates(["_mid"])
+        df = (df.join(broadcast_if_small(names), F.col("COLLECT") == F.col("_mid"), "left")
+              .withColumn("MSSIH_BIOSAMPLE_COLLECT_METHOD", F.coalesce("MSSIH_BIOSAMPLE_COLLECT_METHOD", "_mname"))
+              .drop("_mid", "_mname"))
     if total == "max":
         part, fin = F.max("MSSIH_TOTAL_INDIV_CNT_IND"), F.max
     elif total == "sum":

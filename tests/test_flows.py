@@ -179,3 +179,19 @@ def test_parameter_table_validates(spark):
     from stonefly.plans.domain_queries import parameter_table
     rep = Q.validate(parameter_table(spark, "/root/testdata/sf0.001"), "PARAMETER").collect()
     assert all(r.n_pass == r.units for r in rep), [r for r in rep if r.n_pass != r.units]
+
+
+def test_in_house_history_tables(spark):
+    raw = spark.createDataFrame([("13-PATS", "0.5", "07/05/2018", 1, 1, "Baetis sp.", 4),
+                                 ("13-PATS", "0.5", "07/05/2018", 1, 1, "Hydropsyche betteni", 6),
+                                 ("13-PATS", "1.3", "7/5/2018", 1, 2, "Baetis sp.", 5)],
+                                "LOCATION string, STATION string, DATE string, COLLECT int, REPLICATE int, "
+                                "GENSPECIES string, INDIV int")
+    prep = LAB.prepare_in_house(raw)
+    h = LAB.history_tables(prep, taxonomist="SBU", total="sum", site_col="site_id", date_format="%m/%d/%Y",
+                           method_names=LAB.collect_method_table(spark))
+    se = {r.MSSIH_LINKED_ID_VALIDATOR: r for r in h["sample_event"].collect()}
+    assert set(se) == {"13-PATS-0.5_20180705_1_1", "13-PATS-1.3_20180705_1_2"}
+    r = se["13-PATS-0.5_20180705_1_1"]
+    assert (r.MSSIH_TOTAL_INDIV_CNT, r.MSSIH_EVENT_SMAS_SAMPLE_DATE, r.MSSIH_TAXONOMIST,
+            r.MSSIH_BIOSAMPLE_COLLECT_METHOD, r.MSSIH_GROUP) == (10.0, "07/05/2018", "SBU", "Kick: Standard", "")
