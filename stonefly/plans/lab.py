@@ -16,7 +16,7 @@ from stonefly.functions import dates as D
 from stonefly.functions import text as X
 from stonefly.functions.numeric import round_half_up
 from stonefly.operators import metrics as M
-from stonefly.operators.joins import broadcast_if_small
+from stonefly.operators.joins import broadcast_if_small, join_null_safe
 from stonefly.operators.text_match import rows_containing_any
 
 DATE_FORMATS = ("%m/%d/%Y", "%m-%d-%Y")
@@ -312,3 +312,35 @@ def metric_table(scored: DataFrame, digits: int = 3, keep: Sequence[str] = ()) -
             c = round_half_up(c, digits)
         cols.append(c.alias(v))
     return scored.select(*cols, *keep)
+
+
+# -- DOM-08: external scoring output -> published metric table -----------------
+def publish_scoring_output(scored: DataFrame, collect: DataFrame, digits: int = 3,
+                           names: Mapping[str, str] | None = None) -> DataFrame:
+    """Wide scoring output (``EVENT_ID, BASIN, LOCATION, RIVMILE, DATE`` +
+    metric columns such as ``RICHNESS``, ``RICH_SCORE``) -> published table.
+
+    Basin padded to two digits, site id ``BASIN-LOCATION-RIVMILE``, date
+    parsed (US or ISO forms), replicate = last ``_`` part of the event id,
+    collection method from ``collect`` (site_id, COLLECT; with a ``date``
+    column the join is per site and date so a site sampled with two methods
+    cannot fan out), sample key, columns renamed by the published-name
+    table (only names present), doubles rounded.
+    """
+    names = names if names is not None else scoring.PUBLISHED_COLUMN_NAMES
+    basin = X.lpad_keep(F.col("BASIN").cast("string"), 2, "0")
+    site = F.concat_ws("-", basin, F.col("LOCATION").cast("string"), F.col("RIVMILE").cast("string"))
+    coll = D.parse_date_any(F.col("DATE").cast("string"), (*DATE_FORMATS, "%Y-%m-%d"))
+    rep = F.element_at(F.split(F.col("EVENT_ID"), "_"), -1)
+    df = scored.withColumns({"site_id": site, "_date": coll, "REPLICATE": rep})
+    keys = ["site_id", "date"] if "date" in collect.columns else ["site_id"]
+    c = collect.select(*keys, "COLLECT").dropDuplicates(keys)
+    if "date" in keys:
+        df = df.withColumn("date", F.col("_date"))
+    df = join_null_safe(df, broadcast_if_small(c), keys, "left")
+    df = df.withColumn("MMDH_LINKED_ID_VALIDATOR", D.linked_id("site_id", "_date", "COLLECT", "REPLICATE"))
+    present = {o: n for o, n in names.items() if o in df.columns}
+    out = df.select(*[F.col(o).alias(n) for o, n in present.items()])
+    types = dict(out.dtypes)
+    return out.select(*[(round_half_up(F.col(c), digits) if types[c] == "double" else F.col(c)).alias(c)
+                        for c in out.columns])
