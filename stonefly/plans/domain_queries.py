@@ -38,8 +38,11 @@ def lab_rows(spark, d):
                                          "o_orderpriority", "o_totalprice")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
     p = table(spark, d, "part").select("p_partkey", "p_name")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-         .join(p, li.l_partkey == p.p_partkey))
+    # Join order for scale: orders x customer first (an orders-sized
+    # shuffle on the customer key), then lineitem on the order key, then part:
+    # the lineitem-sized rows are shuffled twice instead of three times.
+    oc = o.join(c, o.o_custkey == c.c_custkey)
+    j = li.join(oc, li.l_orderkey == oc.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     site = site_id_expr()
     return j.select(
         F.concat(F.lit("L"), F.col("l_orderkey").cast("string")).alias("WAA_ID"),
