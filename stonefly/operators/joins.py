@@ -13,8 +13,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stonefly.functions.nulls import null_safe_on
-
 # Upper bound for an explicit broadcast hint.  The estimate comes from the
 # optimized logical plan (filters and projections applied) and is based on
 # compressed file sizes, so the in-memory table can be a few times larger;

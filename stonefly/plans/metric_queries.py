@@ -11,9 +11,9 @@ and both engines produce the same doubles.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stonefly.config import scoring  # noqa: F401
 from stonefly.functions.numeric import round_half_up, round_half_up_sql
 from stonefly.operators import metrics as M
 from stonefly.operators.joins import broadcast_if_small
@@ -157,8 +157,9 @@ FROM c GROUP BY nation"""
 def model_affinity_by_nation(spark, d):
     counts = _nation_type_counts(spark, d)
     overall = counts.groupBy("taxon_group").agg(F.sum("n").alias("g"))
-    model = overall.select("taxon_group", (F.lit(100.0) * F.col("g") / F.sum("g").over(
-        __import__("pyspark.sql.window", fromlist=["Window"]).Window.partitionBy())).alias("percent"))
+    # One row per taxon group (a handful): the global window is bounded.
+    model = overall.select("taxon_group", (F.lit(100.0) * F.col("g") / F.sum("g").over(Window.partitionBy()))
+                           .alias("percent"))
     out = M.percent_model_affinity(counts, ["nation"], "taxon_group", "n", model)
     return out.select("nation", round_half_up("percent_model_affinity", R6).alias("percent_model_affinity"))
 
@@ -189,8 +190,8 @@ def sample_scores(spark, d):
     counts = M.sum_duplicate_taxa(rows, keys, "taxon", "n")
     attrs = broadcast_if_small(_taxon_attrs(table(spark, d, "part")))
     j = counts.join(attrs, "taxon")
-    from pyspark.sql import Window
     overall = j.groupBy("taxon_group").agg(F.sum("n").alias("g"))
+    # One row per taxon group (a handful): the global window is bounded.
     model = overall.select("taxon_group", (F.lit(100.0) * F.col("g") / F.sum("g").over(Window.partitionBy()))
                            .alias("percent"))
     wide = M.community_metrics(j, keys, "taxon", "n", flags={"ept_richness": "is_ept"},
