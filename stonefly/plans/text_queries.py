@@ -213,13 +213,22 @@ FROM customer c LEFT JOIN cw ON CAST(c.c_nationkey AS BIGINT) = cw.old"""
 
 # -- DOM-12/14: event ids from a survey table; samples without a survey -----
 def event_ids(spark, d):
+    """Purchases are the samples, the first view of a user's day is the
+    survey visit (site = user, arrival time = HH:mm)."""
+    from stonefly.plans.warehouse import attach_events, survey_events
     ev = table(spark, d, "events").withColumn("event_date", F.col("ts").cast("date"))
-    samples = ev.filter(F.col("event_type") == "purchase").select("user_id", "event_date").distinct()
-    survey = (ev.filter(F.col("event_type") == "view").groupBy("user_id", "event_date")
-              .agg(F.min("ts").alias("arrive")))
-    survey = survey.withColumn("event_id", D.event_id("user_id", "arrive")).drop("arrive")
-    out = samples.join(survey, ["user_id", "event_date"], "left")
-    return out.withColumn("missing_survey", F.col("event_id").isNull().cast("int"))
+    samples = (ev.filter(F.col("event_type") == "purchase")
+               .select(F.col("user_id").alias("site_id"), F.col("event_date").alias("DATE")).distinct())
+    visits = (ev.filter(F.col("event_type") == "view").groupBy("user_id", "event_date").agg(F.min("ts").alias("arrive"))
+              .select(F.col("user_id").cast("string").alias("site"), F.col("user_id").alias("site_id"),
+                      F.date_format("event_date", "MM/dd/yyyy").alias("visit_date"),
+                      F.date_format("arrive", "HH:mm").alias("arrival")))
+    events = survey_events(visits, final_col="site", site_col="site_id", date_col="visit_date", time_col="arrival",
+                           id_col=None)
+    out, _ = attach_events(samples, events)
+    return out.select(F.col("site_id").alias("user_id"), F.col("DATE").alias("event_date"),
+                      F.col("EVENT_ID").alias("event_id"),
+                      F.col("final_id").isNull().cast("int").alias("missing_survey"))
 
 
 EVENT_IDS_SQL = """

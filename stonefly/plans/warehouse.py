@@ -179,3 +179,30 @@ def taxa_abundance(raw: DataFrame, event_rules: Sequence = (), taxon_rules: Sequ
         t = L.correct_distinct(t, "TAXON_ID", taxon_rules)
     t = add_constants(t, scoring.TAXA_ABUNDANCE_CONSTANTS)
     return t.withColumn("ANALYSIS_DATETIME", F.lit(None).cast("timestamp_ntz"))
+
+
+# -- DOM-12/14: survey crosswalk -> event ids; samples without a survey --------
+def survey_events(survey: DataFrame, date_format: str = "%m/%d/%Y", final_col: str = "finalSiteID",
+                  site_col: str = "revisedOriginalSiteID", date_col: str = "eventSMASSampleDate",
+                  time_col: str = "eventSMASArrivetime", id_col: str | None = "eventSMASId") -> DataFrame:
+    """Crosswalk rows -> distinct (site_id, DATE, final_id, EVENT_ID).
+
+    The event id is ``final_site_yyyyMMddTHHmm`` built from the arrival time
+    (first ":" removed); a survey that already carries an event id (older
+    batches) keeps it.
+    """
+    date = D.parse_date(date_col, date_format)
+    built = F.concat(F.col(final_col).cast("string"), F.lit("_"), F.date_format(date, "yyyyMMdd"), F.lit("T"),
+                     F.regexp_replace(F.col(time_col).cast("string"), "^([^:]*):", "$1"))
+    event = F.coalesce(F.col(id_col), built) if id_col and id_col in survey.columns else built
+    return survey.select(F.col(site_col).alias("site_id"), date.alias("DATE"),
+                         F.col(final_col).alias("final_id"), event.alias("EVENT_ID")).distinct()
+
+
+def attach_events(samples: DataFrame, events: DataFrame, keys: Sequence[str] = ("site_id", "DATE")
+                  ) -> tuple[DataFrame, DataFrame]:
+    """Left join samples to survey events on (site, date); returns (rows,
+    rows without a survey event).  The events table is a small crosswalk
+    (size-checked broadcast)."""
+    out = join_null_safe(samples, broadcast_if_small(events), list(keys), "left")
+    return out, out.filter(F.col("final_id").isNull())

@@ -195,3 +195,20 @@ def test_in_house_history_tables(spark):
     r = se["13-PATS-0.5_20180705_1_1"]
     assert (r.MSSIH_TOTAL_INDIV_CNT, r.MSSIH_EVENT_SMAS_SAMPLE_DATE, r.MSSIH_TAXONOMIST,
             r.MSSIH_BIOSAMPLE_COLLECT_METHOD, r.MSSIH_GROUP) == (10.0, "07/05/2018", "SBU", "Kick: Standard", "")
+
+
+def test_survey_events_and_missing(spark):
+    survey = spark.createDataFrame([
+        ("11-ARCH-1.9", "11-ARCH-1.9x", "09/18/2023", "12:00", None),
+        ("11-ARCH-1.9", "11-ARCH-1.9x", "09/18/2023", "12:00", None),
+        ("13-OLD-1.0", "13-OLD-1.0", "07/01/2023", "9:05", "13-OLD-1.0_20230701T0905")],
+        "finalSiteID string, revisedOriginalSiteID string, eventSMASSampleDate string, eventSMASArrivetime string, "
+        "eventSMASId string")
+    ev = WH.survey_events(survey)
+    got = sorted(tuple(map(str, r)) for r in ev.collect())
+    assert got == [("11-ARCH-1.9x", "2023-09-18", "11-ARCH-1.9", "11-ARCH-1.9_20230918T1200"),
+                   ("13-OLD-1.0", "2023-07-01", "13-OLD-1.0", "13-OLD-1.0_20230701T0905")]
+    samples = spark.sql("SELECT * FROM VALUES ('11-ARCH-1.9x', date'2023-09-18'), ('zz', date'2023-01-01') "
+                        "AS t(site_id, DATE)")
+    rows, missing = WH.attach_events(samples, ev)
+    assert rows.count() == 2 and [r.site_id for r in missing.collect()] == ["zz"]
