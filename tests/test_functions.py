@@ -102,3 +102,19 @@ def test_round_half_up(spark):
     df = spark.createDataFrame([(2.5,), (-2.5,), (1.005,), (None,)], "x double")
     got = [r[0] for r in df.select(round_half_up("x", 0)).collect()]
     assert got == [3.0, -2.0, 1.0, None]
+
+
+def test_site_and_event_corrections(spark):
+    from stonefly.config import site_events as S
+    from stonefly.operators.lookup import case_map, correct_distinct
+    df = spark.createDataFrame([("13-LHUD-105",), ("13-LHUD-105.0",), ("12-SAUQ-2.2_20240717T1200",),
+                                ("11-TWNS-0.2",), ("99-NONE-1.0",)], "s string")
+    fixed = {r.s0: r.s for r in correct_distinct(df.withColumn("s0", F.col("s")), "s", S.site_rules()).collect()}
+    assert fixed == {"13-LHUD-105": "13-LHUD-105.0", "13-LHUD-105.0": "13-LHUD-105.0",
+                     "12-SAUQ-2.2_20240717T1200": "12-SAUQ-1.7_20240717T1200", "11-TWNS-0.2": "11-STEB-0.2",
+                     "99-NONE-1.0": "99-NONE-1.0"}
+    raw = [r[0] for r in df.select(X.ordered_replace("s", S.site_rules(parity=True))).collect()]
+    assert raw[1] == "13-LHUD-105.0.0"          # the source's unanchored behaviour, kept in parity mode
+    ev = spark.createDataFrame([("12-MOYR-5.1_20100729",), ("x",)], "e string")
+    assert [r[0] for r in ev.select(case_map("e", S.event_map(), keep_unmatched=True)).collect()] == \
+        ["12-MOYR-5.1_20100728", "x"]
