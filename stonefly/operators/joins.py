@@ -28,14 +28,36 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Hint a broadcast only when the estimated size is known and small."""
+    max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
     size = estimated_bytes(df)
     if size is not None and size <= max_bytes:
         return F.broadcast(df)
     return df
 
 
+# Buckets for joins on a low-cardinality key (e.g. a handful of taxon groups).
+LOW_CARDINALITY_SALT = 64
+
+
+def join_low_cardinality(big: DataFrame, small: DataFrame, keys: Sequence[str], spread_by: Sequence[str],
+                         how: str = "inner", buckets: int = LOW_CARDINALITY_SALT) -> DataFrame:
+    """Join a large table to a small one on a key with few distinct values.
+
+    A plain shuffle join would send every row of one key value to one task.
+    Each small-side row is replicated into ``buckets`` copies (one per salt);
+    each large-side row takes the salt ``hash(spread_by) % buckets``, so one
+    key value is spread over ``buckets`` tasks.  The small side is broadcast
+    instead when its size estimate allows.
+    """
+    if estimated_bytes(small) is not None and estimated_bytes(small) <= BROADCAST_MAX_BYTES:
+        return big.join(F.broadcast(small), list(keys), how)
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    b = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.lit(buckets)).cast("int"))
+    return b.join(s, [*keys, "_salt"], how).drop("_salt")
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
                    small_right: bool = False) -> DataFrame:
     """Equi-join where null keys match each other (dplyr/merge default).

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from stonefly.config import scoring
 from stonefly.functions.numeric import round_half_up
 from stonefly.operators.aggregates import top_k_per_group
-from stonefly.operators.joins import broadcast_if_small, join_null_safe
+from stonefly.operators.joins import join_low_cardinality, join_null_safe
 
 
 def sum_duplicate_taxa(df: DataFrame, sample_cols: Sequence[str], taxon_col: str, count_col: str,
@@ -96,8 +96,8 @@ def percent_model_affinity(counts: DataFrame, sample_cols: Sequence[str], group_
     totals = per_group.groupBy(*sample_cols).agg(F.sum("_g").alias("_n"))
     pct = per_group.join(totals, list(sample_cols)).withColumn(
         "_pct", F.lit(100.0) * F.col("_g") / F.col("_n"))
-    m = broadcast_if_small(model.select(*model_keys, group_col, F.col(model_percent).alias("_model")))
-    sim = (pct.join(m, [*model_keys, group_col], "inner")
+    m = model.select(*model_keys, group_col, F.col(model_percent).alias("_model"))
+    sim = (join_low_cardinality(pct, m, [*model_keys, group_col], spread_by=sample_cols)
            .groupBy(*sample_cols).agg(F.sum(F.least(F.col("_pct"), F.col("_model"))).alias(name)))
     return totals.select(*sample_cols).join(sim, list(sample_cols), "left").fillna({name: 0.0})
 
@@ -130,10 +130,11 @@ def community_metrics(counts: DataFrame, sample_cols: Sequence[str], taxon_col:
             f"percent_dominance_{dominance_k}",
             F.lit(100.0) * F.try_divide(F.col("_top"), F.col("total_individuals"))).drop("_top")
     if group_col is not None and model is not None:
-        m = broadcast_if_small(model.select(*model_keys, group_col, F.col(model_percent).alias("_model")))
+        m = model.select(*model_keys, group_col, F.col(model_percent).alias("_model"))
         per_group = (counts.groupBy(*keys, *[k for k in model_keys if k not in keys], group_col)
                      .agg(F.sum(count_col).alias("_g")))
-        per_group = per_group.join(m, [*model_keys, group_col], "inner")
+        # (method, group) has few values: salted so no group lands in one task.
+        per_group = join_low_cardinality(per_group, m, [*model_keys, group_col], spread_by=keys)
         folded = per_group.groupBy(*keys).agg(
             F.collect_list(F.struct(F.col("_g").alias("g"), F.col("_model").alias("m"))).alias("_groups"))
         out = join_null_safe(out, folded, keys, "left")
