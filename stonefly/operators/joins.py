@@ -129,14 +129,21 @@ def fold_joins(base: DataFrame, others: Sequence[DataFrame], keys: Sequence[str]
     return out
 
 
-def with_group_aggregates(df: DataFrame, keys: Sequence[str], aggs: dict) -> DataFrame:
+def with_group_aggregates(df: DataFrame, keys: Sequence[str], aggs: dict,
+                          low_cardinality: bool = False) -> DataFrame:
     """Grouped mutate: attach per-group aggregates to every row (JN-10, WN-01).
 
     Written as a partial aggregate plus a join back rather than a window:
     the aggregate combines map-side, and a hot key in the join is split by
     AQE's skew handling, while a window would put the whole group in one task.
+
+    ``low_cardinality``: the keys have few values (e.g. a genus within one
+    order), so the join back is salted instead of sending each group to one
+    task.  Null keys then form no group of their own.
     """
     agg = df.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()])
+    if low_cardinality:
+        return join_low_cardinality(df, agg, list(keys), spread_by=df.columns, how="left")
     return join_null_safe(df, broadcast_if_small(agg), keys, "left")
 
 

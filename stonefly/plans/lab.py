@@ -73,7 +73,8 @@ def tolerance_means(master: DataFrame, order: str, by: str, keep: Sequence[str]
     from stonefly.operators.joins import with_group_aggregates
     f = master.filter(F.col(order_col) == F.lit(order))
     names = {f"new_{t}": F.avg(t) for t in tolerances}
-    g = with_group_aggregates(f, [by], names)
+    # Few groups (genera or tolerance names within one order): salted join back.
+    g = with_group_aggregates(f, [by], names, low_cardinality=True)
     return g.select(*(keep or [by]), *names).distinct()
 
 
