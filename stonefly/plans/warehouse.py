@@ -111,7 +111,8 @@ def target_columns(table: str) -> list[str]:
     return out
 
 
-def staging_tables(long: DataFrame, tables=("RESULT", "SAMPLE", "PARAMETER", "PARAMETER_NAME")) -> dict:
+def staging_tables(long: DataFrame, tables=("RESULT", "SAMPLE", "PARAMETER", "PARAMETER_NAME"),
+                   materialize: bool = False) -> dict:
     """Long metric rows -> warehouse targets (RS-03, DOM-23): names
     upper-cased and renamed, template columns added, then per target its
     declared columns that exist, distinct.  Missing declared columns are
@@ -120,6 +121,9 @@ def staging_tables(long: DataFrame, tables=("RESULT", "SAMPLE", "PARAMETER", "PA
     Template columns are constants, so they cannot change which rows are
     distinct: each target is de-duplicated on its variable columns only and
     the constants are added afterwards, keeping them out of the shuffle.
+    ``materialize`` checkpoints the de-duplicated variable columns (in
+    ``spark.checkpoint.dir``) for targets that are read several times, e.g.
+    by validation; the constant columns are never written.
     """
     base = long.toDF(*[c.upper() for c in long.columns]).withColumnsRenamed(STAGING_RENAMES)
     consts = {n: (v, t) for n, v, t in RESULT_TEMPLATE + SAMPLE_TEMPLATE}
@@ -128,6 +132,9 @@ def staging_tables(long: DataFrame, tables=("RESULT", "SAMPLE", "PARAMETER", "PA
         cols = target_columns(t)
         variable = [c for c in cols if c in base.columns and c not in consts]
         d = base.select(*variable).distinct()
+        if materialize:
+            from stonefly.session import cut_lineage
+            d = cut_lineage(d)
         present = [c for c in cols if c in variable or c in consts]
         out[t] = d.select(*[F.col(c) if c in variable else F.lit(consts[c][0]).cast(consts[c][1]).alias(c)
                             for c in present])
