@@ -232,7 +232,7 @@ SCORED_METRICS = ["richness", "ept_richness", "hilsenhoff_biotic_index", "percen
 
 
 def score_rows(rows: DataFrame, taxa: DataFrame, model: DataFrame | None, sample_cols=("sid", "method"),
-               carry: Mapping | None = None, materialize: bool = False) -> DataFrame:
+               carry: Mapping | None = None, materialize: bool | None = None) -> DataFrame:
     """Metrics and method scores from (sample..., taxon, n) rows.
 
     ``taxa`` (master): ``taxon``, ``is_ept``, ``is_nco``, ``tolerance``,
@@ -242,13 +242,16 @@ def score_rows(rows: DataFrame, taxa: DataFrame, model: DataFrame | None, sample
     sample.  Methods without score curves keep their rows, scores null.
 
     ``materialize``: the (sample, taxon) table feeds four branches (base
-    metrics, top-k, group mix, model) that each prune different columns, so
-    Spark cannot share one exchange between them; it is written once with a
-    reliable checkpoint in ``spark.checkpoint.dir`` instead of recomputing
-    the upstream joins per branch.
+    metrics, top-k, group mix, model).  Without carried columns they need the
+    same columns and Spark shares one exchange.  With carried columns they
+    prune differently and the upstream joins would run again per branch, so
+    by default (``None``) the table is then written once with a reliable
+    checkpoint in ``spark.checkpoint.dir``.
     """
     keys = list(sample_cols)
     carry = dict(carry or {})
+    if materialize is None:
+        materialize = bool(carry)
     counts = M.sum_duplicate_taxa(rows, keys, "taxon", "n", carry={k: F.max(k) for k in carry})
     j = counts.join(broadcast_if_small(taxa), "taxon", "left")
     if materialize:
