@@ -45,11 +45,13 @@ def replace_from_crosswalk(df: DataFrame, col: str, crosswalk: DataFrame, old: s
                            flag: str | None = "changed") -> DataFrame:
     """Superseded ids -> current ids (DOM-04 ``site_check``, DOM-30).
 
-    Crosswalk rows with old == new are dropped, the rest de-duplicated on
+    Crosswalk rows with old == new, or with an empty/missing new id (an
+    adjustment table's blank rows), are dropped, the rest de-duplicated on
     the old id; a left join replaces matched ids and flags them.
     """
     cw = (crosswalk.select(F.col(old).alias("_old"), F.col(new).alias("_new"))
-          .filter(F.col("_old") != F.col("_new")).dropDuplicates(["_old"]))
+          .filter((F.col("_old") != F.col("_new")) & F.col("_new").isNotNull() & (F.trim(F.col("_new")) != ""))
+          .dropDuplicates(["_old"]))
     j = df.join(broadcast_if_small(cw), df[col] == F.col("_old"), "left")
     out = j.withColumn(col, F.coalesce(F.col("_new"), F.col(col)))
     if flag:

@@ -53,3 +53,12 @@ def test_literal_table_is_small_for_the_optimizer(spark):
     t = literal_table(spark, [("x", 1), ("y", 2)], [("name", "string"), ("id", "int")])
     assert sorted(tuple(r) for r in t.collect()) == [("x", 1), ("y", 2)]
     assert estimated_bytes(t) is not None and estimated_bytes(t) < 1024 * 1024
+
+
+def test_crosswalk_ignores_blank_adjustments(spark):
+    df = spark.createDataFrame([("baetis_sp.",), ("caenis",), ("x",)], "MSTR_MACRO_SPECIES_ID string")
+    adj = spark.createDataFrame([("baetis_sp.", "baetis"), ("caenis", ""), ("x", "x")],
+                                "MSDH_GENSPECIES string, changed_to_match_master string")
+    out = L.replace_from_crosswalk(df, "MSTR_MACRO_SPECIES_ID", adj, "MSDH_GENSPECIES", "changed_to_match_master")
+    got = sorted((r.MSTR_MACRO_SPECIES_ID, r.changed) for r in out.collect())
+    assert got == [("baetis", True), ("caenis", False), ("x", False)]
