@@ -84,6 +84,8 @@ def prepare_contract_lab(raw: DataFrame, collect_method: DataFrame) -> DataFrame
     mile, add the scoring column names, and attach the method id with an
     inner join (rows with an unknown method drop out, as in the source)."""
     basin, location, rivmile = X.split_fixed("MSSIH_EVENT_SMAS_HISTORY_ID", "-", 3)
+    if "group" not in raw.columns:          # older files: streams have no group letter
+        raw = raw.withColumn("group", F.lit(""))
     df = raw.select(
         "MSSIH_EVENT_SMAS_HISTORY_ID", "MSSIH_BIOSAMPLE_COLLECT_METHOD", "MSSIH_REPLICATE",
         "MSSIH_EVENT_SMAS_SAMPLE_DATE", "MSDH_GENSPECIES", "MSDH_INDIVIDUAL_SPECIES_CNT",

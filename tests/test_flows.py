@@ -212,3 +212,8 @@ def test_survey_events_and_missing(spark):
                         "AS t(site_id, DATE)")
     rows, missing = WH.attach_events(samples, ev)
     assert rows.count() == 2 and [r.site_id for r in missing.collect()] == ["zz"]
+
+
+def test_prepare_without_group_column(spark, raw):
+    prep = LAB.prepare_contract_lab(raw.drop("group"), LAB.collect_method_table(spark))
+    assert {r.group for r in prep.collect()} == {""}
