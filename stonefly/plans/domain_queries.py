@@ -344,10 +344,9 @@ def _result_target_sql():
 
 # -- DOM-17: sample table (distinct samples, replicate letters to the group) ------------
 def sample_table(spark, d):
-    prep = _prepared(spark, d)
-    rows = LAB.with_sample_ids(prep)
-    ev = rows.select("MSSIH_LINKED_ID_VALIDATOR", "event_id").distinct()
-    se = _history(spark, d)["sample_event"].join(ev, "MSSIH_LINKED_ID_VALIDATOR")
+    # event_id rides along in the sample aggregate: one pass over the lab rows.
+    se = LAB.history_tables(_prepared(spark, d), taxonomist="WAA", total="max",
+                            extra_sample_cols=["event_id"])["sample_event"]
     return WH.prep_sample_table(se)
 
 

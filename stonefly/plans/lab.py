@@ -185,11 +185,14 @@ SAMPLE_EVENT_COLUMNS = ("MSSIH_LINKED_ID_VALIDATOR", "MSSIH_BIOSAMPLE_COLLECT_ME
 
 def history_tables(prepared: DataFrame, taxonomist: str = "WAA", total: str = "max",
                    site_col: str = "MSSIH_EVENT_SMAS_HISTORY_ID", date_format: str = "%m-%d-%Y",
-                   method_names: DataFrame | None = None) -> dict[str, DataFrame]:
+                   method_names: DataFrame | None = None,
+                   extra_sample_cols: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Build ``sample_event`` and ``species_history``.
 
     ``total="max"``: contract labs report the total on every row, keep the
     largest (DOM-06).  ``total="sum"``: sum the taxon counts (DOM-05).
+    ``extra_sample_cols`` (e.g. ``event_id``) ride along in the same
+    aggregate when a caller needs them per sample.
 
     One partial aggregate over the distinct sample columns carries the
     total; the per-sample total is then finished over that small result
@@ -216,7 +219,7 @@ def history_tables(prepared: DataFrame, taxonomist: str = "WAA", total: str = "m
         "MSSIH_LINKED_ID_VALIDATOR", F.col("COLLECT").alias("MSSIH_BIOSAMPLE_COLLECT_METHOD_NUM"),
         F.col(site_col).alias("MSSIH_EVENT_SMAS_HISTORY_ID"), "MSSIH_EVENT_SMAS_SAMPLE_DATE",
         F.col("Replicate").alias("MSSIH_REPLICATE"), "MSSIH_TAXONOMIST", "MSSIH_TOTAL_INDIV_CNT_NOTE",
-        "MSSIH_BIOSAMPLE_COLLECT_METHOD", "MSSIH_GROUP").agg(part.alias("_t"))
+        "MSSIH_BIOSAMPLE_COLLECT_METHOD", "MSSIH_GROUP", *extra_sample_cols).agg(part.alias("_t"))
     samples = grouped.withColumn(
         "MSSIH_TOTAL_INDIV_CNT", fin("_t").over(Window.partitionBy("MSSIH_LINKED_ID_VALIDATOR")).cast("double")
     ).drop("_t")
