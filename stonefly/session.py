@@ -14,6 +14,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files of materialised intermediates are removed once the
+    # job no longer references them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
