@@ -70,3 +70,26 @@ def test_ordered_replace_matches_python(spark, values):
             v = v.replace(pat, rep) if literal else re.sub(pat, rep, v)
         want.append(v)
     assert got == want
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["s1", "s2", "s3"]), st.sampled_from([f"t{i}" for i in range(9)]),
+                          st.integers(1, 20)), min_size=1, max_size=60))
+def test_community_metrics_random(spark, rows):
+    import math
+    from collections import defaultdict
+
+    from stonefly.operators import metrics as M
+    df = spark.createDataFrame([(s, t, float(n)) for s, t, n in rows], "s string, t string, n double")
+    got = {r.s: r for r in M.community_metrics(M.sum_duplicate_taxa(df, ["s"], "t", "n"), ["s"], "t", "n").collect()}
+    by = defaultdict(lambda: defaultdict(float))
+    for s, t, n in rows:
+        by[s][t] += n
+    assert set(got) == set(by)
+    for s, taxa in by.items():
+        total = sum(taxa.values())
+        assert got[s].richness == len(taxa) and got[s].total_individuals == total
+        top3 = sum(sorted(taxa.values(), reverse=True)[:3])
+        assert abs(got[s].percent_dominance_3 - 100 * top3 / total) < 1e-9
+        h = -sum((v / total) * math.log2(v / total) for v in taxa.values())
+        assert abs(got[s].shannon_diversity - h) < 1e-9
