@@ -41,18 +41,27 @@ def rows_containing_any(df: DataFrame, cols: Sequence[str], names: DataFrame, na
             cond = t if cond is None else cond | t
         hits = df.join(F.broadcast(nm), cond, "left_semi")
         return hits.distinct()
-    # n-gram equi-join
+    # n-gram equi-join.  Rows are identified by a hash of their content (not a
+    # generated id, which a recomputed partition could assign differently);
+    # matches are re-checked on the real values at the end, so a hash
+    # collision can never add a row.
     keyed = nm.withColumn("_key", F.substring("_name", 1, q))
-    rid = df.withColumn("_rid", F.monotonically_increasing_id())
+    rid_expr = F.struct(F.xxhash64(*[F.col(c) for c in df.columns]), F.hash(*[F.col(c) for c in df.columns]))
+    rid = df.withColumn("_rid", rid_expr)
     grams = None
     for c in cols:
         v = F.coalesce(F.col(c), F.lit(""))
         pos = F.sequence(F.lit(1), F.greatest(F.length(v), F.lit(1)))
-        g = rid.select("_rid", F.lit(c).alias("_col"), v.alias("_val"), F.explode(pos).alias("_p"))
+        g = rid.select("_rid", v.alias("_val"), F.explode(pos).alias("_p"))
         g = g.select("_rid", "_val", F.explode(F.sequence(F.lit(1), F.lit(q))).alias("_l"), "_p")
         g = g.select("_rid", "_val", F.substring("_val", F.col("_p"), F.col("_l")).alias("_key"),
                      F.col("_l"), F.col("_p"))
         g = g.filter(F.length("_key") == F.col("_l")).select("_rid", "_val", "_key")
         grams = g if grams is None else grams.unionByName(g)
-    cand = grams.join(keyed, "_key").filter(F.col("_val").contains(F.col("_name"))).select("_rid").distinct()
-    return rid.join(cand, "_rid", "left_semi").drop("_rid").distinct()
+    cand = (grams.join(keyed, "_key").filter(F.col("_val").contains(F.col("_name")))
+            .select("_rid", "_name").distinct())
+    recheck = None
+    for c in cols:
+        t = F.coalesce(F.col(c).contains(F.col("_name")), F.lit(False))
+        recheck = t if recheck is None else recheck | t
+    return rid.join(cand, "_rid").filter(recheck).select(*df.columns).distinct()
