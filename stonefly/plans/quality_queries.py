@@ -68,6 +68,19 @@ SELECT CAST(step AS INTEGER) AS step, check_type, columns, "values", CAST(units
 FROM r"""
 
 
+# -- VAL-11/12: failing steps summarised per check type --------------------------
+def orders_failure_summary(spark, d):
+    rep = Q.interrogate(table(spark, d, "orders"), ORDER_RULES)
+    return Q.failure_summary(rep, "ORDERS")
+
+
+def _orders_failure_summary_sql():
+    return f"""
+SELECT check_type, COUNT(*) AS n, CAST(COUNT(*) AS VARCHAR) || ' ' || check_type || ' issues' AS message,
+       'ORDERS' AS table_name
+FROM ({_orders_rule_report_sql()}) WHERE COALESCE(f_pass, 0.0) < 1 GROUP BY check_type"""
+
+
 # -- SL-01 / VAL-10: first 50 failing rows per row rule -------------------------
 def failing_order_rows(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
@@ -196,6 +209,7 @@ FROM r"""
 
 
 QUERIES = {
+    "orders_failure_summary": orders_failure_summary,
     "score_range_report": score_range_report,
     "orders_rule_report": orders_rule_report,
     "failing_order_rows": failing_order_rows,
@@ -204,6 +218,7 @@ QUERIES = {
 }
 
 SQL = {
+    "orders_failure_summary": _orders_failure_summary_sql(),
     "score_range_report": _score_range_report_sql(),
     "orders_rule_report": _orders_rule_report_sql(),
     "failing_order_rows": _failing_order_rows_sql(),
