@@ -39,12 +39,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` is read from the session; a local scratch folder
     is only created when the setting is absent (tests, laptops).
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: the server owns the folder
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="stonefly-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
