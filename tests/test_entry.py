@@ -57,3 +57,13 @@ def test_query_matches_duckdb(spark, con, name):
     assert len(srows) == len(drows)
     cols = sorted(sdf.columns)
     assert _rows(srows, cols) == _rows(drows, cols)
+
+
+def test_entry_schema_is_stable(spark):
+    df = E.entry(spark)
+    assert df.columns == [
+        "sample_id", "o_orderstatus", "method", "total_individuals", "richness", "ept_richness",
+        "hilsenhoff_biotic_index", "percent_model_affinity", "nutrient_biotic_index_phosphorus",
+        "score_richness", "score_ept_richness", "score_hilsenhoff_biotic_index", "score_percent_model_affinity",
+        "score_nutrient_biotic_index_phosphorus", "score_bioassessment_profile", "impact_category"]
+    assert dict(df.dtypes)["score_bioassessment_profile"] == "double"
