@@ -1,8 +1,11 @@
 """Join operators (JN-*).
 
-Lookups are broadcast only behind a size check on the optimizer's estimate;
-anything larger stays a shuffle join that AQE may still convert or split
-when a key is skewed.
+Broadcast decisions are left to Spark's own size check: a side is broadcast
+when Catalyst's estimate is under ``spark.sql.autoBroadcastJoinThreshold``,
+and AQE re-decides from the actual shuffle sizes at runtime (and splits a
+skewed partition of a shuffle join).  Configuration tables are in-plan
+literals (``sources.literal``) so their estimate is exact and tiny.  Joins on
+a key with only a few values are salted explicitly.
 """
 
 from __future__ import annotations
@@ -13,27 +16,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound for an explicit broadcast hint.  The estimate comes from the
-# optimized logical plan (filters and projections applied) and is based on
-# compressed file sizes, so the in-memory table can be a few times larger;
-# 32 MB keeps broadcasts well inside executor memory.
-BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan, or None when unavailable."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate is advisory only
-        return None
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Hint a broadcast only when the estimated size is known and small."""
-    max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
-    size = estimated_bytes(df)
-    if size is not None and size <= max_bytes:
-        return F.broadcast(df)
+def lookup_side(df: DataFrame) -> DataFrame:
+    """Mark the lookup side of a join.  No hint is added: Spark broadcasts it
+    when its size estimate is under ``spark.sql.autoBroadcastJoinThreshold``
+    (AQE re-checks the real size at runtime); anything larger stays a
+    shuffle join.  A lookup is never broadcast without that check."""
     return df
 
 
@@ -48,11 +36,9 @@ def join_low_cardinality(big: DataFrame, small: DataFrame, keys: Sequence[str],
     A plain shuffle join would send every row of one key value to one task.
     Each small-side row is replicated into ``buckets`` copies (one per salt);
     each large-side row takes the salt ``hash(spread_by) % buckets``, so one
-    key value is spread over ``buckets`` tasks.  The small side is broadcast
-    instead when its size estimate allows.
+    key value is spread over ``buckets`` tasks.  When the replicated small
+    side is under Spark's broadcast threshold it is broadcast instead.
     """
-    if estimated_bytes(small) is not None and estimated_bytes(small) <= BROADCAST_MAX_BYTES:
-        return big.join(F.broadcast(small), list(keys), how)
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     b = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.lit(buckets)).cast("int"))
     return b.join(s, [*keys, "_salt"], how).drop("_salt")
@@ -65,7 +51,7 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     The output carries the left key columns (for full joins the keys are
     coalesced) and the right side's remaining columns.
     """
-    r = broadcast_if_small(right) if small_right else right
+    r = lookup_side(right) if small_right else right
     la, ra = left.alias("_l"), r.alias("_r")
 
     def L(c):
@@ -103,7 +89,7 @@ def join_renamed(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                  right_keys: Sequence[str], how: str = "inner", small_right: bool = False) -> DataFrame:
     """``merge(by.x=, by.y=)``: keys with different names; the right key
     columns are dropped from the output (JN-01, JN-06)."""
-    r = broadcast_if_small(right) if small_right else right
+    r = lookup_side(right) if small_right else right
     cond = reduce(lambda a, b: a & b, [left[lk] == r[rk] for lk, rk in zip(left_keys, right_keys)])
     out = left.join(r, cond, how)
     for rk in right_keys:
@@ -144,14 +130,14 @@ def with_group_aggregates(df: DataFrame, keys: Sequence[str], aggs: dict,
     agg = df.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()])
     if low_cardinality:
         return join_low_cardinality(df, agg, list(keys), spread_by=df.columns, how="left")
-    return join_null_safe(df, broadcast_if_small(agg), keys, "left")
+    return join_null_safe(df, lookup_side(agg), keys, "left")
 
 
 def semi_flag(df: DataFrame, other: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """Add a boolean ``flag``: row has a partner in ``other`` (no fan-out:
     the partner keys are de-duplicated first)."""
     marks = other.select(*keys).dropDuplicates().withColumn(flag, F.lit(True))
-    out = join_null_safe(df, broadcast_if_small(marks), keys, "left")
+    out = join_null_safe(df, lookup_side(marks), keys, "left")
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stonefly.functions.text import ordered_replace
-from stonefly.operators.joins import broadcast_if_small
+from stonefly.operators.joins import lookup_side
 
 
 def _c(c) -> Column:
@@ -36,7 +36,7 @@ def lookup_join(df: DataFrame, key: str, table: DataFrame, table_key: str, value
     """Map ``key`` through a two-column table; unmatched keep the old value
     (or null) - a table-driven ``case_match``."""
     t = table.select(F.col(table_key).alias("_lk"), F.col(value).alias("_lv")).dropDuplicates(["_lk"])
-    j = df.join(broadcast_if_small(t), df[key] == F.col("_lk"), "left")
+    j = df.join(lookup_side(t), df[key] == F.col("_lk"), "left")
     e = F.coalesce(F.col("_lv"), F.col(key)) if keep_unmatched else F.col("_lv")
     return j.withColumn(out, e).drop("_lk", "_lv")
 
@@ -52,7 +52,7 @@ def replace_from_crosswalk(df: DataFrame, col: str, crosswalk: DataFrame, old: s
     cw = (crosswalk.select(F.col(old).alias("_old"), F.col(new).alias("_new"))
           .filter((F.col("_old") != F.col("_new")) & F.col("_new").isNotNull() & (F.trim(F.col("_new")) != ""))
           .dropDuplicates(["_old"]))
-    j = df.join(broadcast_if_small(cw), df[col] == F.col("_old"), "left")
+    j = df.join(lookup_side(cw), df[col] == F.col("_old"), "left")
     out = j.withColumn(col, F.coalesce(F.col("_new"), F.col(col)))
     if flag:
         out = out.withColumn(flag, F.col("_old").isNotNull())
@@ -66,7 +66,7 @@ def correct_distinct(df: DataFrame, col: str, rules: Sequence, out: str | None =
     out = out or col
     ids = df.select(F.col(col).alias("_id")).distinct()
     fixed = ids.withColumn("_fixed", ordered_replace("_id", rules))
-    j = df.join(broadcast_if_small(fixed), df[col].eqNullSafe(F.col("_id")), "left")
+    j = df.join(lookup_side(fixed), df[col].eqNullSafe(F.col("_id")), "left")
     return j.withColumn(out, F.col("_fixed")).drop("_id", "_fixed")
 
 
@@ -75,6 +75,6 @@ def apply_key_corrections(df: DataFrame, keys: Sequence[str], corrections: DataF
     """Manual corrections keyed by (site, date, ...) (DOM-13): each target
     column takes the correction's value where one exists."""
     c = corrections.select(*keys, *[F.col(t).alias(f"_fix_{t}") for t in targets]).dropDuplicates(list(keys))
-    j = df.join(broadcast_if_small(c), list(keys), "left")
+    j = df.join(lookup_side(c), list(keys), "left")
     return j.withColumns({t: F.coalesce(F.col(f"_fix_{t}"), F.col(t)) for t in targets}).drop(
         *[f"_fix_{t}" for t in targets])

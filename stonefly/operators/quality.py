@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from stonefly.functions.nulls import all_true, null_safe_on
 from stonefly.operators.aggregates import newest_per_key
-from stonefly.operators.joins import broadcast_if_small
+from stonefly.operators.joins import lookup_side
 
 SCHEMA_CHECKS = {"col_exists", "col_count_match", "col_is_character", "col_is_numeric", "col_is_posix",
                  "col_is_date", "col_is_logical"}
@@ -204,7 +204,7 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     by_hash = hashed.groupBy("_h1", "_h2").agg(cnt.alias("_n"))
     units = by_hash.select(F.col("_n").alias("_u"), F.lit(0).cast("bigint").alias("_bad"))
     repeated = by_hash.filter(F.col("_n") > 1).select("_h1", "_h2")
-    cand = hashed.join(broadcast_if_small(repeated), ["_h1", "_h2"], "left_semi")
+    cand = hashed.join(lookup_side(repeated), ["_h1", "_h2"], "left_semi")
     exact = cand.groupBy(*kcols).agg(cnt.alias("_n"))
     bad = exact.filter(F.col("_n") > 1).select(F.lit(0).cast("bigint").alias("_u"), F.col("_n").alias("_bad"))
     tot = units.unionByName(bad).agg(F.coalesce(F.sum("_u"), F.lit(0)).cast("bigint").alias("units"),
@@ -330,7 +330,7 @@ def validate_fks(df: DataFrame, table_name: str, dictionary: DataFrame, parents:
             base = base.unionByName(new)
         marks = base.dropDuplicates(keys).withColumn("_m", F.lit(True))
         flag = f"MATCHED_{parent}"
-        m = broadcast_if_small(marks).alias("_p")
+        m = lookup_side(marks).alias("_p")
         o = out.alias("_c")
         cond = reduce(lambda a, b: a & b, [F.col(f"_c.{k}").eqNullSafe(F.col(f"_p.{k}")) for k in keys])
         out = o.join(m, cond, "left").select("_c.*", F.coalesce(F.col("_p._m"), F.lit(False)).alias(flag))

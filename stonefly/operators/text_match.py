@@ -3,12 +3,12 @@
 ``grepl(paste(names, collapse="|"), col)`` over many columns: which rows
 contain any of a set of names.  The name set is data, so two exact plans:
 
-* small name set (size-checked): broadcast it and test ``contains`` per
-  (row, name) pair inside one broadcast nested-loop join;
-* larger sets: an equi-join on character n-grams.  Every name is keyed by
+* default: an equi-join on character n-grams.  Every name is keyed by
   its first ``q`` characters (short names by themselves); every value emits
   all its substrings of length 1..q; the equi-join finds candidates and
   ``contains`` confirms them.  No cross product is formed.
+* ``strategy="broadcast"`` (caller asserts a tiny, fixed name list): test
+  ``contains`` per (row, name) pair in one broadcast nested-loop join.
 """
 
 from __future__ import annotations
@@ -18,22 +18,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stonefly.operators.joins import estimated_bytes
-
-# The nested-loop path tests every (row, name) pair, so it is only taken for a
-# name set of a few thousand entries at most; anything larger uses the exact
-# n-gram equi-join, whose work grows with matching candidates, not with
-# rows x names.
-SMALL_NAME_SET_BYTES = 64 * 1024
-
 
 def rows_containing_any(df: DataFrame, cols: Sequence[str], names: DataFrame, name_col: str,
-                        q: int = 3, force: str | None = None) -> DataFrame:
+                        q: int = 3, strategy: str = "ngram") -> DataFrame:
     """Distinct rows of ``df`` where some column in ``cols`` contains some
     value of ``names[name_col]`` (literal, case-sensitive)."""
     nm = names.select(F.col(name_col).alias("_name")).filter(F.col("_name").isNotNull() & (F.col("_name") != "")).distinct()
-    size = estimated_bytes(nm)
-    strategy = force or ("broadcast" if size is not None and size <= SMALL_NAME_SET_BYTES else "ngram")
     if strategy == "broadcast":
         cond = None
         for c in cols:

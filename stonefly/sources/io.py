@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from stonefly.config.corrections import NA_TOKENS
 from stonefly.functions.dates import parse_date
-from stonefly.operators.joins import broadcast_if_small
+from stonefly.operators.joins import lookup_side
 from stonefly.session import scratch_path
 
 log = logging.getLogger(__name__)
@@ -80,7 +80,7 @@ def read_many_csv(spark: SparkSession, path_glob: str, index_col: str = "column_
     df = spark.read.option("header", True).csv(path_glob).withColumn("_file", F.col("_metadata.file_path"))
     files = df.select("_file").distinct()
     files = files.withColumn(index_col, F.dense_rank().over(Window.orderBy("_file")))
-    return df.join(broadcast_if_small(files), "_file").drop("_file")
+    return df.join(lookup_side(files), "_file").drop("_file")
 
 
 def for_csv(df: DataFrame) -> DataFrame:

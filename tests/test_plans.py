@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-# Name matching may use a nested-loop join, but only for a size-checked tiny name set.
-NESTED_LOOP_OK = {"name_match_any", "species_double_check"}
+# No registered query needs a nested-loop join (name matching is an n-gram equi-join).
+NESTED_LOOP_OK: set = set()
 
 
 def _plan(df) -> str:

@@ -70,7 +70,7 @@ def test_contains_any_strategies_match_brute_force(spark, strategy):
             (4, None, "plecoptera"), (5, "chironomus", "diptera")]
     df = spark.createDataFrame(rows, "id int, name string, ord string")
     words = spark.createDataFrame([("psyche",), ("a",), ("pleco",), ("zzz",), (None,), ("",)], "w string")
-    got = sorted(r.id for r in rows_containing_any(df, ["name", "ord"], words, "w", q=3, force=strategy).collect())
+    got = sorted(r.id for r in rows_containing_any(df, ["name", "ord"], words, "w", q=3, strategy=strategy).collect())
     ws = ["psyche", "a", "pleco", "zzz"]
     want = sorted(r[0] for r in rows if any(w in (r[1] or "") or w in (r[2] or "") for w in ws))
     assert got == want
@@ -80,13 +80,8 @@ def test_low_cardinality_join_back_matches_plain(spark):
     import stonefly.operators.joins as J
     rows = [(g, float(i)) for i in range(200) for g in ("a", "b")] + [("c", 5.0)]
     df = spark.createDataFrame(rows, "g string, v double")
-    old = J.BROADCAST_MAX_BYTES
-    J.BROADCAST_MAX_BYTES = 0          # force the salted path
-    try:
-        salted = J.with_group_aggregates(df, ["g"], {"m": F.avg("v")}, low_cardinality=True)
-        assert "_salt" not in salted.columns
-        got = sorted(tuple(r) for r in salted.collect())
-    finally:
-        J.BROADCAST_MAX_BYTES = old
+    salted = J.with_group_aggregates(df, ["g"], {"m": F.avg("v")}, low_cardinality=True)
+    assert "_salt" not in salted.columns
+    got = sorted(tuple(r) for r in salted.collect())
     want = sorted(tuple(r) for r in J.with_group_aggregates(df, ["g"], {"m": F.avg("v")}).collect())
     assert got == want and len(got) == 401
