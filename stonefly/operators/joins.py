@@ -44,6 +44,33 @@ def join_low_cardinality(big: DataFrame, small: DataFrame, keys: Sequence[str],
     return b.join(s, [*keys, "_salt"], how).drop("_salt")
 
 
+HOT_KEY_ROWS = 1_000_000
+HOT_KEY_SALT = 256
+
+
+def join_hot_keys(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
+                  hot_rows: int = HOT_KEY_ROWS, buckets: int = HOT_KEY_SALT) -> DataFrame:
+    """Exact equi-join that splits hot keys itself (for plans where AQE's
+    skew-join splitting is not available).
+
+    Keys with at least ``hot_rows`` rows on the big side are found with a
+    partial aggregate.  There can be at most rows / ``hot_rows`` of them, so
+    the hot-key list has a proven size bound and is broadcast.  Rows of a hot
+    key get one of ``buckets`` salts by row hash, and the matching small-side
+    rows are replicated once per salt; every other key keeps salt 0 and
+    joins as usual.  ``how``: inner or left (big side preserved).
+    """
+    hot = (big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= hot_rows)
+           .select(*keys, F.lit(True).alias("_hot")))
+    b = big.join(F.broadcast(hot), list(keys), "left")
+    b = b.withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]),
+                                                            F.lit(buckets))).otherwise(F.lit(0)).cast("bigint"))
+    sm = small.join(F.broadcast(hot), list(keys), "left")
+    sm = sm.withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
+                                          .otherwise(F.array(F.lit(0))))).drop("_hot")
+    return b.drop("_hot").join(sm, [*keys, "_salt"], how).drop("_salt")
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
                    small_right: bool = False) -> DataFrame:
     """Equi-join where null keys match each other (dplyr/merge default).
@@ -116,7 +143,7 @@ def fold_joins(base: DataFrame, others: Sequence[DataFrame], keys: Sequence[str]
 
 
 def with_group_aggregates(df: DataFrame, keys: Sequence[str], aggs: dict,
-                          low_cardinality: bool = False) -> DataFrame:
+                          low_cardinality: bool = False, hot_rows: int | None = None) -> DataFrame:
     """Grouped mutate: attach per-group aggregates to every row (JN-10, WN-01).
 
     Written as a partial aggregate plus a join back rather than a window:
@@ -126,8 +153,14 @@ def with_group_aggregates(df: DataFrame, keys: Sequence[str], aggs: dict,
     ``low_cardinality``: the keys have few values (e.g. a genus within one
     order), so the join back is salted instead of sending each group to one
     task.  Null keys then form no group of their own.
+
+    ``hot_rows``: split keys with at least that many rows explicitly
+    (``join_hot_keys``) instead of relying on AQE; null keys then join as in
+    SQL (no aggregate attached).
     """
     agg = df.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()])
+    if hot_rows is not None:
+        return join_hot_keys(df, agg, list(keys), "left", hot_rows=hot_rows)
     if low_cardinality:
         return join_low_cardinality(df, agg, list(keys), spread_by=df.columns, how="left")
     return join_null_safe(df, lookup_side(agg), keys, "left")

@@ -303,7 +303,7 @@ def staged_parent_rows(log: DataFrame, parent: str, schema: T.StructType, uid: s
 
 
 def validate_fks(df: DataFrame, table_name: str, dictionary: DataFrame, parents: Mapping[str, DataFrame],
-                 log: DataFrame | None = None) -> DataFrame:
+                 log: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
     """Flag each row's foreign keys (VAL-16).
 
     The dictionary (plan metadata, a few rows per table) names the FK
@@ -311,6 +311,9 @@ def validate_fks(df: DataFrame, table_name: str, dictionary: DataFrame, parents:
     rows UNION newest staged rows not already there, de-duplicated so the
     join cannot fan out; a null-safe left join adds ``MATCHED_<parent>``.
     ``FK_VALIDATION_PASSED`` is the AND of all flags (True without parents).
+    ``hot_rows``: split heavy foreign-key values explicitly
+    (``joins.join_hot_keys``) instead of relying on AQE; null keys then
+    never match.
     """
     meta = (dictionary.filter((F.upper("TABLE_NAME") == table_name.upper()) & F.col("FOREIGN_KEY")
                               & (F.col("PARENT_TABLE") != "NONE"))
@@ -330,10 +333,15 @@ def validate_fks(df: DataFrame, table_name: str, dictionary: DataFrame, parents:
             base = base.unionByName(new)
         marks = base.dropDuplicates(keys).withColumn("_m", F.lit(True))
         flag = f"MATCHED_{parent}"
-        m = lookup_side(marks).alias("_p")
-        o = out.alias("_c")
-        cond = reduce(lambda a, b: a & b, [F.col(f"_c.{k}").eqNullSafe(F.col(f"_p.{k}")) for k in keys])
-        out = o.join(m, cond, "left").select("_c.*", F.coalesce(F.col("_p._m"), F.lit(False)).alias(flag))
+        if hot_rows is not None:
+            from stonefly.operators.joins import join_hot_keys
+            out = (join_hot_keys(out, marks, keys, "left", hot_rows=hot_rows)
+                   .withColumn(flag, F.coalesce(F.col("_m"), F.lit(False))).drop("_m"))
+        else:
+            m = lookup_side(marks).alias("_p")
+            o = out.alias("_c")
+            cond = reduce(lambda a, b: a & b, [F.col(f"_c.{k}").eqNullSafe(F.col(f"_p.{k}")) for k in keys])
+            out = o.join(m, cond, "left").select("_c.*", F.coalesce(F.col("_p._m"), F.lit(False)).alias(flag))
         flags.append(flag)
     return out.withColumn("FK_VALIDATION_PASSED", all_true(flags))
 

@@ -85,3 +85,18 @@ def test_low_cardinality_join_back_matches_plain(spark):
     got = sorted(tuple(r) for r in salted.collect())
     want = sorted(tuple(r) for r in J.with_group_aggregates(df, ["g"], {"m": F.avg("v")}).collect())
     assert got == want and len(got) == 401
+
+
+def test_hot_key_join_is_exact(spark):
+    import stonefly.operators.joins as J
+    # key 1 holds most rows (hot); key 3 has no partner; key 4 only on the small side
+    big = spark.createDataFrame([(1, i) for i in range(300)] + [(2, 0), (2, 1), (3, 0), (None, 0)], "k int, i int")
+    small = spark.createDataFrame([(1, "one"), (2, "two"), (4, "four")], "k int, name string")
+    got = sorted(J.join_hot_keys(big, small, ["k"], "left", hot_rows=100, buckets=8).collect(),
+                 key=lambda r: (r.k is None, r.k or 0, r.i))
+    want = sorted(big.join(small, "k", "left").collect(), key=lambda r: (r.k is None, r.k or 0, r.i))
+    assert [tuple(r) for r in got] == [tuple(r) for r in want] and len(got) == 304
+    inner = J.join_hot_keys(big, small, ["k"], "inner", hot_rows=100, buckets=8)
+    assert inner.count() == 302
+    agg = J.with_group_aggregates(big, ["k"], {"n": F.count(F.lit(1))}, hot_rows=100)
+    assert {r.k: r.n for r in agg.filter("k is not null").collect()} == {1: 300, 2: 2, 3: 1}
