@@ -1,0 +1 @@
+"""Column expressions: null rules, text, dates and keys, numeric helpers."""

@@ -1,0 +1 @@
+"""Structured Streaming: incremental ingestion of new lab files."""
