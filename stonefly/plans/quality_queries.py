@@ -149,6 +149,43 @@ SELECT l_orderkey, l_linenumber,
 FROM lineitem"""
 
 
+# -- IO-08 / WN-03 / JSON-01: newest staged row image per UID from a log ---------
+def staged_orders(spark, d):
+    """A transfer log of order row images (three versions per order, the
+    newest with the current values); the newest image per UID is parsed."""
+    from pyspark.sql import types as T
+    o = table(spark, d, "orders")
+    img = lambda price: F.to_json(F.struct(F.col("o_orderkey"), F.col("o_custkey"), price.alias("o_totalprice"),
+                                           F.col("o_orderpriority")))
+    log = o.select(
+        F.col("o_orderkey").cast("string").alias("UID"), F.lit("ORDERS").alias("TABLE_NAME"),
+        F.explode(F.array(
+            F.struct(F.lit(1).alias("VERSION"), img(F.lit(0.0)).alias("DATA")),
+            F.struct(F.lit(3).alias("VERSION"), img(F.col("o_totalprice")).alias("DATA")),
+            F.struct(F.lit(2).alias("VERSION"), img(F.lit(-1.0)).alias("DATA")))).alias("v")
+    ).select("UID", "TABLE_NAME", "v.VERSION", "v.DATA")
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+                           T.StructField("o_totalprice", T.DoubleType()),
+                           T.StructField("o_orderpriority", T.StringType())])
+    return Q.staged_parent_rows(log, "ORDERS", schema)
+
+
+STAGED_ORDERS_SQL = """
+WITH log AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS UID, 'ORDERS' AS TABLE_NAME, v.VERSION,
+         to_json({'o_orderkey': o_orderkey, 'o_custkey': o_custkey,
+                  'o_totalprice': CASE WHEN v.VERSION = 3 THEN o_totalprice ELSE CAST(v.price AS DOUBLE) END,
+                  'o_orderpriority': o_orderpriority}) AS DATA
+  FROM orders, (VALUES (1, 0.0), (3, NULL), (2, -1.0)) AS v(VERSION, price)),
+newest AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY UID ORDER BY VERSION DESC) AS rn
+           FROM log WHERE TABLE_NAME = 'ORDERS')
+SELECT CAST(json_extract(DATA, '$.o_orderkey') AS BIGINT) AS o_orderkey,
+       CAST(json_extract(DATA, '$.o_custkey') AS BIGINT) AS o_custkey,
+       CAST(json_extract(DATA, '$.o_totalprice') AS DOUBLE) AS o_totalprice,
+       json_extract_string(DATA, '$.o_orderpriority') AS o_orderpriority
+FROM newest WHERE rn = 1"""
+
+
 # -- AG-12: column profile (exact variant) ---------------------------------------
 PROFILE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"]
 
@@ -209,6 +246,7 @@ FROM r"""
 
 
 QUERIES = {
+    "staged_orders": staged_orders,
     "orders_failure_summary": orders_failure_summary,
     "score_range_report": score_range_report,
     "orders_rule_report": orders_rule_report,
@@ -218,6 +256,7 @@ QUERIES = {
 }
 
 SQL = {
+    "staged_orders": STAGED_ORDERS_SQL,
     "orders_failure_summary": _orders_failure_summary_sql(),
     "score_range_report": _score_range_report_sql(),
     "orders_rule_report": _orders_rule_report_sql(),
