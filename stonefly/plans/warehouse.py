@@ -72,21 +72,25 @@ def metrics_long(wide: DataFrame, id_cols: Sequence[str] = LONG_IDS,
     else:
         w = w.withColumn("_low", F.lit(0))
     long = R.wide_to_long(w, [*ids, "_low"], values, "parameter_name", "result_value")
-    long = R.split_metric_name(long, "parameter_name", "unit", default_raw=[total_col])
-    long = long.withColumn("unit", F.regexp_replace("unit", "score", "score_0-10"))
+    # One projection for everything after the reshape (fewer plan nodes to
+    # analyse): type from the raw_/score_ prefix (the total count is raw),
+    # bare name, unit, description, category, qualifier, method, constants.
+    n = F.col("parameter_name")
+    name = F.regexp_replace(n, "^(raw_|score_)", "")
+    unit = (F.when(n.startswith("raw_"), F.lit("raw")).when(n.startswith("score_"), F.lit("score_0-10"))
+            .when(n == F.lit(total_col), F.lit("raw")))
     is_low = F.coalesce(F.col("_low"), F.lit(0)) == 1
-    is_profile = F.col("parameter_name") == "bioassessment_profile"
-    long = long.withColumns({
-        "parameter_description": L.case_map("parameter_name", PARAMETER_DESCRIPTIONS),
-        "result_category": F.when(is_profile, M.impact_category("result_value")).otherwise(F.lit("")),
-        "result_qualifier": F.when(is_low, F.lit(scoring.LOW_COUNT_QUALIFIER)).otherwise(F.lit("")),
-        "result_qualifier_description": F.when(is_low & is_profile, F.lit(scoring.LOW_COUNT_DESCRIPTION))
-        .otherwise(F.lit("")),
-        "sample_method": L.case_map(method_col, scoring.SAMPLE_METHODS, default=scoring.SAMPLE_METHOD_DEFAULT),
-    }).drop("_low")
-    if "sample_group" in long.columns:
-        long = long.drop("sample_group")
-    return add_constants(long, scoring.LONG_METRIC_CONSTANTS)
+    is_profile = name == F.lit("bioassessment_profile")
+    keep = [c for c in ids if c != "sample_group"]
+    return long.select(
+        *keep, name.alias("parameter_name"), "result_value", unit.alias("unit"),
+        L.case_map(name, PARAMETER_DESCRIPTIONS).alias("parameter_description"),
+        F.when(is_profile, M.impact_category("result_value")).otherwise(F.lit("")).alias("result_category"),
+        F.when(is_low, F.lit(scoring.LOW_COUNT_QUALIFIER)).otherwise(F.lit("")).alias("result_qualifier"),
+        F.when(is_low & is_profile, F.lit(scoring.LOW_COUNT_DESCRIPTION)).otherwise(F.lit(""))
+        .alias("result_qualifier_description"),
+        L.case_map(method_col, scoring.SAMPLE_METHODS, default=scoring.SAMPLE_METHOD_DEFAULT).alias("sample_method"),
+        *[F.lit(v).alias(k) for k, v in scoring.LONG_METRIC_CONSTANTS.items()])
 
 
 def split_targets(df: DataFrame, targets) -> dict:
