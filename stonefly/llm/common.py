@@ -16,9 +16,6 @@ import pyarrow.fs as pafs
 from pyarrow import RecordBatch
 from pyspark.sql import DataFrame, SparkSession
 
-#: ASCII white space, in the sense of ``[\x20\x09-\x0D]``.
-SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
-
 _OWN: list[str] = []
 
 

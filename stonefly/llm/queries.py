@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stonefly.llm import packing, token_files
+from stonefly.llm import language_id, line_quality, packing, token_files, vptree, warc
 from stonefly.llm.tokens import word_tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,16 +20,36 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, _table(spark, sf_dir, "documents"), word_tokenizer(), end_id=1, capacity=4096)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(spark, _table(spark, sf_dir, "pages")).drop("url")
+
+
+def op5_vantage_point_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(_table(spark, sf_dir, "embeddings"), k=10, factor=1.0, every=100)
+
+
+def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.line_frequency_rules(spark, _table(spark, sf_dir, "documents")).drop("content", "host")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(spark, _table(spark, sf_dir, "documents"), word_tokenizer(), end_id=2)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(spark, _table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
+        "op4_warc": op4_warc,
+        "op5_vantage_point_trees": op5_vantage_point_trees,
+        "op7_line_frequency": op7_line_frequency,
         "op8_token_files": op8_token_files,
+        "op10_language_id": op10_language_id,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_warc": warc.SQL, "op5_vantage_point_trees": vptree.SQL, "op7_line_frequency": line_quality.SQL}
