@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stonefly.llm import language_id, line_quality, packing, token_files, vptree, warc
+from stonefly.llm import language_id, line_quality, packing, suffix_dedup, token_files, vptree, warc
 from stonefly.llm.tokens import word_tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, _table(spark, sf_dir, "documents"), word_tokenizer(), end_id=1, capacity=4096)
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(spark, _table(spark, sf_dir, "documents"), length=100)
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(spark, _table(spark, sf_dir, "pages")).drop("url")
 
@@ -43,6 +47,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
+        "op2_suffix_array_dedup": op2_suffix_array_dedup,
         "op4_warc": op4_warc,
         "op5_vantage_point_trees": op5_vantage_point_trees,
         "op7_line_frequency": op7_line_frequency,
