@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stonefly.llm import language_id, line_quality, packing, suffix_dedup, token_files, vptree, warc
+from stonefly.llm import jaccard_tree, language_id, line_quality, packing, suffix_dedup, token_files, vptree, warc
 from stonefly.llm.tokens import word_tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(spark, _table(spark, sf_dir, "documents"), word_tokenizer(), end_id=2)
 
 
+def op9_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_tree.similar_documents(spark, _table(spark, sf_dir, "documents"), words=5, percent=80)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(spark, _table(spark, sf_dir, "documents"))
 
@@ -52,9 +56,10 @@ def queries() -> dict[str, Query]:
         "op5_vantage_point_trees": op5_vantage_point_trees,
         "op7_line_frequency": op7_line_frequency,
         "op8_token_files": op8_token_files,
+        "op9_signature_tree_join": op9_signature_tree_join,
         "op10_language_id": op10_language_id,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": warc.SQL, "op5_vantage_point_trees": vptree.SQL, "op7_line_frequency": line_quality.SQL}
+    return {"op4_warc": warc.SQL, "op5_vantage_point_trees": vptree.SQL, "op7_line_frequency": line_quality.SQL, "op9_signature_tree_join": jaccard_tree.SQL}

@@ -458,6 +458,8 @@ def windows_one_by_one(groups: list[tuple], length: int) -> Iterator[pa.RecordBa
             base = np.arange(len(part)) * 2 * STEP
             for s in range(STEP + 1):
                 ok = (lo <= s) & (s <= hi)
+                if not ok.any():
+                    continue
                 # the window: the left side from s on, the middle, the right side up to s, which lie beside each other here
                 h = mix64(rolling.of(base + s, base + STEP + s) ^ seed + np.uint64(s))
                 yield rows_of(3, h[ok], 0, d[ok], p[ok] >> PLACE << PLACE, ((p & ((1 << PLACE) - 1)) - length + s)[ok], 0)
