@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stonefly.llm import jaccard_tree, language_id, line_quality, packing, suffix_dedup, token_files, vptree, warc
-from stonefly.llm.tokens import word_tokenizer
+from stonefly.llm import jaccard_tree, language_id, line_quality, nbest, packing, paragraph_dedup, suffix_dedup, token_files, vptree, warc
+from stonefly.llm.tokens import piece_model, word_tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,10 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(spark, _table(spark, sf_dir, "documents"), length=100)
 
 
+def op3_nbest_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbest.nbest_segmentations(_table(spark, sf_dir, "documents"), piece_model(), n=3)
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(spark, _table(spark, sf_dir, "pages")).drop("url")
 
@@ -32,6 +36,10 @@ def op5_vantage_point_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(_table(spark, sf_dir, "embeddings"), k=10, factor=1.0, every=100)
 
 
+def op6_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.remove_paragraphs(spark, _table(spark, sf_dir, "documents"))
+
+
 def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.line_frequency_rules(spark, _table(spark, sf_dir, "documents")).drop("content", "host")
 
@@ -52,8 +60,10 @@ def queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
         "op2_suffix_array_dedup": op2_suffix_array_dedup,
+        "op3_nbest_segmentation": op3_nbest_segmentation,
         "op4_warc": op4_warc,
         "op5_vantage_point_trees": op5_vantage_point_trees,
+        "op6_paragraph_minhash": op6_paragraph_minhash,
         "op7_line_frequency": op7_line_frequency,
         "op8_token_files": op8_token_files,
         "op9_signature_tree_join": op9_signature_tree_join,

@@ -34,6 +34,13 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_model() -> str:
+    """Path of the public piece model that the segmentation query uses."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def encoder(path: str) -> Encoder:
     """One encoder per worker and file."""
     if path not in _ENCODERS:
