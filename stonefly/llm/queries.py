@@ -72,4 +72,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": warc.SQL, "op5_vantage_point_trees": vptree.SQL, "op7_line_frequency": line_quality.SQL, "op9_signature_tree_join": jaccard_tree.SQL}
+    return {"op2_suffix_array_dedup": suffix_dedup.SQL, "op4_warc": warc.SQL, "op5_vantage_point_trees": vptree.SQL, "op7_line_frequency": line_quality.SQL, "op9_signature_tree_join": jaccard_tree.SQL}

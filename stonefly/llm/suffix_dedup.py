@@ -517,3 +517,19 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return rows.mapInArrow(apply, f"{schema}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text)
+
+
+#: The query's rows in DuckDB SQL (doc_id is unique there): all windows of 100 bytes, as hexadecimal text.
+SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT doc_id, k, substr(h, 2000 * k + 1, 2198) AS h FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2000 + 1)) AS k FROM d)),
+w AS (SELECT doc_id, 1000 * k + j AS i, hash(substr(h, 2 * j + 1, 200)) AS g FROM (SELECT doc_id, k, h, unnest(range(0, least(1000, len(h) // 2 - 99))) AS j FROM c)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS n FROM w) WHERE n > 1),
+f AS (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, true) AS fresh FROM r),
+s AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (SELECT doc_id, i, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM f) GROUP BY doc_id, run),
+p AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM s),
+q AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS n, max(b) AS last, string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS kept FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN q USING (doc_id)
+"""
