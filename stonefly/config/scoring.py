@@ -71,7 +71,9 @@ SAMPLE_METHODS = {
     "Multihabitat: Lake": "multihabitat_lake",
     "Low-Gradient": "low_gradient",
     "Lake: Ponar": "lake_ponar",
+    "Ponar": "lake_ponar",
     "Lake: Littoral": "lake_littoral",
+    "Littoral": "lake_littoral",
     "Other: Various (Historical)": "other_various-historical",
 }
 SAMPLE_METHOD_DEFAULT = "unknown"

@@ -84,7 +84,7 @@ def whole_id_rules(rules: Iterable, suffix: str = r"(_\d{8}.*)?") -> list[tuple]
 
 def normalise_taxon(c) -> Column:
     """lower case, spaces to ``_``, trimmed (the species check normaliser)."""
-    return F.trim(F.regexp_replace(F.lower(_c(c)), " ", "_"))
+    return F.regexp_replace(F.regexp_replace(F.lower(_c(c)), " ", "_"), r"^\s+|\s+$", "")
 
 
 def collapse_sentence(arr, sep: str = ", ", last: str = ", and ") -> Column:

@@ -93,13 +93,14 @@ def repeated_groups(df: DataFrame, keys: Sequence[str], min_rows: int = 2,
                     count_col: str | None = None) -> DataFrame:
     """Rows whose key occurs at least ``min_rows`` times (WN-02, VAL-19).
 
-    Counting is a partial aggregate; the rows come back through a semi join
-    (AQE can split a skewed key there), not a per-key window.
+    Counting is a partial aggregate; the rows come back through a join that
+    matches null keys and splits hot ones, not a per-key window.
     """
+    from stonefly.operators.joins import split_join
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows)
     if count_col:
-        return df.join(counts.withColumnRenamed("_n", count_col), list(keys), "inner")
-    return df.join(counts.select(*keys), list(keys), "left_semi")
+        return split_join(df, counts.withColumnRenamed("_n", count_col), keys, "inner").select(*df.columns, count_col)
+    return split_join(df, counts.select(*keys), keys, "left_semi")
 
 
 def count_rows(df: DataFrame) -> int:

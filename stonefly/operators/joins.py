@@ -3,9 +3,9 @@
 Broadcast decisions are left to Spark's own size check: a side is broadcast
 when Catalyst's estimate is under ``spark.sql.autoBroadcastJoinThreshold``,
 and AQE re-decides from the actual shuffle sizes at runtime (and splits a
-skewed partition of a shuffle join).  Configuration tables are in-plan
-literals (``sources.literal``) so their estimate is exact and tiny.  Joins on
-a key with only a few values are salted explicitly.
+skewed partition of a join of two shuffles).  Configuration tables are in-plan
+literals (``sources.literal``) so their estimate is exact and tiny.  Joins back
+to an aggregate or a lookup deal hot keys to several tasks (``split_join``).
 """
 
 from __future__ import annotations
@@ -17,69 +17,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def lookup_side(df: DataFrame) -> DataFrame:
-    """Mark the lookup side of a join.  No hint is added: Spark broadcasts it
-    when its size estimate is under ``spark.sql.autoBroadcastJoinThreshold``
-    (AQE re-checks the real size at runtime); anything larger stays a
-    shuffle join.  A lookup is never broadcast without that check."""
-    return df
+#: Copies of each small-side row in ``split_join``: one key value is dealt to so many tasks.
+SPLIT = 16
 
 
-# Buckets for joins on a low-cardinality key (e.g. a handful of taxon groups).
-LOW_CARDINALITY_SALT = 64
+def split_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join ``big`` to a table with at most one row for each key, whatever the
+    key's share of ``big`` (JN-10).
 
-
-def join_low_cardinality(big: DataFrame, small: DataFrame, keys: Sequence[str], spread_by: Sequence[str],
-                         how: str = "inner", buckets: int = LOW_CARDINALITY_SALT) -> DataFrame:
-    """Join a large table to a small one on a key with few distinct values.
-
-    A plain shuffle join would send every row of one key value to one task.
-    Each small-side row is replicated into ``buckets`` copies (one per salt);
-    each large-side row takes the salt ``hash(spread_by) % buckets``, so one
-    key value is spread over ``buckets`` tasks.  When the replicated small
-    side is under Spark's broadcast threshold it is broadcast instead.
+    Keys match null-safe.  Every row of ``big`` takes a bucket by a hash of
+    the whole row and every row of ``small`` is copied into each bucket, so
+    a hot key (the null key, too) is spread over ``SPLIT`` tasks also where
+    AQE can't split it, as when the small side is an aggregate.  A small
+    side under Spark's broadcast threshold is broadcast instead.  ``how``:
+    inner, left, left_semi or left_anti.  Map columns stay out of the hash.
     """
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    b = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.lit(buckets)).cast("int"))
-    return b.join(s, [*keys, "_salt"], how).drop("_salt")
-
-
-HOT_KEY_ROWS = 1_000_000
-HOT_KEY_SALT = 256
+    spread = [F.col(f"`{f.name}`") for f in big.schema if "map<" not in f.dataType.simpleString()]
+    b = big.withColumn("_bucket", F.pmod(F.xxhash64(*spread), F.lit(SPLIT)).cast("int"))
+    s = small.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(SPLIT - 1))))
+    return join_null_safe(b, s, [*keys, "_bucket"], how).drop("_bucket")
 
 
-def join_hot_keys(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
-                  hot_rows: int = HOT_KEY_ROWS, buckets: int = HOT_KEY_SALT) -> DataFrame:
-    """Exact equi-join that splits hot keys itself (for plans where AQE's
-    skew-join splitting is not available).
-
-    Keys with at least ``hot_rows`` rows on the big side are found with a
-    partial aggregate.  There can be at most rows / ``hot_rows`` of them, so
-    the hot-key list has a proven size bound and is broadcast.  Rows of a hot
-    key get one of ``buckets`` salts by row hash, and the matching small-side
-    rows are replicated once per salt; every other key keeps salt 0 and
-    joins as usual.  ``how``: inner or left (big side preserved).
-    """
-    hot = (big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= hot_rows)
-           .select(*keys, F.lit(True).alias("_hot")))
-    b = big.join(F.broadcast(hot), list(keys), "left")
-    b = b.withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]),
-                                                            F.lit(buckets))).otherwise(F.lit(0)).cast("bigint"))
-    sm = small.join(F.broadcast(hot), list(keys), "left")
-    sm = sm.withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                                          .otherwise(F.array(F.lit(0))))).drop("_hot")
-    return b.drop("_hot").join(sm, [*keys, "_salt"], how).drop("_salt")
-
-
-def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
-                   small_right: bool = False) -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join where null keys match each other (dplyr/merge default).
 
     The output carries the left key columns (for full joins the keys are
     coalesced) and the right side's remaining columns.
     """
-    r = lookup_side(right) if small_right else right
-    la, ra = left.alias("_l"), r.alias("_r")
+    la, ra = left.alias("_l"), right.alias("_r")
 
     def L(c):
         return F.col(f"_l.`{c}`")
@@ -113,15 +78,14 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "left", null_safe
 
 
 def join_renamed(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
-                 right_keys: Sequence[str], how: str = "inner", small_right: bool = False) -> DataFrame:
+                 right_keys: Sequence[str], how: str = "inner") -> DataFrame:
     """``merge(by.x=, by.y=)``: keys with different names; the right key
     columns are dropped from the output (JN-01, JN-06)."""
-    r = lookup_side(right) if small_right else right
-    cond = reduce(lambda a, b: a & b, [left[lk] == r[rk] for lk, rk in zip(left_keys, right_keys)])
-    out = left.join(r, cond, how)
+    cond = reduce(lambda a, b: a & b, [left[lk] == right[rk] for lk, rk in zip(left_keys, right_keys)])
+    out = left.join(right, cond, how)
     for rk in right_keys:
         if rk not in left_keys:
-            out = out.drop(r[rk])
+            out = out.drop(right[rk])
     return out
 
 
@@ -142,35 +106,22 @@ def fold_joins(base: DataFrame, others: Sequence[DataFrame], keys: Sequence[str]
     return out
 
 
-def with_group_aggregates(df: DataFrame, keys: Sequence[str], aggs: dict,
-                          low_cardinality: bool = False, hot_rows: int | None = None) -> DataFrame:
+def with_group_aggregates(df: DataFrame, keys: Sequence[str], aggs: dict) -> DataFrame:
     """Grouped mutate: attach per-group aggregates to every row (JN-10, WN-01).
 
     Written as a partial aggregate plus a join back rather than a window:
-    the aggregate combines map-side, and a hot key in the join is split by
-    AQE's skew handling, while a window would put the whole group in one task.
-
-    ``low_cardinality``: the keys have few values (e.g. a genus within one
-    order), so the join back is salted instead of sending each group to one
-    task.  Null keys then form no group of their own.
-
-    ``hot_rows``: split keys with at least that many rows explicitly
-    (``join_hot_keys``) instead of relying on AQE; null keys then join as in
-    SQL (no aggregate attached).
+    the aggregate combines map-side and the join splits hot keys, while a
+    window would put the whole group in one task.  Null keys are a group.
     """
     agg = df.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()])
-    if hot_rows is not None:
-        return join_hot_keys(df, agg, list(keys), "left", hot_rows=hot_rows)
-    if low_cardinality:
-        return join_low_cardinality(df, agg, list(keys), spread_by=df.columns, how="left")
-    return join_null_safe(df, lookup_side(agg), keys, "left")
+    return split_join(df, agg, keys).select(*df.columns, *aggs)
 
 
 def semi_flag(df: DataFrame, other: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """Add a boolean ``flag``: row has a partner in ``other`` (no fan-out:
     the partner keys are de-duplicated first)."""
     marks = other.select(*keys).dropDuplicates().withColumn(flag, F.lit(True))
-    out = join_null_safe(df, lookup_side(marks), keys, "left")
+    out = split_join(df, marks, keys).select(*df.columns, flag)
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

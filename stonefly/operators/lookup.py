@@ -1,8 +1,8 @@
 """Value maps, corrections and crosswalks (CND-02, DOM-04/12..16/30).
 
 Fixed maps become ``CASE`` expressions (JVM-side, no join).  Maps that are
-tables join as a lookup: de-duplicated on the key first so no row can fan
-out, and broadcast only when the estimate says the table is small.
+tables join as a lookup: one row for each key by a stated rule, so no row can
+fan out, and broadcast only when the estimate says the table is small.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stonefly.functions.text import ordered_replace
-from stonefly.operators.joins import lookup_side
+from stonefly.operators.joins import split_join
 
 
 def _c(c) -> Column:
@@ -31,14 +31,31 @@ def case_map(c, mapping: Mapping, default=None, keep_unmatched: bool = False) ->
     return fallback if expr is None else expr.otherwise(fallback)
 
 
+def least_per_key(table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row for each key: the one with the least other columns, in their
+    order and nulls last, so a conflicting lookup gives the same choice for
+    any row order."""
+    rest = [c for c in table.columns if c not in keys]
+    ranked = F.struct(*[x for c in rest for x in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))])
+    least = table.groupBy(*keys).agg(F.min(ranked).alias("_least"))
+    return least.select(*keys, *[F.col(f"_least.{c}").alias(c) for c in rest])
+
+
+def lookup_conflicts(table: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Keys of a lookup with several different values (JN-12): the keys, how
+    many, and the choice that the joins here make."""
+    several = table.select(*keys, *values).distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n_values")).filter("n_values > 1")
+    return split_join(several, least_per_key(table.select(*keys, *values), keys), keys)
+
+
 def lookup_join(df: DataFrame, key: str, table: DataFrame, table_key: str, value: str, out: str,
                 keep_unmatched: bool = True) -> DataFrame:
     """Map ``key`` through a two-column table; unmatched keep the old value
     (or null) - a table-driven ``case_match``."""
-    t = table.select(F.col(table_key).alias("_lk"), F.col(value).alias("_lv")).dropDuplicates(["_lk"])
-    j = df.join(lookup_side(t), df[key] == F.col("_lk"), "left")
+    t = least_per_key(table.filter(F.col(table_key).isNotNull()).select(F.col(table_key).alias("_lk"), F.col(value).alias("_lv")), ["_lk"])
+    j = split_join(df.withColumn("_lk", F.col(key)), t, ["_lk"])
     e = F.coalesce(F.col("_lv"), F.col(key)) if keep_unmatched else F.col("_lv")
-    return j.withColumn(out, e).drop("_lk", "_lv")
+    return j.select(*df.columns, "_lk", "_lv").withColumn(out, e).drop("_lk", "_lv")
 
 
 def replace_from_crosswalk(df: DataFrame, col: str, crosswalk: DataFrame, old: str, new: str,
@@ -46,35 +63,31 @@ def replace_from_crosswalk(df: DataFrame, col: str, crosswalk: DataFrame, old: s
     """Superseded ids -> current ids (DOM-04 ``site_check``, DOM-30).
 
     Crosswalk rows with old == new, or with an empty/missing new id (an
-    adjustment table's blank rows), are dropped, the rest de-duplicated on
-    the old id; a left join replaces matched ids and flags them.
+    adjustment table's blank rows), are dropped; of several new ids for one
+    old id the least is taken (``lookup_conflicts`` lists them); a left join
+    replaces matched ids and flags them.
     """
     cw = (crosswalk.select(F.col(old).alias("_old"), F.col(new).alias("_new"))
           .filter((F.col("_old") != F.col("_new")) & F.col("_new").isNotNull() & (F.trim(F.col("_new")) != ""))
-          .dropDuplicates(["_old"]))
-    j = df.join(lookup_side(cw), df[col] == F.col("_old"), "left")
-    out = j.withColumn(col, F.coalesce(F.col("_new"), F.col(col)))
+          .filter(F.col("_old").isNotNull()))
+    j = split_join(df.withColumn("_old", F.col(col)), least_per_key(cw, ["_old"]), ["_old"])
+    out = j.select(*df.columns, "_new").withColumn(col, F.coalesce(F.col("_new"), F.col(col)))
     if flag:
-        out = out.withColumn(flag, F.col("_old").isNotNull())
-    return out.drop("_old", "_new")
+        out = out.withColumn(flag, F.col("_new").isNotNull())
+    return out.drop("_new")
 
 
 def correct_distinct(df: DataFrame, col: str, rules: Sequence, out: str | None = None) -> DataFrame:
-    """Ordered regex corrections applied to the distinct values of ``col``
-    and joined back (STR-09, DOM-15/27): the deep expression runs once per
-    distinct id, not once per row."""
-    out = out or col
-    ids = df.select(F.col(col).alias("_id")).distinct()
-    fixed = ids.withColumn("_fixed", ordered_replace("_id", rules))
-    j = df.join(lookup_side(fixed), df[col].eqNullSafe(F.col("_id")), "left")
-    return j.withColumn(out, F.col("_fixed")).drop("_id", "_fixed")
+    """Ordered regex corrections of ``col`` (STR-09, DOM-15/27) as one
+    expression on each row: the plan below runs once and nothing is shuffled."""
+    return df.withColumn(out or col, ordered_replace(col, rules))
 
 
 def apply_key_corrections(df: DataFrame, keys: Sequence[str], corrections: DataFrame,
                           targets: Sequence[str]) -> DataFrame:
     """Manual corrections keyed by (site, date, ...) (DOM-13): each target
     column takes the correction's value where one exists."""
-    c = corrections.select(*keys, *[F.col(t).alias(f"_fix_{t}") for t in targets]).dropDuplicates(list(keys))
-    j = df.join(lookup_side(c), list(keys), "left")
+    c = least_per_key(corrections.select(*keys, *[F.col(t).alias(f"_fix_{t}") for t in targets]), keys)
+    j = split_join(df, c, keys).select(*df.columns, *[f"_fix_{t}" for t in targets])
     return j.withColumns({t: F.coalesce(F.col(f"_fix_{t}"), F.col(t)) for t in targets}).drop(
         *[f"_fix_{t}" for t in targets])

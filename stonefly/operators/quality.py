@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from stonefly.functions.nulls import all_true, null_safe_on
 from stonefly.operators.aggregates import newest_per_key
-from stonefly.operators.joins import lookup_side
+from stonefly.operators.joins import split_join
 
 SCHEMA_CHECKS = {"col_exists", "col_count_match", "col_is_character", "col_is_numeric", "col_is_posix",
                  "col_is_date", "col_is_logical"}
@@ -204,7 +204,7 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     by_hash = hashed.groupBy("_h1", "_h2").agg(cnt.alias("_n"))
     units = by_hash.select(F.col("_n").alias("_u"), F.lit(0).cast("bigint").alias("_bad"))
     repeated = by_hash.filter(F.col("_n") > 1).select("_h1", "_h2")
-    cand = hashed.join(lookup_side(repeated), ["_h1", "_h2"], "left_semi")
+    cand = hashed.join(repeated, ["_h1", "_h2"], "left_semi")
     exact = cand.groupBy(*kcols).agg(cnt.alias("_n"))
     bad = exact.filter(F.col("_n") > 1).select(F.lit(0).cast("bigint").alias("_u"), F.col("_n").alias("_bad"))
     tot = units.unionByName(bad).agg(F.coalesce(F.sum("_u"), F.lit(0)).cast("bigint").alias("units"),
@@ -262,7 +262,7 @@ def failing_rows(df: DataFrame, rules: Sequence[Rule], n: int = 50, order_by: Se
 def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every row of a duplicate key group (VAL-09)."""
     dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(*keys)
-    return df.join(dup, list(keys), "left_semi")
+    return split_join(df, dup, keys, "left_semi")
 
 
 def compare_schemas(spark: SparkSession, a: DataFrame, b: DataFrame, names: tuple[str, str] = ("a", "b")) -> DataFrame:
@@ -303,7 +303,7 @@ def staged_parent_rows(log: DataFrame, parent: str, schema: T.StructType, uid: s
 
 
 def validate_fks(df: DataFrame, table_name: str, dictionary: DataFrame, parents: Mapping[str, DataFrame],
-                 log: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
+                 log: DataFrame | None = None) -> DataFrame:
     """Flag each row's foreign keys (VAL-16).
 
     The dictionary (plan metadata, a few rows per table) names the FK
@@ -311,9 +311,6 @@ def validate_fks(df: DataFrame, table_name: str, dictionary: DataFrame, parents:
     rows UNION newest staged rows not already there, de-duplicated so the
     join cannot fan out; a null-safe left join adds ``MATCHED_<parent>``.
     ``FK_VALIDATION_PASSED`` is the AND of all flags (True without parents).
-    ``hot_rows``: split heavy foreign-key values explicitly
-    (``joins.join_hot_keys``) instead of relying on AQE; null keys then
-    never match.
     """
     meta = (dictionary.filter((F.upper("TABLE_NAME") == table_name.upper()) & F.col("FOREIGN_KEY")
                               & (F.col("PARENT_TABLE") != "NONE"))
@@ -333,15 +330,8 @@ def validate_fks(df: DataFrame, table_name: str, dictionary: DataFrame, parents:
             base = base.unionByName(new)
         marks = base.dropDuplicates(keys).withColumn("_m", F.lit(True))
         flag = f"MATCHED_{parent}"
-        if hot_rows is not None:
-            from stonefly.operators.joins import join_hot_keys
-            out = (join_hot_keys(out, marks, keys, "left", hot_rows=hot_rows)
-                   .withColumn(flag, F.coalesce(F.col("_m"), F.lit(False))).drop("_m"))
-        else:
-            m = lookup_side(marks).alias("_p")
-            o = out.alias("_c")
-            cond = reduce(lambda a, b: a & b, [F.col(f"_c.{k}").eqNullSafe(F.col(f"_p.{k}")) for k in keys])
-            out = o.join(m, cond, "left").select("_c.*", F.coalesce(F.col("_p._m"), F.lit(False)).alias(flag))
+        out = (split_join(out, marks, keys).select(*out.columns, "_m")
+               .withColumn(flag, F.coalesce(F.col("_m"), F.lit(False))).drop("_m"))
         flags.append(flag)
     return out.withColumn("FK_VALIDATION_PASSED", all_true(flags))
 

@@ -16,7 +16,7 @@ from stonefly.functions import dates as D
 from stonefly.functions import text as X
 from stonefly.functions.numeric import round_half_up
 from stonefly.operators import metrics as M
-from stonefly.operators.joins import lookup_side, join_null_safe
+from stonefly.operators.joins import join_null_safe
 from stonefly.operators.text_match import rows_containing_any
 
 DATE_FORMATS = ("%m/%d/%Y", "%m-%d-%Y")
@@ -54,7 +54,7 @@ def lake_groups(raw: DataFrame, rules: DataFrame, site_col: str = "MSSIH_EVENT_S
     no rule matches (DOM-10).  The rule table is configuration (broadcast)."""
     r = rules.select(F.col(rules.columns[0]).alias("_s"), F.col(rules.columns[1]).alias("_d"),
                      F.col(rules.columns[2]).alias("_g")).dropDuplicates(["_s", "_d"])
-    j = raw.join(lookup_side(r), (raw[site_col] == F.col("_s")) & (raw[date_col] == F.col("_d")), "left")
+    j = raw.join(r, (raw[site_col] == F.col("_s")) & (raw[date_col] == F.col("_d")), "left")
     return j.withColumn(out, F.coalesce(F.col("_g"), F.lit(""))).drop("_s", "_d", "_g")
 
 
@@ -73,8 +73,7 @@ def tolerance_means(master: DataFrame, order: str, by: str, keep: Sequence[str]
     from stonefly.operators.joins import with_group_aggregates
     f = master.filter(F.col(order_col) == F.lit(order))
     names = {f"new_{t}": F.avg(t) for t in tolerances}
-    # Few groups (genera or tolerance names within one order): salted join back.
-    g = with_group_aggregates(f, [by], names, low_cardinality=True)
+    g = with_group_aggregates(f, [by], names)
     return g.select(*(keep or [by]), *names).distinct()
 
 
@@ -99,7 +98,7 @@ def prepare_contract_lab(raw: DataFrame, collect_method: DataFrame) -> DataFrame
         "INDIV": F.col("MSDH_INDIVIDUAL_SPECIES_CNT"),
         "site_id": F.col("MSSIH_EVENT_SMAS_HISTORY_ID"),
     })
-    cm = lookup_side(collect_method)
+    cm = collect_method
     out = df.join(cm, df.MSSIH_BIOSAMPLE_COLLECT_METHOD == cm.BIOSAMPLE_COLLECT_METHOD, "inner")
     return out.drop("BIOSAMPLE_COLLECT_METHOD").withColumn("COLLECT", F.col("BIOSAMPLE_COLLECT_METHOD_ID"))
 
@@ -205,7 +204,7 @@ def history_tables(prepared: DataFrame, taxonomist: str = "WAA", total: str = "m
         # (small, size-checked) method table.
         names = method_names.select(F.col("BIOSAMPLE_COLLECT_METHOD_ID").alias("_mid"),
                                     F.col("BIOSAMPLE_COLLECT_METHOD").alias("_mname")).dropDuplicates(["_mid"])
-        df = (df.join(lookup_side(names), F.col("COLLECT") == F.col("_mid"), "left")
+        df = (df.join(names, F.col("COLLECT") == F.col("_mid"), "left")
               .withColumn("MSSIH_BIOSAMPLE_COLLECT_METHOD", F.coalesce("MSSIH_BIOSAMPLE_COLLECT_METHOD", "_mname"))
               .drop("_mid", "_mname"))
     if total == "max":
@@ -258,7 +257,7 @@ def score_rows(rows: DataFrame, taxa: DataFrame, model: DataFrame | None, sample
     if materialize is None:
         materialize = bool(carry)
     counts = M.sum_duplicate_taxa(rows, keys, "taxon", "n", carry={k: F.max(k) for k in carry})
-    j = counts.join(lookup_side(taxa), "taxon", "left")
+    j = counts.join(taxa, "taxon", "left")
     if materialize:
         from stonefly.session import cut_lineage
         j = cut_lineage(j)
@@ -346,7 +345,7 @@ def publish_scoring_output(scored: DataFrame, collect: DataFrame, digits: int =
     c = collect.select(*keys, "COLLECT").dropDuplicates(keys)
     if "date" in keys:
         df = df.withColumn("date", F.col("_date"))
-    df = join_null_safe(df, lookup_side(c), keys, "left")
+    df = join_null_safe(df, c, keys, "left")
     df = df.withColumn("MMDH_LINKED_ID_VALIDATOR", D.linked_id("site_id", "_date", "COLLECT", "REPLICATE"))
     present = {o: n for o, n in names.items() if o in df.columns}
     out = df.select(*[F.col(o).alias(n) for o, n in present.items()])

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from stonefly.functions.numeric import round_half_up, round_half_up_sql
 from stonefly.operators import metrics as M
-from stonefly.operators.joins import lookup_side
 from stonefly.plans import sqlgen as S
 from stonefly.sources.tables import table
 
@@ -79,7 +78,7 @@ FROM r GROUP BY sample_id"""
 # -- MET-03/04/07/08: EPT and NCO richness, biotic indices per order --------
 def taxa_metrics(spark, d):
     counts = order_counts(spark, d)
-    attrs = lookup_side(_taxon_attrs(table(spark, d, "part")))
+    attrs = _taxon_attrs(table(spark, d, "part"))
     j = counts.join(attrs, "taxon")
     out = M.basic_metrics(j, ["sample_id"], "taxon", "n",
                           flags={"ept_richness": "is_ept", "nco_richness": "is_nco"},
@@ -124,8 +123,8 @@ SELECT sample_id, taxon_rank, taxon, n FROM r WHERE taxon_rank <= 3"""
 
 def _nation_type_counts(spark, d):
     li = table(spark, d, "lineitem").select("l_suppkey", "l_partkey", "l_quantity")
-    sup = lookup_side(table(spark, d, "supplier").select("s_suppkey", "s_nationkey"))
-    part = lookup_side(table(spark, d, "part").select("p_partkey", "p_type"))
+    sup = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    part = table(spark, d, "part").select("p_partkey", "p_type")
     j = (li.join(sup, li.l_suppkey == sup.s_suppkey).join(part, li.l_partkey == part.p_partkey)
          .select(F.col("s_nationkey").alias("nation"), F.col("p_type").alias("taxon_group"),
                  F.col("l_quantity").alias("n")))
@@ -188,7 +187,7 @@ def sample_scores(spark, d):
                     F.col("l_partkey").alias("taxon"), F.col("l_quantity").alias("n")))
     keys = ["sample_id", "o_orderstatus", "method"]
     counts = M.sum_duplicate_taxa(rows, keys, "taxon", "n")
-    attrs = lookup_side(_taxon_attrs(table(spark, d, "part")))
+    attrs = _taxon_attrs(table(spark, d, "part"))
     j = counts.join(attrs, "taxon")
     overall = j.groupBy("taxon_group").agg(F.sum("n").alias("g"))
     # One row per taxon group (a handful): the global window is bounded.

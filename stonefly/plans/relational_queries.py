@@ -177,7 +177,7 @@ CUSTOMERS_WITH_URGENT_SQL = f"SELECT c_custkey, c_name FROM customer WHERE c_cus
 def lineitem_part_inner(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     p = table(spark, d, "part").select("p_partkey", "p_brand", "p_type")
-    return J.join_renamed(li, p, ["l_partkey"], ["p_partkey"], "inner", small_right=True)
+    return J.join_renamed(li, p, ["l_partkey"], ["p_partkey"], "inner")
 
 
 LINEITEM_PART_INNER_SQL = """

@@ -16,7 +16,7 @@ from stonefly.operators import lookup as L
 from stonefly.operators import metrics as M
 from stonefly.operators import reshape as R
 from stonefly.operators.columns import add_constants
-from stonefly.operators.joins import lookup_side, join_null_safe
+from stonefly.operators.joins import join_null_safe
 
 LONG_IDS = ("event_id", "site_id", "date", "collection_method", "replicate", "sample_group")
 
@@ -68,7 +68,7 @@ def metrics_long(wide: DataFrame, id_cols: Sequence[str] = LONG_IDS,
     if total_col in w.columns:
         low = M.below_count_minimum(method_col, total_col).cast("int")
         flags = w.groupBy("event_id").agg(F.max(low).alias("_low"))
-        w = join_null_safe(w, lookup_side(flags), ["event_id"], "left")
+        w = join_null_safe(w, flags, ["event_id"], "left")
     else:
         w = w.withColumn("_low", F.lit(0))
     long = R.wide_to_long(w, [*ids, "_low"], values, "parameter_name", "result_value")
@@ -158,7 +158,7 @@ def rmn_override(df: DataFrame, rmn_sites: DataFrame, site_col: str = "SITE_CODE
                  value: str = "rmn_kick", replicate: int = 2) -> DataFrame:
     """DOM-24: site in the RMN set and replicate 2 -> method ``rmn_kick``."""
     marks = rmn_sites.select(F.col(rmn_sites.columns[0]).alias("_rmn")).distinct().withColumn("_is_rmn", F.lit(True))
-    j = df.join(lookup_side(marks), df[site_col] == F.col("_rmn"), "left")
+    j = df.join(marks, df[site_col] == F.col("_rmn"), "left")
     cond = F.coalesce(F.col("_is_rmn"), F.lit(False)) & (F.col(replicate_col) == replicate)
     return j.withColumn(method_col, F.when(cond, F.lit(value)).otherwise(F.col(method_col))).drop("_rmn", "_is_rmn")
 
@@ -215,5 +215,5 @@ def attach_events(samples: DataFrame, events: DataFrame, keys: Sequence[str] = (
     """Left join samples to survey events on (site, date); returns (rows,
     rows without a survey event).  The events table is a small crosswalk
     (size-checked broadcast)."""
-    out = join_null_safe(samples, lookup_side(events), list(keys), "left")
+    out = join_null_safe(samples, events, list(keys), "left")
     return out, out.filter(F.col("final_id").isNull())

@@ -16,13 +16,13 @@ from __future__ import annotations
 import logging
 import os
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stonefly.config.corrections import NA_TOKENS
 from stonefly.functions.dates import parse_date
-from stonefly.operators.joins import lookup_side
 from stonefly.session import scratch_path
 
 log = logging.getLogger(__name__)
@@ -51,7 +51,8 @@ def read_csv_typed(spark: SparkSession, path: str | Sequence[str], col_types: Ma
     dropped unless ``keep_extra``.  An unnamed leading row-number column
     (``_c0``) is dropped (IO-10).
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = (spark.read.option("header", True).option("inferSchema", False)
+           .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path))
     raw = raw.drop(*[c for c in raw.columns if c in ("_c0", "")])
     tokens = list(na_tokens)
     cleaned = raw.select(*[F.when(F.trim(F.col(f"`{c}`")).isin(tokens), F.lit(None))
@@ -73,14 +74,26 @@ def read_csv_typed(spark: SparkSession, path: str | Sequence[str], col_types: Ma
 def read_many_csv(spark: SparkSession, path_glob: str, index_col: str = "column_label") -> DataFrame:
     """``lapply(files, read.csv) |> bind_rows(.id=)`` (IO-04/05).
 
-    One scan over all matching files; the source index is the rank of the
-    file path among the distinct paths.  That ranking runs on the list of
-    files (one row per file), never on the data rows, and joins back.
+    Columns bind by name: the files are listed (one row a file; no data is
+    read), those with one header are one scan, and the scans are united by
+    name with missing columns null.  ``index_col`` is the rank of the file's
+    path in the list.
     """
-    df = spark.read.option("header", True).csv(path_glob).withColumn("_file", F.col("_metadata.file_path"))
-    files = df.select("_file").distinct()
-    files = files.withColumn(index_col, F.dense_rank().over(Window.orderBy("_file")))
-    return df.join(lookup_side(files), "_file").drop("_file")
+    listed = spark.read.format("binaryFile").load(path_glob).select("path")
+    files = sorted(r["path"] for r in listed.collect())
+    if not files:
+        raise FileNotFoundError(path_glob)
+    by_header: dict[tuple, list[str]] = {}
+    for f in files:
+        by_header.setdefault(tuple(spark.read.option("header", True).csv(f).columns), []).append(f)
+    scans = []
+    for same in by_header.values():
+        index = F.create_map(*[F.lit(x) for f in same for x in (f.split(":", 1)[-1].lstrip("/"), files.index(f) + 1)])
+        own = F.regexp_replace(F.expr("_metadata.file_path"), "^[a-z0-9]+:/*", "")
+        scans.append(spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True)
+                     .option("ignoreTrailingWhiteSpace", True).csv(same).withColumn(index_col, index[own]))
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    return out.select(*[c for c in out.columns if c != index_col], index_col)
 
 
 def for_csv(df: DataFrame) -> DataFrame:
@@ -115,14 +128,8 @@ def append_history(df: DataFrame, history_path: str, run_date: str, partition_co
     overwrite: a retried or re-run job replaces its own partition and never
     touches (or duplicates) earlier runs.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (df.withColumn(partition_col, F.lit(run_date)).write.mode("overwrite")
-         .partitionBy(partition_col).parquet(history_path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.withColumn(partition_col, F.lit(run_date)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(history_path))
 
 
 def read_history(spark: SparkSession, history_path: str, run_dates: Sequence[str] | None = None,

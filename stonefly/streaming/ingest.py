@@ -55,7 +55,8 @@ def ingest_species_history(spark: SparkSession, landing_dir: str, history_path:
         prepared = LAB.prepare_contract_lab(df, collect)
         species = LAB.history_tables(prepared)["species_history"]
         (species.withColumn("run_date", F.lit(run_date)).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").partitionBy("run_date").parquet(history_path))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run_date", "batch_id").parquet(history_path))  # a batch run again replaces its own partition
 
     q = (lab_file_stream(spark, landing_dir).writeStream.foreachBatch(batch)
          .option("checkpointLocation", os.path.join(checkpoint, "")).trigger(availableNow=True).start())

@@ -118,3 +118,11 @@ def test_site_and_event_corrections(spark):
     ev = spark.createDataFrame([("12-MOYR-5.1_20100729",), ("x",)], "e string")
     assert [r[0] for r in ev.select(case_map("e", S.event_map(), keep_unmatched=True)).collect()] == \
         ["12-MOYR-5.1_20100728", "x"]
+
+
+def test_taxon_names_lose_tabs_and_newlines(spark):
+    from pyspark.sql import functions as F
+
+    from stonefly.functions.text import normalise_taxon
+    df = spark.createDataFrame([("Baetis\t",), ("\nPerla sp.",)], "t string")
+    assert [r[0] for r in df.select(normalise_taxon(F.col("t"))).collect()] == ["baetis", "perla_sp."]

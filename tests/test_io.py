@@ -71,3 +71,18 @@ def test_stream_ingest_processes_each_file_once(spark):
     ingest_species_history(spark, landing, hist, ck)   # nothing new
     rows = spark.read.parquet(hist).collect()
     assert sorted(r.MSDH_LINKED_ID_VALIDATOR for r in rows) == ["13-PATS-0.5_20180705_1_1", "13-PATS-1.3_20180705_1_2"]
+
+
+def test_files_bind_by_name_and_are_trimmed(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("site,taxon,n\ns1, baetis ,3\n")
+    (tmp_path / "b.csv").write_text("taxon,site,n,note\nperla,s2,4,x\n")
+    (tmp_path / "c.csv").write_text("site,taxon,n\ns3,capnia,5\n")
+    got = sorted(tuple(r[c] for c in ("site", "taxon", "n", "note", "column_label"))
+                 for r in IO.read_many_csv(spark, str(tmp_path / "*.csv")).collect())
+    assert got == [("s1", "baetis", "3", None, 1), ("s2", "perla", "4", "x", 2), ("s3", "capnia", "5", None, 3)]
+
+
+def test_typed_fields_are_trimmed(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("m,n\nKick: Standard , 7 \n")
+    row = IO.read_csv_typed(spark, str(tmp_path / "t.csv"), {"m": "string", "n": "int"}).first()
+    assert (row.m, row.n) == ("Kick: Standard", 7)

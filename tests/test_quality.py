@@ -129,16 +129,3 @@ def test_wide_key_counts_exact(spark):
     assert (got.units, got.n_pass) == (7, 2)
     narrow = Q.key_counts(df, ["a"]).first()
     assert (narrow.units, narrow.n_pass) == (7, 2)
-
-
-def test_validate_fks_hot_key_path(spark):
-    child = spark.createDataFrame([(f"u{i}", "S1") for i in range(50)] + [("v", "S2"), ("w", "S9")],
-                                  "UID string, SITE_CODE string")
-    site = spark.createDataFrame([("S1",), ("S2",)], "SITE_CODE string")
-    dictionary = spark.createDataFrame([("EVENT", "SITE_CODE", False, True, "SITE")],
-                                       "TABLE_NAME string, COLUMN_NAME string, PRIMARY_KEY boolean, "
-                                       "FOREIGN_KEY boolean, PARENT_TABLE string")
-    a = {r.UID: r.FK_VALIDATION_PASSED for r in Q.validate_fks(child, "EVENT", dictionary, {"SITE": site}).collect()}
-    b = {r.UID: r.FK_VALIDATION_PASSED
-         for r in Q.validate_fks(child, "EVENT", dictionary, {"SITE": site}, hot_rows=10).collect()}
-    assert a == b and len(b) == 52 and b["w"] is False and b["u3"] is True

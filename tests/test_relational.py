@@ -76,27 +76,42 @@ def test_contains_any_strategies_match_brute_force(spark, strategy):
     assert got == want
 
 
-def test_low_cardinality_join_back_matches_plain(spark):
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_split_join_is_exact_for_hot_and_null_keys(spark, how):
     import stonefly.operators.joins as J
-    rows = [(g, float(i)) for i in range(200) for g in ("a", "b")] + [("c", 5.0)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    salted = J.with_group_aggregates(df, ["g"], {"m": F.avg("v")}, low_cardinality=True)
-    assert "_salt" not in salted.columns
-    got = sorted(tuple(r) for r in salted.collect())
-    want = sorted(tuple(r) for r in J.with_group_aggregates(df, ["g"], {"m": F.avg("v")}).collect())
-    assert got == want and len(got) == 401
+    # key 1 holds most rows (hot); key 3 has no partner; key 4 only on the small side; the null keys match
+    big = spark.createDataFrame([(1, i) for i in range(300)] + [(2, 0), (2, 1), (3, 0), (None, 0), (None, 0)], "k int, i int")
+    small = spark.createDataFrame([(1, "one"), (2, "two"), (4, "four"), (None, "none")], "k int, name string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = sorted(map(str, map(tuple, J.split_join(big, small, ["k"], how).collect())))
+        want = sorted(map(str, map(tuple, J.join_null_safe(big, small, ["k"], how).collect())))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == want and len(got) == {"left": 305, "inner": 304, "left_semi": 304, "left_anti": 1}[how]
+
+
+def test_null_keys_are_a_group(spark):
+    import stonefly.operators.joins as J
+    from stonefly.operators.aggregates import repeated_groups
+    from stonefly.operators.quality import duplicate_rows
+    df = spark.createDataFrame([("e1", None, 5.0), ("e1", None, 7.0), ("e2", 1, 1.0), (None, None, 2.0)], "e string, r int, v double")
+    got = {(r.e, r.r, r.v): r.m for r in J.with_group_aggregates(df, ["e", "r"], {"m": F.avg("v")}).collect()}
+    assert got == {("e1", None, 5.0): 6.0, ("e1", None, 7.0): 6.0, ("e2", 1, 1.0): 1.0, (None, None, 2.0): 2.0}
+    assert sorted(r.v for r in repeated_groups(df, ["e", "r"]).collect()) == [5.0, 7.0]
+    assert [r.n for r in repeated_groups(df, ["e", "r"], count_col="n").collect()] == [2, 2]
+    assert sorted(r.v for r in duplicate_rows(df, ["e", "r"]).collect()) == [5.0, 7.0]
+
+
+def test_conflicting_lookups_have_a_stated_choice(spark):
+    from stonefly.operators import lookup as K
+    rows = [("a", "c"), ("a", "b"), ("x", "y"), ("n", None), ("s", "s")]
+    df = spark.createDataFrame([("a",), ("x",), ("z",), (None,), ("n",)], "site string")
+    for order in (rows, rows[::-1]):
+        cw = spark.createDataFrame(order, "old string, new string")
+        got = [(r.site, r.changed) for r in K.replace_from_crosswalk(df, "site", cw, "old", "new").collect()]
+        assert sorted(got, key=str) == sorted([("b", True), ("y", True), ("z", False), (None, False), ("n", False)], key=str)
+        assert [tuple(r) for r in K.lookup_conflicts(cw, ["old"], ["new"]).collect()] == [("a", 2, "b")]
 
 
-def test_hot_key_join_is_exact(spark):
-    import stonefly.operators.joins as J
-    # key 1 holds most rows (hot); key 3 has no partner; key 4 only on the small side
-    big = spark.createDataFrame([(1, i) for i in range(300)] + [(2, 0), (2, 1), (3, 0), (None, 0)], "k int, i int")
-    small = spark.createDataFrame([(1, "one"), (2, "two"), (4, "four")], "k int, name string")
-    got = sorted(J.join_hot_keys(big, small, ["k"], "left", hot_rows=100, buckets=8).collect(),
-                 key=lambda r: (r.k is None, r.k or 0, r.i))
-    want = sorted(big.join(small, "k", "left").collect(), key=lambda r: (r.k is None, r.k or 0, r.i))
-    assert [tuple(r) for r in got] == [tuple(r) for r in want] and len(got) == 304
-    inner = J.join_hot_keys(big, small, ["k"], "inner", hot_rows=100, buckets=8)
-    assert inner.count() == 302
-    agg = J.with_group_aggregates(big, ["k"], {"n": F.count(F.lit(1))}, hot_rows=100)
-    assert {r.k: r.n for r in agg.filter("k is not null").collect()} == {1: 300, 2: 2, 3: 1}
