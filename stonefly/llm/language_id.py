@@ -11,7 +11,7 @@ A part of them is held back to fit a temperature, by which scores are probabilit
 Text that is null or has no letter gives ``und`` with score 0; so does any text when
 there is nothing to learn from. Whole texts are read. Every input row gives one row,
 repeated rows too; an empty table gives an empty result. Only the columns named are
-read; ``keep`` names further ones to pass through.
+read; ``keep`` names further ones to pass through (not ``_text``, ``lang_pred`` or ``score``).
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from stonefly.llm.common import run_dir, slices, write_table
 
 BINS = 1 << 15
 ORDERS = (1, 2, 3)
+SAMPLE_PARTS = 32
 _LETTERS: list[np.ndarray] = []
 
 
@@ -194,8 +195,11 @@ def train(spark: SparkSession, docs: DataFrame, training: Column, id_col: str =
     folder = run_dir(spark, "language-id")
     # the sample: of each language the rows with the smallest hashes, chosen by narrow rows and written
     each = max(1, sample_rows // max(1, rows.select("lang").distinct().count()))
-    chosen = rows.select("lang", "h").distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("k") <= each).select("lang", "h")
-    chosen = write_table(chosen, f"{folder}/chosen")
+    # first within parts of each language, so that no language is ordered in one task
+    chosen = rows.select("lang", "h").distinct().withColumn("part", F.pmod(F.xxhash64("h"), F.lit(SAMPLE_PARTS)))
+    for by in (["lang", "part"], ["lang"]):
+        chosen = chosen.withColumn("k", F.row_number().over(Window.partitionBy(*by).orderBy("h"))).filter(F.col("k") <= each).drop("k")
+    chosen = write_table(chosen.select("lang", "h"), f"{folder}/chosen")
     sample = rows.join(chosen, ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"])
     got = features(sample.select("h", "lang", "text"), idf)
     names = sorted({x[0] for x in got})
