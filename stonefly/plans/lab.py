@@ -189,7 +189,9 @@ def history_tables(prepared: DataFrame, taxonomist: str = "WAA", total: str = "m
     """Build ``sample_event`` and ``species_history``.
 
     ``total="max"``: contract labs report the total on every row, keep the
-    largest (DOM-06).  ``total="sum"``: sum the taxon counts (DOM-05).
+    largest (DOM-06).  ``total="sum"``: sum the taxon counts (DOM-05).  Either
+    is null when one of its values is.  Samples whose date can't be read have
+    no key; they are told apart by site, date text, method and replicate.
     ``extra_sample_cols`` (e.g. ``event_id``) ride along in the same
     aggregate when a caller needs them per sample.
 
@@ -207,21 +209,23 @@ def history_tables(prepared: DataFrame, taxonomist: str = "WAA", total: str = "m
         df = (df.join(names, F.col("COLLECT") == F.col("_mid"), "left")
               .withColumn("MSSIH_BIOSAMPLE_COLLECT_METHOD", F.coalesce("MSSIH_BIOSAMPLE_COLLECT_METHOD", "_mname"))
               .drop("_mid", "_mname"))
-    if total == "max":
-        part, fin = F.max("MSSIH_TOTAL_INDIV_CNT_IND"), F.max
-    elif total == "sum":
-        part, fin = F.sum("INDIV"), F.sum
-    else:
+    if total not in ("max", "sum"):
         raise ValueError(total)
+    fin, value = (F.max, "MSSIH_TOTAL_INDIV_CNT_IND") if total == "max" else (F.sum, "INDIV")
+    # Rows without a sample key (unreadable date) stay apart by what identifies them.
+    df = df.withColumn("_apart", F.when(F.col("MSSIH_LINKED_ID_VALIDATOR").isNull(),
+                                        F.to_json(F.struct(site_col, "COLL_DATE", "COLLECT", "Replicate"))))
     from pyspark.sql import Window
     grouped = df.groupBy(
         "MSSIH_LINKED_ID_VALIDATOR", F.col("COLLECT").alias("MSSIH_BIOSAMPLE_COLLECT_METHOD_NUM"),
         F.col(site_col).alias("MSSIH_EVENT_SMAS_HISTORY_ID"), "MSSIH_EVENT_SMAS_SAMPLE_DATE",
         F.col("Replicate").alias("MSSIH_REPLICATE"), "MSSIH_TAXONOMIST", "MSSIH_TOTAL_INDIV_CNT_NOTE",
-        "MSSIH_BIOSAMPLE_COLLECT_METHOD", "MSSIH_GROUP", *extra_sample_cols).agg(part.alias("_t"))
+        "MSSIH_BIOSAMPLE_COLLECT_METHOD", "MSSIH_GROUP", "_apart", *extra_sample_cols).agg(
+            fin(value).alias("_t"), (F.count(value) == F.count(F.lit(1))).alias("_all"))
+    w = Window.partitionBy("MSSIH_LINKED_ID_VALIDATOR", "_apart")
     samples = grouped.withColumn(
-        "MSSIH_TOTAL_INDIV_CNT", fin("_t").over(Window.partitionBy("MSSIH_LINKED_ID_VALIDATOR")).cast("double")
-    ).drop("_t")
+        "MSSIH_TOTAL_INDIV_CNT", F.when(F.min("_all").over(w), fin("_t").over(w)).cast("double")
+    ).drop("_t", "_all", "_apart")
     species = df.select(
         F.col("MSSIH_LINKED_ID_VALIDATOR").alias("MSDH_LINKED_ID_VALIDATOR"),
         F.col("INDIV").alias("MSDH_INDIVIDUAL_SPECIES_CNT"),

@@ -217,3 +217,15 @@ def test_survey_events_and_missing(spark):
 def test_prepare_without_group_column(spark, raw):
     prep = LAB.prepare_contract_lab(raw.drop("group"), LAB.collect_method_table(spark))
     assert {r.group for r in prep.collect()} == {""}
+
+
+def test_totals_are_strict_and_bad_dates_stay_apart(spark):
+    from stonefly.plans import lab as LAB
+    rows = [("s1", "01/02/2020", 6, 3), ("s1", "01/02/2020", None, 4), ("s2", "bad", 9, 2), ("s3", "worse", None, 7), ("s4", "02/03/2020", 5, 1)]
+    df = spark.createDataFrame(rows, "MSSIH_EVENT_SMAS_HISTORY_ID string, COLL_DATE string, MSSIH_TOTAL_INDIV_CNT_IND int, INDIV int")
+    from pyspark.sql import functions as F
+    df = df.withColumns({"COLLECT": F.lit(1), "Replicate": F.lit(1), "MACRO_GENSPECIES": F.lit("a b")})
+    largest = {r[0]: r[1] for r in LAB.history_tables(df)["sample_event"].select("MSSIH_EVENT_SMAS_HISTORY_ID", "MSSIH_TOTAL_INDIV_CNT").collect()}
+    assert largest == {"s1": None, "s2": 9.0, "s3": None, "s4": 5.0}
+    added = {r[0]: r[1] for r in LAB.history_tables(df, total="sum")["sample_event"].select("MSSIH_EVENT_SMAS_HISTORY_ID", "MSSIH_TOTAL_INDIV_CNT").collect()}
+    assert added == {"s1": 7.0, "s2": 2.0, "s3": 7.0, "s4": 1.0}
