@@ -5,22 +5,22 @@ A-Z lowered), as 64-bit hashes; with fewer words it is the whole sequence. Docum
 equal sets are one class and meet as one node. Two nodes link when their sets' Jaccard
 similarity is at least ``percent`` per cent; a component is what links connect.
 
-Candidates come from each node's SKETCH least hashes. These are a random sample of its set,
-and the SKETCH least of a union are in both sketches where they are common: of a linked
-pair at similarity 0.8, fewer than SHARED of 28 are common with a probability of 1e-13,
-less than that of two sets being confused by their hashes. Sets of up to SKETCH shingles are
-their own sketch. Tokens are ordered by how many nodes have them, and a node is entered
-under all its tokens but the SHARED - 1 commonest, which is enough for two nodes with
-SHARED common ones to meet. So a passage in a third of all documents fills no entry.
+Candidates come from each node's sketch, its SKETCH least hashes: a random sample of its set, or
+the whole set if that is no larger. Of a linked pair at similarity 0.8, fewer than SHARED are
+common with a probability of 1e-13, and fewer than MET of the TOKENS least, too, which is less
+than that of two sets being confused by their hashes. Tokens are ordered by how many nodes have
+them, and a node is entered under those of its TOKENS least hashes that others have, but the
+MET - 1 commonest, which is enough for two nodes with MET common ones to meet. So a passage
+in a third of all documents fills no entry.
 
 The nodes of an entry stand in a signature tree, whose nodes hold the OR of the sketches'
 bitmaps and the range of set sizes. A dual traversal drops pairs of tree nodes whose
 common bits or sizes rule out any link, and pairs that lie in one component already. In
-the first pass each entry sends a forest of its likely links; they are verified on the whole
-sets, and their components found. In the second pass each entry sends every remaining pair
-between different components that the bounds allow; these are verified too. Every link is thus
+the first pass a few entries of each node send a forest of their likely links; they are verified
+on the whole sets, and their components found. In the second pass every entry sends every remaining
+pair between different components that the bounds allow; these are verified too. Every link is thus
 either verified itself or lies within a component of verified links, and no group sends all
-its pairs.
+its pairs where they link.
 
 Null or word-less text has an empty set and links with nothing. Rows that repeat an id each get a
 row. A null id is never a component's id; a class of rows that all lack an id has no links. An empty table gives an empty result. Columns other than the
@@ -42,8 +42,13 @@ from pyspark.sql.window import Window
 from stonefly.llm.common import mix64, run_dir, shuffle_partitions, slices, text_buffers, write_table
 from stonefly.llm.components import connected
 
-SKETCH, SHARED, LIKELY = 28, 5, 17
-BITS, LEAF = 1024, 8
+#: Hashes of a sketch, and how many of them a linked pair shares but with a probability of 1e-13; forests take pairs from LIKELY on.
+SKETCH, SHARED, LIKELY = 96, 46, 77
+#: A node is entered under tokens among its TOKENS least hashes, of which linked pairs share MET.
+TOKENS, MET = 28, 5
+#: Entries of a node in the first pass.
+FIRST = 4
+BITS, LEAF, SMALL = 1024, 128, 6
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 _SPACE = np.zeros(256, bool)
@@ -125,95 +130,102 @@ class TreeNode:
 
     __slots__ = ("bits", "low", "high", "first", "last", "kids", "root", "slack")
 
-    def __init__(self, first: int, last: int, bits: list[int], sizes: list[int], slack: list[int]) -> None:
+    def __init__(self, first: int, last: int, bits: list[int], sizes: list[int], slack: list[int], root: list[int]) -> None:
         self.first, self.last = first, last
         if last - first <= LEAF:
             self.kids = None
             self.bits = 0
             for b in bits[first:last]:
                 self.bits |= b
-            self.low, self.high = min(sizes[first:last]), max(sizes[first:last])
-            self.slack = max(slack[first:last])
+            self.low, self.high, self.slack = min(sizes[first:last]), max(sizes[first:last]), max(slack[first:last])
+            found = set(root[first:last])
+            self.root = found.pop() if len(found) == 1 else None
         else:
             middle = (first + last) // 2
-            a, b = TreeNode(first, middle, bits, sizes, slack), TreeNode(middle, last, bits, sizes, slack)
-            self.slack = max(a.slack, b.slack)
+            a, b = TreeNode(first, middle, bits, sizes, slack, root), TreeNode(middle, last, bits, sizes, slack, root)
             self.kids = (a, b)
-            self.bits, self.low, self.high = a.bits | b.bits, min(a.low, b.low), max(a.high, b.high)
-        self.root = None
-
-    def mark(self, root: list[int]) -> int | None:
-        """Note the component that all members share, if they do."""
-        if self.kids:
-            a, b = self.kids[0].mark(root), self.kids[1].mark(root)
-            self.root = a if a == b else None
-        else:
-            found = set(root[self.first : self.last])
-            self.root = found.pop() if len(found) == 1 else None
-        return self.root
+            self.bits, self.low, self.high, self.slack = a.bits | b.bits, min(a.low, b.low), max(a.high, b.high), max(a.slack, b.slack)
+            self.root = a.root if a.root == b.root else None
 
 
-def needed(a: int, b: int, percent: int) -> int:
-    """How many tokens two sketches must share at least for sets of at least a and b shingles to link."""
+def needed(a: int, b: int, percent: int, forest: bool) -> int:
+    """How many tokens two sketches must share at least for sets of (at least) a and b shingles to link."""
     if max(a, b) > SKETCH:
-        return SHARED
+        return LIKELY if forest else SHARED
     return max(1, -(-percent * (a + b) // (100 + percent)))
 
 
-def common(x: frozenset, y: frozenset, nx: int, ny: int) -> tuple[int, int]:
-    """Common and all tokens of two sketches, as far as both are complete."""
-    cut = min(max(x) if nx > SKETCH else 1 << 63, max(y) if ny > SKETCH else 1 << 63)
-    both = sum(1 for t in x & y if t <= cut)
-    return both, sum(1 for t in x if t <= cut) + sum(1 for t in y if t <= cut) - both
+def common_tokens(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each of the left sketches has in common with each of the right ones."""
+    x, y = np.concatenate(left), np.concatenate(right)
+    tokens = np.intersect1d(x, y)
+    if not len(tokens):
+        return np.zeros((len(left), len(right)), np.float32)
+    dense = []
+    for own, flat in ((left, x), (right, y)):
+        at = np.minimum(np.searchsorted(tokens, flat), len(tokens) - 1)
+        hit = tokens[at] == flat
+        m = np.zeros((len(own), len(tokens)), np.float32)
+        m[np.repeat(np.arange(len(own)), [len(k) for k in own])[hit], at[hit]] = 1
+        dense.append(m)
+    return dense[0] @ dense[1].T
 
 
 def entry_pairs(members: list[tuple], percent: int, forest: bool) -> list[tuple[int, int]]:
     """Pairs of nodes of one entry that may link. A member: (node, size, sketch as unsigned numbers, component).
 
-    ``forest``: only likely links, and no more of them than connect the members; otherwise all that the
-    bounds allow between different components.
+    Sketches of up to SKETCH shingles are whole sets, for which the test is exact. ``forest``: only likely
+    links, and no more of them than connect the members; otherwise all that the bounds allow between different
+    components.
     """
     members = sorted(members, key=lambda m: (m[2], m[1], m[0]))
-    sets = [frozenset(m[2]) for m in members]
     sizes = [m[1] for m in members]
-    bits = [sum({1 << t % BITS for t in s}) for s in sets]
-    slack = [len(s) - b.bit_count() for s, b in zip(sets, bits, strict=True)]
-    parent = list(range(len(members)))
+    parent: dict[int, int] = {}
 
     def find(i: int) -> int:
-        while parent[i] != i:
+        while parent.setdefault(i, i) != i:
             parent[i] = parent[parent[i]]
             i = parent[i]
         return i
 
-    first_of: dict[int, int] = {}
-    for i, m in enumerate(members):
-        parent[i] = first_of.setdefault(m[3], i)
-    out = []
+    out: list[tuple[int, int]] = []
+    if len(members) <= SMALL:  # one leaf, by sets
+        sets = [frozenset(m[2]) for m in members]
+        for i in range(len(members)):
+            for j in range(i + 1, len(members)):
+                a, b = sizes[i], sizes[j]
+                x, y = find(members[i][3]), find(members[j][3])
+                if x != y and 100 * min(a, b) >= percent * max(a, b) and len(sets[i] & sets[j]) >= needed(a, b, percent, forest):
+                    out.append((members[i][0], members[j][0]))
+                    if forest:
+                        parent[x] = y
+        return out
+    sketches = [np.array(m[2], np.uint64) for m in members]
+    bits = [sum({1 << t % BITS for t in m[2]}) for m in members]
+    slack = [len(m[2]) - b.bit_count() for m, b in zip(members, bits, strict=True)]
+    tree = TreeNode(0, len(members), bits, sizes, slack, [m[3] for m in members])
+    size = np.array(sizes)
+
+    def compare(x: TreeNode, y: TreeNode) -> None:
+        a, b = size[x.first : x.last, None], size[None, y.first : y.last]
+        least = np.where(np.maximum(a, b) > SKETCH, needed(SKETCH + 1, 0, percent, forest), np.maximum(1, -(-percent * (a + b) // (100 + percent))))
+        ok = (common_tokens(sketches[x.first : x.last], sketches[y.first : y.last]) >= least) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+        if x is y:
+            ok = np.triu(ok, 1)
+        while ok.any():
+            left = np.array([find(m[3]) for m in members[x.first : x.last]])
+            right = np.array([find(m[3]) for m in members[y.first : y.last]])
+            ok &= left[:, None] != right[None, :]
+            if not forest:
+                out.extend((members[x.first + i][0], members[y.first + j][0]) for i, j in zip(*np.nonzero(ok), strict=True))
+                return
+            rows, columns = np.flatnonzero(ok.any(axis=1)), np.flatnonzero(ok.any(axis=0))
+            for i, j in [*zip(rows, ok[rows].argmax(axis=1), strict=True), *zip(ok[:, columns].argmax(axis=0), columns, strict=True)]:
+                p, q = find(members[x.first + i][3]), find(members[y.first + j][3])
+                if p != q:
+                    parent[p] = q
+                    out.append((members[x.first + i][0], members[y.first + j][0]))
 
-    def offer(i: int, j: int) -> None:
-        if find(i) == find(j):
-            return
-        a, b = sizes[i], sizes[j]
-        if 100 * min(a, b) < percent * max(a, b):
-            return
-        if (bits[i] & bits[j]).bit_count() + min(slack[i], slack[j]) < needed(a, b, percent):
-            return
-        both, every = common(sets[i], sets[j], a, b)
-        if max(a, b) <= SKETCH:  # whole sets
-            ok = 100 * both >= percent * every
-        else:
-            ok = both * SKETCH >= (LIKELY if forest else SHARED) * min(every, SKETCH)
-        if ok:
-            out.append((members[i][0], members[j][0]))
-            if forest:
-                parent[find(i)] = find(j)
-
-    if forest:  # neighbours in order of their sketches first: copies lie together
-        for i in range(len(members) - 1):
-            offer(i, i + 1)
-    tree = TreeNode(0, len(members), bits, sizes, slack)
-    tree.mark([find(i) for i in range(len(members))])
     stack = [(tree, tree)]
     while stack:
         x, y = stack.pop()
@@ -221,17 +233,15 @@ def entry_pairs(members: list[tuple], percent: int, forest: bool) -> list[tuple[
             continue
         if 100 * x.high < percent * y.low or 100 * y.high < percent * x.low:
             continue
-        if (x.bits & y.bits).bit_count() + min(x.slack, y.slack) < needed(x.low, y.low, percent):
+        if (x.bits & y.bits).bit_count() + min(x.slack, y.slack) < min(needed(x.low, y.low, percent, forest), needed(SKETCH + 1, 0, percent, forest)):
             continue
         if x.kids is None and y.kids is None:
-            for i in range(x.first, x.last):
-                for j in range(max(i + 1, y.first), y.last):
-                    offer(i, j)
+            compare(x, y)
         elif y.kids is None or x.kids is not None and x.last - x.first > y.last - y.first:
             stack += [(k, y) for k in x.kids]
         elif x is y:
             a, b = x.kids
-            stack += [(a, a), (a, b), (b, b)]
+            stack += [(a, b), (a, a), (b, b)]
         else:
             stack += [(x, k) for k in y.kids]
     return out
@@ -290,14 +300,14 @@ def similar_documents(spark: SparkSession, docs: DataFrame, id_col: str = "doc_i
     sets = write_table(set_rows(rows, words), f"{folder}/sets")
     nodes = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     nodes = write_table(nodes, f"{folder}/nodes")
-    tokens = nodes.select("node", "n", F.explode("sketch").alias("token"))
+    tokens = nodes.select("node", "n", F.explode(F.slice("sketch", 1, TOKENS)).alias("token"))
     often = write_table(tokens.groupBy("token").agg(F.count("*").alias("nodes")).filter("nodes > 1"), f"{folder}/tokens")
-    # a node's tokens from the commonest on: of those that it may share, all but the SHARED - 1 commonest
+    # a node's tokens from the commonest on: of those that it may share, all but the MET - 1 commonest
     entered = tokens.join(often, "token").withColumn("k", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("nodes"), "token")))
-    entered = entered.filter((F.col("n") <= SKETCH) | (F.col("k") >= SHARED))
+    entered = entered.filter((F.col("n") <= TOKENS) | (F.col("k") >= MET)).withColumn("least", F.row_number().over(Window.partitionBy("node").orderBy("token")))
     # a token that very many nodes have is dealt in blocks
     blocks = F.ceil(F.col("nodes") / block_nodes).cast("int")
-    entered = write_table(entered.select("token", "node", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("i")), f"{folder}/entered")
+    entered = write_table(entered.select("token", "node", "least", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("i")), f"{folder}/entered")
     firsts = nodes.join(entered.select("node").distinct(), "node", "left_semi").filter("first IS NOT NULL").select("node", F.col("first").alias("doc_id"))
 
     def of_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,8 +319,9 @@ def similar_documents(spark: SparkSession, docs: DataFrame, id_col: str = "doc_i
     texts = write_table(rows.join(firsts, "doc_id").select("node", "text").mapInArrow(of_node, "node long, text string"), f"{folder}/texts")
     sketches = nodes.select("node", "n", "sketch")
     # first pass: likely links within blocks, and between the blocks' least nodes
-    inside = entered.select("token", "i", F.col("i").alias("j"), "node")
-    least = entered.filter("blocks > 1").groupBy("token", "i").agg(F.min("node").alias("node")).select("token", F.lit(-1).alias("i"), F.lit(-1).alias("j"), "node")
+    some = entered.filter(F.col("least") <= FIRST)
+    inside = some.select("token", "i", F.col("i").alias("j"), "node")
+    least = some.filter("blocks > 1").groupBy("token", "i").agg(F.min("node").alias("node")).select("token", F.lit(-1).alias("i"), F.lit(-1).alias("j"), "node")
     full = inside.unionByName(least).join(sketches, "node").withColumn("root", F.col("node"))
     likely = write_table(candidate_pairs(full, percent, True), f"{folder}/likely")
     links = write_table(verified(likely, texts, words, percent), f"{folder}/links")
