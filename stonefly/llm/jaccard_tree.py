@@ -33,7 +33,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,7 +83,11 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     """Each text's shingles as ascending distinct hashes."""
-    raw, offsets = text_buffers(texts)
+    return sets_between(*text_buffers(texts), words)
+
+
+def sets_between(raw: np.ndarray, offsets: np.ndarray, words: int, least: int = 1) -> list[np.ndarray]:
+    """The shingles of each run of bytes between two offsets; runs of fewer than ``least`` words have none."""
     h, counts = word_hashes(raw, offsets)
     n = len(h)
     ends = np.cumsum(counts)
@@ -96,29 +99,29 @@ def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
         joined = np.zeros(0, np.uint64)
     out = []
     for end, m in zip(ends.tolist(), counts.tolist(), strict=True):
-        if m >= words:
+        if m < max(1, least):
+            out.append(np.zeros(0, np.uint64))
+        elif m >= words:
             out.append(np.unique(joined[end - m : end - words + 1]))
-        elif m:
+        else:
             whole = np.array([m], np.uint64)
             for x in h[end - m : end]:
                 whole = mix64(whole * MULTIPLIER + x)
             out.append(whole)
-        else:
-            out.append(np.zeros(0, np.uint64))
     return out
 
 
 def set_rows(docs: DataFrame, words: int) -> DataFrame:
-    """Of each row: its id, the size of its set, the set's hash (node) and its sketch."""
+    """Of each row: its id, the hash of its text (h), the size of its set, the set's hash (node) and its sketch."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, "text", 4 << 20)):
             sets = shingle_sets(batch.column("text"), words)
             nodes = [xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) if len(x) else None for x in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array([x[:SKETCH].view(np.int64) for x in sets], pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "node", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array([len(x) for x in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array([x[:SKETCH].view(np.int64) for x in sets], pa.list_(pa.int64()))], names=["doc_id", "h", "n_shingles", "node", "sketch"])
 
-    return docs.mapInArrow(read, f"doc_id {kind}, n_shingles long, node long, sketch array<long>")
+    return docs.mapInArrow(read, f"doc_id {kind}, h long, n_shingles long, node long, sketch array<long>")
 
 
 class TreeNode:
@@ -128,21 +131,21 @@ class TreeNode:
     tree nodes have at most as many common tokens as the nodes have common bits, and the less slack.
     """
 
-    __slots__ = ("bits", "low", "high", "first", "last", "kids", "root", "slack")
+    __slots__ = ("bits", "low", "high", "first", "last", "kids", "root", "slack", "tokens", "at")
 
-    def __init__(self, first: int, last: int, bits: list[int], sizes: list[int], slack: list[int], root: list[int]) -> None:
-        self.first, self.last = first, last
+    def __init__(self, first: int, last: int, flat: np.ndarray, ends: np.ndarray, sizes: np.ndarray, roots: np.ndarray) -> None:
+        self.first, self.last, self.tokens, self.at = first, last, None, None
         if last - first <= LEAF:
             self.kids = None
-            self.bits = 0
-            for b in bits[first:last]:
-                self.bits |= b
-            self.low, self.high, self.slack = min(sizes[first:last]), max(sizes[first:last]), max(slack[first:last])
-            found = set(root[first:last])
-            self.root = found.pop() if len(found) == 1 else None
+            counts = np.diff(ends[first : last + 1])
+            bits = np.zeros((last - first, BITS), bool)
+            bits[np.repeat(np.arange(last - first), counts), (flat[ends[first] : ends[last]] % np.uint64(BITS)).astype(np.int64)] = True
+            self.bits = int.from_bytes(np.packbits(bits.any(axis=0)).tobytes())
+            self.low, self.high, self.slack = int(sizes[first:last].min()), int(sizes[first:last].max()), int((counts - bits.sum(axis=1)).max())
+            self.root = int(roots[first]) if (roots[first:last] == roots[first]).all() else None
         else:
             middle = (first + last) // 2
-            a, b = TreeNode(first, middle, bits, sizes, slack, root), TreeNode(middle, last, bits, sizes, slack, root)
+            a, b = TreeNode(first, middle, flat, ends, sizes, roots), TreeNode(middle, last, flat, ends, sizes, roots)
             self.kids = (a, b)
             self.bits, self.low, self.high, self.slack = a.bits | b.bits, min(a.low, b.low), max(a.high, b.high), max(a.slack, b.slack)
             self.root = a.root if a.root == b.root else None
@@ -155,76 +158,86 @@ def needed(a: int, b: int, percent: int, forest: bool) -> int:
     return max(1, -(-percent * (a + b) // (100 + percent)))
 
 
-def common_tokens(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """How many tokens each of the left sketches has in common with each of the right ones."""
-    x, y = np.concatenate(left), np.concatenate(right)
-    tokens = np.intersect1d(x, y)
-    if not len(tokens):
-        return np.zeros((len(left), len(right)), np.float32)
+def common_tokens(x: TreeNode, y: TreeNode, flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many tokens each member of one leaf has in common with each of the other."""
+    for leaf in (x, y):
+        if leaf.tokens is None:
+            leaf.tokens, leaf.at = np.unique(flat[ends[leaf.first] : ends[leaf.last]], return_inverse=True)
+    tokens = x.tokens if x is y else np.intersect1d(x.tokens, y.tokens, assume_unique=True)
     dense = []
-    for own, flat in ((left, x), (right, y)):
-        at = np.minimum(np.searchsorted(tokens, flat), len(tokens) - 1)
-        hit = tokens[at] == flat
-        m = np.zeros((len(own), len(tokens)), np.float32)
-        m[np.repeat(np.arange(len(own)), [len(k) for k in own])[hit], at[hit]] = 1
+    for leaf in (x,) if x is y else (x, y):
+        column = np.full(len(leaf.tokens), -1)
+        column[np.searchsorted(leaf.tokens, tokens)] = np.arange(len(tokens))
+        column = column[leaf.at]
+        hit = column >= 0
+        m = np.zeros((leaf.last - leaf.first, len(tokens)), np.float32)
+        m[np.repeat(np.arange(len(m)), np.diff(ends[leaf.first : leaf.last + 1]))[hit], column[hit]] = 1
         dense.append(m)
-    return dense[0] @ dense[1].T
+    return dense[0] @ dense[-1].T
+
 
+def small_entry(nodes: np.ndarray, sizes: np.ndarray, roots: np.ndarray, sketches: list[np.ndarray], percent: int, forest: bool) -> list[tuple[int, int]]:
+    """``entry_pairs`` of few members: one leaf, compared by sets."""
+    node, size, parent = nodes.tolist(), sizes.tolist(), roots.tolist()
+    sets = [frozenset(x.tolist()) for x in sketches]
+    out = []
+    for i in range(len(node)):
+        for j in range(i + 1, len(node)):
+            a, b = size[i], size[j]
+            if parent[i] != parent[j] and 100 * min(a, b) >= percent * max(a, b) and len(sets[i] & sets[j]) >= needed(a, b, percent, forest):
+                out.append((node[i], node[j]))
+                if forest:
+                    old, new = parent[i], parent[j]
+                    parent = [new if p == old else p for p in parent]
+    return out
 
-def entry_pairs(members: list[tuple], percent: int, forest: bool) -> list[tuple[int, int]]:
-    """Pairs of nodes of one entry that may link. A member: (node, size, sketch as unsigned numbers, component).
+
+def entry_pairs(nodes: np.ndarray, sizes: np.ndarray, roots: np.ndarray, sketches: list[np.ndarray], percent: int, forest: bool) -> list[tuple[int, int]]:
+    """Pairs of nodes of one entry that may link; of each member its node, set size, component and sketch.
 
     Sketches of up to SKETCH shingles are whole sets, for which the test is exact. ``forest``: only likely
     links, and no more of them than connect the members; otherwise all that the bounds allow between different
-    components.
+    components, whose members stand together in the tree.
     """
-    members = sorted(members, key=lambda m: (m[2], m[1], m[0]))
-    sizes = [m[1] for m in members]
-    parent: dict[int, int] = {}
+    if len(nodes) <= SMALL:
+        return small_entry(nodes, sizes, roots, sketches, percent, forest)
+    least = np.array([x[:2] if len(x) > 1 else [x[0], x[0]] for x in sketches])
+    order = np.lexsort((nodes, sizes, least[:, 1], least[:, 0], np.zeros(len(nodes)) if forest else roots))
+    nodes, sizes, sketches = nodes[order], sizes[order], [sketches[k] for k in order]
+    roots = np.unique(roots[order], return_inverse=True)[1]
+    flat, ends = np.concatenate(sketches), np.cumsum([0, *(len(x) for x in sketches)])
+    tree = TreeNode(0, len(nodes), flat, ends, sizes, roots)
+    parent = list(range(int(roots.max()) + 1))
 
     def find(i: int) -> int:
-        while parent.setdefault(i, i) != i:
+        while parent[i] != i:
             parent[i] = parent[parent[i]]
             i = parent[i]
         return i
 
     out: list[tuple[int, int]] = []
-    if len(members) <= SMALL:  # one leaf, by sets
-        sets = [frozenset(m[2]) for m in members]
-        for i in range(len(members)):
-            for j in range(i + 1, len(members)):
-                a, b = sizes[i], sizes[j]
-                x, y = find(members[i][3]), find(members[j][3])
-                if x != y and 100 * min(a, b) >= percent * max(a, b) and len(sets[i] & sets[j]) >= needed(a, b, percent, forest):
-                    out.append((members[i][0], members[j][0]))
-                    if forest:
-                        parent[x] = y
-        return out
-    sketches = [np.array(m[2], np.uint64) for m in members]
-    bits = [sum({1 << t % BITS for t in m[2]}) for m in members]
-    slack = [len(m[2]) - b.bit_count() for m, b in zip(members, bits, strict=True)]
-    tree = TreeNode(0, len(members), bits, sizes, slack, [m[3] for m in members])
-    size = np.array(sizes)
 
     def compare(x: TreeNode, y: TreeNode) -> None:
-        a, b = size[x.first : x.last, None], size[None, y.first : y.last]
+        a, b = sizes[x.first : x.last, None], sizes[None, y.first : y.last]
         least = np.where(np.maximum(a, b) > SKETCH, needed(SKETCH + 1, 0, percent, forest), np.maximum(1, -(-percent * (a + b) // (100 + percent))))
-        ok = (common_tokens(sketches[x.first : x.last], sketches[y.first : y.last]) >= least) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+        ok = (common_tokens(x, y, flat, ends) >= least) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
         if x is y:
             ok = np.triu(ok, 1)
+        left, right = roots[x.first : x.last], roots[y.first : y.last]
         while ok.any():
-            left = np.array([find(m[3]) for m in members[x.first : x.last]])
-            right = np.array([find(m[3]) for m in members[y.first : y.last]])
+            if forest:
+                left, right = (np.array([find(k) for k in roots[z.first : z.last].tolist()]) for z in (x, y))
             ok &= left[:, None] != right[None, :]
             if not forest:
-                out.extend((members[x.first + i][0], members[y.first + j][0]) for i, j in zip(*np.nonzero(ok), strict=True))
+                rows, columns = np.nonzero(ok)
+                out.extend(zip(nodes[x.first + rows].tolist(), nodes[y.first + columns].tolist(), strict=True))
                 return
             rows, columns = np.flatnonzero(ok.any(axis=1)), np.flatnonzero(ok.any(axis=0))
             for i, j in [*zip(rows, ok[rows].argmax(axis=1), strict=True), *zip(ok[:, columns].argmax(axis=0), columns, strict=True)]:
-                p, q = find(members[x.first + i][3]), find(members[y.first + j][3])
+                p, q = find(int(roots[x.first + i])), find(int(roots[y.first + j]))
                 if p != q:
                     parent[p] = q
-                    out.append((members[x.first + i][0], members[y.first + j][0]))
+                    out.append((int(nodes[x.first + i]), int(nodes[y.first + j])))
 
     stack = [(tree, tree)]
     while stack:
@@ -253,24 +266,34 @@ def candidate_pairs(entries: DataFrame, percent: int, forest: bool) -> DataFrame
     key = ("token", "i", "j")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entry, members, seen = None, [], set()
+        entry, runs = None, []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if len(members) > 1 and len({m[3] for m in members}) > 1:
-                pairs = [(a, b) if a < b else (b, a) for a, b in entry_pairs(members, percent, forest)]
-                pairs = [x for x in pairs if x not in seen]
-                if pairs:
-                    if len(seen) < 200_000:  # only spares rows: what is sent twice is removed below
-                        seen.update(pairs)
-                    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in pairs], pa.int64()), pa.array([x[1] for x in pairs], pa.int64())], names=["u", "v"])
+            nodes, sizes, roots = (np.concatenate([run[k] for run in runs]) if len(runs) > 1 else runs[0][k] for k in range(3))
+            if (roots == roots[0]).all():
+                return
+            sketches = [values[x:y] for *_, values, ends in runs for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            pairs = entry_pairs(nodes, sizes, roots, sketches, percent, forest)
+            if pairs:
+                u, v = np.array(pairs).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
 
         for batch in batches:
-            for *own, node, n, sketch, root in zip(*(batch.column(c).to_pylist() for c in (*key, "node", "n", "sketch", "root")), strict=True):
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in key])
+            columns = [batch.column(c).to_numpy() for c in ("node", "n", "root")]
+            values, ends = batch.column("sketch").values.to_numpy().view(np.uint64), batch.column("sketch").offsets.to_numpy()
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                own = tuple(keys[:, a].tolist())
                 if own != entry:
-                    yield from flush()
-                    entry, members = own, []
-                members.append((node, n, tuple(x & (1 << 64) - 1 for x in sketch), root))
-        yield from flush()
+                    if runs:
+                        yield from flush()
+                    entry, runs = own, []
+                runs.append((*(x[a:b] for x in columns), values, ends[a : b + 1]))
+        if runs:
+            yield from flush()
 
     rows = entries.select(*key, "node", "n", "sketch", "root").repartition(parts, *key).sortWithinPartitions(*key)
     return rows.mapInArrow(join, "u long, v long").distinct()
@@ -296,9 +319,9 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
 def similar_documents(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, block_nodes: int = 4096) -> DataFrame:
     """One row for each input row: doc_id, n_shingles, component_id (the least id reachable by links)."""
     folder = run_dir(spark, "jaccard")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("h"))
     sets = write_table(set_rows(rows, words), f"{folder}/sets")
-    nodes = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    nodes = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "h"))).alias("first"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     nodes = write_table(nodes, f"{folder}/nodes")
     tokens = nodes.select("node", "n", F.explode(F.slice("sketch", 1, TOKENS)).alias("token"))
     often = write_table(tokens.groupBy("token").agg(F.count("*").alias("nodes")).filter("nodes > 1"), f"{folder}/tokens")
@@ -308,15 +331,9 @@ def similar_documents(spark: SparkSession, docs: DataFrame, id_col: str = "doc_i
     # a token that very many nodes have is dealt in blocks
     blocks = F.ceil(F.col("nodes") / block_nodes).cast("int")
     entered = write_table(entered.select("token", "node", "least", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("i")), f"{folder}/entered")
-    firsts = nodes.join(entered.select("node").distinct(), "node", "left_semi").filter("first IS NOT NULL").select("node", F.col("first").alias("doc_id"))
-
-    def of_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # where ids repeat, only the texts that have the node's set
-        for batch in (part for whole in batches for part in slices(whole, "text", 4 << 20)):
-            own = [xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) if len(x) else None for x in shingle_sets(batch.column("text"), words)]
-            yield batch.filter(pc.equal(batch.column("node"), pa.array(own, pa.int64())))
-
-    texts = write_table(rows.join(firsts, "doc_id").select("node", "text").mapInArrow(of_node, "node long, text string"), f"{folder}/texts")
+    firsts = nodes.join(entered.select("node").distinct(), "node", "left_semi").filter("first IS NOT NULL").select("node", "first.doc_id", "first.h")
+    # where ids repeat, only the texts that have the node's set
+    texts = write_table(rows.join(firsts, ["doc_id", "h"]).select("node", "text"), f"{folder}/texts")
     sketches = nodes.select("node", "n", "sketch")
     # first pass: likely links within blocks, and between the blocks' least nodes
     some = entered.filter(F.col("least") <= FIRST)
@@ -333,11 +350,12 @@ def similar_documents(spark: SparkSession, docs: DataFrame, id_col: str = "doc_i
     rest = rest.select("token", F.least("i", "o").alias("i"), F.greatest("i", "o").alias("j"), "node", "root").join(sketches, "node")
     rest = write_table(candidate_pairs(rest, percent, False).join(likely, ["u", "v"], "left_anti"), f"{folder}/rest")
     more = write_table(verified(rest, texts, words, percent), f"{folder}/more")
-    roots = write_table(connected(links.unionByName(more), f"{folder}/second"), f"{folder}/all-roots")
-    least = roots.join(nodes, "node").groupBy("root").agg(F.min("first").alias("component_id"))
+    joined = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)
+    roots = write_table(connected(joined, f"{folder}/second"), f"{folder}/all-roots")
+    least = roots.join(nodes, "node").groupBy("root").agg(F.min("first.doc_id").alias("component_id"))
     found = write_table(roots.join(least, "root").select("node", "component_id"), f"{folder}/components")
     # a class without links is its own component, by its least id; only classes of several rows need it
-    alone = nodes.join(found, "node", "left_anti").select("node", F.col("first").alias("component_id"))
+    alone = nodes.join(found, "node", "left_anti").select("node", F.col("first.doc_id").alias("component_id"))
     named = write_table(found.unionByName(alone), f"{folder}/named")
     out = sets.select("doc_id", "n_shingles", "node").join(named, "node", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
