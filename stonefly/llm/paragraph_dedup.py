@@ -29,53 +29,79 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stonefly.llm.common import mix64, run_dir, shuffle_partitions, slices, write_table
+from stonefly.llm.common import mix64, run_dir, shuffle_partitions, slices, text_buffers, write_table
 from stonefly.llm.components import connected
-from stonefly.llm.jaccard_tree import shingle_sets, verified
+from stonefly.llm.jaccard_tree import MULTIPLIER, sets_between, shingle_sets, verified
 from stonefly.llm.suffix_dedup import keyed
 
 BANDS, ROWS, AGREE = 12, 3, 19
-SEEDS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+SEEDS = (mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * MULTIPLIER) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
     """MinHash signature of each (not empty) set: one row of BANDS * ROWS hashes."""
-    flat = np.concatenate(sets)
+    flat = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
     starts = np.cumsum([0] + [len(x) for x in sets[:-1]])
-    out = np.empty((len(sets), len(SEEDS)), np.uint64)
+    out = np.empty((len(sets), len(SEEDS)), np.uint32)
     for k, seed in enumerate(SEEDS):
-        h = flat * seed
-        out[:, k] = np.minimum.reduceat(h ^ (h >> np.uint64(31)), starts)
+        out[:, k] = np.minimum.reduceat(flat * seed, starts)
     return out
 
 
+def band_keys(made: np.ndarray) -> np.ndarray:
+    """A hash of each band of each signature, and of the band's number."""
+    h = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(made), BANDS))
+    for k in range(ROWS):
+        h = mix64(h * MULTIPLIER + made[:, k::ROWS])
+    return h.view(np.int64)
+
+
+def line_starts(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all ``\\n``-split lines of all texts: the text, the place in it, and the bytes' bounds (one more)."""
+    breaks = np.flatnonzero(raw == 10)
+    text = np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, breaks, side="right") - 1])
+    start = np.concatenate([offsets[:-1], breaks + 1])
+    order = np.lexsort((start, text))
+    text, start = text[order], start[order]
+    return text, np.arange(len(text)) - np.searchsorted(text, text), np.append(start, len(raw))
+
+
 def paragraph_rows(docs: DataFrame, words: int, min_words: int) -> DataFrame:
-    """Of each paragraph that takes part: document (d, x), place i, class, and the class's signature once a batch."""
+    """Of each paragraph that takes part: document (d, x), place i, class, and the class's bands once a batch."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, "text", 2 << 20)):
-            row, place, text = [], [], []
-            for k, t in enumerate(batch.column("text").to_pylist()):
-                for i, p in enumerate((t or "").split("\n")):
-                    if len(p) >= 2 * min_words - 1 and len(p.encode().split()) >= min_words:
-                        row.append(k)
-                        place.append(i)
-                        text.append(p)
-            if not text:
+            raw, offsets = text_buffers(batch.column("text"))
+            text, place, bounds = line_starts(raw, offsets)
+            sets = sets_between(raw, bounds, words, min_words)
+            some = np.flatnonzero([len(x) > 0 for x in sets])
+            if not len(some):
                 continue
-            sets = shingle_sets(pa.array(text, pa.string()), words)
-            nodes = [xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) for x in sets]
+            nodes = [xxhash.xxh3_64_intdigest(sets[k].tobytes()) - (1 << 63) for k in some]
             first = {}
             for k, node in enumerate(nodes):
                 first.setdefault(node, k)
-            made = signatures([sets[k] for k in first.values()])
             shown: list = [None] * len(nodes)
-            for k, s in zip(first.values(), made.view(np.int64), strict=True):
+            for k, s in zip(first.values(), band_keys(signatures([sets[some[k]] for k in first.values()])), strict=True):
                 shown[k] = s
-            at = pa.array(row)
-            yield pa.RecordBatch.from_arrays([batch.column("d").take(at), batch.column("x").take(at), pa.array(place, pa.int32()), pa.array(nodes, pa.int64()), pa.array(shown, pa.list_(pa.int64()))], names=["d", "x", "i", "node", "signature"])
+            at = pa.array(text[some])
+            yield pa.RecordBatch.from_arrays([batch.column("d").take(at), batch.column("x").take(at), pa.array(place[some], pa.int32()), pa.array(nodes, pa.int64()), pa.array(shown, pa.list_(pa.int64()))], names=["d", "x", "i", "node", "bands"])
+
+    return docs.mapInArrow(read, "d long, x long, i int, node long, bands array<long>")
+
+
+def class_texts(rows: DataFrame, words: int) -> DataFrame:
+    """Text and signature of classes: rows hold a document's text and its ``wanted`` (place, class) pairs."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, "text", 2 << 20)):
+            out = [(w["node"], lines[w["i"]]) for t, want in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist(), strict=True) for lines in [t.split("\n")] for w in want]
+            if out:
+                texts = pa.array([x[1] for x in out], pa.string())
+                made = [x.tobytes() for x in signatures(shingle_sets(texts, words))]
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), texts, pa.array(made, pa.binary())], names=["node", "text", "signature"])
 
-    return docs.mapInArrow(read, "d long, x long, i int, node long, signature array<long>")
+    return rows.select("text", "wanted").mapInArrow(cut, "node long, text string, signature binary")
 
 
 def band_pairs(members: DataFrame) -> DataFrame:
@@ -88,9 +114,10 @@ def band_pairs(members: DataFrame) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             if len(set(roots)) < 2:
                 return
-            n, r, s = np.array(nodes), np.array(roots), np.stack(made)
+            n, r, s = np.array(nodes), np.array(roots), np.frombuffer(b"".join(made), np.uint32).reshape(len(made), -1)
             for k in range(len(n) - 1):
-                other = np.flatnonzero((r[k + 1 :] != r[k]) & ((s[k + 1 :] == s[k]).sum(axis=1) >= AGREE)) + k + 1
+                other = np.flatnonzero(r[k + 1 :] != r[k]) + k + 1
+                other = other[(s[other] == s[k]).sum(axis=1) >= AGREE]
                 if len(other):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(n[k], n[other])), pa.array(np.maximum(n[k], n[other]))], names=["u", "v"])
 
@@ -101,7 +128,7 @@ def band_pairs(members: DataFrame) -> DataFrame:
                     entry, nodes, roots, made = own, [], [], []
                 nodes.append(node)
                 roots.append(root)
-                made.append(np.array(signature, np.int64))
+                made.append(signature)
         yield from flush()
 
     rows = members.select(*key, "node", "root", "signature").repartition(shuffle_partitions(members.sparkSession), *key).sortWithinPartitions(*key)
@@ -111,32 +138,25 @@ def band_pairs(members: DataFrame) -> DataFrame:
 def duplicate_paragraphs(docs: DataFrame, folder: str, words: int = 5, percent: int = 80, min_words: int = 10, block_nodes: int = 4096) -> DataFrame:
     """Places (d, x, i) of the paragraphs that go, and the first paragraph of their component."""
     paragraphs = write_table(paragraph_rows(docs, words, min_words), f"{folder}/paragraphs")
-    classes = paragraphs.groupBy("node").agg(F.min(F.struct("d", "x", "i")).alias("first"), F.count("*").alias("n"), F.max("signature").alias("signature"))
-    classes = write_table(classes, f"{folder}/classes")
-    rows = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.slice("signature", b * ROWS + 1, F.lit(ROWS))))
-    bands = classes.select("node", F.explode(rows).alias("band"))
-    often = write_table(bands.groupBy("band").agg(F.count("*").alias("nodes"), F.min("node").alias("least")).filter("nodes > 1"), f"{folder}/often")
-    met = write_table(bands.join(often, "band"), f"{folder}/met")
+    classes = write_table(paragraphs.groupBy("node").agg(F.min(F.struct("d", "x", "i")).alias("first"), F.count("*").alias("n")), f"{folder}/classes")
+    bands = paragraphs.filter("bands IS NOT NULL").select("node", F.explode("bands").alias("band"))
+    often = write_table(bands.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least <> most").select("band", "least"), f"{folder}/often")
+    met = write_table(bands.join(often, "band").distinct(), f"{folder}/met")
     # the texts of classes that met another one, from their first paragraphs
     wanted = classes.join(met.select("node").distinct(), "node", "left_semi").groupBy(F.col("first.d").alias("d"), F.col("first.x").alias("x")).agg(F.collect_list(F.struct(F.col("first.i").alias("i"), "node")).alias("wanted"))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "text", 2 << 20)):
-            out = [(w["node"], lines[w["i"]]) for t, want in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist(), strict=True) for lines in [t.split("\n")] for w in want]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.string())], names=["node", "text"])
-
-    texts = write_table(docs.join(wanted, ["d", "x"]).select("text", "wanted").mapInArrow(cut, "node long, text string"), f"{folder}/texts")
+    texts = write_table(class_texts(docs.join(wanted, ["d", "x"]), words), f"{folder}/texts")
     stars = write_table(met.filter("node <> least").select(F.col("least").alias("u"), F.col("node").alias("v")).distinct(), f"{folder}/stars")
     links = write_table(verified(stars, texts, words, percent), f"{folder}/links")
     roots = write_table(connected(links, f"{folder}/first"), f"{folder}/roots")
-    rooted = write_table(met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), f"{folder}/rooted")
-    apart = write_table(rooted.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("band"), f"{folder}/apart")
+    rooted = write_table(met.select("band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), f"{folder}/rooted")
+    apart = rooted.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("nodes")).filter("a <> b").select("band", "nodes")
+    apart = write_table(apart, f"{folder}/apart")
     blocks = F.ceil(F.col("nodes") / block_nodes).cast("int")
-    rest = rooted.join(apart, "band", "left_semi").withColumn("i", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rest = rest.select("band", F.least("i", "o").alias("i"), F.greatest("i", "o").alias("j"), "node", "root").join(classes.select("node", "signature"), "node")
+    rest = rooted.join(apart, "band").withColumn("i", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rest = rest.select("band", F.least("i", "o").alias("i"), F.greatest("i", "o").alias("j"), "node", "root").join(texts.select("node", "signature"), "node")
     rest = write_table(band_pairs(rest).join(stars, ["u", "v"], "left_anti"), f"{folder}/rest")
     more = write_table(verified(rest, texts, words, percent), f"{folder}/more")
-    roots = connected(links.unionByName(more), f"{folder}/second")
+    roots = connected(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more), f"{folder}/second")
     named = write_table(classes.select("node", "first", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), f"{folder}/named")
     least = write_table(named.groupBy("root").agg(F.min("first").alias("stays"), F.sum("n").alias("rows")).filter("rows > 1").select("root", "stays"), f"{folder}/least")
     several = write_table(named.join(least, "root").select("node", "stays"), f"{folder}/several")
