@@ -6,10 +6,11 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
 from stonefly.llm.common import run_dir
-from stonefly.llm.components import connected
+from stonefly.llm.components import connected, stars
 from stonefly.llm.jaccard_tree import similar_documents
 
 
@@ -70,3 +71,27 @@ def test_components_of_chains_and_stars(spark):
     df = spark.createDataFrame(links, "u long, v long")
     got = {r.node: r.root for r in connected(df, run_dir(spark, "test")).collect()}
     assert got == {i: 0 for i in range(41)} | {k: 100 for k in range(100, 160)} | {300: 300, 301: 300}
+
+
+def test_stars_of_random_links():
+    rng = random.Random(3)
+    for _ in range(60):
+        links = [(rng.randrange(30), rng.randrange(30)) for _ in range(rng.randint(1, 40))]
+        root = {k: k for link in links for k in link}
+        for _ in root:
+            for a, b in links:
+                root[a] = root[b] = min(root[a], root[b])
+        u, v = stars(*np.array(links).T)
+        assert dict(zip(u.tolist(), v.tolist(), strict=True)) == {k: x for k, x in root.items() if k != x}
+
+
+def test_components_over_many_tasks(spark):
+    rng = random.Random(6)
+    order = list(range(300))
+    rng.shuffle(order)
+    links = list(zip(order[:200], order[1:201], strict=False)) + [(order[0], order[210]), (order[220], order[221])]
+    rng.shuffle(links)
+    df = spark.createDataFrame(links, "u long, v long").repartition(40)
+    got = {r.node: r.root for r in connected(df, run_dir(spark, "test")).collect()}
+    one = [*order[:201], order[210]]
+    assert got == {k: min(one) for k in one} | {k: min(order[220:222]) for k in order[220:222]}
