@@ -47,6 +47,8 @@ SKETCH, SHARED, LIKELY = 96, 46, 77
 TOKENS, MET = 28, 5
 #: Entries of a node in the first pass.
 FIRST = 4
+#: Hashes of sets that a task that verifies pairs keeps (64 MB).
+KEPT = 1 << 23
 BITS, LEAF, SMALL = 1024, 128, 6
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -303,10 +305,20 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     """Those pairs (u, v) whose whole sets are similar enough; ``texts`` (node, text) is a written table."""
     rows = pairs.join(texts.select(F.col("node").alias("u"), F.col("text").alias("x")), "u").join(texts.select(F.col("node").alias("v"), F.col("text").alias("y")), "v")
 
+    def own_sets(batch: pa.RecordBatch, node: str, text: str, kept: dict[int, np.ndarray]) -> list[np.ndarray]:
+        ids, first = np.unique(batch.column(node).to_numpy(), return_index=True)
+        new = [(k, i) for k, i in zip(ids.tolist(), first.tolist(), strict=True) if k not in kept]
+        if new:
+            kept.update(zip([k for k, _ in new], shingle_sets(batch.column(text).take(pa.array([i for _, i in new])), words), strict=True))
+        return [kept[k] for k in batch.column(node).to_pylist()]
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, np.ndarray] = {}  # a text stands in many pairs; its set is made once while it is kept
         for whole in batches:
             for batch in slices(whole, "x", 2 << 20):
-                left, right = shingle_sets(batch.column("x"), words), shingle_sets(batch.column("y"), words)
+                if sum(map(len, kept.values())) > KEPT:
+                    kept.clear()
+                left, right = own_sets(batch, "u", "x", kept), own_sets(batch, "v", "y", kept)
                 keep = []
                 for a, b in zip(left, right, strict=True):
                     both = len(np.intersect1d(a, b, assume_unique=True))
