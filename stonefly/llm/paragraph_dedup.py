@@ -104,32 +104,51 @@ def class_texts(rows: DataFrame, words: int) -> DataFrame:
     return rows.select("text", "wanted").mapInArrow(cut, "node long, text string, signature binary")
 
 
+def agreeing(nodes: np.ndarray, roots: np.ndarray, made: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of classes in different components whose signatures agree in AGREE places or more."""
+    u, v = [], []
+    step = max(1, (1 << 17) // len(nodes))  # of the members, so many are compared with all later ones at once
+    for a in range(0, len(nodes), step):
+        apart = roots[a : a + step, None] != roots[None, a:]
+        if apart.any():
+            ok = np.triu(apart & ((made[a : a + step, None] == made[None, a:]).sum(axis=2) >= AGREE), 1)
+            i, j = np.nonzero(ok)
+            u.append(nodes[a + i])
+            v.append(nodes[a + j])
+    x, y = (np.concatenate([*k, np.zeros(0, np.int64)]) for k in (u, v))
+    return np.minimum(x, y), np.maximum(x, y)
+
+
 def band_pairs(members: DataFrame) -> DataFrame:
     """Pairs of classes of one band in different components whose signatures agree; rows: band, i, j, node, root, signature."""
     key = ("band", "i", "j")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entry, nodes, roots, made = None, [], [], []
+        entry, runs = None, []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if len(set(roots)) < 2:
-                return
-            n, r, s = np.array(nodes), np.array(roots), np.frombuffer(b"".join(made), np.uint32).reshape(len(made), -1)
-            for k in range(len(n) - 1):
-                other = np.flatnonzero(r[k + 1 :] != r[k]) + k + 1
-                other = other[(s[other] == s[k]).sum(axis=1) >= AGREE]
-                if len(other):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(n[k], n[other])), pa.array(np.maximum(n[k], n[other]))], names=["u", "v"])
+            nodes, roots, made = (np.concatenate([x[k] for x in runs]) for k in range(3))
+            if (roots != roots[0]).any():
+                u, v = agreeing(nodes, roots, made)
+                if len(u):
+                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
         for batch in batches:
-            for *own, node, root, signature in zip(*(batch.column(c).to_pylist() for c in (*key, "node", "root", "signature")), strict=True):
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in key])
+            nodes, roots = (batch.column(c).to_numpy() for c in ("node", "root"))
+            made = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(batch.num_rows, -1)
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                own = tuple(keys[:, a].tolist())
                 if own != entry:
-                    yield from flush()
-                    entry, nodes, roots, made = own, [], [], []
-                nodes.append(node)
-                roots.append(root)
-                made.append(signature)
-        yield from flush()
+                    if runs:
+                        yield from flush()
+                    entry, runs = own, []
+                runs.append((nodes[a:b], roots[a:b], made[a:b]))
+        if runs:
+            yield from flush()
 
     rows = members.select(*key, "node", "root", "signature").repartition(shuffle_partitions(members.sparkSession), *key).sortWithinPartitions(*key)
     return rows.mapInArrow(join, "u long, v long").distinct()

@@ -124,3 +124,14 @@ def test_paragraphs(spark):
     assert got[5].kept_text == rows[0][1].split("\n")[1] and got[4].kept_text is None
     assert got[3].kept_sha256 == hashlib.sha256(b"").hexdigest()
     assert paragraph_dedup.remove_paragraphs(spark, df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [2, 7, 900])
+def test_agreeing_signatures(n):
+    rng = np.random.default_rng(n)
+    made = rng.integers(0, 2, (n, 36)).astype(np.uint32)
+    roots = rng.integers(0, 3, n)
+    nodes = rng.permutation(n) - n // 2
+    u, v = paragraph_dedup.agreeing(nodes, roots, made)
+    want = {(min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for i in range(n) for j in range(i) if roots[i] != roots[j] and (made[i] == made[j]).sum() >= paragraph_dedup.AGREE}
+    assert len(u) == len(want) and set(zip(u.tolist(), v.tolist(), strict=True)) == want
