@@ -1,8 +1,9 @@
 r"""Removal of near-duplicate paragraphs by MinHash banding.
 
 Paragraphs are the ``\n``-split lines of a text. One of ``min_words`` words or more takes part
-with the set of its five-word shingles (words and letters as in ``jaccard_tree``); equal sets
-are one class. A class's MinHash signature is cut into BANDS bands of ROWS hashes: two sets
+with the set of its five-word shingles (words and letters as in ``jaccard_tree``), one of fewer
+than five words with the whole sequence as its one shingle; equal sets are one class. The query
+op6_paragraph_minhash sets ``min_words`` to 1, so every paragraph with a word takes part. A class's MinHash signature is cut into BANDS bands of ROWS hashes: two sets
 at similarity 0.8 share a band with a probability of 1 - (1 - 0.8 ** 3) ** 12 = 0.9998.
 Classes that share a band are compared exactly, on their whole sets, and clustered by
 connected components. Of each component the first paragraph (smallest doc_id, then place)

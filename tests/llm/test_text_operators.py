@@ -126,6 +126,14 @@ def test_paragraphs(spark):
     assert paragraph_dedup.remove_paragraphs(spark, df.limit(0)).count() == 0
 
 
+def test_short_paragraphs_take_part(spark, tmp_path):
+    nine = "one two three four five six seven eight nine"
+    rows = [(1, "short line\n\n" + nine), (2, "Short  LINE\nother\n" + nine), (3, nine.replace(" nine", "") + "\n\nother\nline short"), (None, "other")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.n_removed for r in queries()["op6_paragraph_minhash"](spark, str(tmp_path)).collect()}
+    assert got == {1: 0, 2: 3, 3: 2, None: 0}
+
+
 @pytest.mark.parametrize("n", [2, 7, 900])
 def test_agreeing_signatures(n):
     rng = np.random.default_rng(n)
