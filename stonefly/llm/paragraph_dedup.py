@@ -15,7 +15,7 @@ lie in different components are compared, where their signatures agree in AGREE
 or more (which 0.8-similar sets miss with a probability below 1e-4).
 
 Null text has no paragraphs. Null ids come before all others. Rows that repeat an id are told
-apart by a hash of the text; rows repeated whole count as one. An empty table gives an empty
+apart by a 64-bit hash of the text; rows repeated whole count as one. An empty table gives an empty
 result. Columns other than the two named are neither read nor met.
 """
 
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from stonefly.llm.common import mix64, run_dir, shuffle_partitions, slices, text_buffers, write_table
 from stonefly.llm.components import connected
 from stonefly.llm.jaccard_tree import MULTIPLIER, sets_between, shingle_sets, verified
-from stonefly.llm.suffix_dedup import keyed
+from stonefly.llm.suffix_dedup import keyed, row_key
 
 BANDS, ROWS, AGREE = 12, 3, 19
 SEEDS = (mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * MULTIPLIER) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -188,7 +188,8 @@ def remove_paragraphs(spark: SparkSession, docs: DataFrame, id_col: str = "doc_i
     folder = run_dir(spark, "paragraph-dedup")
     gone = duplicate_paragraphs(keyed(docs, id_col, text_col), folder, words, percent, min_words)
     gone = gone.groupBy("d", "x").agg(F.collect_set("i").alias("_gone"))
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("_d"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND((1 << 23) - 1).alias("_x"), F.col(text_col).alias("_text"), *(F.col(c) for c in keep))
+    d, x = row_key(id_col, text_col)
+    rows = docs.select(d.alias("_d"), x.alias("_x"), F.col(text_col).alias("_text"), *(F.col(c) for c in keep))
     rows = rows.join(gone, (F.col("_d") == F.col("d")) & (F.col("_x") == F.col("x")), "left").select(*keep, "_text", "_gone")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

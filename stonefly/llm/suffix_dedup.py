@@ -20,7 +20,7 @@ groups are taken in descending order, and pointers to the previous smaller suffi
 the prefix of the suffix before; then each group's order is emitted in one ascending scan.
 
 Hashes are 64 bits wide with the place in the region mixed in. Null text is empty. Null ids
-come before all others. Rows that repeat an id are told apart by a hash of the text and
+come before all others. Rows that repeat an id are told apart by a 64-bit hash of the text and
 ordered by it; rows repeated whole count as one document and get equal results. An empty
 table gives an empty result. Columns other than the two named are neither read nor met.
 """
@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stonefly.llm.common import mix64, run_dir, shuffle_partitions, slices, text_buffers, write_table
@@ -42,8 +42,6 @@ from stonefly.llm.common import mix64, run_dir, shuffle_partitions, slices, text
 ANCHOR, STEP = 40, 10
 #: Distinct sides under one middle beyond which windows are grouped one by one instead, by an aggregate.
 MOST_SIDES = 20_000
-#: Places are held beside 23 bits of the text's hash, which tell rows with one id apart.
-PLACE = 40
 #: A fixed odd multiplier for rolling hashes and random odd numbers for the 256 bytes.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -214,20 +212,25 @@ def suffix_array(text: list[int]) -> list[int]:
 
 
 #: kind 0: a region by its anchor; 1: bytes [a, b) are repeated; 2: first region of a class under an anchor with several.
-ROW = pa.schema([("kind", pa.int8()), ("h", pa.int64()), ("c", pa.int64()), ("d", pa.int64()), ("p", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
-ROW_SQL = "kind byte, h long, c long, d long, p long, a long, b long"
+ROW = pa.schema([("kind", pa.int8()), ("h", pa.int64()), ("c", pa.int64()), ("d", pa.int64()), ("x", pa.int64()), ("p", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+ROW_SQL = "kind byte, h long, c long, d long, x long, p long, a long, b long"
 
 
-def rows_of(kind: int, h=0, c=0, d=0, p=0, a=0, b=0) -> pa.RecordBatch:
-    n = max(np.size(x) for x in (h, c, d, p, a, b))
-    full = lambda x: pa.array(np.broadcast_to(np.asarray(x).astype(np.int64) if np.asarray(x).dtype != np.uint64 else np.asarray(x).view(np.int64), n))
-    return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), *(full(x) for x in (h, c, d, p, a, b))], schema=ROW)
+def rows_of(kind: int, h=0, c=0, d=0, x=0, p=0, a=0, b=0) -> pa.RecordBatch:
+    n = max(np.size(k) for k in (h, c, d, x, p, a, b))
+    full = lambda k: pa.array(np.broadcast_to(np.asarray(k).astype(np.int64) if np.asarray(k).dtype != np.uint64 else np.asarray(k).view(np.int64), n))
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), *(full(k) for k in (h, c, d, x, p, a, b))], schema=ROW)
+
+
+def row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """What tells rows apart: the id, null as the least long, and a hash of the text."""
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """d (the id, null as the least long), x (23 bits of the text's hash) and text; rows repeated whole once or more."""
-    x = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND((1 << 23) - 1)
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("d"), x.alias("x"), F.col(text_col).alias("text"))
+    """d and x (see ``row_key``) and text; rows repeated whole once or more."""
+    d, x = row_key(id_col, text_col)
+    return docs.select(d.alias("d"), x.alias("x"), F.col(text_col).alias("text"))
 
 
 def region_rows(docs: DataFrame, length: int) -> DataFrame:
@@ -243,35 +246,35 @@ def region_rows(docs: DataFrame, length: int) -> DataFrame:
             c = mix64(rolling.of(low, high + length) + (anchor - low).astype(np.uint64) * np.uint64(0x632BE59BD9B4E019))
             ids, tags = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("d", "x"))
             base = offsets[doc]
-            d, p = ids[doc], tags[doc] << PLACE | anchor - base
+            d, x, p = ids[doc], tags[doc], anchor - base
             # the first of each class of this batch goes on; equal rows are a document given twice
-            order = np.lexsort((p, d, c))
-            cs, ds, ps = c[order], d[order], p[order]
+            order = np.lexsort((p, x, d, c))
+            cs, ds, xs, ps = c[order], d[order], x[order], p[order]
             first = np.concatenate([[True], cs[1:] != cs[:-1]])
-            same = np.concatenate([[False], (cs[1:] == cs[:-1]) & (ds[1:] == ds[:-1]) & (ps[1:] == ps[:-1])])
+            same = np.concatenate([[False], (cs[1:] == cs[:-1]) & (ds[1:] == ds[:-1]) & (xs[1:] == xs[:-1]) & (ps[1:] == ps[:-1])])
             lead = np.flatnonzero(first)[np.cumsum(first) - 1]
-            again = ~first & ~same & ~((ds == ds[lead]) & (ps == ps[lead]))
+            again = ~first & ~same & ~((ds == ds[lead]) & (xs == xs[lead]) & (ps == ps[lead]))
             on, off = order[first], order[again]
-            yield rows_of(0, h[on], c[on], d[on], p[on], (low - base)[on], (high - base)[on])
+            yield rows_of(0, h[on], c[on], d[on], x[on], p[on], (low - base)[on], (high - base)[on])
             if len(off):
                 where, a, b = merged(doc[off], (low - base)[off], (high - base)[off] + length)
                 # any h spreads them
-                yield rows_of(1, h[off[:1]] + np.arange(len(where), dtype=np.uint64) * np.uint64(BASE), 0, ids[where], tags[where] << PLACE, a, b)
+                yield rows_of(1, h[off[:1]] + np.arange(len(where), dtype=np.uint64) * np.uint64(BASE), 0, ids[where], tags[where], 0, a, b)
 
     return docs.mapInArrow(find, ROW_SQL)
 
 
 def settle(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (kind, h, c, d, p): all but the first of a class are repeated; firsts under one anchor go on if there are several."""
+    """Rows in order of (kind, h, c, d, x, p): all but the first of a class are repeated; firsts under one anchor go on if there are several."""
     last: np.ndarray | None = None  # the last row of kind 0 so far
     lead: np.ndarray | None = None  # the first of its class
     waits = None  # the only class so far under the last anchor
     several = False
     for batch in batches:
-        kind, h, c, d, p, a, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(7))
+        kind, h, c, d, x, p, a, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(8))
         if (kind == 1).any():
             yield batch.filter(pa.array(kind == 1)).cast(ROW)
-        t = np.stack([h, c, d, p, a, b], axis=1)[kind == 0]
+        t = np.stack([h, c, d, x, p, a, b], axis=1)[kind == 0]
         if not len(t):
             continue
         before = np.concatenate([[last if last is not None else t[0] - 1], t[:-1]])
@@ -283,10 +286,10 @@ def settle(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
         at = np.flatnonzero(new_c)
         number = np.cumsum(new_c) - 1
         leads = np.where((number >= 0)[:, None], t[at[np.maximum(number, 0)]] if len(at) else t, lead if lead is not None else t[0])
-        again = ~new_c & ((t[:, 2] != leads[:, 2]) | (t[:, 3] != leads[:, 3]))
+        again = ~new_c & (t[:, 2:5] != leads[:, 2:5]).any(axis=1)
         if again.any():
-            x = t[again]
-            yield rows_of(1, 0, 0, x[:, 2], x[:, 3] >> PLACE << PLACE, x[:, 4], x[:, 5] + length)
+            y = t[again]
+            yield rows_of(1, 0, 0, y[:, 2], y[:, 3], 0, y[:, 5], y[:, 6] + length)
         # classes by run of h; the first run may go on from before
         firsts = t[new_c]
         run = np.cumsum(new_h)[new_c]
@@ -306,21 +309,20 @@ def settle(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
                 several = bool(counts[k] > 1)
                 waits = None if several else firsts[-1]
         if out:
-            x = np.concatenate(out)
-            yield rows_of(2, x[:, 0], x[:, 1], x[:, 2], x[:, 3], x[:, 4], x[:, 5])
+            yield rows_of(2, *np.concatenate(out).T)
         last = t[-1]
         lead = leads[-1]
 
 
-SIDES = "key long, d long, p long, lo byte, hi byte, sides binary"
+SIDES = "key long, d long, x long, p long, lo byte, hi byte, sides binary"
 
 
 def side_rows(docs: DataFrame, regions_: DataFrame, length: int) -> DataFrame:
     """The ranges of window starts of regions: hash of the common middle, and the bytes on either side.
 
-    ``p`` is the start of the range (with the text's tag); ``lo`` to ``hi`` are the starts in it that belong to the region.
+    ``p`` is the start of the range; ``lo`` to ``hi`` are the starts in it that belong to the region.
     """
-    own = regions_.groupBy("d", (F.shiftright("p", PLACE)).alias("x")).agg(F.collect_list(F.struct(F.col("p").bitwiseAND((1 << PLACE) - 1).alias("p"), "a", "b")).alias("r"))
+    own = regions_.groupBy("d", "x").agg(F.collect_list(F.struct("p", "a", "b")).alias("r"))
     rows = docs.join(own, ["d", "x"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,24 +352,23 @@ def side_rows(docs: DataFrame, regions_: DataFrame, length: int) -> DataFrame:
                 right = o[:, None] + s[:, None] + length + np.arange(STEP)
                 sides = np.concatenate([np.where(left < o[:, None], 0, padded[np.maximum(left, 0)]), np.where(right >= offsets[doc[keep] + 1][:, None], 0, padded[right])], axis=1)
                 data = pa.Array.from_buffers(pa.binary(), len(keep), [None, pa.py_buffer((np.arange(len(keep) + 1) * 2 * STEP).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(sides.astype(np.uint8)))])
-                tag = tags[doc[keep]] << PLACE
                 # a range may begin before the text: its start is held plus the length
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids[doc[keep]]), pa.array(tag | s + length), pa.array(lo[keep].astype(np.int8)), pa.array(hi[keep].astype(np.int8)), data], names=["key", "d", "p", "lo", "hi", "sides"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids[doc[keep]]), pa.array(tags[doc[keep]]), pa.array(s + length), pa.array(lo[keep].astype(np.int8)), pa.array(hi[keep].astype(np.int8)), data], names=["key", "d", "x", "p", "lo", "hi", "sides"])
 
     return rows.mapInArrow(cut, SIDES)
 
 
-def compare_sides(bundle: list[list[tuple]], length: int) -> tuple[list, list, list, list]:
+def compare_sides(bundle: list[list[tuple]], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Repeated windows among ranges with a common middle, for several middles at once.
 
-    Each member is (d, p, lo, hi, sides), distinct in (lo, hi, sides) under its middle and
-    in order of (d, p). The letters of a member are its left side, the middle (one letter for
+    Each member is (d, x, p, lo, hi, sides), distinct in (lo, hi, sides) under its middle and
+    in order of (d, x, p). The letters of a member are its left side, the middle (one letter for
     each middle) and its right side; windows are its suffixes from lo to hi, STEP + 1 letters long.
     """
     members, text = [], []
     for k, group in enumerate(bundle):
         for m in group:
-            sides = m[4]
+            sides = m[5]
             text += [x + 2 for x in sides[:STEP]]
             text.append(300 + k)
             text += [x + 2 for x in sides[STEP:]]
@@ -378,26 +379,26 @@ def compare_sides(bundle: list[list[tuple]], length: int) -> tuple[list, list, l
     order = np.array(suffix_array(text))
     letters = np.concatenate([np.array(text), np.zeros(width, np.int64)])
     offset = order % width
-    lo, hi = np.array([m[2] for m in members] + [1]), np.array([m[3] for m in members] + [0])
+    lo, hi = np.array([m[3] for m in members] + [1]), np.array([m[4] for m in members] + [0])
     owner = order // width
     order = order[(offset >= lo[owner]) & (offset <= hi[owner])]
     shown = letters[order[:, None] + np.arange(STEP + 1)]
     fresh = np.concatenate([[True], (shown[1:] != shown[:-1]).any(axis=1)])
     run = np.cumsum(fresh) - 1
     owner, offset = order // width, order % width
-    d = np.array([m[0] for m in members], np.int64)[owner]
-    p = np.array([m[1] for m in members], np.int64)[owner] + offset
-    by = np.lexsort((p, d, run))
+    d, x, p = (np.array([m[k] for m in members], np.int64)[owner] for k in range(3))
+    p = p + offset
+    by = np.lexsort((p, x, d, run))
     again = np.concatenate([[False], run[by][1:] == run[by][:-1]])
     at = by[again]
     lead = by[np.flatnonzero(~again)][run[at]] if len(at) else at
-    at = at[(d[at] != d[lead]) | (p[at] != p[lead])]
-    place = (p[at] & ((1 << PLACE) - 1)) - length
-    return d[at], p[at] >> PLACE << PLACE, place, place + length
+    at = at[(d[at] != d[lead]) | (x[at] != x[lead]) | (p[at] != p[lead])]
+    place = p[at] - length
+    return d[at], x[at], place, place + length
 
 
 def settle_sides(batches: Iterator[pa.RecordBatch], length: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (key, d, p): repeated windows of ranges with one middle."""
+    """Rows in order of (key, d, x, p): repeated windows of ranges with one middle."""
     marks: list[tuple] = []
     bundle: list[list[tuple]] = []
     held = 0
@@ -406,12 +407,12 @@ def settle_sides(batches: Iterator[pa.RecordBatch], length: int, most: int) -> I
     def flush() -> Iterator[pa.RecordBatch]:
         nonlocal bundle, held, marks
         if bundle:
-            d, p, a, b = compare_sides(bundle, length)
+            d, x, a, b = compare_sides(bundle, length)
             if len(d):
-                yield rows_of(1, 0, 0, d, p, a, b)
+                yield rows_of(1, 0, 0, d, x, 0, a, b)
         if marks:
-            x = np.array(marks, np.int64)
-            yield rows_of(1, 0, 0, x[:, 0], x[:, 1], x[:, 2], x[:, 3])
+            y = np.array(marks, np.int64)
+            yield rows_of(1, 0, 0, y[:, 0], y[:, 1], 0, y[:, 2], y[:, 3])
         bundle, held, marks = [], 0, []
 
     def close() -> None:
@@ -424,7 +425,7 @@ def settle_sides(batches: Iterator[pa.RecordBatch], length: int, most: int) -> I
 
     big: list[tuple] = []
     for batch in batches:
-        for k, d, p, lo, hi, sides in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+        for k, d, x, p, lo, hi, sides in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
             if k != key:
                 if group:
                     close()
@@ -433,13 +434,13 @@ def settle_sides(batches: Iterator[pa.RecordBatch], length: int, most: int) -> I
                 yield from windows_one_by_one(big, length)
                 big = []
                 key, group, seen = k, [], {}
-            lead = seen.setdefault((lo, hi, sides), (d, p))
-            if lead == (d, p):
-                if not group or group[-1][:2] != (d, p) or group[-1][2:] != (lo, hi, sides):
-                    group.append((d, p, lo, hi, sides))
+            lead = seen.setdefault((lo, hi, sides), (d, x, p))
+            if lead == (d, x, p):
+                if not group or group[-1] != (d, x, p, lo, hi, sides):
+                    group.append((d, x, p, lo, hi, sides))
             else:
-                place = (p & ((1 << PLACE) - 1)) - length
-                marks.append((d, p >> PLACE << PLACE, place + lo, place + hi + length))
+                place = p - length
+                marks.append((d, x, place + lo, place + hi + length))
     if group:
         close()
     yield from flush()
@@ -452,8 +453,8 @@ def windows_one_by_one(groups: list[tuple], length: int) -> Iterator[pa.RecordBa
         seed = np.uint64(key & (1 << 64) - 1)
         for a in range(0, len(group), 4096):
             part = group[a : a + 4096]
-            d, p, lo, hi = (np.array([m[i] for m in part], np.int64) for i in range(4))
-            sides = np.frombuffer(b"".join(m[4] for m in part), np.uint8).reshape(len(part), 2 * STEP)
+            d, x, p, lo, hi = (np.array([m[i] for m in part], np.int64) for i in range(5))
+            sides = np.frombuffer(b"".join(m[5] for m in part), np.uint8).reshape(len(part), 2 * STEP)
             rolling = Rolling(sides.ravel())
             base = np.arange(len(part)) * 2 * STEP
             for s in range(STEP + 1):
@@ -462,7 +463,7 @@ def windows_one_by_one(groups: list[tuple], length: int) -> Iterator[pa.RecordBa
                     continue
                 # the window: the left side from s on, the middle, the right side up to s, which lie beside each other here
                 h = mix64(rolling.of(base + s, base + STEP + s) ^ seed + np.uint64(s))
-                yield rows_of(3, h[ok], 0, d[ok], p[ok] >> PLACE << PLACE, ((p & ((1 << PLACE) - 1)) - length + s)[ok], 0)
+                yield rows_of(3, h[ok], 0, d[ok], x[ok], 0, (p - length + s)[ok], 0)
 
 
 def repeated_bytes(docs: DataFrame, folder: str, length: int = 100, most_sides: int = MOST_SIDES) -> DataFrame:
@@ -471,15 +472,14 @@ def repeated_bytes(docs: DataFrame, folder: str, length: int = 100, most_sides:
     parts = shuffle_partitions(spark)
     if length < ANCHOR + STEP or (length - ANCHOR) % STEP:
         raise ValueError(f"the length must be {ANCHOR} and a multiple of {STEP}")
-    found = region_rows(docs, length).repartition(parts, "h").sortWithinPartitions("kind", "h", "c", "d", "p")
+    found = region_rows(docs, length).repartition(parts, "h").sortWithinPartitions("kind", "h", "c", "d", "x", "p")
     settled = write_table(found.mapInArrow(lambda it: settle(it, length), ROW_SQL), f"{folder}/settled")
-    sides = side_rows(docs, settled.filter("kind = 2"), length).repartition(parts, "key").sortWithinPartitions("key", "d", "p")
+    sides = side_rows(docs, settled.filter("kind = 2"), length).repartition(parts, "key").sortWithinPartitions("key", "d", "x", "p")
     last = write_table(sides.mapInArrow(lambda it: settle_sides(it, length, most_sides), ROW_SQL), f"{folder}/sides")
-    single = last.filter("kind = 3").select("h", "d", "p", "a")
-    firsts = write_table(single.groupBy("h").agg(F.min(F.struct("d", "p", "a")).alias("f"), F.count("*").alias("n")).filter("n > 1").select("h", "f"), f"{folder}/firsts")
-    again = single.join(firsts, "h").filter(F.struct("d", "p", "a") != F.col("f")).select("d", "p", "a", (F.col("a") + length).alias("b"))
-    marks = settled.filter("kind = 1").select("d", "p", "a", "b").unionByName(last.filter("kind = 1").select("d", "p", "a", "b")).unionByName(again)
-    return marks.select("d", F.shiftright("p", PLACE).alias("x"), "a", "b")
+    single = last.filter("kind = 3").select("h", "d", "x", "a")
+    firsts = write_table(single.groupBy("h").agg(F.min(F.struct("d", "x", "a")).alias("f"), F.count("*").alias("n")).filter("n > 1").select("h", "f"), f"{folder}/firsts")
+    again = single.join(firsts, "h").filter(F.struct("d", "x", "a") != F.col("f")).select("d", "x", "a", (F.col("a") + length).alias("b"))
+    return settled.filter("kind = 1").select("d", "x", "a", "b").unionByName(last.filter("kind = 1").select("d", "x", "a", "b")).unionByName(again)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False, most_sides: int = MOST_SIDES) -> DataFrame:
@@ -491,7 +491,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     marks = repeated_bytes(keyed(docs, id_col, text_col), folder, length, most_sides)
     # a document's intervals: bounded by its length
     marks = marks.groupBy("d", "x").agg(F.collect_set(F.struct("a", "b")).alias("_marks"))
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("_d"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND((1 << 23) - 1).alias("_x"), F.col(text_col).alias("_text"), *(F.col(c) for c in keep))
+    d, x = row_key(id_col, text_col)
+    rows = docs.select(d.alias("_d"), x.alias("_x"), F.col(text_col).alias("_text"), *(F.col(c) for c in keep))
     rows = rows.join(marks, (F.col("_d") == F.col("d")) & (F.col("_x") == F.col("x")), "left").select(*keep, "_text", "_marks")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

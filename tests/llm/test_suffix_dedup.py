@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from stonefly.llm.paragraph_dedup import remove_paragraphs
 from stonefly.llm.suffix_dedup import remove_repeats, suffix_array
 
 
@@ -64,5 +67,15 @@ def test_repeated_rows_count_once(spark):
     assert got == [(1, 0, text), (1, 0, text), (2, 350, "zz")]
 
 
+def test_rows_without_id_are_told_apart(spark):
+    passage = " ".join("".join(random.Random(k).choices("abcdefgh", k=7)) for k in range(20))
+    texts = spark.range(12_000).select(F.concat(F.lit(passage + "\n"), F.col("id").cast("string")).alias("text"))
+    low = texts.withColumn("x", F.xxhash64("text").bitwiseAND((1 << 23) - 1)).groupBy("x").agg(F.sort_array(F.collect_list("text")).alias("same"))
+    pair = low.filter("size(same) > 1").orderBy("x").first().same[:2]
+    df = spark.createDataFrame([(None, x) for x in pair], "doc_id long, text string")
+    assert sorted(r.n_removed for r in remove_repeats(spark, df).collect()) == [0, len(os.path.commonprefix(pair))]
+    assert sorted(r.n_removed for r in remove_paragraphs(spark, df).collect()) == [0, 1]
+
+
 def test_empty(spark):
     assert remove_repeats(spark, spark.createDataFrame([], "doc_id long, text string")).count() == 0
