@@ -42,6 +42,8 @@ from stonefly.llm.common import mix64, run_dir, shuffle_partitions, slices, text
 ANCHOR, STEP = 40, 10
 #: Distinct sides under one middle beyond which windows are grouped one by one instead, by an aggregate.
 MOST_SIDES = 20_000
+#: Of such a middle, so many ranges at most are held before their windows go out.
+WINDOW_ROWS = 4096
 #: A fixed odd multiplier for rolling hashes and random odd numbers for the 256 bytes.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -398,11 +400,15 @@ def compare_sides(bundle: list[list[tuple]], length: int) -> tuple[np.ndarray, n
 
 
 def settle_sides(batches: Iterator[pa.RecordBatch], length: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (key, d, x, p): repeated windows of ranges with one middle."""
+    """Rows in order of (key, d, x, p): repeated windows of ranges with one middle.
+
+    At most ``most`` sides of a middle are held; when there are more, those held and all later ones go out as
+    single windows (kind 3) while they are read.
+    """
     marks: list[tuple] = []
     bundle: list[list[tuple]] = []
     held = 0
-    key, group, seen = None, [], {}
+    key, group, seen, many = None, [], {}, False
 
     def flush() -> Iterator[pa.RecordBatch]:
         nonlocal bundle, held, marks
@@ -415,55 +421,54 @@ def settle_sides(batches: Iterator[pa.RecordBatch], length: int, most: int) -> I
             yield rows_of(1, 0, 0, y[:, 0], y[:, 1], 0, y[:, 2], y[:, 3])
         bundle, held, marks = [], 0, []
 
-    def close() -> None:
+    def close() -> Iterator[pa.RecordBatch]:
         nonlocal held
-        if len(group) > most:
-            big.append((key, group))
+        if many:
+            yield from windows_one_by_one(key, group, length)
         elif len(group) > 1:
             bundle.append(group)
             held += len(group)
 
-    big: list[tuple] = []
     for batch in batches:
         for k, d, x, p, lo, hi, sides in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
             if k != key:
-                if group:
-                    close()
-                if held > 2000 or len(marks) > 100_000:
+                yield from close()
+                if held > 2000:
                     yield from flush()
-                yield from windows_one_by_one(big, length)
-                big = []
-                key, group, seen = k, [], {}
-            lead = seen.setdefault((lo, hi, sides), (d, x, p))
+                key, group, seen, many = k, [], {}, False
+            # beyond ``most`` no sides are added, but those of a held one are still settled here
+            lead = seen.get((lo, hi, sides), (d, x, p)) if many else seen.setdefault((lo, hi, sides), (d, x, p))
             if lead == (d, x, p):
                 if not group or group[-1] != (d, x, p, lo, hi, sides):
                     group.append((d, x, p, lo, hi, sides))
+                if len(group) > (WINDOW_ROWS if many else most):
+                    yield from windows_one_by_one(key, group, length)
+                    group, many = [], True
             else:
                 place = p - length
                 marks.append((d, x, place + lo, place + hi + length))
-    if group:
-        close()
+                if len(marks) > 100_000:
+                    yield from flush()
+    yield from close()
     yield from flush()
-    yield from windows_one_by_one(big, length)
 
 
-def windows_one_by_one(groups: list[tuple], length: int) -> Iterator[pa.RecordBatch]:
+def windows_one_by_one(key: int, group: list[tuple], length: int) -> Iterator[pa.RecordBatch]:
     """Windows of a middle with very many sides, as regions of one window each (kind 3): an aggregate finds their firsts."""
-    for key, group in groups:
-        seed = np.uint64(key & (1 << 64) - 1)
-        for a in range(0, len(group), 4096):
-            part = group[a : a + 4096]
-            d, x, p, lo, hi = (np.array([m[i] for m in part], np.int64) for i in range(5))
-            sides = np.frombuffer(b"".join(m[5] for m in part), np.uint8).reshape(len(part), 2 * STEP)
-            rolling = Rolling(sides.ravel())
-            base = np.arange(len(part)) * 2 * STEP
-            for s in range(STEP + 1):
-                ok = (lo <= s) & (s <= hi)
-                if not ok.any():
-                    continue
-                # the window: the left side from s on, the middle, the right side up to s, which lie beside each other here
-                h = mix64(rolling.of(base + s, base + STEP + s) ^ seed + np.uint64(s))
-                yield rows_of(3, h[ok], 0, d[ok], x[ok], 0, (p - length + s)[ok], 0)
+    seed = np.uint64(key & (1 << 64) - 1)
+    for a in range(0, len(group), WINDOW_ROWS):
+        part = group[a : a + WINDOW_ROWS]
+        d, x, p, lo, hi = (np.array([m[i] for m in part], np.int64) for i in range(5))
+        sides = np.frombuffer(b"".join(m[5] for m in part), np.uint8).reshape(len(part), 2 * STEP)
+        rolling = Rolling(sides.ravel())
+        base = np.arange(len(part)) * 2 * STEP
+        for s in range(STEP + 1):
+            ok = (lo <= s) & (s <= hi)
+            if not ok.any():
+                continue
+            # the window: the left side from s on, the middle, the right side up to s, which lie beside each other here
+            h = mix64(rolling.of(base + s, base + STEP + s) ^ seed + np.uint64(s))
+            yield rows_of(3, h[ok], 0, d[ok], x[ok], 0, (p - length + s)[ok], 0)
 
 
 def repeated_bytes(docs: DataFrame, folder: str, length: int = 100, most_sides: int = MOST_SIDES) -> DataFrame:

@@ -6,13 +6,15 @@ import hashlib
 import os
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stonefly.llm.paragraph_dedup import remove_paragraphs
-from stonefly.llm.suffix_dedup import remove_repeats, suffix_array
+from stonefly.llm.suffix_dedup import remove_repeats, settle_sides, suffix_array
 
 
 @given(st.lists(st.integers(1, 3), max_size=60))
@@ -77,5 +79,24 @@ def test_rows_without_id_are_told_apart(spark):
     assert sorted(r.n_removed for r in remove_paragraphs(spark, df).collect()) == [0, 1]
 
 
+def test_many_sides_go_out_while_read():
+    taken, windows, marks = 0, set(), 0
+
+    def batches():
+        nonlocal taken
+        for k in range(24):
+            taken += 1
+            n = np.arange(1000) + 1000 * k
+            sides = [b"s" * 20 if k == 0 else int(i).to_bytes(20) for i in n]
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(1000, np.int64)), *(pa.array(x) for x in (n, n, np.full(1000, 100))), *(pa.array(np.zeros(1000, np.int8)) for _ in range(2)), pa.array(sides, pa.binary())], names=["key", "d", "x", "p", "lo", "hi", "sides"])
+
+    for out in settle_sides(batches(), 100, 10):
+        kind, d = (out.column(k).to_numpy() for k in ("kind", "d"))
+        windows |= set(d[kind == 3].tolist())
+        marks += int((kind == 1).sum())
+        assert 1000 * taken - len(windows) <= 1000 + 5200
+    assert windows == {0, *range(1000, 24_000)} and marks == 999
+
+
 def test_empty(spark):
     assert remove_repeats(spark, spark.createDataFrame([], "doc_id long, text string")).count() == 0
