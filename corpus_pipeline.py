@@ -6,14 +6,15 @@ but the last return the columns of ``documents``. ``run`` applies them to ``docu
 
 Nulls: a null text has no language and goes in the first stage. Repeated rows pass or go
 together in the first two stages; of a group of near duplicates the row with the least
-doc_id stays, and of rows repeated whole one.
+doc_id stays (rows without id come last), and of rows repeated whole one. Rows that share
+an id, or lack it, are told apart by a 128-bit hash of the text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stonefly.llm import jaccard_tree, language_id, line_quality, packing, suffix_dedup
@@ -36,18 +37,27 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line-frequency rules keep."""
-    rules = line_quality.line_frequency_rules(spark, docs)
-    rejected = rules.filter(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
+    rules = line_quality.line_frequency_rules(spark, docs, near_copies=True)
+    rejected = rules.filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("host").alias("_host"), F.col("content").alias("_content")).distinct()
     rejected = write_table(rejected, f"{run_dir(spark, 'quality-stage')}/rejected")
-    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (line_quality.host_key("source") == F.col("_host")) & (line_quality.content_key("text") == F.col("_content"))
+    return docs.join(rejected, same, "left_anti")
+
+
+def row_name() -> Column:
+    """A row's id and text's hash, in the ids' order and then the rows without id; only rows repeated whole share it."""
+    d = F.col("doc_id").cast("long")
+    number = F.lpad(F.hex(F.coalesce(d, F.lit(0)).bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    return F.concat(F.when(d.isNull(), "1").otherwise("0"), number, F.hex(line_quality.content_key("text")))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the least id; one of rows repeated whole."""
-    groups = jaccard_tree.similar_documents(spark, docs)
-    others = groups.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_id")).distinct()
+    named = docs.withColumn("_row", row_name())
+    groups = jaccard_tree.similar_documents(spark, named, id_col="_row")
+    others = groups.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_row")).distinct()
     others = write_table(others, f"{run_dir(spark, 'near-duplicate-stage')}/others")
-    return docs.join(others, F.col("doc_id") == F.col("_id"), "left_anti").dropDuplicates(["doc_id", "text"])
+    return named.join(others, "_row", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
 def repeated_bytes_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

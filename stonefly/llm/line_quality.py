@@ -4,7 +4,9 @@ Each line is normalised (words joined by one blank, A-Z lowered) and hashed. For
 each host the distinct documents that hold a line are counted; equal texts of a host
 count once, so a document isn't its own boilerplate for having copies. Lines in more
 than ``max_docs`` documents of their host are removed, and a document is depleted when
-less than ``min_share`` of its words remain.
+less than ``min_share`` of its words remain. With ``near_copies`` the near-equal documents
+(a component of ``jaccard_tree``) among those that hold such lines count once, too, so a
+group of them isn't its own boilerplate; the pipeline does that, the query op7 doesn't.
 
 Before that, the base rules: a document fails with fewer than ``min_words`` words, or
 when more than ``max_repeat`` percent of its words lie in three-word windows found
@@ -23,10 +25,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stonefly.llm.common import run_dir, slices, write_table
+from stonefly.llm.jaccard_tree import similar_documents
 
 SYMBOLS = "#*$%&|<>"
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -65,10 +68,20 @@ def line_hashes(text: str) -> dict[int, int]:
     return found
 
 
-def line_frequency_rules(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = 200, min_share: float = 0.5, min_words: int = 50, max_repeat: int = 50) -> DataFrame:
+def host_key(host_col: str) -> Column:
+    """The host; null is one of its own."""
+    return F.coalesce(F.col(host_col).cast("string"), F.lit("\0"))
+
+
+def content_key(text_col: str) -> Column:
+    """A 128-bit hash of the text; null text is empty."""
+    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+
+
+def line_frequency_rules(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = 200, min_share: float = 0.5, min_words: int = 50, max_repeat: int = 50, near_copies: bool = False) -> DataFrame:
     """One row a document: the base statistics, base_failed, n_removed_words and kept."""
     folder = run_dir(spark, "line-quality")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(F.col(host_col).cast("string"), F.lit("\0")).alias("host"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), host_key(host_col).alias("host"), content_key(text_col).alias("content"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, "text")):
@@ -77,8 +90,7 @@ def line_frequency_rules(spark: SparkSession, docs: DataFrame, id_col: str = "do
             lines = list(map(line_hashes, texts))
             hashes = pa.array([list(x) for x in lines], pa.list_(pa.int64()))
             words = pa.array([list(x.values()) for x in lines], pa.list_(pa.int64()))
-            content = pa.array([xxhash.xxh3_128_digest(x.encode()) for x in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("host"), content, *(pa.array(x, pa.int64()) for x in stats), hashes, words], names=["doc_id", "host", "content", *(x.split()[0] for x in STATS.split(", ")), "lines", "words"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("host"), batch.column("content"), *(pa.array(x, pa.int64()) for x in stats), hashes, words], names=["doc_id", "host", "content", *(x.split()[0] for x in STATS.split(", ")), "lines", "words"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     stats = write_table(rows.mapInArrow(read, f"doc_id {kind}, host string, content binary, {STATS}, lines array<long>, words array<long>"), f"{folder}/stats")
@@ -86,6 +98,13 @@ def line_frequency_rules(spark: SparkSession, docs: DataFrame, id_col: str = "do
     lines = texts.select("host", "content", F.explode(F.arrays_zip("lines", "words")).alias("x")).select("host", "content", F.col("x.lines").alias("line"), F.col("x.words").alias("n"))
     # both tables are written: Spark knows their size, broadcasts a small one and splits a common key of the other side
     often = write_table(lines.groupBy("host", "line").agg(F.count("*").alias("docs")).filter(F.col("docs") > max_docs).select("host", "line"), f"{folder}/often")
+    if near_copies and not often.isEmpty():
+        held = write_table(lines.join(often, ["host", "line"], "left_semi").select("host", "content", "line"), f"{folder}/held")
+        holders = write_table(held.select("content").distinct(), f"{folder}/holders")
+        holders = write_table(rows.select("content", "text").join(holders, "content", "left_semi").dropDuplicates(["content"]), f"{folder}/holder-texts")
+        groups = similar_documents(spark, holders, id_col="content").select(F.col("doc_id").alias("content"), F.col("component_id").alias("of"))
+        counts = held.join(groups, "content").select("host", "line", "of").distinct().groupBy("host", "line").agg(F.count("*").alias("docs"))
+        often = write_table(counts.filter(F.col("docs") > max_docs).select("host", "line"), f"{folder}/often-apart")
     lost = write_table(lines.join(often, ["host", "line"], "left_semi").groupBy("host", "content").agg(F.sum("n").alias("lost")), f"{folder}/lost")
     out = stats.drop("lines", "words").join(lost, ["host", "content"], "left")
     removed = F.coalesce("lost", F.lit(0))

@@ -36,6 +36,39 @@ def test_stages(spark, tmp_path):
     assert ids("packing") == ids("repeated_bytes")
 
 
+def prose(rng, n):
+    return " ".join("".join(rng.choices("abcdefghijkl", k=rng.randint(3, 8))) for _ in range(n))
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "en", host, len(t)) for i, t, host in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_one_of_many_near_copies_stays(spark, tmp_path):
+    rng = random.Random(7)
+    body = [prose(rng, 12) for _ in range(12)]
+    footer = prose(rng, 70)
+    rows = [(i, "\n".join([*body, prose(rng, 2)]), "a") for i in range(300)]
+    rows += [(1000 + i, prose(rng, 60) + "\n" + footer, "a") for i in range(210)]
+    docs = frame(spark, rows)
+    kept = C.quality_stage(spark, docs, str(tmp_path))
+    assert {r.doc_id for r in kept.collect()} == set(range(300))
+    assert [r.doc_id for r in C.near_duplicate_stage(spark, kept, str(tmp_path)).collect()] == [0]
+
+
+def test_rows_without_or_with_one_id(spark, tmp_path):
+    rng = random.Random(8)
+    base, other, own, last = (prose(rng, 120) for _ in range(4))
+    rows = [(None, base + " one", "a"), (None, base + " two", "a"), (None, other, "a"), (None, "too short", "a")]
+    rows += [(-3, own, "a"), (-3, "too short", "a"), (-3, base, "b"), (9, own + " more", "a"), (9, last, None), (9, last, None)]
+    kept = C.quality_stage(spark, frame(spark, rows), str(tmp_path))
+    assert sorted(r.text for r in kept.collect()) == sorted(t for _, t, _ in rows if t != "too short")
+    left = C.near_duplicate_stage(spark, kept, str(tmp_path))
+    assert sorted((str(r.doc_id), r.text) for r in left.collect()) == sorted([("None", other), ("-3", own), ("-3", base), ("9", last)])
+    alone = C.near_duplicate_stage(spark, frame(spark, rows[:3]), str(tmp_path))
+    assert other in (texts := [r.text for r in alone.collect()]) and len(texts) == 2
+
+
 def test_run_over_a_table(spark):
     got = C.run(spark, "/root/testdata/sf0.001")
     ends = {}
