@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stonefly.llm import jaccard_tree, language_id, line_quality, nbest, packing, paragraph_dedup, suffix_dedup, token_files, vptree, warc
+from stonefly.llm import fill_in_middle, jaccard_tree, language_id, line_quality, nbest, packing, paragraph_dedup, suffix_dedup, token_files, tree_kmeans, vptree, warc
 from stonefly.llm.tokens import piece_model, word_tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(spark, _table(spark, sf_dir, "documents"))
 
 
+def op12_centroid_tree_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree_kmeans.cluster_report(spark, _table(spark, sf_dir, "embeddings"), clusters=40, rounds=5, size=64)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -68,8 +76,10 @@ def queries() -> dict[str, Query]:
         "op8_token_files": op8_token_files,
         "op9_signature_tree_join": op9_signature_tree_join,
         "op10_language_id": op10_language_id,
+        "op12_centroid_tree_kmeans": op12_centroid_tree_kmeans,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_suffix_array_dedup": suffix_dedup.SQL, "op4_warc": warc.SQL, "op5_vantage_point_trees": vptree.SQL, "op7_line_frequency": line_quality.SQL, "op9_signature_tree_join": jaccard_tree.SQL}
+    return {"op2_suffix_array_dedup": suffix_dedup.SQL, "op4_warc": warc.SQL, "op5_vantage_point_trees": vptree.SQL, "op7_line_frequency": line_quality.SQL, "op9_signature_tree_join": jaccard_tree.SQL, "op12_centroid_tree_kmeans": tree_kmeans.SQL, "op13_fill_in_middle": fill_in_middle.SQL}
