@@ -91,6 +91,12 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def string_array(raw: np.ndarray, offsets: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
+    """A string column from bytes and the n + 1 offsets of its rows: the inverse of ``text_buffers``."""
+    column = pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw)])
+    return column.cast(kind) if kind else column
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices start, start + 1, ... of each run, one run after the other."""
     total = int(lengths.sum())

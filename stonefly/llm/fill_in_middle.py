@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stonefly.llm.common import slices, text_buffers
+from stonefly.llm.common import slices, string_array, text_buffers
 
 #: Bytes whose displacements are held at once.
 BLOCK = 1 << 20
@@ -176,12 +176,6 @@ def gather(raw: np.ndarray, offsets: np.ndarray, form: np.ndarray) -> tuple[np.n
     return out, out_offsets
 
 
-def string_array(raw: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """An Arrow column of the batch's texts."""
-    column = pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw)])
-    return column.cast(kind)
-
-
 FORMS = pa.array(["plain", "psm", "spm"])
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stonefly.llm import fill_in_middle, jaccard_tree, language_id, line_quality, nbest, packing, paragraph_dedup, suffix_dedup, token_files, tree_kmeans, vptree, warc
+from stonefly.llm import fill_in_middle, hidden_markov, jaccard_tree, language_id, line_quality, nbest, packing, paragraph_dedup, suffix_dedup, token_files, tree_kmeans, vptree, warc
 from stonefly.llm.tokens import piece_model, word_tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(spark, _table(spark, sf_dir, "documents"))
 
 
+def op11_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.hidden_markov_scores(spark, _table(spark, sf_dir, "documents"))
+
+
 def op12_centroid_tree_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_kmeans.cluster_report(spark, _table(spark, sf_dir, "embeddings"), clusters=40, rounds=5, size=64)
 
@@ -76,6 +80,7 @@ def queries() -> dict[str, Query]:
         "op8_token_files": op8_token_files,
         "op9_signature_tree_join": op9_signature_tree_join,
         "op10_language_id": op10_language_id,
+        "op11_hidden_markov": op11_hidden_markov,
         "op12_centroid_tree_kmeans": op12_centroid_tree_kmeans,
         "op13_fill_in_middle": op13_fill_in_middle,
     }
