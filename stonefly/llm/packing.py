@@ -12,8 +12,10 @@ undominated fillings of the rest of a bin (a filling goes when another one can
 take its place item by item with larger items), prunes them by the waste that a
 better solution may still have, and branches over them. Best-fit decreasing gives
 the first incumbent; each better solution replaces it; a solution at the lower
-bound ends the search. ``nodes`` bounds the branching; without proof by then the
-incumbent is returned.
+bound ends the search. The search is bounded, whatever the corpus: NODES histogram states, BRANCHES
+fillings of each, TRIES tries to find them; a filling is taken as often as its items last. Without
+proof by then the incumbent is returned, which is never worse than best-fit decreasing.
+``packing_summary`` gives the sequences used and the lower bound.
 
 Null text is an empty document: the end id alone. Repeated rows are packed each on
 its own. An empty table gives an empty layout. Columns other than those named are
@@ -113,12 +115,21 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[Pattern]:
     return [(pattern, many) for group in bins.values() for pattern, many in group]
 
 
-def fillings(lengths: list[int], counts: dict[int, int], room: int, waste: int, most: int, steps: int = 300) -> list[tuple[tuple[tuple[int, int], ...], int]]:
+#: Bounds of the search, whatever the corpus: histogram states that it branches over, fillings that it takes
+#: of each, and tries to find them. A better solution beyond them is not looked for.
+NODES, BRANCHES, TRIES = 2_000, 3, 300
+
+#: A filling as (length, how often) from the largest, and the room that it leaves.
+Filling = tuple[tuple[tuple[int, int], ...], int]
+
+
+def fillings(lengths: list[int], counts: dict[int, int], room: int, waste: int, most: int, tries: int = TRIES) -> tuple[list[Filling], bool]:
     """Undominated fillings of ``room`` that leave at most ``waste``, the fullest and then largest items first.
 
     ``lengths`` descend. A filling to which some left-over item could still be
     added, or one of whose items could give way to a larger one within the room
-    left, is dominated. At most ``most`` are returned, after at most ``steps`` tries.
+    left, is dominated. All that ``tries`` tries find are ordered by what they leave before
+    ``most`` are taken. Second: did the tries suffice to see every filling?
     """
     found: dict[tuple, int] = {}
     tails = [0] * (len(lengths) + 1)
@@ -140,43 +151,49 @@ def fillings(lengths: list[int], counts: dict[int, int], room: int, waste: int,
                     return False
         return True
 
-    def extend(i: int, left: int, chosen: dict[int, int]) -> None:
-        nonlocal tried
+    # depth first: (next length, room left, lengths chosen so far as a linked list)
+    stack: list[tuple[int, int, tuple | None]] = [(0, room, None)]
+    while stack and tried < tries:
+        i, left, chosen = stack.pop()
         tried += 1
-        if tried > steps or len(found) >= most or found and waste and min(found.values()) == 0 and len(found) >= most:
-            return
         while i < len(lengths) and lengths[i] > left:
             i += 1
         if left - tails[i] > waste:  # even all smaller items leave too much
-            return
+            continue
         if i == len(lengths) or not left:
-            if left <= waste and undominated(chosen, left):
-                found[tuple(sorted(chosen.items(), reverse=True))] = left
-            return
+            items = {}
+            while chosen:
+                k, n, chosen = chosen
+                items[k] = n
+            if left <= waste and undominated(items, left):
+                found[tuple(sorted(items.items(), reverse=True))] = left
+                if len(found) >= most and sum(not x for x in found.values()) >= most:
+                    break  # as many perfect ones as are taken
+            continue
         k = lengths[i]
-        for n in range(min(counts[k], left // k), -1, -1):
-            if n:
-                chosen[k] = n
-            else:
-                chosen.pop(k, None)
-            extend(i + 1, left - n * k, chosen)
-            if tried > steps or len(found) >= most:
-                break
-        chosen.pop(k, None)
+        for n in range(min(counts[k], left // k) + 1):  # the largest number on top
+            stack.append((i + 1, left - n * k, (k, n, chosen) if n else chosen))
+    return sorted(found.items(), key=lambda x: (x[1], [(-k, n) for k, n in x[0]]))[:most], not stack
 
-    import sys
 
-    sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
-    extend(0, room, {})
-    return sorted(found.items(), key=lambda x: (x[1], [(-k, n) for k, n in x[0]]))
+def greedy_filling(lengths: list[int], counts: dict[int, int], room: int) -> Filling:
+    """The room filled with the largest items that fit, one after the other."""
+    chosen = []
+    for k in lengths:
+        if n := min(counts[k], room // k):
+            chosen.append((k, n))
+            room -= n * k
+    return tuple(chosen), room
 
 
-def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 2_000, branches: int = 3) -> tuple[list[Pattern], bool]:
+def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES, branches: int = BRANCHES) -> tuple[list[Pattern], bool]:
     """Patterns that pack the histogram, and whether their number is proven least.
 
     Depth first: the largest length left gets its fillings; the fullest is taken
     as often as its items last; other fillings are the branches. What a solution
-    better than the incumbent may waste in all bounds each branch.
+    better than the incumbent may waste in all bounds each branch. One histogram
+    is changed and changed back, so that memory holds one path and the other fillings
+    along it. Where the tries for fillings run out with none found, the greedy one stands in.
     """
     counts = {k: n for k, n in counts.items() if n}
     if any(not 0 < k <= capacity for k in counts):
@@ -185,41 +202,75 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 2_000, br
     bound = lower_bound(counts, capacity)
     incumbent = best_fit_decreasing(counts, capacity)
     number = sum(n for _, n in incumbent)
-    spent = 0
-    # each open branch: what is left, the patterns so far, their bins and waste
-    stack: list[tuple[dict[int, int], list[Pattern], int, int]] = [(counts, [], 0, 0)]
-    while stack and number > bound and spent < nodes:
-        left, made, bins, wasted = stack.pop()
-        while left and spent < nodes:
-            spent += 1
-            allowed = (number - 1) * capacity - total - wasted  # waste that a better solution may still have
-            if allowed < 0:
-                break
-            largest = max(left)
-            rest = dict(left)
-            rest[largest] -= 1
-            lengths = sorted((k for k, n in rest.items() if n and k <= capacity - largest), reverse=True)
-            options = fillings(lengths, rest, capacity - largest, min(allowed, capacity), branches)
-            if not options:
-                break
-            steps = []
-            for filling, waste in options:
-                use = Counter(dict(filling))
-                use[largest] += 1
-                # as often as the items last, and as the waste allowed permits
-                times = min(left[k] // n for k, n in use.items())
-                if waste:
-                    times = max(1, min(times, allowed // waste))
-                after = {k: n - times * use[k] for k, n in left.items() if n > times * use.get(k, 0)}
-                steps.append((after, [*made, (tuple(sorted(use.items(), reverse=True)), times)], bins + times, wasted + times * waste))
-            stack.extend(reversed(steps[1:]))
-            left, made, bins, wasted = steps[0]
-            if bins + (lower_bound(left, capacity) if left and len(left) < 64 else 0) >= number:
-                break
-        if not left and bins < number:
-            incumbent, number = made, bins
-        if len(stack) > 4 * branches * 256:
-            del stack[: len(stack) // 2]
+    if number == bound:
+        return incumbent, True
+    left, bins, wasted, spent = dict(counts), 0, 0, 0
+    complete = True
+    # of each step on the path: the fillings not tried yet (last first) and the one taken
+    path: list[tuple[list[tuple[dict[int, int], int]], dict[int, int], int, int]] = []
+
+    def options() -> list[tuple[dict[int, int], int]]:
+        """Fillings around the largest length left, the most promising last; none where no better solution lies below."""
+        nonlocal complete
+        allowed = (number - 1) * capacity - total - wasted  # waste that a better solution may still have
+        if allowed < 0 or bins + (lower_bound(left, capacity) if len(left) < 64 else -(-sum(k * n for k, n in left.items()) // capacity)) >= number:
+            return []
+        largest = max(left)
+        rest = dict(left)
+        rest[largest] -= 1
+        lengths = sorted((k for k, n in rest.items() if n and k <= capacity - largest), reverse=True)
+        found, all_seen = fillings(lengths, rest, capacity - largest, min(allowed, capacity), branches)
+        if not all_seen or len(found) == branches:
+            complete = False  # there may be others
+        if not found and not all_seen:
+            found = [x for x in [greedy_filling(lengths, rest, capacity - largest)] if x[1] <= allowed]
+        out = []
+        for filling, waste in found:
+            use = dict(filling)
+            use[largest] = use.get(largest, 0) + 1
+            out.append((use, waste))
+        return out[::-1]
+
+    def take(todo: list[tuple[dict[int, int], int]]) -> None:
+        nonlocal bins, wasted, complete
+        use, waste = todo.pop()
+        times = min(left[k] // n for k, n in use.items())
+        if waste:
+            allowed = (number - 1) * capacity - total - wasted
+            times = max(1, min(times, allowed // waste))
+        if times > 1:
+            complete = False  # fewer times are not tried
+        for k, n in use.items():
+            left[k] -= n * times
+            if not left[k]:
+                del left[k]
+        bins += times
+        wasted += times * waste
+        path.append((todo, use, times, waste))
+
+    def undo() -> list[tuple[dict[int, int], int]]:
+        nonlocal bins, wasted
+        todo, use, times, waste = path.pop()
+        for k, n in use.items():
+            left[k] = left.get(k, 0) + n * times
+        bins -= times
+        wasted -= times * waste
+        return todo
+
+    todo = options()
+    while number > bound and spent < nodes:
+        while not todo and path:
+            todo = undo()
+        if not todo:
+            return incumbent, complete
+        take(todo)
+        spent += 1
+        if left:
+            todo = options()
+        else:
+            if bins < number:
+                incumbent, number = [(tuple(sorted(use.items(), reverse=True)), times) for _, use, times, _ in path], bins
+            todo = []
     return incumbent, number == bound
 
 
@@ -241,7 +292,7 @@ def slots(patterns: list[Pattern]) -> dict[str, np.ndarray]:
     return dict(zip(("length", "rank", "sequence", "offset", "n"), table.T, strict=True))
 
 
-def pack(pieces: DataFrame, capacity: int, folder: str, keys: list[str], length_col: str = "length", nodes: int = 2_000) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int, folder: str, keys: list[str], length_col: str = "length", nodes: int = NODES) -> DataFrame:
     """``pieces`` (a written table) with ``sequence_id`` and ``offset``; ``keys`` order pieces of equal length.
 
     Ranks within a length are counted in buckets of the keys, so no length, however
@@ -285,6 +336,12 @@ def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id:
     return pack(pieces, capacity, folder, ["doc_id", "piece", "ids_crc32"])
 
 
+def packing_summary(layout: DataFrame, capacity: int, length_col: str = "length") -> tuple[int, int]:
+    """How many sequences a layout uses, and a number that no layout can be below."""
+    counts = {r[0]: r["count"] for r in layout.groupBy(length_col).count().collect()}  # capacity rows at most
+    return layout.select("sequence_id").distinct().count(), lower_bound(counts, capacity)
+
+
 def sequences(layout: DataFrame) -> DataFrame:
     """The packed sequences of a layout with ids: sequence_id, n_tokens and the ids' bytes in order of offset.
 

@@ -59,6 +59,34 @@ def test_better_than_best_fit():
     assert sum(n for _, n in packing.bin_completion(counts, 12)[0]) == 3
 
 
+def test_search_beats_best_fit_on_thousands_of_pieces():
+    counts = {8: 900, 6: 900, 5: 1800, 3: 900, 2: 3600}  # 8,100 pieces
+    plain = sum(n for _, n in packing.best_fit_decreasing(counts, 12))
+    patterns, _ = packing.bin_completion(counts, 12)
+    number = sum(n for _, n in patterns)
+    assert packing.lower_bound(counts, 12) <= number < plain
+    used = Counter()
+    for pattern, times in patterns:
+        assert sum(k * n for k, n in pattern) <= 12 and times > 0
+        for k, n in pattern:
+            used[k] += n * times
+    assert used == Counter(counts)
+
+
+def test_search_on_many_lengths_stays_small():
+    """Where best-fit isn't at the bound and lengths are many, the search ends, holds one path, and isn't worse."""
+    import tracemalloc
+    rng = random.Random(7)
+    counts = Counter(rng.randint(700, 2400) for _ in range(5000))
+    tracemalloc.start()
+    patterns, _ = packing.bin_completion(dict(counts), 4096, nodes=300)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50 << 20
+    assert packing.lower_bound(dict(counts), 4096) <= sum(n for _, n in patterns) <= sum(n for _, n in packing.best_fit_decreasing(dict(counts), 4096))
+    assert sum(n * t for pattern, t in patterns for _, n in pattern) == 5000
+
+
 def test_bad_length():
     with pytest.raises(ValueError):
         packing.bin_completion({5: 1}, 4)
@@ -86,6 +114,7 @@ def test_documents(spark):
     whole = {r.sequence_id: r for r in packing.sequences(layout).collect()}
     assert {k: r.n_tokens for k, r in whole.items()} == dict(ends)
     assert all(len(r.ids) == 4 * r.n_tokens for r in whole.values())
+    assert packing.packing_summary(layout, 4096) == (len(ends), len(ends))
 
 
 def test_empty(spark):
