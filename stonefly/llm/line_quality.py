@@ -2,9 +2,9 @@ r"""Quality rules by cross-document line frequency.
 
 Each line is normalised (words joined by one blank, A-Z lowered) and hashed. For
 each host the distinct documents that hold a line are counted; equal texts of a host
-count once, so a document isn't its own boilerplate for having copies. Lines in more
-than ``max_docs`` documents of their host are removed, and a document is depleted when
-less than ``min_share`` of its words remain. With ``near_copies`` the near-equal documents
+count once, so a document isn't its own boilerplate for having copies. Lines in more than
+``max_percent`` per cent of their host's distinct documents, and in more than ``least_docs`` of them,
+are removed, and a document is depleted when less than ``min_share`` of its words remain. With ``near_copies`` the near-equal documents
 (a component of ``jaccard_tree``) among those that hold such lines count once, too, so a
 group of them isn't its own boilerplate; the pipeline does that, the query op7 doesn't.
 
@@ -78,7 +78,7 @@ def content_key(text_col: str) -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
 
 
-def line_frequency_rules(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = 200, min_share: float = 0.5, min_words: int = 50, max_repeat: int = 50, near_copies: bool = False) -> DataFrame:
+def line_frequency_rules(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_percent: int = 10, least_docs: int = 5, min_share: float = 0.5, min_words: int = 50, max_repeat: int = 50, near_copies: bool = False) -> DataFrame:
     """One row a document: the base statistics, base_failed, n_removed_words and kept."""
     folder = run_dir(spark, "line-quality")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), host_key(host_col).alias("host"), content_key(text_col).alias("content"))
@@ -96,15 +96,18 @@ def line_frequency_rules(spark: SparkSession, docs: DataFrame, id_col: str = "do
     stats = write_table(rows.mapInArrow(read, f"doc_id {kind}, host string, content binary, {STATS}, lines array<long>, words array<long>"), f"{folder}/stats")
     texts = stats.select("host", "content", "lines", "words").dropDuplicates(["host", "content"])
     lines = texts.select("host", "content", F.explode(F.arrays_zip("lines", "words")).alias("x")).select("host", "content", F.col("x.lines").alias("line"), F.col("x.words").alias("n"))
-    # both tables are written: Spark knows their size, broadcasts a small one and splits a common key of the other side
-    often = write_table(lines.groupBy("host", "line").agg(F.count("*").alias("docs")).filter(F.col("docs") > max_docs).select("host", "line"), f"{folder}/often")
+    # one row a host; all three tables are written: Spark knows their size, broadcasts a small one and splits a common key of the other side
+    hosts = write_table(texts.groupBy("host").agg(F.count("*").alias("all_docs")), f"{folder}/hosts")
+    too_many = (F.col("docs") > least_docs) & (100 * F.col("docs") > max_percent * F.col("all_docs"))
+    held_often = lambda counts: counts.filter(F.col("docs") > least_docs).join(hosts, "host").filter(too_many).select("host", "line")
+    often = write_table(held_often(lines.groupBy("host", "line").agg(F.count("*").alias("docs"))), f"{folder}/often")
     if near_copies and not often.isEmpty():
         held = write_table(lines.join(often, ["host", "line"], "left_semi").select("host", "content", "line"), f"{folder}/held")
         holders = write_table(held.select("content").distinct(), f"{folder}/holders")
         holders = write_table(rows.select("content", "text").join(holders, "content", "left_semi").dropDuplicates(["content"]), f"{folder}/holder-texts")
         groups = similar_documents(spark, holders, id_col="content").select(F.col("doc_id").alias("content"), F.col("component_id").alias("of"))
         counts = held.join(groups, "content").select("host", "line", "of").distinct().groupBy("host", "line").agg(F.count("*").alias("docs"))
-        often = write_table(counts.filter(F.col("docs") > max_docs).select("host", "line"), f"{folder}/often-apart")
+        often = write_table(held_often(counts), f"{folder}/often-apart")
     lost = write_table(lines.join(often, ["host", "line"], "left_semi").groupBy("host", "content").agg(F.sum("n").alias("lost")), f"{folder}/lost")
     out = stats.drop("lines", "words").join(lost, ["host", "content"], "left")
     removed = F.coalesce("lost", F.lit(0))
@@ -124,7 +127,8 @@ l AS (SELECT doc_id, host, unnest(string_split(t, chr(10))) AS line FROM d),
 lw AS (SELECT doc_id, host, line, list_aggregate(list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')), 'string_agg', ' ') AS k, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM l),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lw WHERE n > 0 GROUP BY doc_id),
 k AS (SELECT lw.doc_id, lw.host, k, sum(n) AS n, any_value(t) AS t FROM lw JOIN d USING (doc_id) WHERE n > 0 GROUP BY ALL),
-often AS (SELECT host, k FROM k GROUP BY host, k HAVING count(DISTINCT t) > 200),
+hosts AS (SELECT host, count(DISTINCT t) AS n FROM d GROUP BY host),
+often AS (SELECT host, k FROM (SELECT host, k, count(DISTINCT t) AS c FROM k GROUP BY host, k) JOIN hosts USING (host) WHERE c > 5 AND 100 * c > 10 * n),
 lost AS (SELECT doc_id, sum(n) AS n FROM k JOIN often USING (host, k) GROUP BY doc_id),
 s AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
   CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
