@@ -5,7 +5,7 @@ when Catalyst's estimate is under ``spark.sql.autoBroadcastJoinThreshold``,
 and AQE re-decides from the actual shuffle sizes at runtime (and splits a
 skewed partition of a join of two shuffles).  Configuration tables are in-plan
 literals (``sources.literal``) so their estimate is exact and tiny.  Joins back
-to an aggregate or a lookup deal hot keys to several tasks (``split_join``).
+to an aggregate or a lookup deal hot keys to several tasks (``skew.skew_join``).
 """
 
 from __future__ import annotations
@@ -16,26 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-#: Copies of each small-side row in ``split_join``: one key value is dealt to so many tasks.
-SPLIT = 16
-
-
-def split_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join ``big`` to a table with at most one row for each key, whatever the
-    key's share of ``big`` (JN-10).
-
-    Keys match null-safe.  Every row of ``big`` takes a bucket by a hash of
-    the whole row and every row of ``small`` is copied into each bucket, so
-    a hot key (the null key, too) is spread over ``SPLIT`` tasks also where
-    AQE can't split it, as when the small side is an aggregate.  A small
-    side under Spark's broadcast threshold is broadcast instead.  ``how``:
-    inner, left, left_semi or left_anti.  Map columns stay out of the hash.
-    """
-    spread = [F.col(f"`{f.name}`") for f in big.schema if "map<" not in f.dataType.simpleString()]
-    b = big.withColumn("_bucket", F.pmod(F.xxhash64(*spread), F.lit(SPLIT)).cast("int"))
-    s = small.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(SPLIT - 1))))
-    return join_null_safe(b, s, [*keys, "_bucket"], how).drop("_bucket")
+from stonefly.operators.skew import skew_join
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -114,14 +95,14 @@ def with_group_aggregates(df: DataFrame, keys: Sequence[str], aggs: dict) -> Dat
     window would put the whole group in one task.  Null keys are a group.
     """
     agg = df.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()])
-    return split_join(df, agg, keys).select(*df.columns, *aggs)
+    return skew_join(df, agg, keys).select(*df.columns, *aggs)
 
 
 def semi_flag(df: DataFrame, other: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """Add a boolean ``flag``: row has a partner in ``other`` (no fan-out:
     the partner keys are de-duplicated first)."""
     marks = other.select(*keys).dropDuplicates().withColumn(flag, F.lit(True))
-    out = split_join(df, marks, keys).select(*df.columns, flag)
+    out = skew_join(df, marks, keys).select(*df.columns, flag)
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stonefly.functions.text import ordered_replace
-from stonefly.operators.joins import split_join
+from stonefly.operators.skew import skew_join
 
 
 def _c(c) -> Column:
@@ -45,7 +45,7 @@ def lookup_conflicts(table: DataFrame, keys: Sequence[str], values: Sequence[str
     """Keys of a lookup with several different values (JN-12): the keys, how
     many, and the choice that the joins here make."""
     several = table.select(*keys, *values).distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n_values")).filter("n_values > 1")
-    return split_join(several, least_per_key(table.select(*keys, *values), keys), keys)
+    return skew_join(several, least_per_key(table.select(*keys, *values), keys), keys)
 
 
 def lookup_join(df: DataFrame, key: str, table: DataFrame, table_key: str, value: str, out: str,
@@ -53,7 +53,7 @@ def lookup_join(df: DataFrame, key: str, table: DataFrame, table_key: str, value
     """Map ``key`` through a two-column table; unmatched keep the old value
     (or null) - a table-driven ``case_match``."""
     t = least_per_key(table.filter(F.col(table_key).isNotNull()).select(F.col(table_key).alias("_lk"), F.col(value).alias("_lv")), ["_lk"])
-    j = split_join(df.withColumn("_lk", F.col(key)), t, ["_lk"])
+    j = skew_join(df.withColumn("_lk", F.col(key)), t, ["_lk"])
     e = F.coalesce(F.col("_lv"), F.col(key)) if keep_unmatched else F.col("_lv")
     return j.select(*df.columns, "_lk", "_lv").withColumn(out, e).drop("_lk", "_lv")
 
@@ -70,7 +70,7 @@ def replace_from_crosswalk(df: DataFrame, col: str, crosswalk: DataFrame, old: s
     cw = (crosswalk.select(F.col(old).alias("_old"), F.col(new).alias("_new"))
           .filter((F.col("_old") != F.col("_new")) & F.col("_new").isNotNull() & (F.trim(F.col("_new")) != ""))
           .filter(F.col("_old").isNotNull()))
-    j = split_join(df.withColumn("_old", F.col(col)), least_per_key(cw, ["_old"]), ["_old"])
+    j = skew_join(df.withColumn("_old", F.col(col)), least_per_key(cw, ["_old"]), ["_old"])
     out = j.select(*df.columns, "_new").withColumn(col, F.coalesce(F.col("_new"), F.col(col)))
     if flag:
         out = out.withColumn(flag, F.col("_new").isNotNull())
@@ -88,6 +88,6 @@ def apply_key_corrections(df: DataFrame, keys: Sequence[str], corrections: DataF
     """Manual corrections keyed by (site, date, ...) (DOM-13): each target
     column takes the correction's value where one exists."""
     c = least_per_key(corrections.select(*keys, *[F.col(t).alias(f"_fix_{t}") for t in targets]), keys)
-    j = split_join(df, c, keys).select(*df.columns, *[f"_fix_{t}" for t in targets])
+    j = skew_join(df, c, keys).select(*df.columns, *[f"_fix_{t}" for t in targets])
     return j.withColumns({t: F.coalesce(F.col(f"_fix_{t}"), F.col(t)) for t in targets}).drop(
         *[f"_fix_{t}" for t in targets])

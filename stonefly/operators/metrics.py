@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from stonefly.config import scoring
 from stonefly.functions.numeric import round_half_up
 from stonefly.operators.aggregates import top_k_per_group
-from stonefly.operators.joins import join_null_safe, split_join
+from stonefly.operators.joins import join_null_safe
+from stonefly.operators.skew import skew_join
 
 
 def sum_duplicate_taxa(df: DataFrame, sample_cols: Sequence[str], taxon_col: str, count_col: str,
@@ -97,7 +98,7 @@ def percent_model_affinity(counts: DataFrame, sample_cols: Sequence[str], group_
     pct = per_group.join(totals, list(sample_cols)).withColumn(
         "_pct", F.lit(100.0) * F.col("_g") / F.col("_n"))
     m = model.select(*model_keys, group_col, F.col(model_percent).alias("_model"))
-    sim = (split_join(pct, m, [*model_keys, group_col], "inner")
+    sim = (skew_join(pct, m, [*model_keys, group_col], "inner")
            .groupBy(*sample_cols).agg(F.sum(F.least(F.col("_pct"), F.col("_model"))).alias(name)))
     return totals.select(*sample_cols).join(sim, list(sample_cols), "left").fillna({name: 0.0})
 
@@ -134,7 +135,7 @@ def community_metrics(counts: DataFrame, sample_cols: Sequence[str], taxon_col:
         per_group = (counts.groupBy(*keys, *[k for k in model_keys if k not in keys], group_col)
                      .agg(F.sum(count_col).alias("_g")))
         # (method, group) has few values: salted so no group lands in one task.
-        per_group = split_join(per_group, m, [*model_keys, group_col], "inner")
+        per_group = skew_join(per_group, m, [*model_keys, group_col], "inner")
         folded = per_group.groupBy(*keys).agg(
             F.collect_list(F.struct(F.col("_g").alias("g"), F.col("_model").alias("m"))).alias("_groups"))
         out = join_null_safe(out, folded, keys, "left")

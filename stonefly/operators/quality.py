@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from stonefly.functions.nulls import all_true, null_safe_on
 from stonefly.operators.aggregates import newest_per_key
-from stonefly.operators.joins import split_join
+from stonefly.operators.skew import skew_join
 
 SCHEMA_CHECKS = {"col_exists", "col_count_match", "col_is_character", "col_is_numeric", "col_is_posix",
                  "col_is_date", "col_is_logical"}
@@ -262,7 +262,7 @@ def failing_rows(df: DataFrame, rules: Sequence[Rule], n: int = 50, order_by: Se
 def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every row of a duplicate key group (VAL-09)."""
     dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(*keys)
-    return split_join(df, dup, keys, "left_semi")
+    return skew_join(df, dup, keys, "left_semi")
 
 
 def compare_schemas(spark: SparkSession, a: DataFrame, b: DataFrame, names: tuple[str, str] = ("a", "b")) -> DataFrame:
@@ -330,7 +330,7 @@ def validate_fks(df: DataFrame, table_name: str, dictionary: DataFrame, parents:
             base = base.unionByName(new)
         marks = base.dropDuplicates(keys).withColumn("_m", F.lit(True))
         flag = f"MATCHED_{parent}"
-        out = (split_join(out, marks, keys).select(*out.columns, "_m")
+        out = (skew_join(out, marks, keys).select(*out.columns, "_m")
                .withColumn(flag, F.coalesce(F.col("_m"), F.lit(False))).drop("_m"))
         flags.append(flag)
     return out.withColumn("FK_VALIDATION_PASSED", all_true(flags))

@@ -77,15 +77,15 @@ def test_contains_any_strategies_match_brute_force(spark, strategy):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_split_join_is_exact_for_hot_and_null_keys(spark, how):
-    import stonefly.operators.joins as J
+def test_skew_join_is_exact_for_hot_and_null_keys(spark, how):
+    from stonefly.operators.skew import skew_join
     # key 1 holds most rows (hot); key 3 has no partner; key 4 only on the small side; the null keys match
     big = spark.createDataFrame([(1, i) for i in range(300)] + [(2, 0), (2, 1), (3, 0), (None, 0), (None, 0)], "k int, i int")
     small = spark.createDataFrame([(1, "one"), (2, "two"), (4, "four"), (None, "none")], "k int, name string")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = sorted(map(str, map(tuple, J.split_join(big, small, ["k"], how).collect())))
+        got = sorted(map(str, map(tuple, skew_join(big, small, ["k"], how).collect())))
         want = sorted(map(str, map(tuple, J.join_null_safe(big, small, ["k"], how).collect())))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
