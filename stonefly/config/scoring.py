@@ -36,6 +36,18 @@ PROFILE_METRICS = {
         "nutrient_biotic_index_phosphorus"],
 }
 
+# Metrics that each method has (the published kick tables have these five; the
+# others follow the published sampling procedure).  A method that isn't
+# named has no metrics.
+METHOD_METRICS = {
+    1: ["richness", "ept_richness", "hilsenhoff_biotic_index", "percent_model_affinity",
+        "nutrient_biotic_index_phosphorus"],
+    2: ["richness", "ept_richness", "hilsenhoff_biotic_index", "shannon_diversity"],
+    5: ["richness", "ept_richness", "hilsenhoff_biotic_index", "shannon_diversity"],
+    6: ["richness", "ept_richness", "hilsenhoff_biotic_index", "non_chiro_oligo_richness"],
+    3: ["richness", "hilsenhoff_biotic_index", "percent_model_affinity", "percent_dominance_3", "shannon_diversity"],
+}
+
 SCORE_MIN, SCORE_MAX = 0.0, 10.0
 
 # --- fixed values: impact category of the profile score (first match wins,
@@ -157,6 +169,9 @@ RMN_METHOD = "Kick: RMN 300 Count"
 RMN_REPLICATE = 2
 RMN_PROJECT = "RMN"
 
+# --- fixed values: taxon names repaired in the raw file ------------------------
+RAW_TAXON_REPAIRS = {"neoleptophlebia_sp.": "leptophlebia_sp."}
+
 # --- fixed values: undetermined-family taxon renames (DOM-29) ----------------
 UNDETERMINED_FAMILY = {
     "physidae": "undetermined_physidae",

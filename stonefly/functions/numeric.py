@@ -26,8 +26,15 @@ def round_half_up_sql(expr: str, digits: int) -> str:
 
 
 def round_r(c, digits: int = 0) -> Column:
-    """R's ``round``: half to even (NUM-01 parity)."""
-    return F.bround(_c(c), digits)
+    """R's ``round``: half to even (NUM-01), as ``rint(x * 10^d) / 10^d``: plain
+    IEEE arithmetic, the same in every engine."""
+    scale = float(10 ** digits)
+    return F.rint(_c(c).cast("double") * F.lit(scale)) / F.lit(scale)
+
+
+def round_r_sql(expr: str, digits: int = 0) -> str:
+    scale = float(10 ** digits)
+    return f"(round_even(({expr}) * CAST({scale!r} AS DOUBLE), 0) / CAST({scale!r} AS DOUBLE))"
 
 
 def to_number(c, type_: str = "double") -> Column:

@@ -188,6 +188,20 @@ def segment_score(value, segments: Sequence[tuple], lo: float = scoring.SCORE_MI
     return F.when(v.isNotNull(), F.least(F.greatest(expr, F.lit(lo)), F.lit(hi)))
 
 
+def metrics_of_method(df: DataFrame, method_col: str, metrics: Sequence[str],
+                      defined: Mapping[int, Sequence[str]] | None = None) -> DataFrame:
+    """Null where the row's method doesn't have the metric (MET-12); a method
+    that ``defined`` doesn't name, or a null one, has none (MET-13)."""
+    defined = defined if defined is not None else scoring.METHOD_METRICS
+    m = F.col(method_col)
+    cols = {}
+    for metric in metrics:
+        methods = [k for k, names in defined.items() if metric in names]
+        has = F.coalesce(m.isin(methods), F.lit(False)) if methods else F.lit(False)
+        cols[metric] = F.when(has, F.col(metric))
+    return df.withColumns(cols)
+
+
 def method_scores(df: DataFrame, method_col: str, metrics: Sequence[str],
                   segments: Mapping[tuple, Sequence[tuple]] | None = None,
                   profile_metrics: Mapping[int, Sequence[str]] | None = None,

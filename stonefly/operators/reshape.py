@@ -11,10 +11,17 @@ from pyspark.sql import functions as F
 def wide_to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str], names_to: str = "name",
                  values_to: str = "value", drop_na: bool = True, value_type: str = "double") -> DataFrame:
     """``pivot_longer(cols, names_to, values_to, values_drop_na)``.  Narrow
-    transformation: no shuffle, one output row per (row, value column)."""
-    base = df.select(*ids, *[F.col(c).cast(value_type).alias(c) for c in values])
-    out = base.unpivot(list(ids), list(values), names_to, values_to)
-    return out.filter(F.col(values_to).isNotNull()) if drop_na else out
+    transformation: no shuffle, one output row per (row, value column).
+
+    The pairs of a row are one array that ``inline`` spreads; nulls are left
+    out of it.  (``unpivot`` plans an Expand, for which Spark 4.1 generates
+    code that doesn't compile when later expressions share work, so that
+    stage ran interpreted.)
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias(names_to), F.col(c).cast(value_type).alias(values_to)) for c in values])
+    if drop_na:
+        pairs = F.filter(pairs, lambda x: x[values_to].isNotNull())
+    return df.select(*ids, F.inline(pairs))
 
 
 def split_metric_name(df: DataFrame, name_col: str = "metric_name", type_col: str = "metric_type",

@@ -17,7 +17,7 @@ from stonefly.config import scoring
 from stonefly.config.descriptions import PARAMETER_DESCRIPTIONS
 from stonefly.functions import dates as D
 from stonefly.functions import text as X
-from stonefly.functions.numeric import round_half_up_sql as r_sql
+from stonefly.functions.numeric import round_r_sql as r_sql
 from stonefly.operators.aggregates import repeated_groups
 from stonefly.plans import lab as LAB
 from stonefly.plans import sqlgen as S
@@ -88,10 +88,11 @@ PREP_SQL = f"""{LAB_SQL},
 prep AS (SELECT lab.*, MSSIH_EVENT_SMAS_HISTORY_ID AS site_id, BIOSAMPLE_COLLECT_METHOD_ID AS COLLECT,
                 MSSIH_REPLICATE AS Replicate, MSDH_GENSPECIES AS MACRO_GENSPECIES,
                 MSDH_INDIVIDUAL_SPECIES_CNT AS INDIV, MSSIH_EVENT_SMAS_SAMPLE_DATE AS COLL_DATE
-         FROM lab JOIN cm ON lab.MSSIH_BIOSAMPLE_COLLECT_METHOD = cm.BIOSAMPLE_COLLECT_METHOD),
+         FROM lab LEFT JOIN cm ON lab.MSSIH_BIOSAMPLE_COLLECT_METHOD = cm.BIOSAMPLE_COLLECT_METHOD),
 pd AS (SELECT *, CAST(COALESCE(try_strptime(COLL_DATE, '%m/%d/%Y'), try_strptime(COLL_DATE, '%m-%d-%Y')) AS DATE)
                  AS coll FROM prep),
-k AS (SELECT *, MSSIH_EVENT_SMAS_HISTORY_ID || '_' || strftime(coll, '%Y%m%d') || '_' || CAST(COLLECT AS VARCHAR)
+k AS (SELECT *, MSSIH_EVENT_SMAS_HISTORY_ID || '_' || strftime(coll, '%Y%m%d') || '_'
+                || COALESCE(CAST(COLLECT AS VARCHAR), MSSIH_BIOSAMPLE_COLLECT_METHOD)
                 || '_' || CAST(Replicate AS VARCHAR) AS MSSIH_LINKED_ID_VALIDATOR,
               strftime(coll, '%m-%d-%Y') AS sample_date_text FROM pd),
 tot AS (SELECT MSSIH_LINKED_ID_VALIDATOR, CAST(MAX(MSSIH_TOTAL_INDIV_CNT_IND) AS DOUBLE) AS MSSIH_TOTAL_INDIV_CNT
@@ -151,8 +152,8 @@ taxa AS (SELECT regexp_replace(lower(p_name || ' ' || CAST(p_partkey AS VARCHAR)
                 FLOOR(p_retailprice) / 256.0 AS nbi_p_tolerance, p_type AS taxon_group FROM part)"""
 
 
-_LONG_CARRY = ["site_id", "date", "collection_method", "replicate", "sample_group", "total_individual_count",
-               "event_id"]
+_LONG_CARRY = ["site_id", "date", "collection_method", "replicate", "sample_group", "event_id"]
+_LONG_LARGEST = ["total_individual_count"]
 
 
 def _scored(spark, d, with_sample_cols: bool = False):
@@ -163,7 +164,7 @@ def _scored(spark, d, with_sample_cols: bool = False):
     cols = [F.col("MSSIH_LINKED_ID_VALIDATOR").alias("sid"), F.col("COLLECT").alias("method"),
             F.regexp_replace(F.lower("MACRO_GENSPECIES"), " ", "_").alias("taxon"),
             F.col("INDIV").cast("double").alias("n")]
-    carry = None
+    carry, largest = [], []
     if with_sample_cols:
         cols += [F.col("MSSIH_EVENT_SMAS_HISTORY_ID").alias("site_id"),
                  D.format_date("_coll", "%Y%m%d").alias("date"),
@@ -172,8 +173,8 @@ def _scored(spark, d, with_sample_cols: bool = False):
                  F.col("MSSIH_GROUP").alias("sample_group"),
                  F.col("MSSIH_TOTAL_INDIV_CNT_IND").cast("double").alias("total_individual_count"),
                  F.col("event_id")]
-        carry = {c: None for c in _LONG_CARRY}
-    return LAB.score_rows(rows.select(*cols), _master_taxa(spark, d), None, carry=carry)
+        carry, largest = _LONG_CARRY, _LONG_LARGEST
+    return LAB.score_rows(rows.select(*cols), _master_taxa(spark, d), LAB.batch_group_model, carry=carry, largest=largest)
 
 
 def published_metrics(spark, d):
@@ -212,9 +213,11 @@ model AS (SELECT method, taxon_group, 100.0 * g / SUM(g) OVER (PARTITION BY meth
 pg AS (SELECT sid, method, taxon_group, SUM(n) AS g FROM j GROUP BY 1, 2, 3),
 pt AS (SELECT sid, method, SUM(g) AS tot FROM pg GROUP BY 1, 2),
 pma AS (SELECT pg.sid, pg.method, SUM(LEAST(100.0 * pg.g / pt.tot, model.percent)) AS percent_model_affinity
-        FROM pg JOIN pt USING (sid, method) JOIN model USING (method, taxon_group) GROUP BY 1, 2),
-wide AS (SELECT base.*, COALESCE(pma.percent_model_affinity, 0.0) AS percent_model_affinity
-         FROM base LEFT JOIN pma USING (sid, method)),
+        FROM pg JOIN pt ON pg.sid = pt.sid AND pg.method IS NOT DISTINCT FROM pt.method
+        JOIN model ON pg.method IS NOT DISTINCT FROM model.method AND pg.taxon_group = model.taxon_group GROUP BY 1, 2),
+every AS (SELECT base.*, COALESCE(pma.percent_model_affinity, 0.0) AS percent_model_affinity
+          FROM base LEFT JOIN pma ON base.sid = pma.sid AND base.method IS NOT DISTINCT FROM pma.method),
+wide AS (SELECT * REPLACE ({S.metrics_of_method_sql('method', _SCORED_METRICS)}) FROM every),
 sc AS (SELECT wide.*,
        {scores}
        FROM wide),
@@ -240,7 +243,7 @@ PUBLISHED_METRICS_SQL = f"WITH {_scored_sql()}\nSELECT {_published_select()}\nFR
 
 # -- DOM-11/17/18..23: long metric rows with their sample columns ---------------------
 def metrics_long(spark, d):
-    wide = LAB.metric_table(_scored(spark, d, with_sample_cols=True), keep=_LONG_CARRY)
+    wide = LAB.metric_table(_scored(spark, d, with_sample_cols=True), keep=_LONG_CARRY + _LONG_LARGEST)
     return WH.metrics_long(wide)
 
 
@@ -385,7 +388,7 @@ FROM taxa_ab"""
 
 # -- DOM-26/27: taxa abundance --------------------------------------------------------
 def taxa_abundance(spark, d):
-    raw = lab_rows(spark, d).withColumn("MSDH_GENSPECIES", X.normalise_taxon("MSDH_GENSPECIES"))
+    raw = LAB.repair_raw(lab_rows(spark, d).withColumn("MSDH_GENSPECIES", X.normalise_taxon("MSDH_GENSPECIES")))
     return WH.taxa_abundance(raw)
 
 
@@ -406,7 +409,8 @@ def _taxa_sql():
     return f"""{LAB_SQL},
 taxa_ab AS (
 SELECT MSSIH_EVENT_SMAS_HISTORY_ID AS SITE_CODE,
-       CAST(try_strptime(MSSIH_EVENT_SMAS_SAMPLE_DATE, '%m/%d/%Y') AS DATE) AS EVENT_DATETIME,
+       CAST(COALESCE(try_strptime(MSSIH_EVENT_SMAS_SAMPLE_DATE, '%m/%d/%Y'),
+                     try_strptime(MSSIH_EVENT_SMAS_SAMPLE_DATE, '%m-%d-%Y')) AS DATE) AS EVENT_DATETIME,
        {taxon} AS TAXON_ID,
        CAST(MSDH_INDIVIDUAL_SPECIES_CNT AS DOUBLE) AS RESULT_VALUE,
        MSSIH_BIOSAMPLE_COLLECT_METHOD AS SAMPLE_METHOD, MSSIH_TOTAL_INDIV_CNT_NOTE AS RESULT_COMMENT,

@@ -6,7 +6,7 @@ returns lazy plans (no ``collect``, no global state).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from stonefly.config import scoring
 from stonefly.functions import dates as D
 from stonefly.functions import text as X
-from stonefly.functions.numeric import round_half_up
+from stonefly.functions.numeric import round_r
 from stonefly.operators import metrics as M
 from stonefly.operators.joins import join_null_safe
 from stonefly.operators.text_match import rows_containing_any
@@ -48,12 +48,25 @@ def harmonise_methods(raw: DataFrame, project_rmn: bool = False) -> DataFrame:
     return out
 
 
+def repair_raw(raw: DataFrame, date_col: str = "MSSIH_EVENT_SMAS_SAMPLE_DATE", taxon_col: str = "MSDH_GENSPECIES") -> DataFrame:
+    """Sample dates with dashes become slashes, and one taxon name is
+    replaced, before anything reads them.  A date that fits neither form
+    stays as it is (DT-04 counts those)."""
+    from stonefly.operators.lookup import case_map
+    return raw.withColumns({
+        date_col: F.coalesce(D.format_date(D.parse_date_any(date_col, DATE_FORMATS), "%m/%d/%Y"), F.col(date_col)),
+        taxon_col: case_map(taxon_col, scoring.RAW_TAXON_REPAIRS, keep_unmatched=True)})
+
+
 def lake_groups(raw: DataFrame, rules: DataFrame, site_col: str = "MSSIH_EVENT_SMAS_HISTORY_ID",
                 date_col: str = "MSSIH_EVENT_SMAS_SAMPLE_DATE", out: str = "group") -> DataFrame:
     """Lake sample group letters from a (site, date, letter) table, "" when
-    no rule matches (DOM-10).  The rule table is configuration (broadcast)."""
-    r = rules.select(F.col(rules.columns[0]).alias("_s"), F.col(rules.columns[1]).alias("_d"),
-                     F.col(rules.columns[2]).alias("_g")).dropDuplicates(["_s", "_d"])
+    no rule matches (DOM-10).  Of several letters for one site and date the
+    least is taken, whatever the row order (``lookup.lookup_conflicts`` on
+    the rule table lists them)."""
+    from stonefly.operators.lookup import least_per_key
+    r = least_per_key(rules.select(F.col(rules.columns[0]).alias("_s"), F.col(rules.columns[1]).alias("_d"),
+                                   F.col(rules.columns[2]).alias("_g")), ["_s", "_d"])
     j = raw.join(r, (raw[site_col] == F.col("_s")) & (raw[date_col] == F.col("_d")), "left")
     return j.withColumn(out, F.coalesce(F.col("_g"), F.lit(""))).drop("_s", "_d", "_g")
 
@@ -80,8 +93,13 @@ def tolerance_means(master: DataFrame, order: str, by: str, keep: Sequence[str]
 # -- DOM-01: contract-lab rows -> prepared rows -------------------------------
 def prepare_contract_lab(raw: DataFrame, collect_method: DataFrame) -> DataFrame:
     """Select the lab columns, split the site id into basin/location/river
-    mile, add the scoring column names, and attach the method id with an
-    inner join (rows with an unknown method drop out, as in the source)."""
+    mile, add the scoring column names, and attach the method id.
+
+    ``collect_method`` (name, id) is an input: a batch brings the table of its
+    methods.  Rows whose method it lacks stay, with a null ``COLLECT``
+    (MET-13: they keep their sample and get no metrics); ``unknown_methods``
+    reports them.  Of several ids for one name the least is taken.
+    """
     basin, location, rivmile = X.split_fixed("MSSIH_EVENT_SMAS_HISTORY_ID", "-", 3)
     if "group" not in raw.columns:          # older files: streams have no group letter
         raw = raw.withColumn("group", F.lit(""))
@@ -98,11 +116,20 @@ def prepare_contract_lab(raw: DataFrame, collect_method: DataFrame) -> DataFrame
         "INDIV": F.col("MSDH_INDIVIDUAL_SPECIES_CNT"),
         "site_id": F.col("MSSIH_EVENT_SMAS_HISTORY_ID"),
     })
-    cm = collect_method
-    out = df.join(cm, df.MSSIH_BIOSAMPLE_COLLECT_METHOD == cm.BIOSAMPLE_COLLECT_METHOD, "inner")
+    from stonefly.operators.lookup import least_per_key
+    cm = least_per_key(collect_method.select("BIOSAMPLE_COLLECT_METHOD", "BIOSAMPLE_COLLECT_METHOD_ID")
+                       .filter("BIOSAMPLE_COLLECT_METHOD IS NOT NULL"), ["BIOSAMPLE_COLLECT_METHOD"])
+    out = df.join(cm, df.MSSIH_BIOSAMPLE_COLLECT_METHOD == cm.BIOSAMPLE_COLLECT_METHOD, "left")
     return out.drop("BIOSAMPLE_COLLECT_METHOD").withColumn("COLLECT", F.col("BIOSAMPLE_COLLECT_METHOD_ID"))
 
 
+def unknown_methods(prepared: DataFrame) -> DataFrame:
+    """Method names that the method table lacks, with the rows and sites that use them."""
+    return (prepared.filter(F.col("COLLECT").isNull())
+            .groupBy(F.col("MSSIH_BIOSAMPLE_COLLECT_METHOD").alias("collection_method"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("site_id").alias("n_sites")))
+
+
 # -- DOM-02: in-house rows -> prepared rows -----------------------------------
 def prepare_in_house(raw: DataFrame) -> DataFrame:
     """Numeric river mile, basin = first two characters of the location,
@@ -161,12 +188,17 @@ def with_sample_ids(prepared: DataFrame, taxonomist: str = "WAA",
                     site_col: str = "MSSIH_EVENT_SMAS_HISTORY_ID", date_format: str = "%m-%d-%Y") -> DataFrame:
     """Parse the collection date (two formats) and add the sample key
     ``site_yyyyMMdd_method_replicate`` and the sample-level text columns.
-    Columns an in-house file lacks (group, method name) become empty/null."""
+    Where the method has no id, its name stands in the key, so samples of two
+    such methods stay apart.  Columns an in-house file lacks (group, method
+    name) become empty/null."""
     coll = D.parse_date_any("COLL_DATE", DATE_FORMATS)
     cols = prepared.columns
+    method = F.col("COLLECT").cast("string")
+    if "MSSIH_BIOSAMPLE_COLLECT_METHOD" in cols:
+        method = F.coalesce(method, "MSSIH_BIOSAMPLE_COLLECT_METHOD")
     return prepared.withColumns({
         "_coll": coll,
-        "MSSIH_LINKED_ID_VALIDATOR": D.linked_id(site_col, coll, "COLLECT", "Replicate"),
+        "MSSIH_LINKED_ID_VALIDATOR": D.linked_id(site_col, coll, method, "Replicate"),
         "MSSIH_EVENT_SMAS_SAMPLE_DATE": D.format_date(coll, date_format),
         "MSSIH_TOTAL_INDIV_CNT_NOTE": F.lit(""),
         "MSSIH_GROUP": F.col("group") if "group" in cols else F.lit(""),
@@ -176,6 +208,15 @@ def with_sample_ids(prepared: DataFrame, taxonomist: str = "WAA",
     })
 
 
+def rows_without_key(prepared: DataFrame, **options) -> DataFrame:
+    """Rows that make no sample key (unreadable date, missing site, method or
+    replicate), counted by what identifies them.  They are in the history
+    tables and get no scores: nothing tells which sample they belong to."""
+    rows = with_sample_ids(prepared, **options).filter(F.col("MSSIH_LINKED_ID_VALIDATOR").isNull())
+    return rows.groupBy("site_id", "COLL_DATE", "COLLECT", "Replicate").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.bool_or(F.col("_coll").isNull()).alias("date_unreadable"))
+
+
 SAMPLE_EVENT_COLUMNS = ("MSSIH_LINKED_ID_VALIDATOR", "MSSIH_BIOSAMPLE_COLLECT_METHOD_NUM",
                         "MSSIH_EVENT_SMAS_HISTORY_ID", "MSSIH_EVENT_SMAS_SAMPLE_DATE", "MSSIH_REPLICATE",
                         "MSSIH_TAXONOMIST", "MSSIH_TOTAL_INDIV_CNT_NOTE", "MSSIH_BIOSAMPLE_COLLECT_METHOD",
@@ -204,8 +245,9 @@ def history_tables(prepared: DataFrame, taxonomist: str = "WAA", total: str = "m
     if method_names is not None:
         # In-house files carry only the method number: name it from the
         # (small, size-checked) method table.
-        names = method_names.select(F.col("BIOSAMPLE_COLLECT_METHOD_ID").alias("_mid"),
-                                    F.col("BIOSAMPLE_COLLECT_METHOD").alias("_mname")).dropDuplicates(["_mid"])
+        from stonefly.operators.lookup import least_per_key
+        names = least_per_key(method_names.select(F.col("BIOSAMPLE_COLLECT_METHOD_ID").alias("_mid"),
+                                                  F.col("BIOSAMPLE_COLLECT_METHOD").alias("_mname")), ["_mid"])
         df = (df.join(names, F.col("COLLECT") == F.col("_mid"), "left")
               .withColumn("MSSIH_BIOSAMPLE_COLLECT_METHOD", F.coalesce("MSSIH_BIOSAMPLE_COLLECT_METHOD", "_mname"))
               .drop("_mid", "_mname"))
@@ -239,15 +281,37 @@ SCORED_METRICS = ["richness", "ept_richness", "hilsenhoff_biotic_index", "percen
                   "percent_dominance_3"]
 
 
-def score_rows(rows: DataFrame, taxa: DataFrame, model: DataFrame | None, sample_cols=("sid", "method"),
-               carry: Mapping | None = None, materialize: bool | None = None) -> DataFrame:
+def batch_group_model(samples: DataFrame) -> DataFrame:
+    """Model mix of a batch: each method's overall percentage of every taxon
+    group, over taxa known to the master.  ``samples``: the (sample, taxon)
+    table with ``method``, ``taxon_group`` and ``n``."""
+    from pyspark.sql import Window
+    # The null group goes after the window, so no filter reaches the shared
+    # counts plan (its exchange is then reused, not recomputed).
+    g = samples.groupBy("method", "taxon_group").agg(F.sum("n").alias("g"))
+    known = F.when(F.col("taxon_group").isNotNull(), F.col("g"))
+    return (g.select("method", "taxon_group",
+                     (F.lit(100.0) * F.col("g") / F.sum(known).over(Window.partitionBy("method"))).alias("percent"))
+            .filter(F.col("taxon_group").isNotNull()))
+
+
+def score_rows(rows: DataFrame, taxa: DataFrame, model: DataFrame | Callable[[DataFrame], DataFrame],
+               sample_cols=("sid", "method"), carry: Sequence[str] = (), largest: Sequence[str] = (),
+               materialize: bool | None = None) -> DataFrame:
     """Metrics and method scores from (sample..., taxon, n) rows.
 
     ``taxa`` (master): ``taxon``, ``is_ept``, ``is_nco``, ``tolerance``,
     ``nbi_p_tolerance``, ``taxon_group``.  ``model``: method, taxon_group,
-    percent; None derives each method's overall group mix from the rows.
-    ``carry``: name -> aggregate over the (sample, taxon) rows, kept per
-    sample.  Methods without score curves keep their rows, scores null.
+    percent, or a function of the (sample, taxon) table that gives them
+    (``batch_group_model``: a sample's score then depends on its batch).
+    Rows whose first sample column is null belong to no sample: they are not
+    scored (``rows_without_key`` reports them).
+
+    ``carry``: columns of the sample that ride along.  A sample with several
+    combinations of them (two events on one sample) gives a row for each,
+    so none is lost.  ``largest``: columns of which the largest value rides.
+    A method has the metrics that ``scoring.METHOD_METRICS`` names, the
+    others are null, and a method without any keeps its row (MET-12, MET-13).
 
     ``materialize``: the (sample, taxon) table feeds four branches (base
     metrics, top-k, group mix, model).  Without carried columns they need the
@@ -257,42 +321,44 @@ def score_rows(rows: DataFrame, taxa: DataFrame, model: DataFrame | None, sample
     checkpoint in ``spark.checkpoint.dir``.
     """
     keys = list(sample_cols)
-    carry = dict(carry or {})
+    carry, largest = list(carry), list(largest)
     if materialize is None:
-        materialize = bool(carry)
-    counts = M.sum_duplicate_taxa(rows, keys, "taxon", "n", carry={k: F.max(k) for k in carry})
+        materialize = bool(carry or largest)
+    rows = rows.filter(F.col(keys[0]).isNotNull())
+    several = {"_carried": F.collect_set(F.struct(*carry))} if carry else {}
+    counts = M.sum_duplicate_taxa(rows, keys, "taxon", "n", carry=several | {k: F.max(k) for k in largest})
     j = counts.join(taxa, "taxon", "left")
     if materialize:
         from stonefly.session import cut_lineage
         j = cut_lineage(j)
-    if model is None:
-        from pyspark.sql import Window
-        # Group mix of each method over taxa known to the master.  The null
-        # group is dropped after the window so no filter reaches the shared
-        # counts plan (its exchange is then reused, not recomputed).
-        g = j.groupBy("method", "taxon_group").agg(F.sum("n").alias("g"))
-        known = F.when(F.col("taxon_group").isNotNull(), F.col("g"))
-        model = (g.select("method", "taxon_group",
-                          (F.lit(100.0) * F.col("g") / F.sum(known).over(Window.partitionBy("method"))).alias("percent"))
-                 .filter(F.col("taxon_group").isNotNull()))
+    if callable(model):
+        model = model(j)
+    # a few combinations a sample, so the sets stay small
+    several = {"_carried": F.array_distinct(F.flatten(F.collect_set("_carried")))} if carry else {}
     wide = M.community_metrics(j, keys, "taxon", "n", flags={"ept_richness": "is_ept", "nco_richness": "is_nco"},
                                tolerances={"hilsenhoff_biotic_index": "tolerance",
                                            "nutrient_biotic_index_phosphorus": "nbi_p_tolerance"},
                                group_col="taxon_group", model=model, model_keys=["method"],
-                               carry={k: F.max(k) for k in carry})
+                               carry=several | {k: F.max(k) for k in largest})
     wide = wide.withColumnRenamed("nco_richness", "non_chiro_oligo_richness")
-    return M.method_scores(wide, "method", SCORED_METRICS)
+    wide = M.metrics_of_method(wide, "method", SCORED_METRICS)
+    scored = M.method_scores(wide, "method", SCORED_METRICS)
+    if carry:
+        scored = scored.withColumn("_c", F.explode("_carried")).select(
+            *[c for c in scored.columns if c != "_carried"], *[F.col(f"_c.{c}").alias(c) for c in carry])
+    return scored
 
 
 def score_samples(species_history: DataFrame, sample_event: DataFrame, taxa: DataFrame,
-                  model: DataFrame | None = None, taxon_key: str = "MSTR_MACRO_SPECIES_ID") -> DataFrame:
+                  model: DataFrame | Callable[[DataFrame], DataFrame],
+                  taxon_key: str = "MSTR_MACRO_SPECIES_ID") -> DataFrame:
     """Wide metric table per linked id from the two history tables."""
     sid = "MSDH_LINKED_ID_VALIDATOR"
-    method = sample_event.select(F.col("MSSIH_LINKED_ID_VALIDATOR").alias(sid),
+    method = sample_event.select(F.col("MSSIH_LINKED_ID_VALIDATOR").alias("sid"),
                                  F.col("MSSIH_BIOSAMPLE_COLLECT_METHOD_NUM").alias("method")).distinct()
     rows = species_history.select(F.col(sid).alias("sid"), F.col(taxon_key).alias("taxon"),
                                   F.col("MSDH_INDIVIDUAL_SPECIES_CNT").cast("double").alias("n"))
-    rows = rows.join(method.withColumnRenamed(sid, "sid"), "sid")
+    rows = rows.join(method, "sid")
     return score_rows(rows, taxa, model).withColumnRenamed("sid", sid)
 
 
@@ -314,19 +380,42 @@ WIDE_TO_PUBLISHED = {
 
 
 def metric_table(scored: DataFrame, digits: int = 3, keep: Sequence[str] = ()) -> DataFrame:
-    """Published metric columns (DOM-08): renamed, doubles rounded to 3;
-    ``keep`` columns pass through unchanged."""
+    """Published metric columns (DOM-08): renamed, doubles rounded to 3
+    digits, half to even (NUM-01); ``keep`` columns pass through unchanged."""
     present = {k: v for k, v in WIDE_TO_PUBLISHED.items() if k in scored.columns}
     cols = []
     for k, v in present.items():
         c = F.col(k)
         if dict(scored.dtypes)[k] == "double":
-            c = round_half_up(c, digits)
+            c = round_r(c, digits)
         cols.append(c.alias(v))
     return scored.select(*cols, *keep)
 
 
+# -- DOM-32: metrics with all sample fields -------------------------------------------
+METRIC_SAMPLE_KEYS = ("MSSIH_EVENT_SMAS_HISTORY_ID", "MSSIH_EVENT_SMAS_SAMPLE_DATE", "MSSIH_BIOSAMPLE_COLLECT_METHOD",
+                      "MSSIH_REPLICATE", "MSSIH_GROUP")
+
+
+def metrics_with_samples(metrics: DataFrame, samples: DataFrame, keys: Sequence[str] = METRIC_SAMPLE_KEYS) -> DataFrame:
+    """Metric rows with every field of their sample (DOM-32): an inner join on
+    site, date, method, replicate and group, null keys matching; columns on
+    both sides get the suffixes ``.x`` and ``.y``; distinct rows."""
+    from stonefly.operators.joins import join_with_suffixes
+    return join_with_suffixes(metrics, samples, keys, "inner").distinct()
+
+
 # -- DOM-08: external scoring output -> published metric table -----------------
+def _collect_keys(collect: DataFrame) -> list[str]:
+    return ["site_id", *[k for k in ("date", "REPLICATE") if k in collect.columns]]
+
+
+def collect_conflicts(collect: DataFrame) -> DataFrame:
+    """Samples of ``collect`` with several methods: the keys, how many, and the one that is taken."""
+    from stonefly.operators.lookup import lookup_conflicts
+    return lookup_conflicts(collect.filter("COLLECT IS NOT NULL"), _collect_keys(collect), ["COLLECT"])
+
+
 def publish_scoring_output(scored: DataFrame, collect: DataFrame, digits: int = 3,
                            names: Mapping[str, str] | None = None) -> DataFrame:
     """Wide scoring output (``EVENT_ID, BASIN, LOCATION, RIVMILE, DATE`` +
@@ -334,10 +423,14 @@ def publish_scoring_output(scored: DataFrame, collect: DataFrame, digits: int =
 
     Basin padded to two digits, site id ``BASIN-LOCATION-RIVMILE``, date
     parsed (US or ISO forms), replicate = last ``_`` part of the event id,
-    collection method from ``collect`` (site_id, COLLECT; with a ``date``
-    column the join is per site and date so a site sampled with two methods
-    cannot fan out), sample key, columns renamed by the published-name
-    table (only names present), doubles rounded.
+    sample key, columns renamed by the published-name table (only names
+    present), doubles rounded half to even.
+
+    The collection method is the output's own COLLECT where it has one, else
+    that of the sample in ``collect``: site_id, COLLECT and, as far as the
+    table has them, ``date`` and ``REPLICATE``.  Of several methods for one
+    such sample the least is taken, whatever the row order;
+    ``collect_conflicts`` lists them.
     """
     names = names if names is not None else scoring.PUBLISHED_COLUMN_NAMES
     basin = X.lpad_keep(F.col("BASIN").cast("string"), 2, "0")
@@ -345,14 +438,16 @@ def publish_scoring_output(scored: DataFrame, collect: DataFrame, digits: int =
     coll = D.parse_date_any(F.col("DATE").cast("string"), (*DATE_FORMATS, "%Y-%m-%d"))
     rep = F.element_at(F.split(F.col("EVENT_ID"), "_"), -1)
     df = scored.withColumns({"site_id": site, "_date": coll, "REPLICATE": rep})
-    keys = ["site_id", "date"] if "date" in collect.columns else ["site_id"]
-    c = collect.select(*keys, "COLLECT").dropDuplicates(keys)
-    if "date" in keys:
-        df = df.withColumn("date", F.col("_date"))
-    df = join_null_safe(df, c, keys, "left")
+    keys = _collect_keys(collect)
+    if "COLLECT" not in df.columns:
+        from stonefly.operators.lookup import least_per_key
+        c = least_per_key(collect.filter("COLLECT IS NOT NULL").select(*keys, "COLLECT"), keys)
+        if "date" in keys:
+            df = df.withColumn("date", F.col("_date"))
+        df = join_null_safe(df, c, keys, "left")
     df = df.withColumn("MMDH_LINKED_ID_VALIDATOR", D.linked_id("site_id", "_date", "COLLECT", "REPLICATE"))
     present = {o: n for o, n in names.items() if o in df.columns}
     out = df.select(*[F.col(o).alias(n) for o, n in present.items()])
     types = dict(out.dtypes)
-    return out.select(*[(round_half_up(F.col(c), digits) if types[c] == "double" else F.col(c)).alias(c)
+    return out.select(*[(round_r(F.col(c), digits) if types[c] == "double" else F.col(c)).alias(c)
                         for c in out.columns])

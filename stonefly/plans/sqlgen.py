@@ -32,6 +32,14 @@ def method_score_sql(method: str, metric: str, value: str | None = None) -> str:
     return f"CASE {' '.join(whens)} ELSE CAST(NULL AS DOUBLE) END" if whens else "CAST(NULL AS DOUBLE)"
 
 
+def metrics_of_method_sql(method: str, metrics) -> str:
+    """``REPLACE`` list: each metric null where the method doesn't have it."""
+    def one(metric):
+        ids = [str(m) for m, names in scoring.METHOD_METRICS.items() if metric in names]
+        return f"CASE WHEN {method} IN ({', '.join(ids)}) THEN {metric} END AS {metric}" if ids else f"CASE WHEN FALSE THEN {metric} END AS {metric}"
+    return ", ".join(one(m) for m in metrics)
+
+
 def profile_sql(method: str, metrics, digits: int = 2) -> str:
     whens = []
     for m, names in scoring.PROFILE_METRICS.items():

@@ -30,25 +30,33 @@ def raw(spark):
     return spark.createDataFrame(rows, RAW_COLS)
 
 
-def test_prepare_drops_unknown_method_and_splits_site(spark, raw):
-    prep = LAB.prepare_contract_lab(raw, LAB.collect_method_table(spark)).collect()
-    assert len(prep) == 4                                   # Low-Gradient has no method id
+def test_prepare_keeps_unknown_methods_and_splits_site(spark, raw):
+    prepared = LAB.prepare_contract_lab(raw, LAB.collect_method_table(spark))
+    prep = prepared.orderBy("MSSIH_EVENT_SMAS_HISTORY_ID", "COLLECT").collect()
+    assert len(prep) == 5
+    assert [r.COLLECT for r in prep if r.MSSIH_BIOSAMPLE_COLLECT_METHOD == "Low-Gradient"] == [None]
     r = prep[0]
     assert (r.BASIN, r.LOCATION, r.RIVMILE, r.COLLECT) == ("13", "PATS", "0.5", 1)
+    assert [tuple(x) for x in LAB.unknown_methods(prepared).collect()] == [("Low-Gradient", 1, 1)]
+    # a batch with a table of its own, with two ids for one name: the least, no fan-out
+    own = spark.createDataFrame([("Kick: Standard", 1), ("Low-Gradient", 8), ("Low-Gradient", 7)],
+                                "BIOSAMPLE_COLLECT_METHOD string, BIOSAMPLE_COLLECT_METHOD_ID int")
+    got = LAB.prepare_contract_lab(raw, own)
+    assert sorted(r.COLLECT for r in got.collect()) == [1, 1, 1, 1, 7] and LAB.unknown_methods(got).count() == 0
 
 
 def test_history_tables_max_and_sum(spark, raw):
     prep = LAB.prepare_contract_lab(raw, LAB.collect_method_table(spark))
     h = LAB.history_tables(prep, total="max")
     se = {r.MSSIH_LINKED_ID_VALIDATOR: r for r in h["sample_event"].collect()}
-    assert set(se) == {"13-PATS-0.5_20180705_1_1", "13-PATS-1.3_20180705_1_2"}
+    assert set(se) == {"13-PATS-0.5_20180705_1_1", "13-PATS-1.3_20180705_1_2", "13-PATS-1.3_20180705_Low-Gradient_1"}
     assert se["13-PATS-0.5_20180705_1_1"].MSSIH_TOTAL_INDIV_CNT == 100.0
     assert se["13-PATS-0.5_20180705_1_1"].MSSIH_EVENT_SMAS_SAMPLE_DATE == "07-05-2018"
     s = {r.MSSIH_LINKED_ID_VALIDATOR: r for r in LAB.history_tables(prep, total="sum")["sample_event"].collect()}
     assert s["13-PATS-0.5_20180705_1_1"].MSSIH_TOTAL_INDIV_CNT == 100.0
     assert s["13-PATS-1.3_20180705_1_2"].MSSIH_TOTAL_INDIV_CNT == 50.0
     sp = h["species_history"].collect()
-    assert len(sp) == 4 and {r.MSTR_MACRO_SPECIES_ID for r in sp} == {"hydropsyche_betteni", "baetis_sp."}
+    assert len(sp) == 5 and {r.MSTR_MACRO_SPECIES_ID for r in sp} == {"hydropsyche_betteni", "baetis_sp."}
 
 
 def test_score_samples_and_publish(spark, raw):
@@ -66,8 +74,70 @@ def test_score_samples_and_publish(spark, raw):
     assert r.MMDH_RICHNESS == 2 and r.MMDH_EPT_RICH == 2
     assert r.MMDH_HBI_INDEX == pytest.approx((6 * 4 + 94 * 6) / 100, abs=1e-3)
     assert r.MMDH_PCT_MODEL_AFFINITY == pytest.approx(40 + 6, abs=1e-3)
-    assert r.MMDH_PCT_DOMINANCE_3 == pytest.approx(100.0)
+    assert r.MMDH_PCT_DOMINANCE_3 is None                   # not a metric of the kick method (MET-12)
     assert r.MMDH_BIO_ASMT_PROFILE_SCORE is not None
+    low = pub["13-PATS-1.3_20180705_Low-Gradient_1"]        # keeps its row, has no metrics (MET-13)
+    assert all(low[c] is None for c in low.asDict() if c != "MMDH_LINKED_ID_VALIDATOR")
+
+
+SCORE_ROWS = "sid string, method int, taxon string, n double, event_id string, site_id string, total double"
+
+
+def _taxa(spark):
+    return spark.createDataFrame([("a", True, True, 4.0, 6.0, "g"), ("b", False, True, 6.0, 7.0, "h")],
+                                 "taxon string, is_ept boolean, is_nco boolean, tolerance double, "
+                                 "nbi_p_tolerance double, taxon_group string")
+
+
+def _model(spark):
+    return spark.createDataFrame([(1, "g", 40.0), (1, "h", 60.0)], "method int, taxon_group string, percent double")
+
+
+def test_rows_without_sample_key_are_reported_not_scored(spark):
+    rows = [("13-PATS-0.5", "bad", 1, "a b", 3), ("13-PATS-1.3", "bad", 1, "c d", 4), ("13-PATS-1.3", "07/05/2018", 1, "c d", 4)]
+    prep = spark.createDataFrame(rows, "site_id string, COLL_DATE string, COLLECT int, MACRO_GENSPECIES string, INDIV int").withColumn("Replicate", F.lit(1))
+    keyed = LAB.with_sample_ids(prep, site_col="site_id")
+    scored = LAB.score_rows(keyed.select(F.col("MSSIH_LINKED_ID_VALIDATOR").alias("sid"), F.col("COLLECT").alias("method"), F.col("MACRO_GENSPECIES").alias("taxon"), F.col("INDIV").cast("double").alias("n")), _taxa(spark), _model(spark))
+    assert [(r.sid, r.richness) for r in scored.collect()] == [("13-PATS-1.3_20180705_1_1", 1)]
+    got = LAB.rows_without_key(prep, site_col="site_id").orderBy("site_id").collect()
+    assert [(r.site_id, r.COLL_DATE, r.n_rows, r.date_unreadable) for r in got] == [("13-PATS-0.5", "bad", 1, True), ("13-PATS-1.3", "bad", 1, True)]
+
+
+def test_two_events_on_one_sample_stay_apart(spark):
+    rows = [("s", 1, "a", 3.0, "e1", "x", 5.0), ("s", 1, "b", 4.0, "e2", "x", 9.0), ("s", 1, "a", 1.0, "e1", "x", 5.0), ("t", None, "a", 2.0, "e3", "y", 2.0)]
+    df = spark.createDataFrame(rows, SCORE_ROWS)
+    got = LAB.score_rows(df, _taxa(spark), _model(spark), carry=["event_id", "site_id"], largest=["total"]).collect()
+    assert sorted((r.sid, r.event_id, r.richness, r.total) for r in got) == [("s", "e1", 2, 9.0), ("s", "e2", 2, 9.0), ("t", "e3", None, 2.0)]
+
+
+def test_choices_do_not_depend_on_the_row_order(spark, raw):
+    scored = spark.createDataFrame([("13_PATS_0.5_1", "13", "PATS", "0.5", "07/05/2018", 2.0625)],
+                                   "EVENT_ID string, BASIN string, LOCATION string, RIVMILE string, DATE string, HBI double")
+    letters = [("13-PATS-0.5", "07/05/2018", "B"), ("13-PATS-0.5", "07/05/2018", "A")]
+    methods = [("13-PATS-0.5", 6), ("13-PATS-0.5", 1)]
+    for turn in (1, -1):
+        rules = spark.createDataFrame(letters[::turn], "site string, date string, letter string")
+        assert {r.group for r in LAB.lake_groups(raw.drop("group"), rules).filter("MSSIH_EVENT_SMAS_HISTORY_ID = '13-PATS-0.5'").collect()} == {"A"}
+        collect = spark.createDataFrame(methods[::turn], "site_id string, COLLECT int")
+        row = LAB.publish_scoring_output(scored, collect).first()
+        assert (row.MMDH_LINKED_ID_VALIDATOR, row.MMDH_HBI_INDEX) == ("13-PATS-0.5_20180705_1_1", 2.062)  # half to even
+        assert [tuple(r) for r in LAB.collect_conflicts(collect).collect()] == [("13-PATS-0.5", 2, 1)]
+    own = LAB.publish_scoring_output(scored.withColumn("COLLECT", F.lit(6)), collect).first()
+    assert own.MMDH_LINKED_ID_VALIDATOR == "13-PATS-0.5_20180705_6_1"
+
+
+def test_metrics_with_samples_join_on_five_columns(spark):
+    keys = ", ".join(f"{k} string" for k in LAB.METRIC_SAMPLE_KEYS)
+    metrics = spark.createDataFrame([("s", "d", "m", "1", None, 5.0, "x"), ("s", "d", "m", "2", None, 6.0, "x")], f"{keys}, RICH double, NOTE string")
+    samples = spark.createDataFrame([("s", "d", "m", "1", None, 80.0, "y"), ("s", "d", "m", "1", None, 80.0, "y"), ("s", "d", "k", "2", None, 9.0, "z")], f"{keys}, TOTAL double, NOTE string")
+    out = LAB.metrics_with_samples(metrics, samples)
+    assert out.columns[-4:] == ["RICH", "NOTE.x", "TOTAL", "NOTE.y"] and [tuple(r)[5:] for r in out.collect()] == [(5.0, "x", 80.0, "y")]
+
+
+def test_raw_repair(spark, raw):
+    bad = raw.limit(1).withColumn("MSSIH_EVENT_SMAS_SAMPLE_DATE", F.lit("2018")).withColumn("MSDH_GENSPECIES", F.lit("neoleptophlebia_sp."))
+    got = {(r.MSSIH_EVENT_SMAS_SAMPLE_DATE, r.MSDH_GENSPECIES == "leptophlebia_sp.") for r in LAB.repair_raw(raw.unionByName(bad)).collect()}
+    assert got == {("07/05/2018", False), ("2018", True)}
 
 
 def test_prep_sample_table_moves_letters_to_group(spark):
