@@ -96,11 +96,13 @@ def repeated_groups(df: DataFrame, keys: Sequence[str], min_rows: int = 2,
     Counting is a partial aggregate; the rows come back through a join that
     matches null keys and splits hot ones, not a per-key window.
     """
-    from stonefly.operators.skew import skew_join
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows)
+    from stonefly.operators.skew import hot_from_counts, skew_join
+    every = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = hot_from_counts(every, keys, "_n")
+    counts = every.filter(F.col("_n") >= min_rows)
     if count_col:
-        return skew_join(df, counts.withColumnRenamed("_n", count_col), keys, "inner").select(*df.columns, count_col)
-    return skew_join(df, counts.select(*keys), keys, "left_semi")
+        return skew_join(df, counts.withColumnRenamed("_n", count_col), keys, "inner", hot).select(*df.columns, count_col)
+    return skew_join(df, counts.select(*keys), keys, "left_semi", hot)
 
 
 def count_rows(df: DataFrame) -> int:

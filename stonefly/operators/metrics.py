@@ -19,6 +19,7 @@ Formulas (all per sample, n_i = individuals of taxon i, N = sum n_i):
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,67 +104,82 @@ def percent_model_affinity(counts: DataFrame, sample_cols: Sequence[str], group_
     return totals.select(*sample_cols).join(sim, list(sample_cols), "left").fillna({name: 0.0})
 
 
-def community_metrics(counts: DataFrame, sample_cols: Sequence[str], taxon_col: str, count_col: str,
-                      flags: Mapping[str, str] | None = None, tolerances: Mapping[str, str] | None = None,
-                      group_col: str | None = None, model: DataFrame | None = None,
-                      model_keys: Sequence[str] = (), model_percent: str = "percent",
-                      dominance_k: int | None = 3, carry: Mapping[str, Column] | None = None) -> DataFrame:
-    """All per-sample metrics from ONE de-duplicated (sample, taxon) table.
+def sample_state(counts: DataFrame, sample_cols: Sequence[str], taxon_col: str, count_col: str,
+                 columns: Sequence[str] = (), carry: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row a sample, with the array ``taxa`` of its (taxon, n, columns...).
 
-    Every branch starts from the same ``counts`` plan, so Spark computes it
-    once and reuses its exchange.  Model affinity is aggregated per (sample,
-    group) and then folded per sample over a small array whose length is
-    bounded by the number of model groups (not by the data).  ``carry``:
-    extra per-sample aggregates (e.g. ``first`` of sample attributes).
+    ``counts`` holds a sample's taxon once (``sum_duplicate_taxa``), so an array
+    is bounded by the number of taxa there are, whatever the number of rows.
+    Everything else about a sample is an expression on its array: one
+    exchange serves all metrics, and plans that read the same state share it.
+    ``carry``: extra aggregates of the sample.
     """
-    keys = list(sample_cols)
-    base_aggs = [e.alias(n) for n, e in (carry or {}).items()]
-    base = basic_metrics_aggs(counts, keys, taxon_col, count_col, flags, tolerances, extra=base_aggs)
-    out = base
-    if dominance_k:
-        top = top_k_per_group(counts, keys, [F.col(count_col).desc(), F.col(taxon_col)], dominance_k,
-                              salt_cols=[taxon_col])
-        topsum = top.groupBy(*keys).agg(F.sum(count_col).alias("_top"))
-        # Null-safe: a null sample key is a group like any other (R
-        # semantics), and no inferred not-null filter makes this branch
-        # differ from the shared counts plan, so its exchange is reused.
-        out = join_null_safe(out, topsum, keys, "left").withColumn(
-            f"percent_dominance_{dominance_k}",
-            F.lit(100.0) * F.try_divide(F.col("_top"), F.col("total_individuals"))).drop("_top")
-    if group_col is not None and model is not None:
-        m = model.select(*model_keys, group_col, F.col(model_percent).alias("_model"))
-        per_group = (counts.groupBy(*keys, *[k for k in model_keys if k not in keys], group_col)
-                     .agg(F.sum(count_col).alias("_g")))
-        # (method, group) has few values: salted so no group lands in one task.
-        per_group = skew_join(per_group, m, [*model_keys, group_col], "inner")
-        folded = per_group.groupBy(*keys).agg(
-            F.collect_list(F.struct(F.col("_g").alias("g"), F.col("_model").alias("m"))).alias("_groups"))
-        out = join_null_safe(out, folded, keys, "left")
-        total = F.col("total_individuals")
-        pma = F.aggregate(F.coalesce(F.col("_groups"), F.array().cast("array<struct<g:double,m:double>>")),
-                          F.lit(0.0), lambda acc, x: acc + F.least(F.lit(100.0) * x["g"] / total, x["m"]))
-        out = out.withColumn("percent_model_affinity", pma).drop("_groups")
-    return out
+    fields = F.struct(F.col(taxon_col).alias("taxon"), F.col(count_col).alias("n"), *[F.col(c).alias(c) for c in columns])
+    return counts.groupBy(*sample_cols).agg(F.collect_list(fields).alias("taxa"),
+                                            *[e.alias(n) for n, e in (carry or {}).items()])
 
 
-def basic_metrics_aggs(counts: DataFrame, sample_cols: Sequence[str], taxon_col: str, count_col: str,
-                       flags: Mapping[str, str] | None = None, tolerances: Mapping[str, str] | None = None,
-                       extra: Sequence[Column] = ()) -> DataFrame:
-    """``basic_metrics`` with extra aggregate columns in the same pass."""
-    n = F.col(count_col)
-    aggs = [F.sum(n).alias("total_individuals"), F.count(F.col(taxon_col)).alias("richness")]
+def _total(items: Column, value) -> Column:
+    """Sum of ``value`` over an array; null without any non-null value."""
+    values = F.filter(F.transform(items, value), lambda v: v.isNotNull())
+    return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v))
+
+
+def _flagged(items: Column, flag: str) -> Column:
+    return F.size(F.filter(items, lambda x: F.coalesce(x[flag], F.lit(False)))).cast("bigint")
+
+
+def _weighted_mean(items: Column, value: str) -> Column:
+    known = F.filter(items, lambda x: x[value].isNotNull())
+    return F.try_divide(_total(known, lambda x: x["n"] * x[value]), _total(known, lambda x: x["n"].cast("double")))
+
+
+def model_lookup(model: DataFrame, model_keys: Sequence[str], group_col: str, model_percent: str = "percent") -> Column:
+    """A model (one row for each method and taxon group) as an array value of the plan.
+
+    A scalar subquery: the few rows are read once and no sample is shuffled or
+    dealt by its method."""
+    entry = F.struct(*[F.col(k).alias(k) for k in model_keys], F.col(group_col).alias("g"), F.col(model_percent).alias("percent"))
+    return model.agg(F.collect_list(entry)).scalar()
+
+
+def state_metrics(state: DataFrame, flags: Mapping[str, str] | None = None, tolerances: Mapping[str, str] | None = None,
+                  group_col: str | None = None, model: DataFrame | None = None, model_keys: Sequence[str] = (),
+                  model_percent: str = "percent", dominance_k: int | None = 3) -> DataFrame:
+    """The columns of ``state`` but ``taxa``, and all metrics of its arrays."""
+    taxa = F.col("taxa")
+    out = state.withColumn("total_individuals", _total(taxa, lambda x: x["n"].cast("double")))
+    total = F.col("total_individuals")
+    cols = {"richness": F.size(F.filter(taxa, lambda x: x["taxon"].isNotNull())).cast("bigint")}
     for name, flag in (flags or {}).items():
-        aggs.append(F.count_if(F.coalesce(F.col(flag), F.lit(False))).alias(name))
+        cols[name] = _flagged(taxa, flag)
     for name, tol in (tolerances or {}).items():
-        t = F.col(tol)
-        aggs.append(F.try_divide(F.sum(n * t), F.sum(F.when(t.isNotNull(), n))).alias(name))
-    aggs.append(F.sum(F.when(n > 0, n * F.log2(n))).alias("_nlogn"))
-    aggs += list(extra)
-    out = counts.groupBy(*sample_cols).agg(*aggs)
-    total = F.col("total_individuals")
-    return (out.withColumn("shannon_diversity",
-                           F.when(total > 0, F.log2(total) - F.coalesce(F.col("_nlogn"), F.lit(0.0)) / total))
-            .drop("_nlogn"))
+        cols[name] = _weighted_mean(taxa, tol)
+    nlogn = _total(F.filter(taxa, lambda x: x["n"] > 0), lambda x: x["n"] * F.log2(x["n"]))
+    cols["shannon_diversity"] = F.when(total > 0, F.log2(total) - F.coalesce(nlogn, F.lit(0.0)) / total)
+    if dominance_k:
+        largest = F.slice(F.sort_array(F.transform(taxa, lambda x: x["n"].cast("double")), asc=False), 1, dominance_k)
+        cols[f"percent_dominance_{dominance_k}"] = F.lit(100.0) * F.try_divide(_total(largest, lambda v: v), total)
+    if group_col is not None and model is not None:
+        out = out.withColumn("_model", model_lookup(model, model_keys, group_col, model_percent))
+        mine = lambda m: reduce(lambda a, b: a & b, [m[k].eqNullSafe(F.col(k)) for k in model_keys], F.lit(True))
+        entries = F.filter("_model", mine)
+        share = lambda g: F.lit(100.0) * _total(F.filter(taxa, lambda x: x[group_col] == g), lambda x: x["n"].cast("double")) / total
+        cols["percent_model_affinity"] = F.aggregate(
+            entries, F.lit(0.0), lambda acc, m: acc + F.least(F.coalesce(share(m["g"]), F.lit(0.0)), F.coalesce(m["percent"], F.lit(0.0))))
+    return out.withColumns(cols).drop("taxa", "_model")
+
+
+def community_metrics(counts: DataFrame, sample_cols: Sequence[str], taxon_col: str, count_col: str,
+                      flags: Mapping[str, str] | None = None, tolerances: Mapping[str, str] | None = None,
+                      group_col: str | None = None, model: DataFrame | None = None,
+                      model_keys: Sequence[str] = (), model_percent: str = "percent",
+                      dominance_k: int | None = 3, carry: Mapping[str, Column] | None = None) -> DataFrame:
+    """All per-sample metrics from ONE de-duplicated (sample, taxon) table, in
+    one aggregate (``sample_state``).  ``carry``: extra per-sample aggregates."""
+    columns = list(dict.fromkeys([*(flags or {}).values(), *(tolerances or {}).values(), *([group_col] if model is not None else [])]))
+    state = sample_state(counts, sample_cols, taxon_col, count_col, columns, carry)
+    return state_metrics(state, flags, tolerances, group_col, model, model_keys, model_percent, dominance_k)
 
 
 def segment_score(value, segments: Sequence[tuple], lo: float = scoring.SCORE_MIN,

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stonefly.functions.nulls import all_true, null_safe_on
-from stonefly.operators.aggregates import newest_per_key
+from stonefly.operators.aggregates import newest_per_key, repeated_groups
 from stonefly.operators.skew import skew_join
 
 SCHEMA_CHECKS = {"col_exists", "col_count_match", "col_is_character", "col_is_numeric", "col_is_posix",
@@ -261,8 +261,7 @@ def failing_rows(df: DataFrame, rules: Sequence[Rule], n: int = 50, order_by: Se
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every row of a duplicate key group (VAL-09)."""
-    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(*keys)
-    return skew_join(df, dup, keys, "left_semi")
+    return repeated_groups(df, keys)
 
 
 def compare_schemas(spark: SparkSession, a: DataFrame, b: DataFrame, names: tuple[str, str] = ("a", "b")) -> DataFrame:

@@ -62,6 +62,16 @@ def hot_keys(sketch: DataFrame, parts: int | None = None) -> DataFrame:
     return found.filter(share > 1).select(F.col("x.item").alias("_kh"), F.ceil(share).cast("int").alias("_buckets"))
 
 
+def hot_from_counts(counts: DataFrame, keys: Sequence[str], n: str, parts: int | None = None) -> DataFrame:
+    """``hot_keys`` from exact counts (one row a key), where a plan has them
+    anyway: the table isn't read again, since the aggregate's exchange is shared."""
+    parts = parts or default_parts(counts)
+    total = counts.agg(F.sum(n)).scalar()
+    few = counts.select(key_hash(keys).alias("_kh"), (F.col(n) * F.lit(parts) / total).alias("share")).filter("share > 1")
+    # keys that share a hash (one chance in 2^64) are one key here
+    return few.groupBy("_kh").agg(F.ceil(F.sum("share")).cast("int").alias("_buckets"))
+
+
 def broadcast_by_size(df: DataFrame) -> bool:
     """Will Spark broadcast this join side by its own size estimate?"""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()

@@ -1,14 +1,16 @@
 """Substring matching of a value set against several columns (FL-06).
 
 ``grepl(paste(names, collapse="|"), col)`` over many columns: which rows
-contain any of a set of names.  The name set is data, so two exact plans:
-
-* default: an equi-join on character n-grams.  Every name is keyed by
-  its first ``q`` characters (short names by themselves); every value emits
-  all its substrings of length 1..q; the equi-join finds candidates and
-  ``contains`` confirms them.  No cross product is formed.
-* ``strategy="broadcast"`` (caller asserts a tiny, fixed name list): test
-  ``contains`` per (row, name) pair in one broadcast nested-loop join.
+contain any of a set of names.  The name set is data, so it becomes an index
+of whole names by length and hash:
+
+1. the lengths that occur among the names are one small value of the plan,
+2. every distinct value of the columns is probed once, with its substrings of
+   those lengths only, by hash; equal hashes are settled on the text itself,
+3. one semi join on the values that matched gives the rows.
+
+A name meets only the values that contain it, so no key gathers candidates
+that don't match, and the table is read twice however many columns there are.
 """
 
 from __future__ import annotations
@@ -19,39 +21,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def rows_containing_any(df: DataFrame, cols: Sequence[str], names: DataFrame, name_col: str,
-                        q: int = 3, strategy: str = "ngram") -> DataFrame:
+def name_index(names: DataFrame, name_col: str) -> DataFrame:
+    """Distinct non-empty names with their hash and length."""
+    return (names.select(F.col(name_col).cast("string").alias("_name")).filter(F.col("_name") != "").distinct()
+            .select("_name", F.xxhash64("_name").alias("_hash"), F.char_length("_name").alias("_length")))
+
+
+def values_containing_any(values: DataFrame, value_col: str, index: DataFrame) -> DataFrame:
+    """Distinct values that contain some name of the index (literal, case-sensitive)."""
+    lengths = index.agg(F.array_sort(F.collect_set("_length"))).scalar()  # as many as names are long, at most
+    v = values.select(F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull()).distinct().withColumn("_lengths", lengths)
+    # only lengths that fit, and for each the places where it can start
+    v = v.select("_v", F.explode("_lengths").alias("_length")).filter(F.col("_length") <= F.char_length("_v"))
+    probes = v.select("_v", F.explode(F.sequence(F.lit(1), F.char_length("_v") - F.col("_length") + 1)).alias("_p"), "_length")
+    probes = probes.select("_v", F.col("_v").substr(F.col("_p"), F.col("_length")).alias("_part"))
+    probes = probes.withColumn("_hash", F.xxhash64("_part"))
+    hits = probes.join(index.select("_hash", "_name"), (probes["_hash"] == index["_hash"]) & (probes["_part"] == index["_name"]), "left_semi")
+    return hits.select("_v").distinct()
+
+
+def rows_containing_any(df: DataFrame, cols: Sequence[str], names: DataFrame, name_col: str) -> DataFrame:
     """Distinct rows of ``df`` where some column in ``cols`` contains some
-    value of ``names[name_col]`` (literal, case-sensitive)."""
-    nm = names.select(F.col(name_col).alias("_name")).filter(F.col("_name").isNotNull() & (F.col("_name") != "")).distinct()
-    if strategy == "broadcast":
-        cond = None
-        for c in cols:
-            t = F.coalesce(F.col(c).contains(F.col("_name")), F.lit(False))
-            cond = t if cond is None else cond | t
-        hits = df.join(F.broadcast(nm), cond, "left_semi")
-        return hits.distinct()
-    # n-gram equi-join.  Rows are identified by a hash of their content (not a
-    # generated id, which a recomputed partition could assign differently);
-    # matches are re-checked on the real values at the end, so a hash
-    # collision can never add a row.
-    keyed = nm.withColumn("_key", F.substring("_name", 1, q))
-    rid_expr = F.struct(F.xxhash64(*[F.col(c) for c in df.columns]), F.hash(*[F.col(c) for c in df.columns]))
-    rid = df.withColumn("_rid", rid_expr)
-    grams = None
-    for c in cols:
-        v = F.coalesce(F.col(c), F.lit(""))
-        pos = F.sequence(F.lit(1), F.greatest(F.length(v), F.lit(1)))
-        g = rid.select("_rid", v.alias("_val"), F.explode(pos).alias("_p"))
-        g = g.select("_rid", "_val", F.explode(F.sequence(F.lit(1), F.lit(q))).alias("_l"), "_p")
-        g = g.select("_rid", "_val", F.substring("_val", F.col("_p"), F.col("_l")).alias("_key"),
-                     F.col("_l"), F.col("_p"))
-        g = g.filter(F.length("_key") == F.col("_l")).select("_rid", "_val", "_key")
-        grams = g if grams is None else grams.unionByName(g)
-    cand = (grams.join(keyed, "_key").filter(F.col("_val").contains(F.col("_name")))
-            .select("_rid", "_name").distinct())
-    recheck = None
-    for c in cols:
-        t = F.coalesce(F.col(c).contains(F.col("_name")), F.lit(False))
-        recheck = t if recheck is None else recheck | t
-    return rid.join(cand, "_rid").filter(recheck).select(*df.columns).distinct()
+    value of ``names[name_col]`` (literal, case-sensitive).  Null values
+    contain nothing, null and empty names are no names."""
+    rows = df.distinct()
+    apart = F.array_distinct(F.array_compact(F.array(*[F.col(c).cast("string") for c in cols])))
+    value = "_v"
+    while value in df.columns:
+        value += "_"
+    matched = values_containing_any(df.select(F.explode(apart).alias(value)), value, name_index(names, name_col))
+    return (rows.withColumn(value, F.explode(apart)).join(matched.withColumnRenamed("_v", value), value, "left_semi")
+            .select(*df.columns).distinct())

@@ -156,10 +156,10 @@ _LONG_CARRY = ["site_id", "date", "collection_method", "replicate", "sample_grou
 _LONG_LARGEST = ["total_individual_count"]
 
 
-def _scored(spark, d, with_sample_cols: bool = False):
-    """Scores per linked id straight from the prepared rows: one shared
-    (sample, taxon) aggregate feeds every metric, and the sample columns
-    ride along as per-sample aggregates instead of a second pass."""
+def _sample_rows(spark, d, with_sample_cols: bool = False):
+    """One row per linked id straight from the prepared rows: one (sample,
+    taxon) aggregate, then one array a sample; the sample columns ride
+    along instead of a second pass."""
     rows = LAB.with_sample_ids(_prepared(spark, d))
     cols = [F.col("MSSIH_LINKED_ID_VALIDATOR").alias("sid"), F.col("COLLECT").alias("method"),
             F.regexp_replace(F.lower("MACRO_GENSPECIES"), " ", "_").alias("taxon"),
@@ -174,11 +174,11 @@ def _scored(spark, d, with_sample_cols: bool = False):
                  F.col("MSSIH_TOTAL_INDIV_CNT_IND").cast("double").alias("total_individual_count"),
                  F.col("event_id")]
         carry, largest = _LONG_CARRY, _LONG_LARGEST
-    return LAB.score_rows(rows.select(*cols), _master_taxa(spark, d), LAB.batch_group_model, carry=carry, largest=largest)
+    return LAB.sample_rows(rows.select(*cols), _master_taxa(spark, d), carry=carry, largest=largest)
 
 
 def published_metrics(spark, d):
-    return LAB.metric_table(_scored(spark, d))
+    return LAB.metric_table(LAB.score_sample_rows(_sample_rows(spark, d), LAB.batch_group_model))
 
 
 _SCORED_METRICS = ["richness", "ept_richness", "hilsenhoff_biotic_index", "percent_model_affinity",
@@ -243,8 +243,9 @@ PUBLISHED_METRICS_SQL = f"WITH {_scored_sql()}\nSELECT {_published_select()}\nFR
 
 # -- DOM-11/17/18..23: long metric rows with their sample columns ---------------------
 def metrics_long(spark, d):
-    wide = LAB.metric_table(_scored(spark, d, with_sample_cols=True), keep=_LONG_CARRY + _LONG_LARGEST)
-    return WH.metrics_long(wide)
+    samples = _sample_rows(spark, d, with_sample_cols=True)
+    wide = LAB.metric_table(LAB.score_sample_rows(samples, LAB.batch_group_model), keep=_LONG_CARRY + _LONG_LARGEST)
+    return WH.metrics_long(wide, low_events=WH.low_count_events(samples))
 
 
 def _metrics_long_sql():

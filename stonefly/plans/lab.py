@@ -281,72 +281,64 @@ SCORED_METRICS = ["richness", "ept_richness", "hilsenhoff_biotic_index", "percen
                   "percent_dominance_3"]
 
 
+FLAGS = {"ept_richness": "is_ept", "non_chiro_oligo_richness": "is_nco"}
+TOLERANCES = {"hilsenhoff_biotic_index": "tolerance", "nutrient_biotic_index_phosphorus": "nbi_p_tolerance"}
+
+
 def batch_group_model(samples: DataFrame) -> DataFrame:
     """Model mix of a batch: each method's overall percentage of every taxon
-    group, over taxa known to the master.  ``samples``: the (sample, taxon)
-    table with ``method``, ``taxon_group`` and ``n``."""
+    group, over taxa known to the master.  ``samples``: rows of ``sample_rows``
+    (their exchange is shared with the scoring)."""
     from pyspark.sql import Window
-    # The null group goes after the window, so no filter reaches the shared
-    # counts plan (its exchange is then reused, not recomputed).
-    g = samples.groupBy("method", "taxon_group").agg(F.sum("n").alias("g"))
-    known = F.when(F.col("taxon_group").isNotNull(), F.col("g"))
-    return (g.select("method", "taxon_group",
-                     (F.lit(100.0) * F.col("g") / F.sum(known).over(Window.partitionBy("method"))).alias("percent"))
-            .filter(F.col("taxon_group").isNotNull()))
+    g = (samples.select("method", F.explode("taxa").alias("t")).filter("t.taxon_group IS NOT NULL")
+         .groupBy("method", F.col("t.taxon_group").alias("taxon_group")).agg(F.sum("t.n").alias("g")))
+    # a handful of groups a method
+    return g.select("method", "taxon_group",
+                    (F.lit(100.0) * F.col("g") / F.sum("g").over(Window.partitionBy("method"))).alias("percent"))
 
 
-def score_rows(rows: DataFrame, taxa: DataFrame, model: DataFrame | Callable[[DataFrame], DataFrame],
-               sample_cols=("sid", "method"), carry: Sequence[str] = (), largest: Sequence[str] = (),
-               materialize: bool | None = None) -> DataFrame:
-    """Metrics and method scores from (sample..., taxon, n) rows.
+def sample_rows(rows: DataFrame, taxa: DataFrame, sample_cols=("sid", "method"), carry: Sequence[str] = (),
+                largest: Sequence[str] = ()) -> DataFrame:
+    """One row a sample from (sample..., taxon, n) rows: the array ``taxa`` of
+    its counts with the master's attributes, and its own columns.
 
     ``taxa`` (master): ``taxon``, ``is_ept``, ``is_nco``, ``tolerance``,
-    ``nbi_p_tolerance``, ``taxon_group``.  ``model``: method, taxon_group,
-    percent, or a function of the (sample, taxon) table that gives them
-    (``batch_group_model``: a sample's score then depends on its batch).
-    Rows whose first sample column is null belong to no sample: they are not
-    scored (``rows_without_key`` reports them).
-
-    ``carry``: columns of the sample that ride along.  A sample with several
-    combinations of them (two events on one sample) gives a row for each,
-    so none is lost.  ``largest``: columns of which the largest value rides.
-    A method has the metrics that ``scoring.METHOD_METRICS`` names, the
-    others are null, and a method without any keeps its row (MET-12, MET-13).
-
-    ``materialize``: the (sample, taxon) table feeds four branches (base
-    metrics, top-k, group mix, model).  Without carried columns they need the
-    same columns and Spark shares one exchange.  With carried columns they
-    prune differently and the upstream joins would run again per branch, so
-    by default (``None``) the table is then written once with a reliable
-    checkpoint in ``spark.checkpoint.dir``.
+    ``nbi_p_tolerance``, ``taxon_group``.  Rows whose first sample column is
+    null belong to no sample: they are left out (``rows_without_key`` reports
+    them).  ``carry``: columns of the sample that ride along; a sample with
+    several combinations of them (two events on one sample) gives a row for
+    each, so none is lost.  ``largest``: columns of which the largest value rides.
     """
-    keys = list(sample_cols)
-    carry, largest = list(carry), list(largest)
-    if materialize is None:
-        materialize = bool(carry or largest)
+    keys, carry, largest = list(sample_cols), list(carry), list(largest)
     rows = rows.filter(F.col(keys[0]).isNotNull())
     several = {"_carried": F.collect_set(F.struct(*carry))} if carry else {}
     counts = M.sum_duplicate_taxa(rows, keys, "taxon", "n", carry=several | {k: F.max(k) for k in largest})
     j = counts.join(taxa, "taxon", "left")
-    if materialize:
-        from stonefly.session import cut_lineage
-        j = cut_lineage(j)
-    if callable(model):
-        model = model(j)
-    # a few combinations a sample, so the sets stay small
-    several = {"_carried": F.array_distinct(F.flatten(F.collect_set("_carried")))} if carry else {}
-    wide = M.community_metrics(j, keys, "taxon", "n", flags={"ept_richness": "is_ept", "nco_richness": "is_nco"},
-                               tolerances={"hilsenhoff_biotic_index": "tolerance",
-                                           "nutrient_biotic_index_phosphorus": "nbi_p_tolerance"},
-                               group_col="taxon_group", model=model, model_keys=["method"],
-                               carry=several | {k: F.max(k) for k in largest})
-    wide = wide.withColumnRenamed("nco_richness", "non_chiro_oligo_richness")
-    wide = M.metrics_of_method(wide, "method", SCORED_METRICS)
-    scored = M.method_scores(wide, "method", SCORED_METRICS)
-    if carry:
-        scored = scored.withColumn("_c", F.explode("_carried")).select(
-            *[c for c in scored.columns if c != "_carried"], *[F.col(f"_c.{c}").alias(c) for c in carry])
-    return scored
+    # What rides along is part of the array, too: every plan on the samples then
+    # has the same aggregate, whichever columns it reads, and shares its exchange.
+    state = M.sample_state(j, keys, "taxon", "n", [*FLAGS.values(), *TOLERANCES.values(), "taxon_group", *several, *largest])
+    state = state.select(*keys, "taxa", *[F.array_max(F.col(f"taxa.{k}")).alias(k) for k in largest],
+                         *([F.explode(F.array_distinct(F.flatten("taxa._carried"))).alias("_c")] if carry else []))
+    return state.select(*[c for c in state.columns if c != "_c"], *[F.col(f"_c.{c}").alias(c) for c in carry])
+
+
+def score_sample_rows(samples: DataFrame, model: DataFrame | Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Metrics and method scores of ``sample_rows``.
+
+    ``model``: method, taxon_group, percent, or a function of the samples
+    that gives them (``batch_group_model``: a sample's score then depends on
+    its batch).  A method has the metrics that ``scoring.METHOD_METRICS``
+    names, the others are null, and a method without any keeps its row
+    (MET-12, MET-13).
+    """
+    wide = M.state_metrics(samples, FLAGS, TOLERANCES, "taxon_group", model(samples) if callable(model) else model, ["method"])
+    return M.method_scores(M.metrics_of_method(wide, "method", SCORED_METRICS), "method", SCORED_METRICS)
+
+
+def score_rows(rows: DataFrame, taxa: DataFrame, model: DataFrame | Callable[[DataFrame], DataFrame],
+               sample_cols=("sid", "method"), carry: Sequence[str] = (), largest: Sequence[str] = ()) -> DataFrame:
+    """``sample_rows`` and ``score_sample_rows`` in one call."""
+    return score_sample_rows(sample_rows(rows, taxa, sample_cols, carry, largest), model)
 
 
 def score_samples(species_history: DataFrame, sample_event: DataFrame, taxa: DataFrame,

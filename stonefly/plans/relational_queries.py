@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from stonefly.functions.nulls import isin_safe, not_in_safe, strict_sum
 from stonefly.functions.numeric import round_half_up as r_hu
 from stonefly.functions.numeric import round_half_up_sql as r_sql
-from stonefly.functions.text import drop_after_space
 from stonefly.operators import aggregates as A
 from stonefly.operators import joins as J
 from stonefly.operators import reshape as R
@@ -102,18 +101,16 @@ SELECT event_id, event_type,
 FROM events"""
 
 
-# -- JN-02: customers left join their urgent pending orders -----------------
+# -- JN-02: customers left join all their orders (customers without any stay) ------
 def customer_order_left(spark, d):
     c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    o = _orders(spark, d).filter((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT"))
-    return J.join_renamed(c, o.select("o_custkey", "o_orderkey"), ["c_custkey"], ["o_custkey"], "left")
+    o = _orders(spark, d).select("o_custkey", "o_orderkey")
+    return J.join_renamed(c, o, ["c_custkey"], ["o_custkey"], "left")
 
 
 CUSTOMER_ORDER_LEFT_SQL = """
 SELECT c.c_custkey, c.c_mktsegment, o.o_orderkey
-FROM customer c LEFT JOIN (SELECT o_custkey, o_orderkey FROM orders
-                           WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT') o
-  ON c.c_custkey = o.o_custkey"""
+FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey"""
 
 
 # -- JN-03: null-safe composite left join ------------------------------------
@@ -185,21 +182,18 @@ SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_quantity, p.p_brand, p.p_t
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey"""
 
 
-# -- FL-06: parts whose name/type/brand contains any first word of a list ---
-NAME_LIST_MIN_SIZE = 48
-
-
+# -- FL-06: parts with any of a word list in a text column ------------------------------
 def name_match_any(spark, d):
     p = table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_brand")
-    names = (table(spark, d, "part").filter(F.col("p_size") >= NAME_LIST_MIN_SIZE)
-             .select(drop_after_space("p_name").alias("word")))
-    hits = rows_containing_any(p, ["p_name", "p_type", "p_brand"], names, "word")
+    words = table(spark, d, "region").select(F.concat(F.lit("#"), F.col("r_regionkey").cast("string")).alias("word"))
+    words = words.unionByName(table(spark, d, "customer").select(F.col("c_mktsegment").alias("word")))
+    hits = rows_containing_any(p, ["p_name", "p_type", "p_brand"], words, "word")
     return hits.select("p_partkey", "p_name")
 
 
-NAME_MATCH_ANY_SQL = f"""
-WITH w AS (SELECT DISTINCT regexp_replace(p_name, ' .*$', '') AS word FROM part
-           WHERE p_size >= {NAME_LIST_MIN_SIZE} AND p_name IS NOT NULL)
+NAME_MATCH_ANY_SQL = """
+WITH w AS (SELECT '#' || r_regionkey AS word FROM region
+           UNION SELECT c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL)
 SELECT DISTINCT p.p_partkey, p.p_name FROM part p
 WHERE EXISTS (SELECT 1 FROM w WHERE w.word <> '' AND (contains(p.p_name, w.word) OR contains(p.p_type, w.word)
                                    OR contains(p.p_brand, w.word)))"""
@@ -254,18 +248,16 @@ WHERE o_orderstatus = 'F' AND o_totalprice BETWEEN 50000 AND 300000
 # -- SET-01/02: union all, by name with missing columns filled --------------
 def union_by_name(spark, d):
     o = _orders(spark, d)
-    a = o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_totalprice")
-    b = o.filter(F.col("o_orderstatus") == "P").select("o_orderkey", "o_orderpriority", "o_custkey")
-    c = o.filter(F.col("o_orderstatus") == "P").select("o_orderkey", "o_custkey", "o_totalprice")
-    return SO.union_all([SO.union_all([a, c]), b], fill_missing=True)
+    finished = o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_totalprice")
+    others = o.filter(F.col("o_orderstatus") != "F").select("o_orderkey", "o_orderpriority", "o_custkey")
+    unknown = o.filter(F.col("o_orderstatus").isNull()).select("o_custkey", "o_orderkey", "o_totalprice")
+    return SO.union_all([SO.union_all([finished, unknown]), others], fill_missing=True)
 
 
 UNION_BY_NAME_SQL = """
-SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'
-UNION ALL BY NAME
-SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' OR o_orderstatus IS NULL
 UNION ALL BY NAME
-SELECT o_orderkey, o_orderpriority, o_custkey FROM orders WHERE o_orderstatus = 'P'"""
+SELECT o_orderkey, o_orderpriority, o_custkey FROM orders WHERE o_orderstatus <> 'F'"""
 
 
 # -- SET-03: value set difference; SET-04: row set difference ----------------

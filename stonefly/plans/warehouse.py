@@ -46,15 +46,26 @@ def prep_sample_table(samples: DataFrame, event_rules: Sequence = (), site_rules
 
 
 # -- DOM-18..23: long metric rows ---------------------------------------------
+def low_count_events(samples: DataFrame, total_col: str = "total_individual_count",
+                     method_col: str = "collection_method") -> DataFrame:
+    """``event_id`` and ``_low``: has any of the event's samples a count below its
+    method's minimum?  ``samples``: rows of ``lab.sample_rows``, whose
+    exchange the plan of the scores shares."""
+    low = M.below_count_minimum(method_col, total_col).cast("int")
+    return samples.groupBy("event_id").agg(F.max(low).alias("_low"))
+
+
 def metrics_long(wide: DataFrame, id_cols: Sequence[str] = LONG_IDS,
                  columns: Mapping[str, str] | None = None, total_col: str = "total_individual_count",
-                 method_col: str = "collection_method") -> DataFrame:
+                 method_col: str = "collection_method", low_events: DataFrame | None = None) -> DataFrame:
     """Wide published metrics (``MMDH_*``) -> one row per (sample, parameter).
 
     Steps: rename to ``raw_``/``score_`` names, pivot longer (nulls dropped),
     split type and name, unit ``score_0-10``, description, impact category
     on profile rows, low-count qualifier for every row of an event whose
-    count is below its method's minimum, constant columns.
+    count is below its method's minimum, constant columns.  ``low_events``:
+    those events (``low_count_events``), where they aren't to be found from
+    ``wide`` itself.
     """
     columns = columns if columns is not None else scoring.LONG_METRIC_COLUMNS
     present = {k: v for k, v in columns.items() if k in wide.columns}
@@ -65,10 +76,11 @@ def metrics_long(wide: DataFrame, id_cols: Sequence[str] = LONG_IDS,
     # minimum.  A partial aggregate per event joined back (AQE splits a hot
     # event in the join; the small flag table is normally broadcast), so no
     # event's samples are ever gathered in one task.
-    if total_col in w.columns:
+    if low_events is None and total_col in w.columns:
         low = M.below_count_minimum(method_col, total_col).cast("int")
-        flags = w.groupBy("event_id").agg(F.max(low).alias("_low"))
-        w = join_null_safe(w, flags, ["event_id"], "left")
+        low_events = w.groupBy("event_id").agg(F.max(low).alias("_low"))
+    if low_events is not None:
+        w = join_null_safe(w, low_events, ["event_id"], "left")
     else:
         w = w.withColumn("_low", F.lit(0))
     long = R.wide_to_long(w, [*ids, "_low"], values, "parameter_name", "result_value")

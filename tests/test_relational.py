@@ -64,16 +64,34 @@ def test_unpivot_then_pivot_is_identity(spark):
     assert {(r.name, r.unit) for r in split.collect()} == {("a", "raw"), ("b", "raw"), ("c", "score")}
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "ngram"])
-def test_contains_any_strategies_match_brute_force(spark, strategy):
+def test_contains_any_matches_brute_force(spark):
     rows = [(1, "hydropsyche_betteni", "trichoptera"), (2, "baetis", "ephemeroptera"), (3, "ab", "x"),
-            (4, None, "plecoptera"), (5, "chironomus", "diptera")]
-    df = spark.createDataFrame(rows, "id int, name string, ord string")
-    words = spark.createDataFrame([("psyche",), ("a",), ("pleco",), ("zzz",), (None,), ("",)], "w string")
-    got = sorted(r.id for r in rows_containing_any(df, ["name", "ord"], words, "w", q=3, strategy=strategy).collect())
-    ws = ["psyche", "a", "pleco", "zzz"]
-    want = sorted(r[0] for r in rows if any(w in (r[1] or "") or w in (r[2] or "") for w in ws))
-    assert got == want
+            (4, None, "plecoptera"), (5, "chironomus", "diptera"), (6, "", None), (7, "éa世", "世世"), (3, "ab", "x")]
+    df = spark.createDataFrame(rows, "id int, name string, _v string")
+    for ws in (["psyche", "a", "pleco", "zzz", None, "", "a"], ["世世", "éa"], [None], []):
+        words = spark.createDataFrame([(w,) for w in ws], "w string")
+        got = sorted(r.id for r in rows_containing_any(df, ["name", "_v"], words, "w").collect())
+        want = sorted({r[0] for r in rows if any(w and (w in (r[1] or "") or w in (r[2] or "")) for w in ws)})
+        assert got == want
+
+
+def test_contains_any_random_against_brute_force(spark):
+    import random
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choice("abc") for _ in range(n))
+    rows = [(i, text(rng.randint(0, 9)), text(rng.randint(0, 9))) for i in range(300)]
+    names = [text(rng.randint(1, 6)) for _ in range(25)]
+    got = rows_containing_any(spark.createDataFrame(rows, "id int, x string, y string"), ["x", "y"], spark.createDataFrame([(n,) for n in names], "w string"), "w")
+    assert sorted(r.id for r in got.collect()) == [i for i, x, y in rows if any(n in x or n in y for n in names)]
+
+
+def test_contains_any_reads_the_table_twice(spark):
+    d = "/root/testdata/sf0.001"
+    part = spark.read.parquet(f"{d}/part.parquet").select("p_name", "p_type", "p_brand")
+    names = spark.read.parquet(f"{d}/supplier.parquet").select("s_name")
+    out = rows_containing_any(part, ["p_name", "p_type", "p_brand"], names, "s_name")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("part.parquet") <= 2 and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
