@@ -106,6 +106,22 @@ def semi_flag(df: DataFrame, other: DataFrame, keys: Sequence[str], flag: str) -
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
+def unique_or_fail(df: DataFrame, keys: Sequence[str], what: str = "lookup") -> DataFrame:
+    """``df`` with at most one row for each key, or a failing job (JN-12).
+
+    The count rides along in the plan: no action is started here, and a
+    join's write fails with the key named when its lookup would fan out.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    one = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*[F.col(f"`{c}`") for c in rest], F.lit(0).alias("_"))).alias("_r"))
+    named = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("null"))) for k in keys])
+    message = F.concat(F.lit(f"{what}: "), F.col("_n").cast("string"), F.lit(" rows for the key "), named)
+    # the check is part of a key's value, so no rewrite of the plan drops it
+    first = F.when(F.col("_n") > 1, F.raise_error(message).cast(df.schema[keys[0]].dataType)).otherwise(F.col(f"`{keys[0]}`"))
+    picked = {keys[0]: first} | {k: F.col(f"`{k}`") for k in keys[1:]} | {c: F.col(f"_r.`{c}`") for c in rest}
+    return one.select(*[picked[c].alias(c) for c in df.columns])
+
+
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Join fan-out guard (JN-12): raise when ``keys`` repeat in ``df``."""
     dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()

@@ -370,3 +370,67 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = F
             *([] if exact else [(F.col(f"_q{i}")[j] if numeric else nul).alias(n)
                                 for j, n in enumerate(["p25", "p50", "p75"])])))
     return one.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+
+
+# -- AG-12: profiles that merge over runs -------------------------------------------
+#: Size of the quantile sketches, and their error: the rank of a quantile is right
+#: to this share of the rows (99 of 100 times, as the sketch's library states it).
+KLL_K, KLL_RANK_ERROR = 1000, 0.0028
+#: Relative error of the distinct counts (HyperLogLog of 2^14 registers, three deviations).
+HLL_LG, HLL_ERROR = 14, 0.025
+NUMERIC_TYPES = ("double", "float", "int", "bigint", "smallint", "tinyint")
+
+
+def profile_sketches(df: DataFrame, run: str | Column, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row for each run and column: counts, moments, range and two sketches,
+    in one aggregate (no Expand, no distinct).  The rows are small, whatever
+    the table: kept per run, they merge by ``merge_profiles``.
+
+    ``run``: a name for all rows, or a column that tells the runs apart.
+    """
+    columns, types = list(columns or df.columns), dict(df.dtypes)
+    label = F.lit(run) if isinstance(run, str) else run
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for i, c in enumerate(columns):
+        col = F.col(f"`{c}`")
+        aggs += [F.count(col).alias(f"_k{i}"), F.hll_sketch_agg(col.cast("string"), HLL_LG).alias(f"_h{i}")]
+        if types[c] in NUMERIC_TYPES or types[c].startswith("decimal"):
+            x = col.cast("double")
+            aggs += [F.avg(x).alias(f"_m{i}"), F.var_pop(x).alias(f"_v{i}"), F.min(x).alias(f"_a{i}"), F.max(x).alias(f"_b{i}"),
+                     F.kll_sketch_agg_double(x, F.lit(KLL_K)).alias(f"_q{i}")]
+    one = df.groupBy(label.alias("run")).agg(*aggs)
+    none, rows = F.lit(None).cast("double"), []
+    for i, c in enumerate(columns):
+        number = f"_m{i}" in one.columns
+        rows.append(F.struct(
+            F.lit(c).alias("column_name"), F.lit(types[c]).alias("column_type"), F.col("_n").alias("n"), F.col(f"_k{i}").alias("n_known"),
+            (F.col(f"_m{i}") if number else none).alias("mean"), (F.col(f"_v{i}") * F.col(f"_k{i}") if number else none).alias("squares"),
+            (F.col(f"_a{i}") if number else none).alias("min"), (F.col(f"_b{i}") if number else none).alias("max"),
+            F.col(f"_h{i}").alias("distinct_sketch"),
+            (F.col(f"_q{i}") if number else F.lit(None).cast("binary")).alias("quantile_sketch")))
+    return one.select("run", F.inline(F.array(*rows)))
+
+
+def merge_profiles(sketches: DataFrame, quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """One row a column over all runs of ``profile_sketches``: n, n_missing, about
+    n_unique, mean, sd, min, max and ``p<percent>`` quantiles.
+
+    Moments merge exactly (but for rounding), sketches within KLL_RANK_ERROR
+    and HLL_ERROR, however many runs there were.
+    """
+    keys = ["column_name", "column_type"]
+    # moments about a common point: the runs' means, weighted
+    total = F.sum("n_known")
+    some = F.col("n_known") > 0
+    merged = sketches.groupBy(*keys).agg(
+        F.sum("n").alias("n"), total.alias("_k"), (F.sum(F.when(some, F.col("n_known") * F.col("mean"))) / total).alias("mean"),
+        F.sum("squares").alias("_within"), F.collect_list(F.struct("n_known", "mean")).alias("_runs"),
+        F.min("min").alias("min"), F.max("max").alias("max"),
+        F.hll_union_agg("distinct_sketch").alias("_h"), F.kll_merge_agg_double("quantile_sketch").alias("_q"))
+    between = F.aggregate(F.filter("_runs", lambda r: r["n_known"] > 0), F.lit(0.0),
+                          lambda acc, r: acc + r["n_known"] * (r["mean"] - F.col("mean")) * (r["mean"] - F.col("mean")))
+    out = merged.withColumn("sd", F.when(F.col("_k") > 1, F.sqrt((F.col("_within") + between) / (F.col("_k") - 1))))
+    is_number = F.col("mean").isNotNull()
+    return out.select(*keys, "n", (F.col("n") - F.col("_k")).alias("n_missing"), F.hll_sketch_estimate("_h").alias("n_unique"),
+                      "mean", "sd", "min", "max",
+                      *[F.when(is_number, F.kll_sketch_get_quantile_double("_q", F.lit(float(x)))).alias(f"p{round(100 * x):02d}") for x in quantiles])

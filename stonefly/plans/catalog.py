@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from stonefly.plans import (domain_queries, metric_queries, quality_queries, relational_queries, shaping_queries,
+from stonefly.plans import (domain_queries, flow_queries, metric_queries, quality_queries, relational_queries, shaping_queries,
                             text_queries)
 
-_MODULES = [metric_queries, relational_queries, text_queries, domain_queries, quality_queries, shaping_queries]
+_MODULES = [metric_queries, relational_queries, text_queries, domain_queries, quality_queries, shaping_queries, flow_queries]
 
 
 def queries() -> dict:

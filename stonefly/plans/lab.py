@@ -142,7 +142,7 @@ def prepare_in_house(raw: DataFrame) -> DataFrame:
         F.col("DATE").alias("COLL_DATE"), F.col("COLLECT"), F.col("REPLICATE").alias("Replicate"),
         F.col("GENSPECIES").alias("MACRO_GENSPECIES"), F.col("INDIV"),
         F.concat_ws("-", basin, loc, rivmile.cast("string")).alias("site_id"),
-        F.col("LOCATION").alias("ref"))
+        F.col("LOCATION").alias("ref"), *[F.col(c) for c in ("event_id", "group") if c in raw.columns])
 
 
 # -- DOM-03: species check ------------------------------------------------------

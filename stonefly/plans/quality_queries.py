@@ -212,6 +212,43 @@ def _lineitem_profile_sql():
     return (f"SELECT * FROM ({body}) AS t(column_name, column_type, n, n_missing, n_unique, mean, sd, min, max)")
 
 
+# -- AG-12: profile sketches of every ship year, kept, merged, and held against the rows ----
+SKETCH_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"]
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def lineitem_profile_merged(spark, d):
+    """One run a ship year: its sketches are stored, all runs merged, and the
+    quartiles' true ranks counted in a second pass over the rows."""
+    from stonefly.session import scratch_table
+    li = table(spark, d, "lineitem").select("l_shipdate", *SKETCH_COLS)
+    kept = scratch_table(Q.profile_sketches(li, F.date_format("l_shipdate", "yyyy"), SKETCH_COLS), "profile-runs")
+    merged = Q.merge_profiles(kept, QUARTILES)
+    # the few quartiles, as a value of the plan
+    found = merged.filter("p50 IS NOT NULL").agg(F.map_from_entries(F.collect_list(F.struct("column_name", F.array("p25", "p50", "p75"))))).scalar()
+    with_q = li.withColumn("_q", found)
+    ranks = []
+    for c in SKETCH_COLS[:4]:
+        for i, q in enumerate(QUARTILES):
+            v = F.col("_q")[c][i]
+            low, high = F.count_if(F.col(c) < v) / F.count(c), F.count_if(F.col(c) <= v) / F.count(c)
+            # twice the stated error, which is that of 99 cases of 100
+            ranks.append(((low <= q + 2 * Q.KLL_RANK_ERROR) & (high >= q - 2 * Q.KLL_RANK_ERROR)).cast("int").alias(f"{c}_{i}"))
+    exact = with_q.agg(*ranks)
+    ok = exact.select(F.map_from_arrays(F.array(*[F.lit(c) for c in SKETCH_COLS[:4]]),
+                                        F.array(*[F.array(*[F.col(f"{c}_{i}") for i in range(3)]) for c in SKETCH_COLS[:4]]))).scalar()
+    out = merged.withColumn("_ok", ok)
+    return out.select("column_name", "column_type", "n", "n_missing", r_hu("mean", 4).alias("mean"), r_hu("sd", 4).alias("sd"), "min", "max",
+                      *[F.coalesce(F.col("_ok")[F.col("column_name")][i], F.lit(1)).alias(f"p{round(100 * q)}_within_error") for i, q in enumerate(QUARTILES)])
+
+
+def _lineitem_profile_merged_sql():
+    return f"""
+SELECT column_name, column_type, n, n_missing, mean, sd, min, max,
+       1 AS p25_within_error, 1 AS p50_within_error, 1 AS p75_within_error
+FROM ({_lineitem_profile_sql()})"""
+
+
 # -- VAL-20 / VAL-07: score range check on the sample scores ---------------------
 SCORE_COLS = ["score_richness", "score_ept_richness", "score_hilsenhoff_biotic_index",
               "score_percent_model_affinity", "score_nutrient_biotic_index_phosphorus", "score_bioassessment_profile"]
@@ -253,6 +290,7 @@ QUERIES = {
     "failing_order_rows": failing_order_rows,
     "lineitem_fk_flags": lineitem_fk_flags,
     "lineitem_profile": lineitem_profile,
+    "lineitem_profile_merged": lineitem_profile_merged,
 }
 
 SQL = {
@@ -263,4 +301,5 @@ SQL = {
     "failing_order_rows": _failing_order_rows_sql(),
     "lineitem_fk_flags": LINEITEM_FK_FLAGS_SQL,
     "lineitem_profile": _lineitem_profile_sql(),
+    "lineitem_profile_merged": _lineitem_profile_merged_sql(),
 }

@@ -16,7 +16,7 @@ from stonefly.operators import lookup as L
 from stonefly.operators import metrics as M
 from stonefly.operators import reshape as R
 from stonefly.operators.columns import add_constants
-from stonefly.operators.joins import join_null_safe
+from stonefly.operators.joins import join_null_safe, unique_or_fail
 
 LONG_IDS = ("event_id", "site_id", "date", "collection_method", "replicate", "sample_group")
 
@@ -225,7 +225,32 @@ def survey_events(survey: DataFrame, date_format: str = "%m/%d/%Y", final_col: s
 def attach_events(samples: DataFrame, events: DataFrame, keys: Sequence[str] = ("site_id", "DATE")
                   ) -> tuple[DataFrame, DataFrame]:
     """Left join samples to survey events on (site, date); returns (rows,
-    rows without a survey event).  The events table is a small crosswalk
-    (size-checked broadcast)."""
-    out = join_null_safe(samples, events, list(keys), "left")
+    rows without a survey event).  Two events for one site and date would
+    fan the samples out: the job that reads the rows then fails with the
+    site and date named (JN-12)."""
+    out = join_null_safe(samples, unique_or_fail(events, list(keys), "survey events"), list(keys), "left")
     return out, out.filter(F.col("final_id").isNull())
+
+
+# -- DOM-14: register of samples without a survey --------------------------------------
+def missing_survey_register(missing: DataFrame, known_sites: DataFrame | None = None, notes: DataFrame | None = None,
+                            site_col: str = "site_id") -> DataFrame:
+    """Distinct rows without a survey event, with ``missing_site`` ("T" where the
+    site isn't in ``known_sites``, else "F"), ``missing_survey`` and ``notes``.
+
+    ``notes`` is the reviewers' table: site, missing_site, missing_survey,
+    notes; its values replace the flags found here, and sites it lacks have
+    the flag "F" and no note, as in the register.
+    """
+    from stonefly.operators.joins import semi_flag
+    out = missing.distinct()
+    if known_sites is not None:
+        out = semi_flag(out, known_sites.select(F.col(known_sites.columns[0]).alias(site_col)), [site_col], "_known")
+        out = out.withColumn("missing_site", F.when(F.col("_known"), "F").otherwise("T")).drop("_known")
+    else:
+        out = out.withColumn("missing_site", F.lit("F"))
+    out = out.withColumns({"missing_survey": F.lit("T" if notes is None else "F"), "notes": F.lit("")})
+    if notes is None:
+        return out
+    named = notes.select(F.col(notes.columns[0]).alias(site_col), *notes.columns[1:])
+    return L.apply_key_corrections(out, [site_col], named, ["missing_site", "missing_survey", "notes"])

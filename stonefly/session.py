@@ -68,3 +68,12 @@ def cut_lineage(df):
     the whole upstream plan, and a lost executor cannot lose it."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_table(df, name: str):
+    """``df`` written once as Parquet under a new name in the shared folder
+    (two runs never meet), and the plan that reads it back."""
+    import uuid
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ processed, so a restarted or retried run never ingests a file twice.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,7 @@ LAB_FILE_SCHEMA = T.StructType([
 def lab_file_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
     """Streaming DataFrame over CSV lab files arriving in ``landing_dir``."""
     return (spark.readStream.schema(LAB_FILE_SCHEMA).option("header", True)
+            .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
             .option("maxFilesPerTrigger", max_files_per_trigger).csv(landing_dir)
             .withColumn("source_file", F.col("_metadata.file_path")))
 
@@ -48,7 +50,9 @@ def ingest_species_history(spark: SparkSession, landing_dir: str, history_path:
                            checkpoint: str | None = None, run_date: str = "stream"):
     """Prepare every new file and append its species rows to ``history_path``
     (partitioned by ``run_date``).  Returns the finished query handle."""
-    checkpoint = checkpoint or scratch_path(spark, "ingest_species_history")
+    if checkpoint is None:  # one for each pair of folders: two streams never share a checkpoint
+        name = hashlib.sha256(f"{landing_dir}\n{history_path}".encode()).hexdigest()[:24]
+        checkpoint = scratch_path(spark, f"ingest_species_history-{name}")
     collect = LAB.collect_method_table(spark)
 
     def batch(df: DataFrame, batch_id: int) -> None:
