@@ -17,10 +17,12 @@ The nodes of an entry stand in a signature tree, whose nodes hold the OR of the
 bitmaps and the range of set sizes. A dual traversal drops pairs of tree nodes whose
 common bits or sizes rule out any link, and pairs that lie in one component already. In
 the first pass a few entries of each node send a forest of their likely links; they are verified
-on the whole sets, and their components found. In the second pass every entry sends every remaining
-pair between different components that the bounds allow; these are verified too. Every link is thus
-either verified itself or lies within a component of verified links, and no group sends all
-its pairs where they link.
+on the whole sets, and their components found. The second pass settles every remaining pair
+between different components that the bounds allow, in the entry of the least token under
+which both are entered, so that each pair is looked at once. First the entries name their
+members with such pairs; then these members come with their whole sets, and each entry verifies
+its pairs in place and sends a forest of the links. Rows are members or links
+of forests, so they grow with the documents: no group sends its pairs, whether they link or not.
 
 Null or word-less text has an empty set and links with nothing. Rows that repeat an id each get a
 row. A null id is never a component's id; a class of rows that all lack an id has no links. An empty table gives an empty result. Columns other than the
@@ -262,6 +264,180 @@ def entry_pairs(nodes: np.ndarray, sizes: np.ndarray, roots: np.ndarray, sketche
     return out
 
 
+class Entry:
+    """The members of one entry (a run of a token's nodes), for the second pass.
+
+    Of each member: node, set size, component, the tokens under which it is entered (``own``), and its
+    set, of which the first pass's sketch is the beginning, or just that sketch.
+    """
+
+    def __init__(self, token: int, nodes: np.ndarray, sizes: np.ndarray, roots: np.ndarray, own: list[np.ndarray], sets: list[np.ndarray], percent: int) -> None:
+        several = np.bincount(np.unique(roots, return_inverse=True)[1])[np.unique(roots, return_inverse=True)[1]] > 1
+        # members of one component stand together, the others by their least tokens, so that those which meet elsewhere are near
+        first = np.array([x[0] for x in own])
+        second = np.array([x[1] if len(x) > 1 else x[0] for x in own])
+        order = np.lexsort((nodes, sizes, second, first, np.where(several, roots, -1), several))
+        self.token, self.percent = token, percent
+        self.nodes, self.sizes, self.roots = nodes[order], sizes[order], np.unique(roots[order], return_inverse=True)[1]
+        self.sets = [sets[k] for k in order]
+        self.sketches = self.packed([x[:SKETCH] for x in self.sets])
+        lesser = [own[k][own[k] < token] for k in order]
+        self.lesser = self.packed([x.view(np.uint64) for x in lesser])
+        self.whole = None
+        self.tree = TreeNode(0, len(nodes), *self.sketches, self.sizes, self.roots)
+        self.shared: dict[int, frozenset] = {}
+        self._share(self.tree, [frozenset(x.tolist()) for x in lesser])
+        self.cache: dict[tuple[int, int], tuple] = {}
+
+    @staticmethod
+    def packed(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate([np.zeros(0, np.uint64), *sets]), np.cumsum([0, *map(len, sets)])
+
+    def _share(self, x: TreeNode, lesser: list[frozenset]) -> frozenset:
+        """Lesser tokens that all members below a tree node have: two such nodes' pairs all belong to another entry."""
+        mine = frozenset.intersection(*lesser[x.first : x.last]) if x.kids is None else self._share(x.kids[0], lesser) & self._share(x.kids[1], lesser)
+        self.shared[id(x)] = mine
+        return mine
+
+    def common(self, kind: int, x: TreeNode, y: TreeNode, packed: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """How many values each member of one leaf shares with each of the other."""
+        flat, ends = packed
+        for leaf in (x, y):
+            if (kind, leaf.first) not in self.cache:
+                self.cache[kind, leaf.first] = np.unique(flat[ends[leaf.first] : ends[leaf.last]], return_inverse=True)
+        tokens = self.cache[kind, x.first][0] if x is y else np.intersect1d(self.cache[kind, x.first][0], self.cache[kind, y.first][0], assume_unique=True)
+        dense = []
+        for leaf in (x,) if x is y else (x, y):
+            values, at = self.cache[kind, leaf.first]
+            column = np.full(len(values), -1)
+            column[np.searchsorted(values, tokens)] = np.arange(len(tokens))
+            column = column[at]
+            hit = column >= 0
+            m = np.zeros((leaf.last - leaf.first, len(tokens)), np.float32)
+            m[np.repeat(np.arange(len(m)), np.diff(ends[leaf.first : leaf.last + 1]))[hit], column[hit]] = 1
+            dense.append(m)
+        return dense[0] @ dense[-1].T
+
+    def leaf_pairs(self) -> Iterator[tuple[TreeNode, TreeNode, np.ndarray]]:
+        """Pairs of leaves, and which pairs of their members may link and belong to this entry."""
+        percent, stack = self.percent, [(self.tree, self.tree)]
+        while stack:
+            x, y = stack.pop()
+            if x.root is not None and x.root == y.root:
+                continue
+            if 100 * x.high < percent * y.low or 100 * y.high < percent * x.low:
+                continue
+            if self.shared[id(x)] & self.shared[id(y)]:
+                continue
+            if (x.bits & y.bits).bit_count() + min(x.slack, y.slack) < min(needed(x.low, y.low, percent, False), SHARED):
+                continue
+            if x.kids is None and y.kids is None:
+                a, b = self.sizes[x.first : x.last, None], self.sizes[None, y.first : y.last]
+                ok = (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & (self.roots[x.first : x.last, None] != self.roots[None, y.first : y.last])
+                if x is y:
+                    ok = np.triu(ok, 1)
+                if ok.any():
+                    least = np.where(np.maximum(a, b) > SKETCH, SHARED, np.maximum(1, -(-percent * (a + b) // (100 + percent))))
+                    ok &= self.common(0, x, y, self.sketches) >= least
+                if ok.any() and len(self.lesser[0]):
+                    ok &= self.common(1, x, y, self.lesser) == 0
+                if ok.any():
+                    yield x, y, ok
+            elif y.kids is None or x.kids is not None and x.last - x.first > y.last - y.first:
+                stack += [(k, y) for k in x.kids]
+            elif x is y:
+                a, b = x.kids
+                stack += [(a, b), (a, a), (b, b)]
+            else:
+                stack += [(x, k) for k in y.kids]
+
+    def meeting(self) -> np.ndarray:
+        """The members that have a pair here."""
+        some = np.zeros(len(self.nodes), bool)
+        for x, y, ok in self.leaf_pairs():
+            some[x.first : x.last] |= ok.any(axis=1)
+            some[y.first : y.last] |= ok.any(axis=0)
+        return self.nodes[some]
+
+    def links(self) -> list[tuple[int, int]]:
+        """Verified links of members with whole sets: a forest that connects what the entry's links connect."""
+        self.whole = self.packed(self.sets)
+        parent = list(range(int(self.roots.max()) + 1))
+
+        def find(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        out = []
+        for x, y, ok in self.leaf_pairs():
+            left, right = (np.array([find(k) for k in self.roots[z.first : z.last].tolist()]) for z in (x, y))
+            ok &= left[:, None] != right[None]
+            if not ok.any():
+                continue
+            both = self.common(2, x, y, self.whole)
+            ok &= 100 * both >= self.percent * (self.sizes[x.first : x.last, None] + self.sizes[None, y.first : y.last] - both)
+            for i, j in zip(*np.nonzero(ok), strict=True):
+                p, q = find(int(self.roots[x.first + i])), find(int(self.roots[y.first + j]))
+                if p != q:
+                    parent[p] = q
+                    out.append((int(self.nodes[x.first + i]), int(self.nodes[y.first + j])))
+        return out
+
+
+def entries_of(members: DataFrame, column: str, percent: int, links: bool) -> DataFrame:
+    """``Entry.meeting`` (token, i, j, node) or ``Entry.links`` (u, v) of all entries; an entry is a run of (token, i, j).
+
+    ``column`` holds the members' sketches or whole sets.
+    """
+    key = ("token", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entry, runs = None, []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nodes, sizes, roots = (np.concatenate([x[k] for x in runs]) for k in range(3))
+            if len(nodes) < 2 or (roots == roots[0]).all():
+                return
+            own, sets = ([values[x:y] for r in runs for values, ends in [r[k]] for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)] for k in (3, 4))
+            found = Entry(entry[0], nodes, sizes, roots, own, [x.view(np.uint64) for x in sets], percent)
+            if links:
+                if pairs := found.links():
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*pairs, strict=True)], names=["u", "v"])
+            elif len(met := found.meeting()):
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.full(len(met), k), t) for k, t in zip(entry, (pa.int64(), pa.int32(), pa.int32()), strict=True)), pa.array(met)], names=[*key, "node"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in key])
+            columns = [batch.column(c).to_numpy() for c in ("node", "n", "root")]
+            lists = [(batch.column(c).values.to_numpy(), batch.column(c).offsets.to_numpy()) for c in ("own", column)]
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if (mine := tuple(keys[:, a].tolist())) != entry:
+                    if runs:
+                        yield from flush()
+                    entry, runs = mine, []
+                runs.append((*(x[a:b] for x in columns), *((values, ends[a : b + 1]) for values, ends in lists)))
+        if runs:
+            yield from flush()
+
+    rows = members.select(*key, "node", "n", "root", "own", column).repartition(shuffle_partitions(members.sparkSession), *key).sortWithinPartitions(*key)
+    return rows.mapInArrow(run, "u long, v long" if links else "token long, i int, j int, node long")
+
+
+def whole_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(node, whole): the set of each node as ascending hashes; ``texts``: (node, text)."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for every in batches for part in slices(every, "text", 4 << 20)):
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([x.view(np.int64) for x in shingle_sets(batch.column("text"), words)], pa.list_(pa.int64()))], names=["node", "whole"])
+
+    return texts.select("node", "text").mapInArrow(read, "node long, whole array<long>")
+
+
 def candidate_pairs(entries: DataFrame, percent: int, forest: bool) -> DataFrame:
     """Distinct pairs (u, v) of nodes from entries (token, i, j, node, n, sketch, root); an entry is a run of (token, i, j)."""
     parts = shuffle_partitions(entries.sparkSession)
@@ -359,9 +535,15 @@ def similar_documents(spark: SparkSession, docs: DataFrame, id_col: str = "doc_i
     rest = write_table(entered.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), f"{folder}/rooted")
     apart = write_table(rest.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("token"), f"{folder}/apart")
     rest = rest.join(apart, "token", "left_semi").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select("token", F.least("i", "o").alias("i"), F.greatest("i", "o").alias("j"), "node", "root").join(sketches, "node")
-    rest = write_table(candidate_pairs(rest, percent, False).join(likely, ["u", "v"], "left_anti"), f"{folder}/rest")
-    more = write_table(verified(rest, texts, words, percent), f"{folder}/more")
+    rest = rest.select("token", F.least("i", "o").alias("i"), F.greatest("i", "o").alias("j"), "node", "root")
+    own = entered.groupBy("node").agg(F.array_sort(F.collect_set("token")).alias("own"))  # TOKENS at most
+    known = write_table(sketches.join(own, "node"), f"{folder}/known")
+    rest = rest.distinct()  # a block with itself
+    meeting = write_table(entries_of(rest.join(known, "node"), "sketch", percent, False), f"{folder}/meeting")
+    wanted = meeting.select("node").distinct()
+    whole = write_table(whole_sets(texts.join(wanted, "node", "left_semi"), words), f"{folder}/whole")
+    full = meeting.join(known.select("node", "n", "own"), "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(whole, "node")
+    more = write_table(entries_of(full, "whole", percent, True), f"{folder}/more")
     joined = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)
     roots = write_table(connected(joined, f"{folder}/second"), f"{folder}/all-roots")
     least = roots.join(nodes, "node").groupBy("root").agg(F.min("first.doc_id").alias("component_id"))

@@ -11,7 +11,7 @@ import pytest
 
 from stonefly.llm.common import run_dir
 from stonefly.llm.components import connected, stars
-from stonefly.llm.jaccard_tree import similar_documents
+from stonefly.llm.jaccard_tree import SHARED, Entry, similar_documents
 
 
 def brute(rows):
@@ -55,6 +55,60 @@ def test_components(spark, block_nodes):
     assert got == brute(rows)
 
 
+def near_copies(rng, n, words, changed):
+    """A group: each member has some of its words changed, so pairs are about (1 - changed)^10 alike, many below the limit."""
+    base = [f"w{k}" for k in range(words)]
+    return [" ".join(f"x{rng.randrange(10**6)}" if rng.random() < changed else w for w in base) for _ in range(n)]
+
+
+def links_by_counts(rows, percent=80):
+    """Components by an inverted index and exact counts."""
+    from collections import Counter, defaultdict
+    sets, where, root = {}, defaultdict(list), {}
+    for k, text in rows:
+        w = text.split(" ")
+        sets[k] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+        root[k] = k
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for k in sorted(sets):
+        both = Counter(o for g in sets[k] for o in where[g])
+        for o, c in both.items():
+            if 100 * c >= percent * (len(sets[k]) + len(sets[o]) - c):
+                a, b = find(k), find(o)
+                root[max(a, b)] = min(a, b)
+        for g in sets[k]:
+            where[g].append(k)
+    return {k: find(k) for k in sets}
+
+
+@pytest.mark.parametrize(("changed", "block_nodes"), [(0.012, 4096), (0.03, 4096), (0.03, 300)])
+def test_two_thousand_near_copies(spark, changed, block_nodes):
+    """Groups at 50 to 85 per cent similarity: components equal brute force, and no step has rows in the order of the pairs."""
+    rng = random.Random(int(changed * 1000))
+    rows = list(enumerate(near_copies(rng, 2000, 120, changed) + near_copies(rng, 60, 30, 0.02)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in similar_documents(spark, df, block_nodes=block_nodes).collect()}
+    assert got == links_by_counts(rows)
+
+
+def test_entries_send_members_and_forests(spark):
+    """An entry of n members that all pass the sketches and don't link sends n rows, then none."""
+    rng = random.Random(1)
+    sets = [x for x in map(np.unique, (np.concatenate([np.arange(300), rng.sample(range(10**6, 10**7), 100)]) for _ in range(200)))]
+    sets = [np.asarray(x, np.uint64) for x in sets]
+    own = [np.arange(5, dtype=np.int64)] * 200
+    build = lambda token, percent: Entry(token, np.arange(200), np.full(200, 400), np.arange(200), own, sets, percent)
+    assert len(build(0, 80).meeting()) == 200 and build(0, 80).links() == []
+    assert len(build(1, 80).meeting()) == 0          # every pair belongs to the least token's entry
+    assert len(build(0, 50).links()) == 199          # one forest
+    assert SHARED <= 96
+
+
 def test_null_and_repeated_ids(spark):
     text = "one two three four five six seven"
     df = spark.createDataFrame([(None, text), (7, text), (7, text), (7, "other words stand here now"), (None, None)], "doc_id long, text string")
