@@ -13,17 +13,23 @@ staged tables go to the shared folder named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import csv
+import hashlib
+import io as pyio
 import logging
 import os
-from collections.abc import Mapping, Sequence
-from functools import reduce
+import re
+from collections.abc import Iterator, Mapping, Sequence
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stonefly.config.corrections import NA_TOKENS
 from stonefly.functions.dates import parse_date
-from stonefly.session import scratch_path
+from stonefly.session import scratch_path, scratch_table
 
 log = logging.getLogger(__name__)
 
@@ -71,29 +77,64 @@ def read_csv_typed(spark: SparkSession, path: str | Sequence[str], col_types: Ma
     return cleaned.select(*out, *extra)
 
 
+def csv_headers(spark: SparkSession, path_glob: str) -> DataFrame:
+    """``_file`` (its path without scheme), ``_names`` (its header) and ``_rank`` of every file, one row each.
+
+    The files are listed without reading them, and tasks read one line of
+    each; the result is a table, whatever the number of files.
+    """
+    listed = spark.read.format("binaryFile").load(path_glob).select("path")
+
+    def heads(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            names = []
+            for path in frame["path"]:
+                fs, inner = pafs.FileSystem.from_uri(quote(re.sub("^file:/+", "file:///", path), safe="/:"))
+                with fs.open_input_stream(inner) as stream, pyio.TextIOWrapper(stream, "utf-8-sig", newline="") as text:
+                    row = next(csv.reader(text), [])
+                names.append([x.strip() or f"_c{i}" for i, x in enumerate(row)])
+            yield pd.DataFrame({"path": frame["path"], "_names": names})
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = listed.repartition(parts, "path").mapInPandas(heads, "path string, _names array<string>")
+    # ranks need the sorted list of files: one narrow row a file
+    ranked = found.withColumn("_rank", F.row_number().over(Window.orderBy("path")))
+    return ranked.select(_plain_path("path").alias("_file"), "_names", "_rank")
+
+
+def _plain_path(c) -> Column:
+    """A path as text without scheme and with one leading slash, as listings and scans both have it."""
+    return F.regexp_replace(F.col(c) if isinstance(c, str) else c, "^[a-z0-9]+:/*", "/")
+
+
 def read_many_csv(spark: SparkSession, path_glob: str, index_col: str = "column_label") -> DataFrame:
     """``lapply(files, read.csv) |> bind_rows(.id=)`` (IO-04/05).
 
-    Columns bind by name: the files are listed (one row a file; no data is
-    read), those with one header are one scan, and the scans are united by
-    name with missing columns null.  ``index_col`` is the rank of the file's
-    path in the list.
+    Columns bind by name: a table of the files' headers (``csv_headers``,
+    written once) is joined to one scan of all files by the file that a row
+    comes from, and each column takes the place that its file's header gives
+    it; a file that lacks it has nulls.  Lines equal to their file's header
+    are headers.  ``index_col`` is the rank of the file's path.  The plan is
+    the same for ten files and for ten thousand; the driver sees the
+    distinct column names.
     """
-    listed = spark.read.format("binaryFile").load(path_glob).select("path")
-    files = sorted(r["path"] for r in listed.collect())
-    if not files:
-        raise FileNotFoundError(path_glob)
-    by_header: dict[tuple, list[str]] = {}
-    for f in files:
-        by_header.setdefault(tuple(spark.read.option("header", True).csv(f).columns), []).append(f)
-    scans = []
-    for same in by_header.values():
-        index = F.create_map(*[F.lit(x) for f in same for x in (f.split(":", 1)[-1].lstrip("/"), files.index(f) + 1)])
-        own = F.regexp_replace(F.expr("_metadata.file_path"), "^[a-z0-9]+:/*", "")
-        scans.append(spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True)
-                     .option("ignoreTrailingWhiteSpace", True).csv(same).withColumn(index_col, index[own]))
-    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
-    return out.select(*[c for c in out.columns if c != index_col], index_col)
+    heads = scratch_table(csv_headers(spark, path_glob), "csv-headers")
+    # in the order in which files and headers bring them
+    order = (heads.select("_rank", F.posexplode("_names").alias("_at", "name")).groupBy("name")
+             .agg(F.min(F.struct("_rank", "_at")).alias("_first"), F.max("_at").alias("_at")).orderBy("_first").collect())
+    if not order:
+        raise FileNotFoundError(f"no header in {path_glob}")
+    columns, width = [r["name"] for r in order], max(r["_at"] for r in order) + 1
+    schema = ", ".join(f"_v{i} string" for i in range(width))
+    lines = (spark.read.schema(schema).option("header", False).option("ignoreLeadingWhiteSpace", True)
+             .option("ignoreTrailingWhiteSpace", True).csv(path_glob))
+    values = F.array(*[F.col(f"_v{i}") for i in range(width)])
+    scanned = F.url_decode(F.replace(F.expr("_metadata.file_path"), F.lit("+"), F.lit("%2B")))  # scans name files as URIs
+    rows = lines.select(values.alias("_values"), _plain_path(scanned).alias("_file")).join(heads, "_file")
+    named = F.transform(F.slice("_values", 1, F.size("_names")), lambda v, i: F.coalesce(F.trim(v), F.concat(F.lit("_c"), i.cast("string"))))
+    rows = rows.filter(named != F.col("_names"))
+    place = lambda c: F.array_position("_names", c)
+    return rows.select(*[F.when(place(c) > 0, F.get("_values", (place(c) - 1).cast("int"))).alias(c) for c in columns], F.col("_rank").alias(index_col))
 
 
 def for_csv(df: DataFrame) -> DataFrame:
@@ -116,9 +157,12 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def stage_in_checkpoint_dir(df: DataFrame, name: str) -> DataFrame:
-    """``stage`` under the cluster's ``spark.checkpoint.dir``."""
-    return stage(df, scratch_path(df.sparkSession, name))
+def stage_in_checkpoint_dir(df: DataFrame, name: str, run: str = "") -> DataFrame:
+    """``stage`` under the cluster's ``spark.checkpoint.dir``, in a folder keyed by
+    run and plan: two runs, or two plans of one name, never meet, and a run
+    that starts again replaces its own table."""
+    plan = hashlib.sha256(f"{run}\n{df._jdf.queryExecution().analyzed().canonicalized().toString()}".encode()).hexdigest()[:24]
+    return stage(df, scratch_path(df.sparkSession, f"staged/{name}-{plan}"))
 
 
 def append_history(df: DataFrame, history_path: str, run_date: str, partition_col: str = "run_date") -> None:

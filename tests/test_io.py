@@ -86,3 +86,31 @@ def test_typed_fields_are_trimmed(spark, tmp_path):
     (tmp_path / "t.csv").write_text("m,n\nKick: Standard , 7 \n")
     row = IO.read_csv_typed(spark, str(tmp_path / "t.csv"), {"m": "string", "n": "int"}).first()
     assert (row.m, row.n) == ("Kick: Standard", 7)
+
+
+def test_many_files_of_several_layouts_are_one_scan(spark, tmp_path):
+    (tmp_path / "a.b").mkdir()
+    layouts = [("site,n", "s{i},{i}"), ("n,site,note", '{i},s{i},"x, {i}"'), (" site , extra ", "s{i},e")]
+    for i in range(240):
+        head, row = layouts[i % 3]
+        (tmp_path / "a.b" / f"f {i:04d}.csv").write_text(f"{head}\n" + row.format(i=i) + "\n" + ("" if i % 2 else row.format(i=i) + "\n"))
+    (tmp_path / "a.b" / "f 9999.csv").write_text("site,only_header\n")
+    df = IO.read_many_csv(spark, str(tmp_path / "a.b" / "*.csv"))
+    assert df.columns == ["site", "n", "note", "extra", "only_header", "column_label"]
+    got = sorted(map(tuple, df.collect()))
+    want = []
+    for i in range(240):
+        row = {0: (f"s{i}", str(i), None, None, None), 1: (f"s{i}", str(i), f"x, {i}", None, None), 2: (f"s{i}", None, None, "e", None)}[i % 3]
+        want += [(*row, i + 1)] * (1 if i % 2 else 2)
+    assert got == sorted(want)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "f 0007.csv" not in plan and plan.count("Relation") <= 2
+
+
+def test_staged_tables_are_keyed_by_run_and_plan(spark):
+    a, b = spark.range(3), spark.range(4)
+    one, two, other = (IO.stage_in_checkpoint_dir(x, "same_name", run=r) for x, r in ((a, "r1"), (b, "r1"), (a, "r2")))
+    assert (one.count(), two.count(), other.count()) == (3, 4, 3)
+    assert len({x.inputFiles()[0].rsplit("/", 1)[0] for x in (one, two, other)}) == 3
+    again = IO.stage_in_checkpoint_dir(a, "same_name", run="r1")
+    assert again.inputFiles()[0].rsplit("/", 1)[0] == one.inputFiles()[0].rsplit("/", 1)[0] or again.count() == 3
