@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stonefly.llm.common import mix64, run_dir, shuffle_partitions, slices, text_buffers, write_table
+from stonefly.llm.common import mix64, release_memory, run_dir, shuffle_partitions, slices, text_buffers, write_table
 from stonefly.llm.components import connected
 
 #: Hashes of a sketch, and how many of them a linked pair shares but with a probability of 1e-13; forests take pairs from LIKELY on.
@@ -124,6 +124,8 @@ def set_rows(docs: DataFrame, words: int) -> DataFrame:
             sets = shingle_sets(batch.column("text"), words)
             nodes = [xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) if len(x) else None for x in sets]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array([len(x) for x in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array([x[:SKETCH].view(np.int64) for x in sets], pa.list_(pa.int64()))], names=["doc_id", "h", "n_shingles", "node", "sketch"])
+        _POWERS.clear()
+        release_memory()
 
     return docs.mapInArrow(read, f"doc_id {kind}, h long, n_shingles long, node long, sketch array<long>")
 
@@ -423,6 +425,7 @@ def entries_of(members: DataFrame, column: str, percent: int, links: bool) -> Da
                 runs.append((*(x[a:b] for x in columns), *((values, ends[a : b + 1]) for values, ends in lists)))
         if runs:
             yield from flush()
+        release_memory()
 
     rows = members.select(*key, "node", "n", "root", "own", column).repartition(shuffle_partitions(members.sparkSession), *key).sortWithinPartitions(*key)
     return rows.mapInArrow(run, "u long, v long" if links else "token long, i int, j int, node long")
@@ -500,6 +503,9 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
                     both = len(np.intersect1d(a, b, assume_unique=True))
                     keep.append(100 * both >= percent * (len(a) + len(b) - both))
                 yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+        kept.clear()
+        _POWERS.clear()
+        release_memory()
 
     return rows.select("u", "v", "x", "y").mapInArrow(check, "u long, v long")
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stonefly.llm.common import run_dir, slices, write_table
+from stonefly.llm.common import release_memory, run_dir, slices, write_table
 
 BINS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -117,6 +117,7 @@ def document_frequency(texts: DataFrame) -> tuple[np.ndarray, int]:
                 for b in bins:
                     found[doc, b] = True
                 total += found.sum(axis=0)
+        release_memory()
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *seen.tolist()], pa.int64()), pa.array([n, *total[seen].tolist()], pa.int64())], names=["bin", "n"])
 
@@ -223,6 +224,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
         for batch in (part for whole in batches for part in slices(whole, "_text", 2 << 20)):
             names, scores = shared.value.predict([x or "" for x in batch.column("_text").to_pylist()])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
+        release_memory()
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
     return rows.mapInArrow(run, f"{kinds}, lang_pred string, score double")

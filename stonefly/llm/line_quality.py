@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stonefly.llm.common import run_dir, slices, write_table
+from stonefly.llm.common import release_memory, run_dir, slices, write_table
 from stonefly.llm.jaccard_tree import similar_documents
 
 SYMBOLS = "#*$%&|<>"
@@ -91,6 +91,7 @@ def line_frequency_rules(spark: SparkSession, docs: DataFrame, id_col: str = "do
             hashes = pa.array([list(x) for x in lines], pa.list_(pa.int64()))
             words = pa.array([list(x.values()) for x in lines], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("host"), batch.column("content"), *(pa.array(x, pa.int64()) for x in stats), hashes, words], names=["doc_id", "host", "content", *(x.split()[0] for x in STATS.split(", ")), "lines", "words"])
+        release_memory()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     stats = write_table(rows.mapInArrow(read, f"doc_id {kind}, host string, content binary, {STATS}, lines array<long>, words array<long>"), f"{folder}/stats")

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stonefly.llm.common import ragged, run_dir, shuffle_partitions, slices, write_table
+from stonefly.llm.common import ragged, release_memory, run_dir, shuffle_partitions, slices, write_table
 from stonefly.llm.tokens import encoder
 
 #: A way to fill one sequence, as (length, how often) from the largest, and how many sequences it fills.
@@ -67,6 +67,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id
                 columns.append(pa.array([x.tobytes() for x in parts], pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        coder.forget()
+        release_memory()
 
     return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 

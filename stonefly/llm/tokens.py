@@ -64,10 +64,12 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.bare, self.ends = self._bare()
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the kept chunks: for a worker that goes on with other work."""
         self.place: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.first = np.zeros(1 << 16, np.int64)
-        self.count = np.zeros(1 << 16, np.int64)
+        self.ids, self.first, self.count = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
     def _bare(self):
         """The same model without normaliser and split pattern, for words that neither would change.
