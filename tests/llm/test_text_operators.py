@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -100,10 +101,36 @@ def paths(own, chunk):
             go(i + 1, score + own.least, ids + tuple(own.bytes[b] for b in chunk[i].encode()))
 
     go(0, 0.0, ())
-    return sorted(out, key=lambda x: -x[0])
+    return sorted(out, key=lambda x: (-round(x[0], 9), x[1][::-1]))
 
 
-@pytest.mark.parametrize("text", ["hello", "a b", "the cat sat", "x\ny é\U0001f600", "  two", " ", "ab ab ab", ""])
+@pytest.mark.parametrize("text", ["hello hello hello", "ab ab ab ab", "aa aa", "no, no, no", "1a1 1a1"])
+def test_nbest_ties(text):
+    """Equal scores come in the order of the ids read from the end."""
+    own = nbest.Segmenter(piece_model(), 3)
+    whole = paths_of_parts(own, nbest.BLANK + text.replace(" ", nbest.BLANK))[:3]
+    assert [tuple(x[1]) for x in own.nbest(text)] == [x[1] for x in whole]
+
+
+def paths_of_parts(own, text):
+    """All combinations of each word's four best paths."""
+    import itertools
+    parts = [paths(own, x)[:4] for x in re.findall(f"{nbest.BLANK}+[^{nbest.BLANK}]*", text)]
+    out = [(sum(x[0] for x in pick), sum((x[1] for x in pick), ())) for pick in itertools.product(*parts)]
+    return sorted(out, key=lambda x: (-round(x[0], 9), x[1][::-1]))
+
+
+@pytest.mark.parametrize("text", ["ab" * 10_000, "a" * 20_000, "the" * 7_000, "-.-" * 7_000])
+def test_nbest_of_a_long_run_without_blanks(text):
+    import time
+    own = nbest.Segmenter(piece_model(), 3)
+    start = time.process_time()
+    got = own.packed_nbest(text)
+    assert time.process_time() - start < 10 and len(got) == 3 and all(x[2] for x in got)
+    assert got[0][0] >= got[1][0] >= got[2][0] and len({x[1] for x in got}) == 3
+
+
+@pytest.mark.parametrize("text", ["hello", "a b", "the cat sat", "x\ny é\U0001f600", "  two", " ", "ab ab ab", "", "a,b. (c)", "ten 10x"])
 def test_nbest_paths(text):
     own = nbest.Segmenter(piece_model(), 4)
     got = own.nbest(text)
