@@ -1,7 +1,8 @@
 """Deterministic sharded WARC writer and reader.
 
-Records are range-sorted by (page_id, payload digest), so equal input gives equal
-shards. Headers, record ids and digests are made anew from the payload; each record
+Records are range-sorted by (page_id, payload digest). The ranges come from a sample of these keys
+that a hash of the key chooses, about KEYS_A_SHARD for each shard, so equal rows give equal shards and files
+however they are dealt to tasks. Headers, record ids and digests are made anew from the payload; each record
 is a gzip member of its own. A file rolls when its compressed size reaches
 ``file_bytes``. It is written under a temporary name and renamed when whole, and
 only files that the manifest table names are read, so lost and repeated tasks leave
@@ -21,17 +22,20 @@ import base64
 import hashlib
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stonefly.llm.common import file_system, run_dir, shuffle_partitions, write_table
 
 CRLF = b"\r\n"
+#: Keys that the driver sees for each shard, to set the ranges.
+KEYS_A_SHARD = 100
 MANIFEST = pa.schema([("file", pa.string()), ("n_records", pa.int64()), ("n_bytes", pa.int64()), ("sha256", pa.string())])
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
@@ -94,6 +98,45 @@ class Roll:
         return pa.RecordBatch.from_pylist([{"file": self.name, "n_records": self.records, "n_bytes": self.size, "sha256": self.digest.hexdigest()}], schema=MANIFEST)
 
 
+def key_columns() -> list[Column]:
+    """A key without nulls, so that whole numbers stay whole in pandas: is there an id, the id, the digest."""
+    return [F.col("page_id").isNotNull().alias("known"), F.coalesce("page_id", F.lit(0)).alias("number"), F.col("digest")]
+
+
+def sort_keys(known: pd.Series, page_id: pd.Series, digest: pd.Series) -> np.ndarray:
+    """Keys as byte strings in the order of (page_id, digest), null ids first."""
+    known = known.to_numpy(bool)
+    number = (page_id.to_numpy(np.int64).view(np.uint64) ^ np.uint64(1 << 63)).astype(">u8")
+    raw = np.zeros((len(known), 49), np.uint8)
+    raw[:, 0] = known + 1  # bytes strings drop zeros at their end, not inside
+    raw[:, 1:9] = np.where(known[:, None], number.view(np.uint8).reshape(-1, 8), 0)
+    raw[:, 9:] = np.frombuffer("".join(digest).encode(), np.uint8).reshape(-1, 40)
+    return raw.reshape(-1).view("S49")
+
+
+def shard_bounds(rows: DataFrame, shards: int) -> np.ndarray:
+    """The first keys of all shards but the first. About KEYS_A_SHARD keys a shard reach the driver, and one count."""
+    n = rows.count()
+    step = max(1, n // (KEYS_A_SHARD * shards))
+    chosen = rows.filter(F.pmod(F.xxhash64("page_id", "digest"), F.lit(step)) == 0).groupBy(*key_columns()).agg(F.count("*").alias("n")).toPandas()
+    if chosen.empty:
+        return np.zeros(0, "S49")
+    keys = sort_keys(chosen["known"], chosen["number"], chosen["digest"])
+    order = np.argsort(keys, kind="stable")
+    keys, before = keys[order], np.cumsum(chosen["n"].to_numpy()[order])
+    return np.unique(keys[np.searchsorted(before, before[-1] * np.arange(1, shards) / shards, side="right").clip(0, len(keys) - 1)])
+
+
+def shard_of(bounds: np.ndarray) -> Callable:
+    """The shard of a key: how many bounds are at or below it."""
+
+    @F.pandas_udf("int")
+    def shard(known: pd.Series, number: pd.Series, digest: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, sort_keys(known, number, digest), side="right").astype(np.int32))
+
+    return shard
+
+
 def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, file_bytes: int = 32 << 20, date: str = "2020-01-01T00:00:00Z") -> DataFrame:
     """Write the records of ``pages`` under ``folder``; returns the written manifest, one row a file."""
     spark = pages.sparkSession
@@ -102,16 +145,22 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     # one small row for each payload that occurs more than once, written so that Spark knows its size and can split a common one in the join
     same = rows.filter(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 AND first IS NOT NULL").select("digest", "first")
     same = write_table(same, f"{folder}/same")
-    rows = rows.join(same, "digest", "left").repartitionByRange(shuffle_partitions(spark), "page_id", "digest").sortWithinPartitions("page_id", "digest", "url")
+    shards = shuffle_partitions(spark)
+    rows = rows.join(same, "digest", "left").withColumn("shard", shard_of(shard_bounds(rows, shards))(*key_columns()))
+    rows = rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "page_id", "digest", "url")
     fs, base = file_system(folder)
     fs.create_dir(f"{base}/records", recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = file_system(folder)
-        roll, last = Roll(fs, f"{base}/records", TaskContext.get().partitionId()), None
+        roll, last = Roll(fs, f"{base}/records", -1), None
         for batch in batches:
-            for row in zip(*(batch.column(c) for c in ("page_id", "url", "payload", "digest", "first")), strict=True):
-                page_id, url, payload, digest, first = (x.as_py() for x in row)
+            for row in zip(*(batch.column(c) for c in ("page_id", "url", "payload", "digest", "first", "shard")), strict=True):
+                page_id, url, payload, digest, first, shard = (x.as_py() for x in row)
+                if shard != roll.shard:  # a task may hold several shards, one after the other
+                    if roll.out is not None:
+                        yield roll.close()
+                    roll = Roll(fs, f"{base}/records", shard)
                 again = last == (page_id, digest)  # a repeated row; equal ones lie together
                 last = (page_id, digest)
                 refers_to = first if first is not None and page_id is not None and (page_id != first or again) else None
@@ -121,7 +170,7 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
         if roll.out is not None:
             yield roll.close()
 
-    return write_table(rows.select("page_id", "url", "payload", "digest", "first").mapInArrow(write, "file string, n_records long, n_bytes long, sha256 string"), f"{folder}/manifest")
+    return write_table(rows.select("page_id", "url", "payload", "digest", "first", "shard").mapInArrow(write, "file string, n_records long, n_bytes long, sha256 string"), f"{folder}/manifest")
 
 
 def members(stream, chunk: int = 1 << 20) -> Iterator[bytes]:

@@ -56,6 +56,22 @@ def test_equal_input_gives_equal_files(spark):
         assert gzip.decompress(f.read()).startswith(b"WARC/1.1\r\n")
 
 
+def test_files_do_not_depend_on_how_rows_are_dealt(spark):
+    from pyspark.sql import functions as F
+    def files(order, parts):
+        rows = spark.range(12_000, numPartitions=parts).select((F.col("id") * 7 % 12_000).alias("page_id"), F.concat(F.lit("u"), F.col("id") % 11).alias("url"), F.concat(F.lit("body "), F.col("id") % 900).alias("html")).unionAll(frame(spark).select("page_id", "url", "html"))
+        folder = run_dir(spark, "test")
+        manifest = warc.write_warc(rows.repartition(parts, order), folder, file_bytes=40_000)
+        return sorted((r.file, r.n_records, r.sha256) for r in manifest.collect())
+
+    a, b = files("url", 3), files("html", 11)
+    assert a == b and sum(x[1] for x in a) == 12_008 and len({x[0][:11] for x in a}) == 8
+    sizes = {}
+    for name, n, _ in a:
+        sizes[name[:11]] = sizes.get(name[:11], 0) + n
+    assert max(sizes.values()) < 2 * 12_008 / 8
+
+
 def test_damage_is_found():
     whole = gzip.decompress(warc.record(1, "u", b"payload", warc.base32_sha1(b"payload"), None, "2020-01-01T00:00:00Z"))
     assert warc.parse(whole)[2] == b"payload"
