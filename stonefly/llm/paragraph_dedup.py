@@ -12,7 +12,9 @@ stays and all others go.
 Comparison is in two passes. First each band's least class is compared with the others, which
 settles groups of copies with as many pairs as they have members. Then the classes of a band that
 lie in different components are compared, where their signatures agree in AGREE hashes
-or more (which 0.8-similar sets miss with a probability below 1e-4).
+or more (which 0.8-similar sets miss with a probability below 1e-4), each pair in the entry of its first
+common band. The entries first name their members with such pairs; these come with their whole sets,
+and each entry verifies its pairs in place and sends a forest of the links, so no group sends its pairs.
 
 Null text has no paragraphs. Null ids come before all others. Rows that repeat an id are told
 apart by a 64-bit hash of the text; rows repeated whole count as one. An empty table gives an empty
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from stonefly.llm.common import mix64, run_dir, shuffle_partitions, slices, text_buffers, write_table
 from stonefly.llm.components import connected
-from stonefly.llm.jaccard_tree import MULTIPLIER, sets_between, shingle_sets, verified
+from stonefly.llm.jaccard_tree import MULTIPLIER, sets_between, shingle_sets, verified, whole_sets
 from stonefly.llm.suffix_dedup import keyed, row_key
 
 BANDS, ROWS, AGREE = 12, 3, 19
@@ -105,34 +107,108 @@ def class_texts(rows: DataFrame, words: int) -> DataFrame:
     return rows.select("text", "wanted").mapInArrow(cut, "node long, text string, signature binary")
 
 
+#: Members of an entry that are compared with as many others at once.
+BLOCK = 128
+
+
 def agreeing(nodes: np.ndarray, roots: np.ndarray, made: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of classes in different components whose signatures agree in AGREE places or more."""
-    u, v = [], []
-    step = max(1, (1 << 17) // len(nodes))  # of the members, so many are compared with all later ones at once
-    for a in range(0, len(nodes), step):
-        apart = roots[a : a + step, None] != roots[None, a:]
-        if apart.any():
-            ok = np.triu(apart & ((made[a : a + step, None] == made[None, a:]).sum(axis=2) >= AGREE), 1)
-            i, j = np.nonzero(ok)
-            u.append(nodes[a + i])
-            v.append(nodes[a + j])
-    x, y = (np.concatenate([*k, np.zeros(0, np.int64)]) for k in (u, v))
+    u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a, b, ok in agreeing_blocks(roots, made, 0):
+        i, j = np.nonzero(ok)
+        u.append(nodes[a + i])
+        v.append(nodes[b + j])
+    x, y = np.concatenate(u), np.concatenate(v)
     return np.minimum(x, y), np.maximum(x, y)
 
 
-def band_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of classes of one band in different components whose signatures agree; rows: band, i, j, node, root, signature."""
-    key = ("band", "i", "j")
+def agreeing_blocks(roots: np.ndarray, made: np.ndarray, band: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Starts of two blocks of members, and which of their pairs (each once) lie in different components, agree in AGREE
+    hashes or more, and share no band before this one: a pair belongs to the entry of its first common band."""
+    n = len(roots)
+    for a in range(0, n, BLOCK):
+        for b in range(a, n, BLOCK):
+            ok = roots[a : a + BLOCK, None] != roots[None, b : b + BLOCK]
+            if a == b:
+                ok = np.triu(ok, 1)
+            if not ok.any():
+                continue
+            same = made[a : a + BLOCK, None] == made[None, b : b + BLOCK]
+            ok &= same.sum(axis=2) >= AGREE
+            if band and ok.any():
+                ok &= ~same[:, :, : band * ROWS].reshape(*ok.shape, band, ROWS).all(axis=3).any(axis=2)
+            if ok.any():
+                yield a, b, ok
+
+
+def common_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set of one list shares with each of the other."""
+    flat = [np.concatenate(k) for k in (x, y)]
+    tokens = np.intersect1d(*map(np.unique, flat), assume_unique=True)
+    dense = []
+    for sets, values in zip((x, y), flat, strict=True):
+        at = np.minimum(np.searchsorted(tokens, values), max(len(tokens) - 1, 0))
+        hit = tokens[at] == values if len(tokens) else np.zeros(len(values), bool)
+        m = np.zeros((len(sets), len(tokens)), np.float32)
+        m[np.repeat(np.arange(len(sets)), [len(k) for k in sets])[hit], at[hit]] = 1
+        dense.append(m)
+    return dense[0] @ dense[1].T
+
+
+def entry_links(nodes: np.ndarray, roots: np.ndarray, made: np.ndarray, sets: list[np.ndarray], band: int, percent: int) -> list[tuple[int, int]]:
+    """Verified links of an entry: a forest that connects what its links connect."""
+    roots = np.unique(roots, return_inverse=True)[1]
+    sizes = np.array([len(x) for x in sets])
+    parent = list(range(int(roots.max()) + 1))
+
+    def find(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    out = []
+    for a, b, ok in agreeing_blocks(roots, made, band):
+        left, right = (np.array([find(k) for k in roots[c : c + BLOCK].tolist()]) for c in (a, b))
+        ok &= left[:, None] != right[None]
+        if not ok.any():
+            continue
+        rows, columns = np.flatnonzero(ok.any(axis=1)), np.flatnonzero(ok.any(axis=0))
+        both = common_counts([sets[a + i] for i in rows], [sets[b + j] for j in columns])
+        link = ok[np.ix_(rows, columns)] & (100 * both >= percent * (sizes[a + rows, None] + sizes[None, b + columns] - both))
+        for i, j in zip(*np.nonzero(link), strict=True):
+            p, q = find(int(roots[a + rows[i]])), find(int(roots[b + columns[j]]))
+            if p != q:
+                parent[p] = q
+                out.append((int(nodes[a + rows[i]]), int(nodes[b + columns[j]])))
+    return out
+
+
+def band_entries(members: DataFrame, percent: int, links: bool) -> DataFrame:
+    """Of all entries (runs of band, i, j): the members with a pair that agrees (band, i, j, at, node), or with whole sets
+    the verified links (u, v) as forests. Rows: band, i, j, at (the band's number), node, root, signature (and whole)."""
+    key = ("band", "i", "j", "at")
+    columns = ["node", "root", "signature", *(["whole"] if links else [])]
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entry, runs = None, []
 
         def flush() -> Iterator[pa.RecordBatch]:
             nodes, roots, made = (np.concatenate([x[k] for x in runs]) for k in range(3))
-            if (roots != roots[0]).any():
-                u, v = agreeing(nodes, roots, made)
-                if len(u):
-                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+            if (roots == roots[0]).all():
+                return
+            if links:
+                sets = [values[x:y] for _, _, _, (values, ends) in runs for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                if pairs := entry_links(nodes, roots, made, sets, entry[3], percent):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*pairs, strict=True)], names=["u", "v"])
+                return
+            some = np.zeros(len(nodes), bool)
+            for a, b, ok in agreeing_blocks(roots, made, entry[3]):
+                some[a : a + BLOCK] |= ok.any(axis=1)
+                some[b : b + BLOCK] |= ok.any(axis=0)
+            if some.any():
+                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.full(int(some.sum()), x), t) for x, t in zip(entry, kinds, strict=True)), pa.array(nodes[some])], names=[*key, "node"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -140,6 +216,7 @@ def band_pairs(members: DataFrame) -> DataFrame:
             keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in key])
             nodes, roots = (batch.column(c).to_numpy() for c in ("node", "root"))
             made = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(batch.num_rows, -1)
+            lists = (batch.column("whole").values.to_numpy(), batch.column("whole").offsets.to_numpy()) if links else None
             cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 own = tuple(keys[:, a].tolist())
@@ -147,19 +224,19 @@ def band_pairs(members: DataFrame) -> DataFrame:
                     if runs:
                         yield from flush()
                     entry, runs = own, []
-                runs.append((nodes[a:b], roots[a:b], made[a:b]))
+                runs.append((nodes[a:b], roots[a:b], made[a:b], (lists[0], lists[1][a : b + 1]) if links else None))
         if runs:
             yield from flush()
 
-    rows = members.select(*key, "node", "root", "signature").repartition(shuffle_partitions(members.sparkSession), *key).sortWithinPartitions(*key)
-    return rows.mapInArrow(join, "u long, v long").distinct()
+    rows = members.select(*key, *columns).repartition(shuffle_partitions(members.sparkSession), *key).sortWithinPartitions(*key)
+    return rows.mapInArrow(join, "u long, v long" if links else "band long, i int, j int, at int, node long")
 
 
 def duplicate_paragraphs(docs: DataFrame, folder: str, words: int = 5, percent: int = 80, min_words: int = 10, block_nodes: int = 4096) -> DataFrame:
     """Places (d, x, i) of the paragraphs that go, and the first paragraph of their component."""
     paragraphs = write_table(paragraph_rows(docs, words, min_words), f"{folder}/paragraphs")
     classes = write_table(paragraphs.groupBy("node").agg(F.min(F.struct("d", "x", "i")).alias("first"), F.count("*").alias("n")), f"{folder}/classes")
-    bands = paragraphs.filter("bands IS NOT NULL").select("node", F.explode("bands").alias("band"))
+    bands = paragraphs.filter("bands IS NOT NULL").select("node", F.posexplode("bands").alias("at", "band"))
     often = write_table(bands.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least <> most").select("band", "least"), f"{folder}/often")
     met = write_table(bands.join(often, "band").distinct(), f"{folder}/met")
     # the texts of classes that met another one, from their first paragraphs
@@ -168,14 +245,18 @@ def duplicate_paragraphs(docs: DataFrame, folder: str, words: int = 5, percent:
     stars = write_table(met.filter("node <> least").select(F.col("least").alias("u"), F.col("node").alias("v")).distinct(), f"{folder}/stars")
     links = write_table(verified(stars, texts, words, percent), f"{folder}/links")
     roots = write_table(connected(links, f"{folder}/first"), f"{folder}/roots")
-    rooted = write_table(met.select("band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), f"{folder}/rooted")
+    rooted = write_table(met.select("band", "at", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), f"{folder}/rooted")
     apart = rooted.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("nodes")).filter("a <> b").select("band", "nodes")
     apart = write_table(apart, f"{folder}/apart")
     blocks = F.ceil(F.col("nodes") / block_nodes).cast("int")
     rest = rooted.join(apart, "band").withColumn("i", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rest = rest.select("band", F.least("i", "o").alias("i"), F.greatest("i", "o").alias("j"), "node", "root").join(texts.select("node", "signature"), "node")
-    rest = write_table(band_pairs(rest).join(stars, ["u", "v"], "left_anti"), f"{folder}/rest")
-    more = write_table(verified(rest, texts, words, percent), f"{folder}/more")
+    rest = rest.select("band", F.least("i", "o").alias("i"), F.greatest("i", "o").alias("j"), "at", "node", "root").distinct()
+    rest = rest.join(texts.select("node", "signature"), "node")
+    meeting = write_table(band_entries(rest, percent, False), f"{folder}/meeting")
+    wanted = meeting.select("node").distinct()
+    whole = write_table(whole_sets(texts.join(wanted, "node", "left_semi"), words).join(texts.select("node", "signature"), "node"), f"{folder}/whole")
+    full = meeting.join(whole, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    more = write_table(band_entries(full, percent, True), f"{folder}/more")
     roots = connected(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more), f"{folder}/second")
     named = write_table(classes.select("node", "first", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), f"{folder}/named")
     least = write_table(named.groupBy("root").agg(F.min("first").alias("stays"), F.sum("n").alias("rows")).filter("rows > 1").select("root", "stays"), f"{folder}/least")

@@ -182,3 +182,47 @@ def test_agreeing_signatures(n):
     u, v = paragraph_dedup.agreeing(nodes, roots, made)
     want = {(min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for i in range(n) for j in range(i) if roots[i] != roots[j] and (made[i] == made[j]).sum() >= paragraph_dedup.AGREE}
     assert len(u) == len(want) and set(zip(u.tolist(), v.tolist(), strict=True)) == want
+
+
+def jaccard(a, b):
+    x, y = ({tuple(t.lower().split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_paragraphs_against_brute_force(spark):
+    """Groups of near copies at 60 to 95 per cent similarity: what goes equals the components of all similar pairs."""
+    rng = random.Random(11)
+    base = [prose(rng, n).split() for n in (12, 30, 30, 80)]
+    lines = []
+    for _ in range(160):
+        w = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+            w[rng.randrange(len(w))] = f"new{rng.randrange(10**6)}"
+        lines.append(" ".join(w))
+    df = spark.createDataFrame([(i, x + "\n\n" + f"own{i} " * 3) for i, x in enumerate(lines)], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in paragraph_dedup.remove_paragraphs(spark, df, min_words=1).collect()}
+    root = list(range(len(lines)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for i in range(len(lines)):
+        for j in range(i):
+            if jaccard(lines[i], lines[j]) >= 0.8:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    assert got == {i: int(find(i) != i) for i in range(len(lines))}
+
+
+def test_band_entries_send_members_and_forests():
+    """Classes that agree and don't link send no links; pairs that share an earlier band belong there."""
+    rng = np.random.default_rng(0)
+    made = np.tile(rng.integers(0, 100, 36).astype(np.uint32), (300, 1))
+    nodes = np.arange(300)
+    apart = [np.unique(rng.integers(0, 1 << 60, 50)).astype(np.uint64) for _ in nodes]
+    assert paragraph_dedup.entry_links(nodes, nodes, made, apart, 0, 80) == []
+    alike = [np.arange(50, dtype=np.uint64)] * 300
+    assert len(paragraph_dedup.entry_links(nodes, nodes, made, alike, 0, 80)) == 299
+    assert paragraph_dedup.entry_links(nodes, nodes, made, alike, 5, 80) == []
