@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stonefly.llm.common import write_table
 
-#: Links that a task contracts at once.
+#: Links that a task contracts at once (some 100 MB of numbers); fewer than that are one task's.
 CHUNK = 1 << 21
 
 
@@ -32,7 +32,8 @@ def stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def contracted(links: DataFrame) -> DataFrame:
-    """The links of each task as stars, CHUNK links at a time: chains within a task take no rounds."""
+    """Links as stars, CHUNK links at a time in as few tasks as that takes: what a task holds is settled without a round."""
+    tasks = max(1, -(-links.count() // CHUNK))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, n = [], 0
@@ -50,7 +51,7 @@ def contracted(links: DataFrame) -> DataFrame:
         if n:
             yield flush()
 
-    return links.select("u", "v").mapInArrow(run, "u long, v long")
+    return links.select("u", "v").coalesce(tasks).mapInArrow(run, "u long, v long")
 
 
 def settled(links: DataFrame) -> bool:
@@ -61,7 +62,7 @@ def settled(links: DataFrame) -> bool:
 
 
 def connected(links: DataFrame, folder: str, rounds: int = 40) -> DataFrame:
-    """Links (u, v) of long node numbers to (node, root): each linked node and the least node it reaches.
+    """Links (u, v; of written tables) of long node numbers to (node, root): each linked node and the least node it reaches.
 
     Every step reads a written table and writes the next one, so a lost executor costs a
     task, not the history; only a count comes to the driver. Least neighbours are

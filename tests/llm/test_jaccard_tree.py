@@ -9,6 +9,7 @@ import re
 import numpy as np
 import pytest
 
+from stonefly.llm import components
 from stonefly.llm.common import run_dir
 from stonefly.llm.components import connected, stars
 from stonefly.llm.jaccard_tree import SHARED, Entry, similar_documents
@@ -139,7 +140,9 @@ def test_stars_of_random_links():
         assert dict(zip(u.tolist(), v.tolist(), strict=True)) == {k: x for k, x in root.items() if k != x}
 
 
-def test_components_over_many_tasks(spark):
+@pytest.mark.parametrize("chunk", [7, 60, 1 << 21])
+def test_components_over_many_tasks(spark, monkeypatch, chunk):
+    monkeypatch.setattr(components, "CHUNK", chunk)
     rng = random.Random(6)
     order = list(range(300))
     rng.shuffle(order)
