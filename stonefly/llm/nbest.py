@@ -39,7 +39,7 @@ from stonefly.llm.common import slices
 
 BLANK = "▁"
 LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-CACHE_CHUNKS, CACHE_CHARS = 600_000, 32
+CACHE_CHUNKS, CACHE_CHARS = 1_000_000, 32
 #: Last ids of a path that settle ties.
 TAIL = 64
 #: What an uncovered character costs beside the least score of the vocabulary.
@@ -96,10 +96,11 @@ class Segmenter:
             node[""] = ((k,), score)
         self.least = min(s for _, s in self.pieces.values()) - UNKNOWN
         self.found: dict[str, Chunk] = {}
+        self.several: dict[str, tuple[list[float], list[bytes], list[bool]]] = {}
 
-    def search(self, chunk: str) -> list[tuple[float, tuple[int, ...]]]:
+    def search(self, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """(score, ids) of the n best paths of a chunk, the best first."""
-        m, pieces, longest, n = len(chunk), self.pieces, self.longest, self.n
+        m, pieces, longest = len(chunk), self.pieces, self.longest
         best = [0.0] + [-1e300] * m  # forward: the best score of the text before each place
         edges: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(m + 1)]
         for i in range(m):
@@ -156,14 +157,19 @@ class Segmenter:
         return out
 
     def all_paths(self, chunk: str) -> tuple[list[float], list[bytes], list[bool]]:
-        """Scores, ids as bytes, and whether they decode to the chunk, of its n best paths."""
-        found = self.search(chunk)
+        """Scores, ids as bytes, and whether they decode to the chunk, of its n best paths; those of short chunks are kept."""
+        if (got := self.several.get(chunk)) is not None:
+            return got
+        found = self.search(chunk, self.n)
         whole = chunk.replace(BLANK, " ").encode()
-        return [x for x, _ in found], [struct.pack(f"<{len(ids)}I", *ids) for _, ids in found], [b"".join([self.text[k] for k in ids]) == whole for _, ids in found]
+        got = [x for x, _ in found], [struct.pack(f"<{len(ids)}I", *ids) for _, ids in found], [b"".join([self.text[k] for k in ids]) == whole for _, ids in found]
+        if len(chunk) <= CACHE_CHARS and len(self.several) < CACHE_CHUNKS // 20:
+            self.several[chunk] = got
+        return got
 
     def entry(self, chunk: str) -> Chunk:
         """What texts need of a chunk, kept for short ones."""
-        found = self.search(chunk)
+        found = self.search(chunk, 2)
         score, ids = found[0]
         loss, lesser = (score - found[1][0], found[1][1][::-1] < ids[::-1]) if len(found) > 1 else (math.inf, False)
         exact = b"".join([self.text[k] for k in ids]) == chunk.replace(BLANK, " ").encode()
@@ -221,7 +227,7 @@ class Segmenter:
                 fine = fine and all(every[k][2][i] for k, i in changed.items())
             out.append((score - lost, packed, fine))
         if len({x[0] for x in out}) < len(out):  # equal scores
-            out.sort(key=lambda x: (-x[0], np.frombuffer(x[1], "<u4")[::-1].tolist()))
+            out.sort(key=lambda x: (-x[0], np.frombuffer(x[1], "<u4")[::-1].astype(">u4").tobytes()))
         return out[: self.n]
 
     def nbest(self, text: str) -> list[tuple[float, list[int]]]:
