@@ -31,6 +31,8 @@ from stonefly.llm.common import release_memory, run_dir, slices, write_table
 BINS = 1 << 15
 ORDERS = (1, 2, 3)
 SAMPLE_PARTS = 32
+#: Bytes of text (one text at least) whose n-grams a task holds at once; they take some 60 times that.
+SLICE = 1 << 18
 _LETTERS: list[np.ndarray] = []
 
 
@@ -107,7 +109,7 @@ def document_frequency(texts: DataFrame) -> tuple[np.ndarray, int]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(BINS, np.int64), 0
-        for batch in (part for whole in batches for part in slices(whole, "text", 1 << 20)):
+        for batch in (part for whole in batches for part in slices(whole, "text", SLICE)):
             rows = [x or "" for x in batch.column("text").to_pylist()]
             n += len(rows)
             for a in range(0, len(rows), 128):
@@ -136,7 +138,7 @@ def features(texts: DataFrame, idf: np.ndarray) -> list[tuple[str, np.ndarray, n
     """(lang, bins, weights) of the sample, in order of the hash; the features are made in tasks."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "text", 1 << 20)):
+        for batch in (part for whole in batches for part in slices(whole, "text", SLICE)):
             rows = [x or "" for x in batch.column("text").to_pylist()]
             bins, ends = ngrams(rows)
             found, shares = [], []
@@ -221,7 +223,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
     rows = docs.select(*keep, F.col(text_col).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "_text", 2 << 20)):
+        for batch in (part for whole in batches for part in slices(whole, "_text", SLICE)):
             names, scores = shared.value.predict([x or "" for x in batch.column("_text").to_pylist()])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
         release_memory()
