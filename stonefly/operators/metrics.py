@@ -19,7 +19,6 @@ Formulas (all per sample, n_i = individuals of taxon i, N = sum n_i):
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,12 +134,43 @@ def _weighted_mean(items: Column, value: str) -> Column:
 
 
 def model_lookup(model: DataFrame, model_keys: Sequence[str], group_col: str, model_percent: str = "percent") -> Column:
-    """A model (one row for each method and taxon group) as an array value of the plan.
+    """A model (rows of method, taxon group and percent) as a map of the plan: from
+    its keys (``_model_key``) to a map from the group to the percentages it is given.
 
     A scalar subquery: the few rows are read once and no sample is shuffled or
     dealt by its method."""
-    entry = F.struct(*[F.col(k).alias(k) for k in model_keys], F.col(group_col).alias("g"), F.col(model_percent).alias("percent"))
-    return model.agg(F.collect_list(entry)).scalar()
+    groups = (model.filter(F.col(group_col).isNotNull()).groupBy(_model_key(model_keys).alias("k"), F.col(group_col).alias("g"))
+              .agg(F.collect_list(F.coalesce(F.col(model_percent).cast("double"), F.lit(0.0))).alias("percent")))
+    by_key = groups.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("g", "percent"))).alias("v"))
+    return by_key.agg(F.map_from_entries(F.collect_list(F.struct("k", "v")))).scalar()
+
+
+def _model_key(model_keys: Sequence[str]) -> Column:
+    """The keys of a model as one value that is never null, null keys being values like any other."""
+    return F.struct(F.lit(0).alias("_"), *[F.col(k).alias(k) for k in model_keys])
+
+
+def _affinity(taxa: Column, group_col: str, total: Column, mine: Column) -> Column:
+    """Sum over the model's groups of the lesser of the sample's and the model's percentage.
+
+    One pass over the taxa in the order of their groups: the work grows with
+    the taxa, not with the taxa times the model's groups."""
+    known = F.filter(taxa, lambda x: x[group_col].isNotNull())
+    ordered = F.sort_array(F.transform(known, lambda x: F.struct(x[group_col].alias("g"), x["n"].cast("double").alias("n"))))
+
+    def closed(acc):
+        share = F.coalesce(F.lit(100.0) * acc["s"] / total, F.lit(0.0))
+        percents = F.element_at(mine, acc["g"])
+        return F.when(percents.isNull(), acc["sum"]).otherwise(F.aggregate(percents, acc["sum"], lambda a, p: a + F.least(share, p)))
+
+    def state(g, s, done):
+        return F.struct(g.alias("g"), s.alias("s"), done.alias("sum"))
+
+    def step(acc, x):
+        n = F.coalesce(x["n"], F.lit(0.0))
+        return F.when(acc["g"] == x["g"], state(acc["g"], acc["s"] + n, acc["sum"])).otherwise(state(x["g"], n, closed(acc)))
+
+    return F.aggregate(ordered, state(F.lit(None).cast("string"), F.lit(0.0), F.lit(0.0)), step, closed)
 
 
 def state_metrics(state: DataFrame, flags: Mapping[str, str] | None = None, tolerances: Mapping[str, str] | None = None,
@@ -161,12 +191,8 @@ def state_metrics(state: DataFrame, flags: Mapping[str, str] | None = None, tole
         largest = F.slice(F.sort_array(F.transform(taxa, lambda x: x["n"].cast("double")), asc=False), 1, dominance_k)
         cols[f"percent_dominance_{dominance_k}"] = F.lit(100.0) * F.try_divide(_total(largest, lambda v: v), total)
     if group_col is not None and model is not None:
-        out = out.withColumn("_model", model_lookup(model, model_keys, group_col, model_percent))
-        mine = lambda m: reduce(lambda a, b: a & b, [m[k].eqNullSafe(F.col(k)) for k in model_keys], F.lit(True))
-        entries = F.filter("_model", mine)
-        share = lambda g: F.lit(100.0) * _total(F.filter(taxa, lambda x: x[group_col] == g), lambda x: x["n"].cast("double")) / total
-        cols["percent_model_affinity"] = F.aggregate(
-            entries, F.lit(0.0), lambda acc, m: acc + F.least(F.coalesce(share(m["g"]), F.lit(0.0)), F.coalesce(m["percent"], F.lit(0.0))))
+        out = out.withColumn("_model", F.element_at(model_lookup(model, model_keys, group_col, model_percent), _model_key(model_keys)))
+        cols["percent_model_affinity"] = _affinity(taxa, group_col, total, F.col("_model"))
     return out.withColumns(cols).drop("taxa", "_model")
 
 
