@@ -48,7 +48,7 @@ def row_name() -> Column:
     """A row's id and text's hash, in the ids' order and then the rows without id; only rows repeated whole share it."""
     d = F.col("doc_id").cast("long")
     number = F.lpad(F.hex(F.coalesce(d, F.lit(0)).bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
-    return F.concat(F.when(d.isNull(), "1").otherwise("0"), number, F.hex(line_quality.content_key("text")))
+    return F.concat(F.when(d.isNull(), "1").otherwise("0"), number, F.hex(line_quality.content_key("text")), F.when(F.col("text").isNull(), "0").otherwise("1"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = jaccard_tree.similar_documents(spark, named, id_col="_row")
     others = groups.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_row")).distinct()
     others = write_table(others, f"{run_dir(spark, 'near-duplicate-stage')}/others")
-    return named.join(others, "_row", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    # both by the row's name: the texts are shuffled once
+    return named.dropDuplicates(["_row"]).join(others, "_row", "left_anti").select(*docs.columns)
 
 
 def repeated_bytes_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

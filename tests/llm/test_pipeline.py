@@ -76,3 +76,21 @@ def test_run_over_a_table(spark):
         assert r.offset == ends.get(r.sequence_id, 0)
         ends[r.sequence_id] = r.offset + r.length
     assert ends and max(ends.values()) <= 4096
+
+
+def test_near_duplicate_stage_shuffles_the_texts_once(spark, tmp_path):
+    rng = random.Random(9)
+    text = prose(rng, 60)
+    docs = spark.createDataFrame([(1, text), (1, text), (2, text + " end"), (3, None), (3, ""), (3, ""), (None, "some other text")], "doc_id long, text string")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = C.near_duplicate_stage(spark, docs, str(tmp_path))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 2  # the documents and the rows that go
+    rows = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert rows == sorted([(1, text), (3, None), (3, ""), (None, "some other text")], key=str)
