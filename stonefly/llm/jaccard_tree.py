@@ -49,8 +49,10 @@ SKETCH, SHARED, LIKELY = 96, 46, 77
 TOKENS, MET = 28, 5
 #: Entries of a node in the first pass.
 FIRST = 4
-#: Hashes of sets that a task that verifies pairs keeps (64 MB).
-KEPT = 1 << 23
+#: Hashes of sets that a task that verifies pairs keeps (32 MB).
+KEPT = 1 << 22
+#: Bytes of text (one text at least) whose words a task holds at once; the arrays over them take some 60 times that.
+SLICE = 1 << 19
 BITS, LEAF, SMALL = 1024, 128, 6
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -120,7 +122,7 @@ def set_rows(docs: DataFrame, words: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "text", 4 << 20)):
+        for batch in (part for whole in batches for part in slices(whole, "text", SLICE)):
             sets = shingle_sets(batch.column("text"), words)
             nodes = [xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) if len(x) else None for x in sets]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array([len(x) for x in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array([x[:SKETCH].view(np.int64) for x in sets], pa.list_(pa.int64()))], names=["doc_id", "h", "n_shingles", "node", "sketch"])
@@ -435,8 +437,10 @@ def whole_sets(texts: DataFrame, words: int) -> DataFrame:
     """(node, whole): the set of each node as ascending hashes; ``texts``: (node, text)."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for every in batches for part in slices(every, "text", 4 << 20)):
+        for batch in (part for every in batches for part in slices(every, "text", SLICE)):
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([x.view(np.int64) for x in shingle_sets(batch.column("text"), words)], pa.list_(pa.int64()))], names=["node", "whole"])
+        _POWERS.clear()
+        release_memory()
 
     return texts.select("node", "text").mapInArrow(read, "node long, whole array<long>")
 
@@ -475,6 +479,7 @@ def candidate_pairs(entries: DataFrame, percent: int, forest: bool) -> DataFrame
                 runs.append((*(x[a:b] for x in columns), values, ends[a : b + 1]))
         if runs:
             yield from flush()
+        release_memory()
 
     rows = entries.select(*key, "node", "n", "sketch", "root").repartition(parts, *key).sortWithinPartitions(*key)
     return rows.mapInArrow(join, "u long, v long").distinct()
@@ -494,7 +499,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, np.ndarray] = {}  # a text stands in many pairs; its set is made once while it is kept
         for whole in batches:
-            for batch in slices(whole, "x", 2 << 20):
+            for batch in slices(whole, "x", SLICE):
                 if sum(map(len, kept.values())) > KEPT:
                     kept.clear()
                 left, right = own_sets(batch, "u", "x", kept), own_sets(batch, "v", "y", kept)

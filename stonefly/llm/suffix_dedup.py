@@ -37,9 +37,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stonefly.llm.common import mix64, run_dir, shuffle_partitions, slices, text_buffers, write_table
+from stonefly.llm.common import mix64, release_memory, run_dir, shuffle_partitions, slices, text_buffers, write_table
 
 ANCHOR, STEP = 40, 10
+#: Bytes of text (one text at least) whose regions a task finds or cuts at once; the arrays over them take some 70 times that.
+SLICE = 1 << 20
 #: Distinct sides under one middle beyond which windows are grouped one by one instead, by an aggregate.
 MOST_SIDES = 20_000
 #: Of such a middle, so many ranges at most are held before their windows go out.
@@ -239,7 +241,7 @@ def region_rows(docs: DataFrame, length: int) -> DataFrame:
     """Regions of all texts; those that repeat within a batch of rows are settled there."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "text", 6 << 20)):
+        for batch in (part for whole in batches for part in slices(whole, "text", SLICE)):
             raw, offsets = text_buffers(batch.column("text"))
             rolling = Rolling(raw)
             doc, anchor, low, high, h = regions(raw, offsets, length, rolling)
@@ -262,6 +264,8 @@ def region_rows(docs: DataFrame, length: int) -> DataFrame:
                 where, a, b = merged(doc[off], (low - base)[off], (high - base)[off] + length)
                 # any h spreads them
                 yield rows_of(1, h[off[:1]] + np.arange(len(where), dtype=np.uint64) * np.uint64(BASE), 0, ids[where], tags[where], 0, a, b)
+        _POWERS.clear()
+        release_memory()
 
     return docs.mapInArrow(find, ROW_SQL)
 
@@ -328,7 +332,7 @@ def side_rows(docs: DataFrame, regions_: DataFrame, length: int) -> DataFrame:
     rows = docs.join(own, ["d", "x"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "text", 3 << 20)):
+        for batch in (part for whole in batches for part in slices(whole, "text", SLICE)):
             raw, offsets = text_buffers(batch.column("text"))
             rolling = Rolling(raw)
             lists = batch.column("r")
@@ -356,6 +360,8 @@ def side_rows(docs: DataFrame, regions_: DataFrame, length: int) -> DataFrame:
                 data = pa.Array.from_buffers(pa.binary(), len(keep), [None, pa.py_buffer((np.arange(len(keep) + 1) * 2 * STEP).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(sides.astype(np.uint8)))])
                 # a range may begin before the text: its start is held plus the length
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids[doc[keep]]), pa.array(tags[doc[keep]]), pa.array(s + length), pa.array(lo[keep].astype(np.int8)), pa.array(hi[keep].astype(np.int8)), data], names=["key", "d", "x", "p", "lo", "hi", "sides"])
+        _POWERS.clear()
+        release_memory()
 
     return rows.mapInArrow(cut, SIDES)
 
