@@ -63,14 +63,20 @@ _LOWER[65:91] += 32
 _POWERS: list[np.ndarray] = []
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of all texts, and how many words each text has."""
+def word_places(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte and end of each word of all texts, and how many words each text has."""
     space = _SPACE[raw]
     inner = np.zeros(len(raw) + 1, bool)
     inner[offsets[1:-1]] = True  # texts end words
     opens = ~space & (np.concatenate([[True], space[:-1]]) | inner[:-1]) if len(raw) else space
     starts = np.flatnonzero(opens)
     stops = np.flatnonzero(~space & (np.concatenate([space[1:], [True]]) | inner[1:])) + 1 if len(raw) else starts
+    return starts, stops, np.searchsorted(starts, offsets[1:], side="left") - np.searchsorted(starts, offsets[:-1], side="left")
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts, and how many words each text has."""
+    starts, stops, counts = word_places(raw, offsets)
     if not _POWERS or len(_POWERS[0]) < len(raw) + 1:
         n = max(len(raw) + 1, 1 << 20)
         base = int(MULTIPLIER)
@@ -84,7 +90,7 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     letters = mix64(_LOWER[raw].astype(np.uint64) + np.uint64(1)) | np.uint64(1)
     np.cumsum(letters * down[: len(raw)], out=sums[1:])
     h = mix64((sums[stops] - sums[starts]) * up[starts] + (stops - starts).astype(np.uint64))
-    return h, np.searchsorted(starts, offsets[1:], side="left") - np.searchsorted(starts, offsets[:-1], side="left")
+    return h, counts
 
 
 def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:

@@ -16,6 +16,14 @@ or more (which 0.8-similar sets miss with a probability below 1e-4), each pair i
 common band. The entries first name their members with such pairs; these come with their whole sets,
 and each entry verifies its pairs in place and sends a forest of the links, so no group sends its pairs.
 
+With ``least_run`` (the query sets it to 20) a repeated line that stands alone in a longer text is no
+passage: repeated paragraphs go where so many words of them follow each other, or where they make up half of
+their text. Then passages that hang on no line breaks: the texts are cut before words that the content chooses
+(the least hash of three words within REACH words), short lines with what follows, so that every word is in a
+segment and equal passages have equal segments wherever they stand. Of the segments that touch no removed line,
+all but the first of equal ones go where ``least_run`` words of them follow each other. n_removed counts
+paragraphs that go and such runs.
+
 Null text has no paragraphs. Null ids come before all others. Rows that repeat an id are told
 apart by a 64-bit hash of the text; rows repeated whole count as one. An empty table gives an empty
 result. Columns other than the two named are neither read nor met.
@@ -31,13 +39,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from stonefly.llm.common import mix64, run_dir, shuffle_partitions, slices, text_buffers, write_table
+from stonefly.llm.common import mix64, release_memory, run_dir, shuffle_partitions, slices, text_buffers, write_table
 from stonefly.llm.components import connected
-from stonefly.llm.jaccard_tree import MULTIPLIER, sets_between, shingle_sets, verified, whole_sets
+from stonefly.llm.jaccard_tree import MULTIPLIER, SLICE, sets_between, shingle_sets, verified, whole_sets, word_hashes, word_places
 from stonefly.llm.suffix_dedup import keyed, row_key
 
 BANDS, ROWS, AGREE = 12, 3, 19
+#: Segments begin where three words have the least hash among those that begin up to so many words before or after.
+REACH = 8
 SEEDS = (mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * MULTIPLIER) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
@@ -70,7 +81,7 @@ def line_starts(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def paragraph_rows(docs: DataFrame, words: int, min_words: int) -> DataFrame:
-    """Of each paragraph that takes part: document (d, x), place i, class, and the class's bands once a batch."""
+    """Of each paragraph that takes part: document (d, x), place i, number o among those that do, words n (of the text: total), class, and the class's bands once a batch."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, "text", 2 << 20)):
@@ -87,10 +98,97 @@ def paragraph_rows(docs: DataFrame, words: int, min_words: int) -> DataFrame:
             shown: list = [None] * len(nodes)
             for k, s in zip(first.values(), band_keys(signatures([sets[some[k]] for k in first.values()])), strict=True):
                 shown[k] = s
-            at = pa.array(text[some])
-            yield pa.RecordBatch.from_arrays([batch.column("d").take(at), batch.column("x").take(at), pa.array(place[some], pa.int32()), pa.array(nodes, pa.int64()), pa.array(shown, pa.list_(pa.int64()))], names=["d", "x", "i", "node", "bands"])
+            own = text[some]
+            at = pa.array(own)
+            n = word_places(raw, bounds)[2]
+            total = np.bincount(text, n, len(offsets) - 1).astype(np.int64)
+            numbers = [pa.array(k, pa.int32()) for k in (place[some], np.arange(len(own)) - np.searchsorted(own, own), n[some], total[own])]
+            yield pa.RecordBatch.from_arrays([batch.column("d").take(at), batch.column("x").take(at), *numbers, pa.array(nodes, pa.int64()), pa.array(shown, pa.list_(pa.int64()))], names=["d", "x", "i", "o", "n", "total", "node", "bands"])
+
+    return docs.mapInArrow(read, "d long, x long, i int, o int, n int, total int, node long, bands array<long>")
+
+
+def segments(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each segment of all texts: the text, its number there, first byte and end, words, first and last line, and a hash of its words."""
+    h, counts = word_hashes(raw, offsets)
+    starts, stops, _ = word_places(raw, offsets)
+    n, text = len(h), np.repeat(np.arange(len(counts)), counts)
+    if not n:
+        return (np.zeros(0, np.int64),) * 7 + (np.zeros(0, np.uint64),)
+    # texts stand REACH places apart, so that what is around one doesn't matter
+    most = np.uint64((1 << 64) - 1)
+    at = np.arange(n) + text * REACH
+    three = np.full(n + len(counts) * REACH, most)
+    if n > 2:
+        inner = np.flatnonzero(text[:-2] == text[2:])
+        three[at[inner]] = mix64(mix64(h[inner] * MULTIPLIER + h[inner + 1]) * MULTIPLIER + h[inner + 2])
+    cut = three < most
+    for k in range(1, REACH + 1):
+        cut[k:] &= three[k:] <= three[:-k]
+        cut[:-k] &= three[:-k] <= three[k:]
+    cut = cut[at]
+    cut[np.flatnonzero(np.diff(text, prepend=-1))] = True
+    first = np.flatnonzero(cut)
+    sizes = np.diff(first, append=n)
+    last = first + sizes - 1
+    powers = np.full(int(sizes.max()), MULTIPLIER)
+    powers = np.multiply.accumulate(powers)
+    made = mix64(np.add.reduceat(h * powers[np.arange(n) - np.repeat(first, sizes)], first) + sizes.astype(np.uint64))
+    own = text[first]
+    breaks = np.concatenate([[0], np.cumsum(raw == 10)])
+    lines = [breaks[starts[k]] - breaks[offsets[own]] for k in (first, last)]
+    return own, np.arange(len(own)) - np.searchsorted(own, own), starts[first] - offsets[own], stops[last] - offsets[own], sizes, *lines, made
+
+
+def segment_rows(docs: DataFrame) -> DataFrame:
+    """Of each segment: document (d, x), number o, bytes a to b, words n, lines i to j, and class."""
 
-    return docs.mapInArrow(read, "d long, x long, i int, node long, bands array<long>")
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, "text", SLICE)):
+            own, *numbers, made = segments(*text_buffers(batch.column("text")))
+            at = pa.array(own)
+            yield pa.RecordBatch.from_arrays([batch.column("d").take(at), batch.column("x").take(at), *(pa.array(k, pa.int32()) for k in numbers), pa.array(made.view(np.int64))], names=["d", "x", "o", "a", "b", "n", "i", "j", "node"])
+        release_memory()
+
+    return docs.mapInArrow(read, "d long, x long, o int, a int, b int, n int, i int, j int, node long")
+
+
+def lines_of_runs(gone: DataFrame, least_run: int) -> DataFrame:
+    """Those repeated paragraphs that make up half of their text, or stand in a run of ``least_run`` words of them."""
+    text = Window.partitionBy("d", "x")
+    runs = gone.select("d", "x", "i", "o", "n", "total").distinct().withColumn("run", F.col("o") - F.row_number().over(text.orderBy("i")))
+    runs = runs.withColumn("words", F.sum("n").over(Window.partitionBy("d", "x", "run"))).withColumn("all", F.sum("n").over(text))
+    return runs.filter((F.col("words") >= least_run) | (2 * F.col("all") >= F.col("total"))).select("d", "x", "i")
+
+
+def repeated_passages(docs: DataFrame, gone: DataFrame, folder: str, least_run: int) -> DataFrame:
+    """Bytes (_cuts: a, b) of each document's runs of repeated segments; ``gone`` holds its removed lines."""
+    made = write_table(segment_rows(docs), f"{folder}/segments")
+    often = write_table(made.groupBy("node").agg(F.count("*").alias("k")).filter("k > 1").select("node"), f"{folder}/often-segments")
+    again = made.join(often, "node").distinct().join(gone, ["d", "x"], "left")
+    again = again.filter(F.col("_gone").isNull() | ~F.arrays_overlap("_gone", F.sequence("i", "j"))).drop("_gone", "i", "j")
+    again = write_table(again, f"{folder}/repeated-segments")
+    place = F.struct("d", "x", "o")
+    stays = again.groupBy("node").agg(F.min(place).alias("stays"), F.count("*").alias("k")).filter("k > 1").select("node", "stays")
+    off = again.join(stays, "node").filter(place != F.col("stays"))
+    runs = off.withColumn("run", F.col("o") - F.row_number().over(Window.partitionBy("d", "x").orderBy("o")))
+    runs = runs.groupBy("d", "x", "run").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.sum("n").alias("n")).filter(F.col("n") >= least_run)
+    return runs.groupBy("d", "x").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("_cuts"))
+
+
+def without(text: str, off: set[int], cuts: list) -> tuple[str, int]:
+    """The text without the lines numbered in ``off`` and the byte runs ``cuts``, which touch none of them; and the bytes that go."""
+    lines = text.split("\n")
+    if not cuts:
+        return "\n".join([x for k, x in enumerate(lines) if k not in off]), sum(len(lines[k].encode()) for k in off)
+    data = text.encode()
+    ends = np.cumsum([len(x.encode()) + 1 for x in lines]).tolist()
+    spans = sorted([(ends[k - 1] if k else 0, ends[k]) for k in off] + [(c["a"], c["b"]) for c in cuts])
+    edges = [0, *(min(x, len(data)) for span in spans for x in span), len(data)]
+    kept = b"".join([data[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True)])
+    if len(lines) - 1 in off:
+        kept = kept[:-1]  # the break after the last line that stays
+    return kept.decode(), sum(y - x for x, y in spans) - len(off)
 
 
 def class_texts(rows: DataFrame, words: int) -> DataFrame:
@@ -233,7 +331,7 @@ def band_entries(members: DataFrame, percent: int, links: bool) -> DataFrame:
 
 
 def duplicate_paragraphs(docs: DataFrame, folder: str, words: int = 5, percent: int = 80, min_words: int = 10, block_nodes: int = 4096) -> DataFrame:
-    """Places (d, x, i) of the paragraphs that go, and the first paragraph of their component."""
+    """Places (d, x, i) of the repeated paragraphs, their numbers, words and texts' words, and the first paragraph of their component."""
     paragraphs = write_table(paragraph_rows(docs, words, min_words), f"{folder}/paragraphs")
     classes = write_table(paragraphs.groupBy("node").agg(F.min(F.struct("d", "x", "i")).alias("first"), F.count("*").alias("n")), f"{folder}/classes")
     bands = paragraphs.filter("bands IS NOT NULL").select("node", F.posexplode("bands").alias("at", "band"))
@@ -261,26 +359,30 @@ def duplicate_paragraphs(docs: DataFrame, folder: str, words: int = 5, percent:
     named = write_table(classes.select("node", "first", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), f"{folder}/named")
     least = write_table(named.groupBy("root").agg(F.min("first").alias("stays"), F.sum("n").alias("rows")).filter("rows > 1").select("root", "stays"), f"{folder}/least")
     several = write_table(named.join(least, "root").select("node", "stays"), f"{folder}/several")
-    return paragraphs.select("d", "x", "i", "node").join(several, "node").filter(F.struct("d", "x", "i") != F.col("stays")).select("d", "x", "i", "stays")
+    return paragraphs.drop("bands").join(several, "node").filter(F.struct("d", "x", "i") != F.col("stays")).select("d", "x", "i", "o", "n", "total", "stays")
 
 
-def remove_paragraphs(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, min_words: int = 10, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False) -> DataFrame:
+def remove_paragraphs(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, min_words: int = 10, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False, least_run: int = 0) -> DataFrame:
     """Every row of ``docs``: the ``keep`` columns, n_paragraphs, n_removed, n_removed_bytes, kept_sha256 (and the kept text)."""
     folder = run_dir(spark, "paragraph-dedup")
-    gone = duplicate_paragraphs(keyed(docs, id_col, text_col), folder, words, percent, min_words)
-    gone = gone.groupBy("d", "x").agg(F.collect_set("i").alias("_gone"))
+    texts = keyed(docs, id_col, text_col)
+    gone = duplicate_paragraphs(texts, folder, words, percent, min_words)
+    gone = (lines_of_runs(gone, least_run) if least_run else gone).groupBy("d", "x").agg(F.collect_set("i").alias("_gone"))
+    if least_run:
+        gone = write_table(gone, f"{folder}/gone")
+        gone = gone.join(repeated_passages(texts, gone, folder, least_run), ["d", "x"], "full")
+    else:
+        gone = gone.withColumn("_cuts", F.lit(None).cast("array<struct<a:int,b:int>>"))
     d, x = row_key(id_col, text_col)
     rows = docs.select(d.alias("_d"), x.alias("_x"), F.col(text_col).alias("_text"), *(F.col(c) for c in keep))
-    rows = rows.join(gone, (F.col("_d") == F.col("d")) & (F.col("_x") == F.col("x")), "left").select(*keep, "_text", "_gone")
+    rows = rows.join(gone, (F.col("_d") == F.col("d")) & (F.col("_x") == F.col("x")), "left").select(*keep, "_text", "_gone", "_cuts")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, "_text", 4 << 20)):
             out = []
-            for text, drop in zip(batch.column("_text").to_pylist(), batch.column("_gone").to_pylist(), strict=True):
-                lines = [] if text is None else text.split("\n")
-                off = set(drop or ())
-                kept = "\n".join([x for k, x in enumerate(lines) if k not in off])
-                out.append((len(lines), len(off), sum(len(lines[k].encode()) for k in off), hashlib.sha256(kept.encode()).hexdigest(), None if text is None else kept))
+            for text, drop, cuts in zip(*(batch.column(c).to_pylist() for c in ("_text", "_gone", "_cuts")), strict=True):
+                kept, n_bytes = without(text or "", set(drop or ()), cuts or [])
+                out.append((0 if text is None else text.count("\n") + 1, len(drop or ()) + len(cuts or ()), n_bytes, hashlib.sha256(kept.encode()).hexdigest(), None if text is None else kept))
             columns = list(zip(*out, strict=True))[: 4 + with_text]
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()][: 4 + with_text]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(x, k) for x, k in zip(columns, kinds, strict=True))], names=[*keep, "n_paragraphs", "n_removed", "n_removed_bytes", "kept_sha256", "kept_text"][: len(keep) + 4 + with_text])

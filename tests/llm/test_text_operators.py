@@ -8,9 +8,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stonefly.llm import language_id, line_quality, nbest, paragraph_dedup
+from stonefly.llm.common import text_buffers
 from stonefly.llm.queries import queries
 from stonefly.llm.tokens import piece_model
 
@@ -226,3 +228,49 @@ def test_band_entries_send_members_and_forests():
     alike = [np.arange(50, dtype=np.uint64)] * 300
     assert len(paragraph_dedup.entry_links(nodes, nodes, made, alike, 0, 80)) == 299
     assert paragraph_dedup.entry_links(nodes, nodes, made, alike, 5, 80) == []
+
+
+def test_passages_within_and_across_lines(spark, tmp_path):
+    """Passages of 51 to 70 words inside a line, across lines and between short lines go; short lines of clean texts stay."""
+    rng = random.Random(3)
+    own = lambda n: " ".join("".join(rng.choices("abcdefghijkl", k=7)) for _ in range(n))
+    common = "read more about this at the end of it"
+    rows, planted, clean = [], [], []
+    for k in range(40):
+        passage = own(rng.randint(51, 70)).split()
+        at = rng.randint(10, 40)
+        rows.append((3 * k, f"{own(30)} {' '.join(passage)} {own(30)}\n{common}"))
+        broken = " ".join(passage[:at]) + "\n" + " ".join(passage[at:])
+        rows.append((3 * k + 1, f"{common}\n{own(40)} é {[' '.join(passage).upper(), broken][k % 2]} {own(40)}\n{common}"))
+        rows.append((3 * k + 2, f"{own(60)}\n{common}\n{own(9)}\n{own(50)}"))
+        planted.append(3 * k + 1)
+        clean += [3 * k, 3 * k + 2]
+    spark.createDataFrame([*rows, (None, None), (-1, ""), (-2, own(70)), *rows[:1]], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries()["op6_paragraph_minhash"](spark, str(tmp_path)).collect()}
+    assert sum(got[k].n_removed > 0 for k in planted) >= 0.95 * len(planted)
+    assert not any(got[k].n_removed for k in (*clean, None, -1, -2))
+    texts = dict(rows)
+    for r in paragraph_dedup.remove_paragraphs(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), min_words=1, least_run=20, with_text=True).collect():
+        if r.doc_id in texts:
+            assert len(r.kept_text.encode()) + r.n_removed_bytes == len(texts[r.doc_id].encode())
+            assert common in r.kept_text and hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256
+
+
+def test_segments_hang_on_no_neighbour():
+    """A text's segments are the same alone and among others, cover all words and have no other's."""
+    rng = random.Random(4)
+    texts = [prose(rng, n) for n in (0, 1, 2, 3, 9, 200, 1)] + ["\n a\n\nb ", "x " * 100, None]
+    fields = lambda x: list(zip(*(k.tolist() for k in paragraph_dedup.segments(*text_buffers(pa.array(x, pa.string())))), strict=True))
+    every = fields(texts)
+    assert [r[1:] for r in every] == [r[1:] for x in texts for r in fields([x])]
+    for k, x in enumerate(texts):
+        mine = [r for r in every if r[0] == k]
+        assert sum(r[4] for r in mine) == len((x or "").split()) and [w for r in mine for w in x.encode()[r[2] : r[3]].split()] == (x or "").encode().split()
+
+
+def test_lines_and_runs_go():
+    cuts = lambda *x: [{"a": a, "b": b} for a, b in x]
+    assert paragraph_dedup.without("a\nb c\nd", {0}, cuts((4, 5))) == ("b \nd", 2)
+    assert paragraph_dedup.without("a\nb c\nd", {2}, cuts((2, 3))) == ("a\n c", 2)
+    assert paragraph_dedup.without("a\nb c\nd e", set(), cuts((4, 7))) == ("a\nb  e", 3)
+    assert paragraph_dedup.without("a\nb", {0, 1}, []) == ("", 2)
