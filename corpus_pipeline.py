@@ -63,7 +63,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def repeated_bytes_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the bytes that repeat earlier ones; a document of which nothing is left goes."""
-    kept = suffix_dedup.remove_repeats(spark, docs, keep=tuple(docs.columns), with_text=True)
+    # without the text as it was, which would be shuffled a second time
+    kept = suffix_dedup.remove_repeats(spark, docs, keep=tuple(c for c in docs.columns if c != "text"), with_text=True)
     kept = kept.filter((F.col("n_bytes") == 0) | (F.col("n_removed") < F.col("n_bytes")))
     text = F.col("kept_text")
     return kept.select(*(text.alias(c) if c == "text" else F.char_length(text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))

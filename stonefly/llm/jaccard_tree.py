@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stonefly.llm.common import mix64, release_memory, run_dir, shuffle_partitions, slices, text_buffers, write_table
+from stonefly.llm.common import drop_tables, mix64, release_memory, run_dir, shuffle_partitions, slices, text_buffers, write_table
 from stonefly.llm.components import connected
 
 #: Hashes of a sketch, and how many of them a linked pair shares but with a probability of 1e-13; forests take pairs from LIKELY on.
@@ -523,7 +523,8 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
 
 def similar_documents(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, block_nodes: int = 4096) -> DataFrame:
     """One row for each input row: doc_id, n_shingles, component_id (the least id reachable by links)."""
-    folder = run_dir(spark, "jaccard")
+    run = run_dir(spark, "jaccard")
+    folder = f"{run}/steps"
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("h"))
     sets = write_table(set_rows(rows, words), f"{folder}/sets")
     nodes = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "h"))).alias("first"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
@@ -569,7 +570,10 @@ def similar_documents(spark: SparkSession, docs: DataFrame, id_col: str = "doc_i
     alone = nodes.join(found, "node", "left_anti").select("node", F.col("first.doc_id").alias("component_id"))
     named = write_table(found.unionByName(alone), f"{folder}/named")
     out = sets.select("doc_id", "n_shingles", "node").join(named, "node", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = write_table(out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")), f"{run}/groups")
+    # sets, sketches and texts of a run would lie beside all that comes after it
+    drop_tables(folder)
+    return out
 
 
 #: The query's rows in DuckDB SQL (doc_id is unique there).
