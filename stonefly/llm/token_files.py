@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stonefly.llm.common import file_system, put_file, ragged, run_dir, shuffle_partitions, slices, write_table
+from stonefly.llm.common import file_system, put_file, ragged, release_memory, run_dir, shuffle_partitions, slices, write_table
 from stonefly.llm.tokens import encoder
 
 MAGIC = b"SFLYTOK1"
@@ -82,6 +82,9 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int, path: str, id_col:
             column = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(full)])
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, shard, np.int32)), pa.array(np.arange(seq, seq + n)), batch.column("doc_id"), pa.array(np.diff(offsets) + 1), column.cast(pa.binary())], names=["shard", "seq", "doc_id", "n_tokens", "ids"])
             seq += n
+        # an idle worker lies beside those of the tasks that run
+        coder.forget()
+        release_memory()
 
     return write_table(rows.mapInArrow(encode, TOKENS), path), narrow
 
@@ -99,6 +102,7 @@ def id_counts(tokens: DataFrame, narrow: np.dtype) -> list[tuple[int, int]]:
                     total = got
                 else:
                     total[: len(got)] += got
+        release_memory()
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 
@@ -139,6 +143,8 @@ def write_files(tokens: DataFrame, narrow: np.dtype, ranked: np.ndarray, folder:
                 size += row[3]
         if held:
             yield flush()
+        held.clear()
+        release_memory()
 
     return write_table(tokens.mapInArrow(write, MANIFEST), f"{folder}/manifest")
 
@@ -182,6 +188,7 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
                     part = ids[offsets[a] : offsets[b]].astype("<u4")
                     own = pa.Array.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer((offsets[a : b + 1] - offsets[a]) * 4), pa.py_buffer(part)])
                     yield pa.RecordBatch.from_arrays([pa.array(doc_ids[a:b], mask=null[a:b]), pa.array(start + offsets[a:b]), pa.array(lengths[a:b]), own.cast(pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
+        release_memory()
 
     return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 
