@@ -8,7 +8,7 @@ import pyarrow as pa
 
 from pyspark.sql import functions as F
 
-from stonefly.llm import jaccard_tree, suffix_dedup, token_files
+from stonefly.llm import jaccard_tree, language_id, suffix_dedup, token_files
 from stonefly.llm.tokens import encoder, word_tokenizer
 
 
@@ -60,6 +60,38 @@ def test_regions_of_few_texts_at_once():
     assert rows > len(x) and peak < 200
 
 
+def test_language_sample_reaches_the_driver_packed(spark, monkeypatch):
+    """Before: eight bytes for each n-gram of the sample, and sixteen in the driver's Python."""
+    frame = type(spark.range(0))
+    sent, whole = [], frame.toArrow
+
+    def seen(self):
+        sent.append(whole(self))
+        return sent[-1]
+
+    monkeypatch.setattr(frame, "toArrow", seen)
+    x = [*texts(1 << 17), "ab " * 400, "", "12 34"]
+    docs = spark.createDataFrame([(k, "ab"[k % 2], t) for k, t in enumerate(x)], "h long, lang string, text string").coalesce(1)
+    idf = 1 + np.arange(language_id.BINS) / language_id.BINS
+    got = language_id.features(docs, idf)
+    entries = sum(len(b) for _, b, _ in got)
+    assert len(got) == len(x) - 2 and sent[0].nbytes < 4.5 * entries
+    assert sum(b.nbytes + c.nbytes for _, b, c in got) <= 6 * entries
+    # the same weights as from the n-grams themselves
+    bins, ends = language_id.ngrams(x)
+    for (_, own, shares), a, b in zip(got, [0, *ends], ends, strict=False):
+        counts = np.bincount(np.concatenate([k[a:b] for k in bins]), minlength=language_id.BINS)
+        assert own.tolist() == np.flatnonzero(counts).tolist()
+        assert np.array_equal(shares, (counts[own] / counts.sum() * idf[own]).astype(np.float32))
+
+
+def test_language_model_of_counted_texts(spark):
+    seen, n = language_id.document_frequency(spark.createDataFrame([("ab ab",), ("ab",), (None,), ("b",)], "text string"))
+    assert n == 4 and seen.max() == 3 and seen.sum() > 0
+    empty = language_id.document_frequency(spark.createDataFrame([], "text string"))
+    assert empty[1] == 0 and not empty[0].any()
+
+
 def test_workers_of_token_files_keep_no_chunks(spark, tmp_path):
     """Before: a worker kept all chunks that its tasks met, some 440 MB on 0.51 GB, while others ran."""
     docs = spark.createDataFrame(list(enumerate(texts(1 << 18))), "doc_id long, text string")
