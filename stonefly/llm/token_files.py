@@ -82,9 +82,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int, path: str, id_col:
             column = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(full)])
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, shard, np.int32)), pa.array(np.arange(seq, seq + n)), batch.column("doc_id"), pa.array(np.diff(offsets) + 1), column.cast(pa.binary())], names=["shard", "seq", "doc_id", "n_tokens", "ids"])
             seq += n
-        # an idle worker lies beside those of the tasks that run
-        coder.forget()
-        release_memory()
+        release_memory()  # an idle worker lies beside those of the tasks that run; the kept chunks stay for its next task
 
     return write_table(rows.mapInArrow(encode, TOKENS), path), narrow
 

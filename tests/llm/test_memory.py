@@ -6,10 +6,8 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from pyspark.sql import functions as F
-
-from stonefly.llm import jaccard_tree, language_id, suffix_dedup, token_files
-from stonefly.llm.tokens import encoder, word_tokenizer
+from stonefly.llm import jaccard_tree, language_id, suffix_dedup, token_files, tokens
+from stonefly.llm.tokens import word_tokenizer
 
 
 class Rows:
@@ -92,16 +90,40 @@ def test_language_model_of_counted_texts(spark):
     assert empty[1] == 0 and not empty[0].any()
 
 
-def test_workers_of_token_files_keep_no_chunks(spark, tmp_path):
-    """Before: a worker kept all chunks that its tasks met, some 440 MB on 0.51 GB, while others ran."""
-    docs = spark.createDataFrame(list(enumerate(texts(1 << 18))), "doc_id long, text string")
-    table, _ = token_files.token_table(docs, word_tokenizer(), 2, str(tmp_path / "tokens"))
-    assert table.count() == docs.count()
-
-    def kept(batches):
-        n = len(encoder(word_tokenizer()).place)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([n] * batch.num_rows, pa.int64())], names=["kept"])
-
-    rows = spark.range(64, numPartitions=16).mapInArrow(kept, "kept long")
-    assert rows.agg(F.max("kept")).first()[0] == 0
+def test_token_file_tasks_give_memory_back(spark, tmp_path, monkeypatch):
+    """Before: a worker kept what its tasks had freed, 440 MB on 0.51 GB, while others ran."""
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    folder = str(calls)
+
+    def release():
+        import tempfile
+
+        tempfile.mkstemp(dir=folder)
+
+    monkeypatch.setattr(token_files, "release_memory", release)
+    x = [*texts(1 << 16), None, ""]
+    docs = spark.createDataFrame(list(enumerate(x)), "doc_id long, text string")
+    out = str(tmp_path / "out")
+    done = []
+    table, narrow = token_files.token_table(docs, word_tokenizer(), 2, f"{out}/tokens")
+    done.append(len(list(calls.iterdir())))
+    counts = token_files.id_counts(table, narrow)
+    done.append(len(list(calls.iterdir())))
+    manifest = token_files.write_files(table, narrow, np.array([k for k, _ in counts]), out, 1000)
+    done.append(len(list(calls.iterdir())))
+    assert token_files.with_crc(token_files.read_files(manifest, out)).collect()[0].n_tokens > 0
+    done.append(len(list(calls.iterdir())))
+    assert 0 < done[0] < done[1] < done[2] < done[3]
+
+
+def test_encoder_keeps_few_chunks(monkeypatch):
+    """Before: a million chunks in each worker."""
+    assert tokens.CACHE_CHUNKS <= 500_000
+    monkeypatch.setattr(tokens, "CACHE_CHUNKS", 100)
+    coder = tokens.Encoder(word_tokenizer())
+    x = texts(1 << 14)
+    for _ in range(2):
+        ids, offsets = coder.encode(pa.array(x))
+        assert len(coder.place) == 100
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == [coder.library.encode(t, add_special_tokens=False).ids for t in x]
